@@ -1 +1,474 @@
-ORACLE={}
+"""The same results in DuckDB SQL, over the driver's ``events`` view."""
+
+import re
+
+from checks.fleet import PAYLOAD_SQL, RAW_SQL
+from convoy.schemas import DELIVERY_TOPIC, DRIVER_TOPIC, GPS_TOPIC, ORDER_TOPIC
+
+AS_OF = "TIMESTAMP '2024-03-01 00:00:00'"
+
+# --- building blocks: named sub-queries --------------------------------------
+
+CTE = {f"raw_{name}": text.replace("{events}", "events") for name, text in RAW_SQL.items()}
+
+CTE["stg_gps_events"] = """
+ SELECT vehicle_id, driver_id, latitude, longitude, speed_kmh, event_time, load_timestamp FROM (
+  SELECT vehicle_id, driver_id, lat AS latitude, lon AS longitude, speed_kmh, event_time, load_timestamp,
+   row_number() OVER (PARTITION BY vehicle_id, event_time ORDER BY load_timestamp DESC NULLS FIRST,
+    driver_id DESC NULLS LAST, lat DESC NULLS LAST, lon DESC NULLS LAST, speed_kmh DESC NULLS LAST) AS rn
+  FROM raw_gps_events
+  WHERE vehicle_id IS NOT NULL AND event_time IS NOT NULL AND speed_kmh >= 0
+   AND lat BETWEEN 45.0 AND 46.5 AND lon BETWEEN -74.5 AND -73.0) WHERE rn = 1"""
+CTE["stg_delivery_events"] = """
+ SELECT package_id, order_id, vehicle_id, driver_id, status, event_time, load_timestamp FROM (
+  SELECT package_id, order_id, vehicle_id, driver_id, lower(trim(raw_status)) AS status, event_time, load_timestamp,
+   row_number() OVER (PARTITION BY package_id, event_time ORDER BY load_timestamp DESC NULLS FIRST,
+    order_id DESC NULLS LAST, vehicle_id DESC NULLS LAST, driver_id DESC NULLS LAST, raw_status DESC NULLS LAST) AS rn
+  FROM (SELECT * EXCLUDE (status), status AS raw_status FROM raw_delivery_events)
+  WHERE package_id IS NOT NULL AND order_id IS NOT NULL AND event_time IS NOT NULL
+   AND raw_status IN ('picked_up', 'in_transit', 'delivered', 'failed')) WHERE rn = 1"""
+CTE["stg_orders"] = """
+ SELECT order_id, package_id, status, event_time, load_timestamp FROM (
+  SELECT order_id, package_id, lower(trim(status)) AS status, event_time, load_timestamp,
+   row_number() OVER (PARTITION BY order_id ORDER BY load_timestamp DESC NULLS FIRST,
+    event_time DESC NULLS FIRST, package_id DESC NULLS LAST, lower(trim(status)) DESC NULLS LAST) AS rn
+  FROM raw_orders
+  WHERE order_id IS NOT NULL AND package_id IS NOT NULL AND event_time IS NOT NULL) WHERE rn = 1"""
+CTE["stg_driver_events"] = """
+ SELECT driver_id, vehicle_id, status, event_time, load_timestamp FROM (
+  SELECT driver_id, vehicle_id, lower(trim(raw_status)) AS status, event_time, load_timestamp,
+   row_number() OVER (PARTITION BY driver_id, event_time ORDER BY load_timestamp DESC NULLS FIRST,
+    vehicle_id DESC NULLS LAST, raw_status DESC NULLS LAST) AS rn
+  FROM (SELECT * EXCLUDE (status), status AS raw_status FROM raw_driver_events)
+  WHERE driver_id IS NOT NULL AND event_time IS NOT NULL
+   AND raw_status IN ('online', 'offline', 'on_break', 'delivering')) WHERE rn = 1"""
+
+
+def _payload(topic):
+    return PAYLOAD_SQL[topic].replace("{events}", "events")
+
+
+def _parsed(topic, key, lost, fields):
+    shown = ", ".join(
+        f"CASE WHEN event_id % 37 = 0{' OR event_id % 31 = 0' if f == lost else ''} THEN NULL ELSE {f} END AS {f}"
+        for f in fields
+    )
+    return f"""
+ SELECT {key} AS kafka_key, ts AS kafka_timestamp, {shown},
+  CASE WHEN event_id % 37 = 0 THEN NULL WHEN event_id % 31 = 0 THEN 'x' WHEN event_id % 29 = 0 THEN 'not-a-date'
+   ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00' END AS "timestamp",
+  CASE WHEN event_id % 37 = 0 OR event_id % 31 = 0 OR event_id % 29 = 0 THEN NULL ELSE ts END AS event_time
+ FROM ({_payload(topic)})"""
+
+
+GPS_FIELDS = ["vehicle_id", "driver_id", "lat", "lon", "speed_kmh"]
+DELIVERY_FIELDS = ["package_id", "order_id", "vehicle_id", "status", "lat", "lon"]
+ORDER_FIELDS = ["order_id", "package_id", "dest_lat", "dest_lon", "status"]
+DRIVER_FIELDS = ["driver_id", "vehicle_id", "status", "lat", "lon"]
+
+CTE["parsed_gps"] = _parsed(GPS_TOPIC, "vehicle_id", "vehicle_id", GPS_FIELDS)
+CTE["parsed_delivery"] = _parsed(DELIVERY_TOPIC, "package_id", "order_id", DELIVERY_FIELDS)
+CTE["parsed_order"] = _parsed(ORDER_TOPIC, "package_id", "order_id", ORDER_FIELDS)
+CTE["parsed_driver"] = _parsed(DRIVER_TOPIC, "driver_id", "vehicle_id", DRIVER_FIELDS)
+
+VALID = {
+    "gps": "vehicle_id IS NOT NULL AND driver_id IS NOT NULL",
+    "delivery": "package_id IS NOT NULL AND order_id IS NOT NULL AND vehicle_id IS NOT NULL",
+    "order": "order_id IS NOT NULL AND package_id IS NOT NULL",
+    "driver": "driver_id IS NOT NULL AND vehicle_id IS NOT NULL",
+}
+TOPIC = {
+    "gps": "gps_positions",
+    "delivery": "delivery_events",
+    "order": "orders",
+    "driver": "driver_events",
+}
+IN_BOX = "(lat IS NULL OR lat BETWEEN 45.0 AND 46.5) AND (lon IS NULL OR lon BETWEEN -74.5 AND -73.0)"
+for _t, _valid in VALID.items():
+    _box = "" if _t == "order" else f" AND {IN_BOX}"
+    _status = "" if _t == "gps" else " REPLACE (lower(trim(status)) AS status)"
+    CTE[f"clean_{_t}"] = f"SELECT *{_status} FROM parsed_{_t} WHERE {_valid}{_box}"
+
+
+def _moved(source, order):
+    return f"""
+ SELECT *, CASE WHEN computed_speed_kmh IS NULL THEN NULL ELSE computed_speed_kmh < 1.0 END AS is_immobile FROM (
+  SELECT *, CASE WHEN elapsed_seconds > 0 THEN distance_km / elapsed_seconds * 3600.0 END AS computed_speed_kmh FROM (
+   SELECT *, date_diff('second', prev_event_time, event_time) AS elapsed_seconds,
+    6371.0 * 2 * atan2(sqrt(a), sqrt(1 - a)) AS distance_km FROM (
+    SELECT *, pow(sin(radians(lat - prev_lat) / 2), 2)
+      + cos(radians(prev_lat)) * cos(radians(lat)) * pow(sin(radians(lon - prev_lon) / 2), 2) AS a FROM (
+     SELECT *, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon, lag(event_time) OVER w AS prev_event_time
+     FROM {source}
+     WINDOW w AS (PARTITION BY vehicle_id ORDER BY {order})))))"""
+
+
+FLAGS = """array_to_string(list_filter([
+  CASE WHEN computed_speed_kmh > 130.0 THEN 'SPEED_TOO_HIGH' END,
+  CASE WHEN abs(computed_speed_kmh - speed_kmh) > 50.0 THEN 'SPEED_MISMATCH' END,
+  CASE WHEN is_immobile THEN 'IMMOBILE' END,
+  CASE WHEN distance_km > 2.0 THEN 'GPS_JUMP' END], lambda x: x IS NOT NULL), ',')"""
+
+CTE["stg_positions"] = """
+ SELECT vehicle_id, latitude AS lat, longitude AS lon, speed_kmh, event_time FROM stg_gps_events"""
+CTE["moved"] = _moved("stg_positions", "event_time")
+_ORDER = ", ".join(
+    f"{c} ASC NULLS FIRST"
+    for c in ["event_time", "kafka_timestamp", "kafka_key", "driver_id", "lat", "lon", "speed_kmh", '"timestamp"']
+)
+CTE["lake_moved"] = _moved("clean_gps", _ORDER)
+CTE["lake_gps"] = f"SELECT *, {FLAGS} AS anomaly_types FROM lake_moved"
+
+CTE["driver_history"] = """
+ SELECT vehicle_id, event_time AS driver_assigned_at, max(driver_id) AS driver_id FROM stg_driver_events
+ WHERE vehicle_id IS NOT NULL AND driver_id IS NOT NULL GROUP BY vehicle_id, event_time"""
+CTE["asof_driver"] = """
+ SELECT d.package_id, d.order_id, d.vehicle_id, d.status, d.event_time, h.driver_id
+ FROM stg_delivery_events d ASOF LEFT JOIN driver_history h
+  ON d.vehicle_id = h.vehicle_id AND d.event_time >= h.driver_assigned_at"""
+CTE["delivery_pivot"] = """
+ SELECT package_id, max(order_id) AS order_id, max(vehicle_id) AS vehicle_id, max(driver_id) AS driver_id,
+  max(CASE WHEN status = 'picked_up' THEN event_time END) AS picked_up_at,
+  max(CASE WHEN status = 'in_transit' THEN event_time END) AS in_transit_at,
+  max(CASE WHEN status = 'delivered' THEN event_time END) AS delivered_at,
+  max(CASE WHEN status = 'failed' THEN event_time END) AS failed_at
+ FROM asof_driver GROUP BY package_id"""
+CTE["fct_deliveries"] = """
+ SELECT p.package_id, p.order_id, p.vehicle_id, p.driver_id, o.event_time AS order_created_at,
+  p.picked_up_at, p.in_transit_at, p.delivered_at, p.failed_at,
+  CASE WHEN p.delivered_at IS NOT NULL THEN 'delivered' WHEN p.failed_at IS NOT NULL THEN 'failed'
+   WHEN p.in_transit_at IS NOT NULL THEN 'in_transit' WHEN p.picked_up_at IS NOT NULL THEN 'picked_up'
+   ELSE 'pending' END AS final_status,
+  date_diff('minute', o.event_time, p.picked_up_at) AS minutes_order_to_pickup,
+  date_diff('minute', p.picked_up_at, p.delivered_at) AS minutes_pickup_to_delivery,
+  date_diff('minute', o.event_time, p.delivered_at) AS minutes_order_to_delivery,
+  p.delivered_at IS NOT NULL AS is_delivered, p.failed_at IS NOT NULL AS is_failed
+ FROM delivery_pivot p LEFT JOIN stg_orders o ON p.order_id = o.order_id"""
+CTE["gps_daily"] = """
+ SELECT CAST(event_time AS DATE) AS activity_date, count(DISTINCT vehicle_id) AS n_active_vehicles,
+  count(DISTINCT driver_id) AS n_active_drivers, round(avg(speed_kmh), 2) AS fleet_avg_speed_kmh,
+  count(*) AS n_gps_points FROM stg_gps_events GROUP BY 1"""
+CTE["delivery_daily"] = """
+ SELECT CAST(event_time AS DATE) AS activity_date, count(DISTINCT package_id) AS n_deliveries_touched,
+  count(DISTINCT CASE WHEN status = 'delivered' THEN package_id END) AS n_delivered,
+  count(DISTINCT CASE WHEN status = 'failed' THEN package_id END) AS n_failed,
+  count(DISTINCT CASE WHEN status = 'picked_up' THEN package_id END) AS n_picked_up
+ FROM stg_delivery_events GROUP BY 1"""
+CTE["fct_daily_activity"] = """
+ SELECT coalesce(g.activity_date, d.activity_date) AS activity_date,
+  coalesce(g.n_active_vehicles, 0) AS n_active_vehicles, coalesce(g.n_active_drivers, 0) AS n_active_drivers,
+  g.fleet_avg_speed_kmh, coalesce(g.n_gps_points, 0) AS n_gps_points,
+  coalesce(d.n_deliveries_touched, 0) AS n_deliveries_touched, coalesce(d.n_delivered, 0) AS n_delivered,
+  coalesce(d.n_failed, 0) AS n_failed, coalesce(d.n_picked_up, 0) AS n_picked_up,
+  CASE WHEN coalesce(d.n_delivered, 0) + coalesce(d.n_failed, 0) = 0 THEN NULL
+   ELSE round(CAST(100.0 AS DOUBLE) * d.n_delivered / (d.n_delivered + d.n_failed), 2) END AS daily_success_rate_pct
+ FROM gps_daily g FULL OUTER JOIN delivery_daily d ON g.activity_date = d.activity_date"""
+CTE["dim_vehicles"] = """
+ SELECT vehicle_id, count(DISTINCT activity_date) AS n_active_days, min(activity_date) AS first_active_date,
+  max(activity_date) AS last_active_date, CAST(sum(n_gps_points) AS BIGINT) AS total_gps_points,
+  round(avg(avg_speed_kmh), 2) AS avg_speed_kmh_overall, max(max_speed_kmh) AS max_speed_ever_kmh,
+  max(n_distinct_drivers) AS max_drivers_per_day
+ FROM (SELECT vehicle_id, CAST(event_time AS DATE) AS activity_date, count(*) AS n_gps_points,
+   avg(speed_kmh) AS avg_speed_kmh, max(speed_kmh) AS max_speed_kmh, count(DISTINCT driver_id) AS n_distinct_drivers
+  FROM stg_gps_events WHERE speed_kmh IS NOT NULL GROUP BY 1, 2) GROUP BY vehicle_id"""
+
+
+def _dim_drivers(steps):
+    return f"""
+ SELECT ls.driver_id, ls.vehicle_id AS current_vehicle_id, ls.status AS current_status,
+  ls.event_time AS last_status_change, da.first_seen_at, da.last_seen_at, da.active_hours, da.total_status_changes,
+  coalesce(dc.ok, 0) AS n_deliveries_completed, coalesce(dc.ko, 0) AS n_deliveries_failed,
+  CASE WHEN coalesce(dc.ok, 0) + coalesce(dc.ko, 0) = 0 THEN NULL
+   ELSE round(CAST(100.0 AS DOUBLE) * dc.ok / (dc.ok + dc.ko), 2) END AS success_rate_pct
+ FROM (SELECT *, row_number() OVER (PARTITION BY driver_id ORDER BY event_time DESC NULLS FIRST) AS rn
+  FROM stg_driver_events) ls
+ LEFT JOIN (SELECT driver_id, count(*) AS total_status_changes, min(event_time) AS first_seen_at,
+   max(event_time) AS last_seen_at, date_diff('hour', min(event_time), max(event_time)) AS active_hours
+  FROM stg_driver_events GROUP BY driver_id) da ON ls.driver_id = da.driver_id
+ LEFT JOIN (SELECT driver_id, count(DISTINCT CASE WHEN status = 'delivered' THEN package_id END) AS ok,
+   count(DISTINCT CASE WHEN status = 'failed' THEN package_id END) AS ko
+  FROM {steps} WHERE driver_id IS NOT NULL GROUP BY driver_id) dc ON ls.driver_id = dc.driver_id
+ WHERE ls.rn = 1"""
+
+
+CTE["dim_drivers"] = _dim_drivers("stg_delivery_events")
+CTE["dim_drivers_resolved"] = _dim_drivers("asof_driver")
+CTE["dim_date"] = f"""
+ SELECT date_day, CAST(year(date_day) AS INTEGER) AS "year", CAST(quarter(date_day) AS INTEGER) AS quarter,
+  CAST(month(date_day) AS INTEGER) AS "month", CAST(day(date_day) AS INTEGER) AS day_of_month,
+  CAST(dayofweek(date_day) AS INTEGER) AS day_of_week_num, strftime(date_day, '%a') AS day_of_week_name,
+  strftime(date_day, '%b') AS month_name, CAST(weekofyear(date_day) AS INTEGER) AS week_of_year,
+  dayofweek(date_day) IN (0, 6) AS is_weekend, dayofweek(date_day) NOT IN (0, 6) AS is_business_day,
+  CAST(date_day - CAST({AS_OF} AS DATE) AS INTEGER) AS days_from_today,
+  CAST(date_trunc('month', date_day) AS DATE) AS month_start, last_day(date_day) AS month_end,
+  CAST(date_trunc('quarter', date_day) AS DATE) AS quarter_start, CAST(date_trunc('year', date_day) AS DATE) AS year_start
+ FROM (SELECT CAST(start_date + CAST(n AS INTEGER) AS DATE) AS date_day, end_date
+  FROM (SELECT min(activity_date) - 30 AS start_date, max(activity_date) + 30 AS end_date FROM fct_daily_activity),
+   range(400) AS days(n)) WHERE date_day <= end_date"""
+CTE["vehicle_latest"] = """
+ SELECT vehicle_id, driver_id, latitude AS lat, longitude AS lon, speed_kmh, event_time FROM (
+  SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY event_time DESC NULLS LAST) AS rn
+  FROM stg_gps_events) WHERE rn = 1"""
+
+# Every check of the quality suites: event type, expectation, column, condition for a bad row.
+_CHECKS = []
+for _t, _table, _keys in [
+    ("gps", "raw_gps_events", ["vehicle_id", "driver_id"]),
+    ("delivery", "raw_delivery_events", ["package_id", "order_id", "vehicle_id"]),
+    ("order", "raw_orders", ["order_id", "package_id"]),
+    ("driver", "raw_driver_events", ["driver_id", "vehicle_id"]),
+]:
+    _CHECKS += [(_t, _table, "not_null", k, f"{k} IS NULL") for k in _keys]
+_CHECKS += [
+    ("gps", "raw_gps_events", "between", "lat", "lat < 45.0 OR lat > 46.5"),
+    ("gps", "raw_gps_events", "between", "lon", "lon < -74.5 OR lon > -73.0"),
+    ("gps", "raw_gps_events", "between", "speed_kmh", "speed_kmh < 0"),
+    ("delivery", "raw_delivery_events", "in_set", "status",
+     "status NOT IN ('created', 'picked_up', 'in_transit', 'delivered', 'failed')"),
+    ("order", "raw_orders", "in_set", "status", "status NOT IN ('created')"),
+    ("driver", "raw_driver_events", "in_set", "status",
+     "status NOT IN ('offline', 'online', 'on_break', 'delivering')"),
+]
+
+
+def _quality(tables):
+    return " UNION ALL ".join(
+        f"SELECT '{t}' AS event_type, '{kind}' AS expectation, '{col}' AS \"column\","
+        f" count(*) FILTER ({bad}) = 0 AS success, count(*) FILTER ({bad}) AS n_unexpected, count(*) AS n_rows"
+        f" FROM {tables[t]}"
+        for t, _, kind, col, bad in _CHECKS
+    )
+
+
+CTE["quality_results"] = _quality({t: table for t, table, *_ in _CHECKS})
+
+
+def _scores(results):
+    return f"""
+ SELECT scope, count(event_type) AS n_expectations, count(*) FILTER (success) AS n_success,
+  CASE WHEN count(event_type) = 0 THEN 0.0e0
+   WHEN scope = 'all' THEN round(100.0e0 * count(*) FILTER (success) / count(event_type), 1)
+   ELSE 100.0e0 * count(*) FILTER (success) / count(event_type) END AS quality_score,
+  count(event_type) > 0 AND count(*) FILTER (success) = count(event_type) AS all_passed
+ FROM (VALUES ('gps'), ('delivery'), ('order'), ('driver'), ('all')) s(scope)
+ LEFT JOIN {results} q ON s.scope = 'all' OR q.event_type = s.scope GROUP BY scope"""
+
+
+CTE["quality_score"] = _scores("quality_results")
+CTE["lake_quality"] = _quality({"gps": "lake_gps", "delivery": "clean_delivery", "order": "clean_order", "driver": "clean_driver"})
+CTE["lake_scores"] = _scores("lake_quality")
+
+
+def with_ctes(text: str) -> str:
+    """Prefix the building blocks a text reads from, dependencies first."""
+    needed: list[str] = []
+
+    def visit(part):
+        for name in re.findall(r"(?:FROM|JOIN)\s+(\w+)", part):
+            if name in CTE and name not in needed:
+                visit(CTE[name])
+                needed.append(name)
+
+    visit(text)
+    ctes = ",\n".join(f"{name} AS ({CTE[name]})" for name in needed)
+    return f"WITH {ctes}\n{text}" if ctes else text
+
+
+def _all(name):
+    return f"SELECT * FROM {name}"
+
+
+def _parsed_columns(fields):
+    return f'kafka_key, kafka_timestamp, {", ".join(fields)}, "timestamp"'
+
+
+_FIELDS = {"gps": GPS_FIELDS, "delivery": DELIVERY_FIELDS, "order": ORDER_FIELDS, "driver": DRIVER_FIELDS}
+_TYPES = list(VALID)
+
+
+def _union(texts):
+    return " UNION ALL ".join(texts)
+
+
+def _rejection_reason(t):
+    keys = [p.split(" ")[0] for p in VALID[t].split(" AND ")]
+    missing = ", ".join(f"CASE WHEN {k} IS NULL THEN '{k}' END" for k in keys)
+    outside = "" if t == "order" else f" WHEN NOT ({IN_BOX}) THEN 'outside service area'"
+    return f"CASE WHEN NOT ({VALID[t]}) THEN 'missing ' || concat_ws(',', {missing}){outside} END"
+
+
+_LAKE_TABLES = {
+    "gps": "raw_gps_events", "delivery": "raw_delivery_events",
+    "order": "raw_orders", "driver": "raw_driver_events",
+}
+_ANOMALIES = ["SPEED_TOO_HIGH", "SPEED_MISMATCH", "IMMOBILE", "GPS_JUMP"]
+_DRIVER_STATUSES = ["offline", "online", "on_break", "delivering"]
+_MOVED = """prev_lat, prev_lon, prev_event_time, round(distance_km, 6) AS distance_km, elapsed_seconds,
+ round(computed_speed_kmh, 6) AS computed_speed_kmh, is_immobile"""
+
+
+def _events_total(tables):
+    return _union(
+        f"SELECT 'lake_events_total' AS metric, '{t}' AS label, CAST(count(*) AS DOUBLE) AS value FROM {tables[t]}"
+        for t in _TYPES
+    )
+
+
+def _freshness(tables):
+    return _union(
+        f"SELECT 'lake_last_event_age_seconds' AS metric, '{t}' AS label,"
+        f" coalesce((epoch_us({AS_OF}) - epoch_us(max(event_time))) / 1000000, -1.0e0) AS value FROM {tables[t]}"
+        for t in _TYPES
+    )
+
+
+def _anomalies(table):
+    return _union(
+        f"SELECT 'lake_anomalies_total' AS metric, '{a}' AS label,"
+        f" CAST(count(*) FILTER (contains(anomaly_types, '{a}')) AS DOUBLE) AS value FROM {table}"
+        for a in _ANOMALIES
+    )
+
+
+def _drivers(table):
+    return f"""SELECT 'drivers_by_status' AS metric, s.label, CAST(count(l.driver_id) AS DOUBLE) AS value
+ FROM (VALUES {", ".join(f"('{s}')" for s in _DRIVER_STATUSES)}) s(label)
+ LEFT JOIN (SELECT driver_id, status FROM (
+   SELECT driver_id, status, row_number() OVER (PARTITION BY driver_id ORDER BY event_time DESC, status DESC) AS rn
+   FROM {table} WHERE driver_id IS NOT NULL AND event_time IS NOT NULL) WHERE rn = 1) l ON l.status = s.label
+ GROUP BY s.label"""
+
+
+_CLEAN_TABLES = {"gps": "lake_gps", "delivery": "clean_delivery", "order": "clean_order", "driver": "clean_driver"}
+_CLEAN_STATE = """(SELECT vehicle_id, speed_kmh, row_number() OVER (PARTITION BY vehicle_id
+ ORDER BY event_time DESC NULLS LAST, driver_id DESC, lat DESC, lon DESC, speed_kmh DESC) AS rn FROM clean_gps )"""
+
+_TESTS = []
+for _table, _columns in {
+    "gps_events": ["vehicle_id", "driver_id", "event_time"],
+    "delivery_events": ["package_id", "order_id", "event_time"],
+    "orders": ["order_id", "package_id", "event_time"],
+    "driver_events": ["driver_id", "event_time"],
+    "stg_gps_events": ["vehicle_id", "driver_id", "event_time"],
+    "stg_delivery_events": ["package_id", "order_id", "status", "event_time"],
+    "stg_orders": ["order_id", "package_id", "event_time"],
+    "stg_driver_events": ["driver_id", "status", "event_time"],
+    "dim_drivers": ["driver_id", "current_status"],
+    "dim_vehicles": ["vehicle_id"],
+    "dim_date": ["date_day"],
+    "fct_deliveries": ["package_id", "final_status"],
+    "fct_daily_activity": ["activity_date"],
+}.items():
+    _source = _table if _table.startswith(("stg_", "dim_", "fct_")) else f"raw_{_table}"
+    _TESTS += [(_table, _source, "not_null", c, f"FROM {_source} WHERE {c} IS NULL") for c in _columns]
+for _table, _column in [
+    ("stg_orders", "order_id"), ("dim_drivers", "driver_id"), ("dim_vehicles", "vehicle_id"),
+    ("dim_date", "date_day"), ("fct_deliveries", "package_id"), ("fct_daily_activity", "activity_date"),
+]:
+    _TESTS.append((_table, _table, "unique", _column,
+                   f"FROM (SELECT {_column} FROM {_table} WHERE {_column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"))
+for _table, _column, _words in [
+    ("stg_delivery_events", "status", "'picked_up', 'in_transit', 'delivered', 'failed'"),
+    ("stg_driver_events", "status", "'online', 'offline', 'on_break', 'delivering'"),
+    ("dim_drivers", "current_status", "'online', 'offline', 'on_break', 'delivering'"),
+    ("fct_deliveries", "final_status", "'delivered', 'failed', 'in_transit', 'picked_up', 'pending'"),
+]:
+    _TESTS.append((_table, _table, "in_set", _column, f"FROM {_table} WHERE {_column} NOT IN ({_words})"))
+
+_STATE_TEXT = """SELECT 'vehicle:' || vehicle_id || ':state' AS key, coalesce(driver_id, '') AS driver_id,
+ coalesce(CAST(lat AS VARCHAR), '') AS lat, coalesce(CAST(lon AS VARCHAR), '') AS lon,
+ coalesce(CAST(speed_kmh AS VARCHAR), '') AS speed_kmh, {iso} AS event_time FROM vehicle_latest"""
+_ISO = """strftime(event_time, '%Y-%m-%dT%H:%M:%S')
+ || CASE WHEN epoch_us(event_time) % 1000000 = 0 THEN '' ELSE strftime(event_time, '.%f') END"""
+
+# --- the queries -------------------------------------------------------------
+
+_TEXTS = {
+    "parse_events_gps": f"SELECT {_parsed_columns(GPS_FIELDS)} FROM parsed_gps",
+    "parse_events_delivery": f"SELECT {_parsed_columns(DELIVERY_FIELDS)} FROM parsed_delivery",
+    "parse_events_orders": f"SELECT {_parsed_columns(ORDER_FIELDS)} FROM parsed_order",
+    "parse_events_driver": f"SELECT {_parsed_columns(DRIVER_FIELDS)} FROM parsed_driver",
+    "validity_counts": _union(
+        f"SELECT '{TOPIC[t]}' AS topic, {VALID[t]} AS is_valid, count(*) AS n FROM parsed_{t} GROUP BY 2"
+        for t in _TYPES
+    ),
+    "valid_split": f"SELECT {_parsed_columns(DELIVERY_FIELDS)} FROM parsed_delivery WHERE {VALID['delivery']}",
+    "dead_letter": _union(
+        f"SELECT '{TOPIC[t]}' AS reject_topic, 'missing_required_key' AS reject_reason,"
+        f" CAST({AS_OF} AS DATE) AS reject_date, kafka_key, kafka_timestamp"
+        f" FROM parsed_{t} WHERE NOT ({VALID[t]})"
+        for t in _TYPES
+    ),
+    "rejected_by_reason": "SELECT topic, reason, count(*) AS n FROM ("
+    + _union(f"SELECT '{TOPIC[t]}' AS topic, {_rejection_reason(t)} AS reason FROM parsed_{t}" for t in _TYPES)
+    + ") WHERE reason IS NOT NULL GROUP BY 1, 2",
+    "clean_events": f"SELECT {_parsed_columns(DELIVERY_FIELDS)}, event_time FROM clean_delivery",
+    "clean_gps": f"SELECT {_parsed_columns(GPS_FIELDS)}, event_time FROM clean_gps",
+    "movement_metrics": f"SELECT vehicle_id, lat, lon, speed_kmh, event_time, {_MOVED} FROM moved",
+    "anomaly_flags": f"SELECT vehicle_id, event_time, anomaly_types, anomaly_types <> '' AS is_anomaly"
+    f" FROM (SELECT *, {FLAGS} AS anomaly_types FROM moved )",
+    "gps_enriched": f"SELECT {_parsed_columns(GPS_FIELDS)}, event_time, {_MOVED}, anomaly_types,"
+    " anomaly_types <> '' AS is_anomaly, 'gps' AS event_type, CAST(event_time AS DATE) AS event_date FROM lake_gps",
+    "anomaly_counts": _anomalies("lake_gps"),
+    **{n: _all(n) for n in ["stg_gps_events", "stg_delivery_events", "stg_orders", "stg_driver_events"]},
+    **{
+        n: _all(n)
+        for n in [
+            "asof_driver", "delivery_pivot", "fct_deliveries", "gps_daily", "delivery_daily",
+            "fct_daily_activity", "dim_vehicles", "dim_drivers", "dim_drivers_resolved", "dim_date",
+            "quality_results", "quality_score",
+        ]
+    },
+    "kpi_cards": """SELECT (SELECT count(*) FROM fct_deliveries ) AS total_deliveries,
+ (SELECT round(100.0e0 * count(*) FILTER (is_delivered) / count(*) FILTER (is_delivered OR is_failed), 2)
+  FROM fct_deliveries ) AS success_rate_pct,
+ (SELECT count(*) FROM dim_vehicles ) AS active_vehicles, (SELECT count(*) FROM dim_drivers ) AS active_drivers,
+ (SELECT count(*) FROM fct_daily_activity ) AS activity_days""",
+    "raw_counts": _union(
+        f"SELECT '{n}' AS event_type, count(*) AS n_rows FROM raw_{n.lower()}"
+        for n in ["GPS_EVENTS", "DELIVERY_EVENTS", "ORDERS", "DRIVER_EVENTS"]
+    ),
+    "gps_last_7_days": """SELECT CAST(event_time AS DATE) AS event_date, count(*) AS n_events
+ FROM raw_gps_events GROUP BY 1 ORDER BY 1 DESC NULLS FIRST LIMIT 7""",
+    "delivery_status_histogram": "SELECT status, count(*) AS n FROM raw_delivery_events GROUP BY status",
+    "driver_status_counts": """SELECT status, count(*) AS n_drivers FROM (SELECT status, row_number() OVER (
+  PARTITION BY driver_id ORDER BY event_time DESC NULLS FIRST, status DESC) AS rn FROM raw_driver_events )
+ WHERE rn = 1 GROUP BY status""",
+    "load_audit_by_day": """SELECT CAST(load_timestamp AS DATE) AS load_date, count(*) AS n_rows_loaded
+ FROM raw_gps_events GROUP BY 1""",
+    "vehicle_state": _STATE_TEXT.format(iso=_ISO),
+    "vehicle_state_decoded": f"""SELECT vehicle_id, driver_id, lat, lon, speed_kmh, {_ISO} AS event_time
+ FROM vehicle_latest""",
+    "vehicle_lookup": """SELECT vehicle_id, driver_id, lat, lon, speed_kmh, event_time, event_time AS updated_at
+ FROM vehicle_latest WHERE vehicle_id = 'veh-3'""",
+    "live_vehicles": """SELECT vehicle_id FROM vehicle_latest
+ WHERE epoch_us(TIMESTAMP '2024-01-31 00:00:00') - epoch_us(event_time) < 3600000000""",
+    "fleet_speed": """SELECT count(*) AS vehicles_tracked, round(coalesce(avg(speed_kmh), 0.0e0), 6) AS avg_speed_kmh
+ FROM vehicle_latest""",
+    "lake_event_counts": _events_total(_LAKE_TABLES),
+    "lake_freshness": _freshness(_LAKE_TABLES),
+    "drivers_by_status": _drivers("raw_driver_events"),
+    "fleet_metrics": "SELECT metric, label, round(value, 6) AS value FROM ("
+    + _union(
+        [
+            _events_total(_CLEAN_TABLES),
+            _freshness(_CLEAN_TABLES),
+            _anomalies("lake_gps"),
+            _drivers("clean_driver"),
+            f"SELECT 'vehicles_tracked', NULL, CAST(count(*) AS DOUBLE) FROM {_CLEAN_STATE} WHERE rn = 1",
+            f"SELECT 'vehicles_avg_speed_kmh', NULL, coalesce(avg(speed_kmh), 0.0e0) FROM {_CLEAN_STATE} WHERE rn = 1",
+            "SELECT 'data_quality_score', NULL, quality_score FROM lake_scores WHERE scope = 'all'",
+            "SELECT 'data_quality_expectations_total', NULL, CAST(n_expectations AS DOUBLE) FROM lake_scores WHERE scope = 'all'",
+            "SELECT 'data_quality_expectations_passed', NULL, CAST(n_success AS DOUBLE) FROM lake_scores WHERE scope = 'all'",
+            "SELECT 'data_quality_score_by_type', scope, quality_score FROM lake_scores WHERE scope <> 'all'",
+        ]
+    )
+    + ")",
+    "table_tests": _union(
+        f"SELECT '{table}' AS table_name, '{test}' AS test, '{column}' AS \"column\", count(*) AS n_failing,"
+        f" count(*) = 0 AS success {rows}"
+        for table, _, test, column, rows in _TESTS
+    ),
+}
+
+ORACLE = {name: with_ctes(text) for name, text in _TEXTS.items()}

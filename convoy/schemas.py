@@ -43,31 +43,46 @@ CALENDAR_MAX_ROWS = 400
 # ----------------------------------------------------------------------------
 
 
-def _struct(strings_and_doubles: str) -> T.StructType:
-    return T.StructType.fromDDL(strings_and_doubles)
+_TYPES = {
+    "string": T.StringType(),
+    "binary": T.BinaryType(),
+    "boolean": T.BooleanType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "double": T.DoubleType(),
+    "date": T.DateType(),
+    "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+def struct_of(columns: str) -> T.StructType:
+    """Schema from ``"name type, name type"``; unlike ``fromDDL`` it needs no running session."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 TOPIC_SCHEMAS = {
-    GPS_TOPIC: _struct(
+    GPS_TOPIC: struct_of(
         "vehicle_id string, driver_id string, lat double, lon double, "
         "speed_kmh double, timestamp string"
     ),
-    DELIVERY_TOPIC: _struct(
+    DELIVERY_TOPIC: struct_of(
         "package_id string, order_id string, vehicle_id string, status string, "
         "lat double, lon double, timestamp string"
     ),
-    ORDER_TOPIC: _struct(
+    ORDER_TOPIC: struct_of(
         "order_id string, package_id string, dest_lat double, dest_lon double, "
         "status string, timestamp string"
     ),
-    DRIVER_TOPIC: _struct(
+    DRIVER_TOPIC: struct_of(
         "driver_id string, vehicle_id string, status string, lat double, "
         "lon double, timestamp string"
     ),
 }
 
 # Layout of a topic record, whichever source delivers it.
-ENVELOPE_SCHEMA = _struct(
+ENVELOPE_SCHEMA = struct_of(
     "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
 )
 
@@ -88,19 +103,19 @@ RAW_TABLE_BY_EVENT_TYPE = {
 }
 
 RAW_SCHEMAS = {
-    "gps_events": _struct(
+    "gps_events": struct_of(
         "vehicle_id string, driver_id string, lat double, lon double, speed_kmh double, "
         "event_time timestamp, load_timestamp timestamp"
     ),
-    "delivery_events": _struct(
+    "delivery_events": struct_of(
         "package_id string, order_id string, vehicle_id string, driver_id string, "
         "status string, event_time timestamp, load_timestamp timestamp"
     ),
-    "orders": _struct(
+    "orders": struct_of(
         "order_id string, package_id string, status string, "
         "event_time timestamp, load_timestamp timestamp"
     ),
-    "driver_events": _struct(
+    "driver_events": struct_of(
         "driver_id string, vehicle_id string, status string, "
         "event_time timestamp, load_timestamp timestamp"
     ),
@@ -114,12 +129,12 @@ _ENRICHMENT_FIELDS = (
 
 
 def _lake_schema(topic: str) -> T.StructType:
-    fields = list(_struct("kafka_key string, kafka_timestamp timestamp").fields)
+    fields = list(struct_of("kafka_key string, kafka_timestamp timestamp").fields)
     fields += TOPIC_SCHEMAS[topic].fields
-    fields += _struct("event_time timestamp").fields
+    fields += struct_of("event_time timestamp").fields
     if topic == GPS_TOPIC:
-        fields += _struct(_ENRICHMENT_FIELDS).fields
-    fields += _struct("event_date date, event_type string").fields
+        fields += struct_of(_ENRICHMENT_FIELDS).fields
+    fields += struct_of("event_date date, event_type string").fields
     return T.StructType(fields)
 
 

@@ -7,12 +7,11 @@ A full reload starts generation G+1 with a new checkpoint; readers see the old o
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from convoy.schemas import LAKE_SCHEMAS, RAW_SCHEMAS, RAW_TABLE_BY_EVENT_TYPE
+from convoy.schemas import LAKE_SCHEMAS, RAW_SCHEMAS, RAW_TABLE_BY_EVENT_TYPE, struct_of
 from convoy.sources.lake import lake_files, lake_path, read_parquet_or_empty
 
-AUDIT_SCHEMA = T.StructType.fromDDL(
+AUDIT_SCHEMA = struct_of(
     "table_name string, generation int, file_path string, n_rows bigint, load_timestamp timestamp"
 )
 

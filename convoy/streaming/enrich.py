@@ -2,7 +2,6 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from convoy.plans.enrich import (
     add_anomaly_flags,
@@ -10,9 +9,10 @@ from convoy.plans.enrich import (
     with_movement,
     with_previous_position,
 )
+from convoy.schemas import struct_of
 from convoy.streaming.state import BatchState
 
-LAST_POSITION = T.StructType.fromDDL(
+LAST_POSITION = struct_of(
     "vehicle_id string, lat double, lon double, event_time timestamp"
 )
 

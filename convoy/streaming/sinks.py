@@ -4,12 +4,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from convoy.plans.ingest import split_valid_invalid, clean_events, with_lake_columns, with_reject_date
 from convoy.plans.state import STATE_FIELDS, live_state, merge_state, vehicle_state
-from convoy.schemas import EVENT_TYPE_BY_TOPIC, GPS_TOPIC, STATE_TTL_SECONDS
+from convoy.schemas import EVENT_TYPE_BY_TOPIC, GPS_TOPIC, STATE_TTL_SECONDS, struct_of
 from convoy.sources.topics import parse_events
 from convoy.streaming.enrich import advance, enrich_batch, last_positions
 from convoy.streaming.layout import Layout
@@ -18,7 +17,7 @@ from convoy.streaming.state import BatchState
 LAKE_PARTITIONS = ["event_date", "event_type"]
 DEAD_LETTER_PARTITIONS = ["reject_date", "reject_topic"]
 
-VEHICLE_STATE = T.StructType.fromDDL(
+VEHICLE_STATE = struct_of(
     "vehicle_id string, driver_id string, lat double, lon double, speed_kmh double, "
     "event_time timestamp, updated_at timestamp"
 )
