@@ -20,30 +20,21 @@ def asof_join(
        map side, so an instant shared by very many rows costs one row per map task.
     2. The last known match is carried forward inside every (key, ``segment`` of time), then the
        last match of every segment is carried to the segments after it. No task holds more
-       than one segment, or one row per segment of a key, so a hot key stays spread out.
+       than one segment, or one row per segment of a key, so a hot key stays spread out. Both
+       uses of the instants read the same shuffle files.
     3. The left rows pick up their match by an equality join on key and instant, which
        adaptive execution splits when one instant is hot. Left rows without key or time
        find nothing there and keep nulls.
     """
-    key_col, wanted = F.col(key), F.struct(*values)
-    probes = left.select(
-        key_col.alias("_key"),
-        F.col(left_time).alias("_time"),
-        F.lit(None).cast(right.select(wanted.alias("m")).schema["m"].dataType).alias("_match"),
-        F.lit(True).alias("_probe"),
-    )
-    matches = right.select(
-        key_col.alias("_key"),
-        F.col(right_time).alias("_time"),
-        wanted.alias("_match"),
-        F.lit(False).alias("_probe"),
-    )
+    wanted = F.struct(*values)
+    unknown = F.lit(None).cast(right.select(wanted.alias("m")).schema["m"].dataType)
+    at_key, at_time = F.col(key).alias("_key"), F.col(left_time).alias("_time")
     instants = (
-        probes.unionByName(matches)
+        left.select(at_key, at_time, unknown.alias("_match"))
+        .unionByName(right.select(at_key, F.col(right_time).alias("_time"), wanted.alias("_match")))
         .filter("_key is not null and _time is not null")
         .groupBy("_key", "_time")
-        # One struct, so that both uses below need the same columns and share one shuffle.
-        .agg(F.struct(F.max("_match").alias("match"), F.max("_probe").alias("probe")).alias("_at"))
+        .agg(F.max("_match").alias("_match"))
         .withColumn("_segment", F.date_trunc(segment, "_time"))
     )
 
@@ -51,7 +42,7 @@ def asof_join(
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     carried = instants.withColumns(
         {
-            "_known": F.last("_at.match", ignorenulls=True).over(so_far),
+            "_known": F.last("_match", ignorenulls=True).over(so_far),
             "_end": F.lead(F.lit(True)).over(inside).isNull(),
         }
     )
@@ -63,14 +54,10 @@ def asof_join(
     inherited = carried.filter("_end").select(
         "_key", "_segment", F.last("_known", ignorenulls=True).over(before).alias("_inherited")
     )
-    found = (
-        carried.filter("_at.probe")
-        .join(inherited, ["_key", "_segment"], "left")
-        .select(
-            F.col("_key").alias(key),
-            F.col("_time").alias(left_time),
-            F.coalesce("_known", "_inherited").alias("_found"),
-        )
+    found = carried.join(inherited, ["_key", "_segment"], "left").select(
+        F.col("_key").alias(key),
+        F.col("_time").alias(left_time),
+        F.coalesce("_known", "_inherited").alias("_found"),
     )
     return left.join(found, [key, left_time], "left").select(
         *left.columns, *[F.col(f"_found.{v}").alias(v) for v in values]

@@ -45,5 +45,7 @@ def parse_events(records: DataFrame, topic: str) -> DataFrame:
     return records.select(
         F.col("key").cast("string").alias("kafka_key"),
         F.col("timestamp").alias("kafka_timestamp"),
-        payload.alias("event"),
-    ).select("kafka_key", "kafka_timestamp", "event.*")
+        # As a one-element array rather than ``payload.*``: later filters are not pushed below
+        # a generator, where they would parse the text once more for every field they test.
+        F.inline(F.array(payload)),
+    )
