@@ -155,7 +155,7 @@ def anomaly_flags(spark, sf_dir):
 
 
 def gps_lake(spark, sf_dir):
-    return ingest.with_lake_columns(enrich.enrich_gps(clean(spark, sf_dir, GPS_TOPIC)), "gps")
+    return ingest.with_lake_columns(enrich.enrich_history(clean(spark, sf_dir, GPS_TOPIC)), "gps")
 
 
 @query

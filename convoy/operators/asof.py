@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+_SEGMENT = ["_segment", "_key"]
+
 
 def asof_join(
     left: DataFrame,
@@ -16,49 +18,69 @@ def asof_join(
     """Left outer as-of join on ``key``: adds ``values`` of the right row with the greatest
     ``right_time <= left_time``; the greatest values win among right rows of the same instant.
 
-    1. Both sides shrink to one narrow row per key and instant. Grouping combines on the
-       map side, so an instant shared by very many rows costs one row per map task.
-    2. The last known match is carried forward inside every (key, ``segment`` of time), then the
-       last match of every segment is carried to the segments after it. No task holds more
-       than one segment, or one row per segment of a key, so a hot key stays spread out. Both
-       uses of the instants read the same shuffle files.
-    3. The left rows pick up their match by an equality join on key and instant, which
-       adaptive execution splits when one instant is hot. Left rows without key or time
-       find nothing there and keep nulls.
+    The question is answered once per distinct (key, instant), on narrow rows, and the left rows
+    pick up the answer by an equality join. No step gives one task a group that grows with
+    the data:
+
+    - taking distinct instants combines on the map side, so a hot instant costs one row per task;
+    - a window carries matches forward inside a (key, ``segment`` of time) only, and what earlier
+      segments leave behind takes one row per key and segment;
+    - the equality join is split by adaptive execution when one instant is hot. Left rows
+      without key or time find nothing there and keep nulls.
     """
-    wanted = F.struct(*values)
-    unknown = F.lit(None).cast(right.select(wanted.alias("m")).schema["m"].dataType)
-    at_key, at_time = F.col(key).alias("_key"), F.col(left_time).alias("_time")
+    in_segment = F.date_trunc(segment, "_time").alias("_segment")
     instants = (
-        left.select(at_key, at_time, unknown.alias("_match"))
-        .unionByName(right.select(at_key, F.col(right_time).alias("_time"), wanted.alias("_match")))
+        left.select(F.col(key).alias("_key"), F.col(left_time).alias("_time"))
+        .filter("_key is not null and _time is not null")
+        .distinct()
+        .select("*", in_segment)
+    )
+    matches = (
+        right.select(
+            F.col(key).alias("_key"),
+            F.col(right_time).alias("_time"),
+            F.struct(*values).alias("_match"),
+        )
         .filter("_key is not null and _time is not null")
-        .groupBy("_key", "_time")
-        .agg(F.max("_match").alias("_match"))
-        .withColumn("_segment", F.date_trunc(segment, "_time"))
+        .distinct()
+        .select("*", in_segment)
     )
+    answers = _carry_forward(instants, matches).select(
+        F.col("_key").alias(key), F.col("_time").alias(left_time), "_match"
+    )
+    return left.join(answers, [key, left_time], "left").select(
+        *left.columns, *[F.col(f"_match.{v}").alias(v) for v in values]
+    )
+
 
-    inside = Window.partitionBy("_key", "_segment").orderBy("_time")
-    so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = instants.withColumns(
-        {
-            "_known": F.last("_match", ignorenulls=True).over(so_far),
-            "_end": F.lead(F.lit(True)).over(inside).isNull(),
-        }
+def _carry_forward(instants: DataFrame, matches: DataFrame) -> DataFrame:
+    """``instants`` with the ``_match`` of the latest match of their ``_key`` up to their ``_time``."""
+    so_far = (
+        Window.partitionBy(*_SEGMENT)
+        .orderBy("_time", "_is_instant", "_match")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
+    inside = (
+        instants.withColumn("_is_instant", F.lit(True))
+        .unionByName(matches.withColumn("_is_instant", F.lit(False)), allowMissingColumns=True)
+        .withColumn("_so_far", F.last("_match", ignorenulls=True).over(so_far))
+        .filter("_is_instant")
+    )
+    # ``inside`` is partitioned by segment already: only the small side moves for this join.
+    return inside.join(_last_before(instants, matches), _SEGMENT, "left").select(
+        "_key", "_time", F.coalesce("_so_far", "_inherited").alias("_match")
+    )
+
+
+def _last_before(instants: DataFrame, matches: DataFrame) -> DataFrame:
+    """``_inherited``: the latest match of the key before each segment, one row per segment."""
+    ends = matches.groupBy(*_SEGMENT).agg(F.max(F.struct("_time", "_match")).alias("_end"))
+    asked = instants.select(*_SEGMENT).distinct()
     before = (
         Window.partitionBy("_key")
         .orderBy("_segment")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    inherited = carried.filter("_end").select(
-        "_key", "_segment", F.last("_known", ignorenulls=True).over(before).alias("_inherited")
-    )
-    found = carried.join(inherited, ["_key", "_segment"], "left").select(
-        F.col("_key").alias(key),
-        F.col("_time").alias(left_time),
-        F.coalesce("_known", "_inherited").alias("_found"),
-    )
-    return left.join(found, [key, left_time], "left").select(
-        *left.columns, *[F.col(f"_found.{v}").alias(v) for v in values]
+    return asked.join(ends, _SEGMENT, "full").select(
+        *_SEGMENT, F.last("_end._match", ignorenulls=True).over(before).alias("_inherited")
     )

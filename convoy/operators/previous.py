@@ -3,6 +3,11 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from convoy.operators.skew import crowded_groups, group_sizes
+
+# Rows of one instant in a crowded segment are spread over this many groups.
+_SLICES = 1024
+
 
 def with_previous(
     df: DataFrame,
@@ -10,30 +15,114 @@ def with_previous(
     order_by: list[str],
     values: list[str],
     segments: list[Column],
+    crowded_rows: int | None = None,
 ) -> DataFrame:
     """Add ``prev_<value>``: what ``lag(value)`` over the key, nulls first, would give.
 
     ``segments`` cut the order of a key into consecutive pieces (an hour, say). A plain ``lag`` sends
     all rows of a key to one task; here the rows are spread by key *and* segment, and only
     the first and the last row of every segment meet per key, to link neighbouring segments.
-    That second step sees at most two rows per key and segment however large the key is. Both
-    branches below read the same shuffle files (Spark reuses the exchange).
+    That second step sees at most two rows per key and segment however large the key is.
+
+    A segment is bounded where a key has one row per instant (staging tables) or where the input is
+    (a micro-batch). Elsewhere give ``crowded_rows``: segments with more rows are cut further, by
+    instant and by a hash of the row, after identical rows were folded into one. Rows of the
+    same instant are then in the order of that hash.
     """
-    order = [F.col(c).asc_nulls_first() for c in order_by]
     cuts = {f"_segment{i}": cut for i, cut in enumerate(segments)}
-    inside = Window.partitionBy(key, *cuts).orderBy(*order)
-    across = Window.partitionBy(key).orderBy(*order, F.col("_first").desc())
+    rows = df.withColumns(cuts)
+    segment, whole = [key, *cuts], [key]
+    if crowded_rows is None:
+        return _link(rows, [segment, whole], order_by, values).select(
+            *df.columns, *_previous(values)
+        )
+
+    # Null keys and segments are groups like others here: compared by their texts.
+    label = F.to_json(F.struct(*segment))
+    rows = rows.withColumn("_group", label)
+    crowded = crowded_groups(group_sizes(rows, ["_group"]), crowded_rows)
+    calm = rows.join(crowded, "_group", "left_anti").withColumns(
+        {"_slice": F.lit(0).cast("bigint"), "_copies": F.lit(1).cast("bigint")}
+    )
+    busy = (
+        rows.join(crowded, "_group", "left_semi")
+        .groupBy(*rows.columns)
+        .agg(F.count("*").alias("_copies"))
+        .withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(_SLICES)))
+    )
+    order = [order_by[0], "_slice", *order_by[1:]]
+    sliced = _scan(busy, [key, order_by[0], "_slice"], order, values)
+    edges = sliced.filter("_first or _last").withColumnRenamed("_first", "_wanted")
+    linked = _link(
+        calm.withColumn("_wanted", F.lit(True)).unionByName(
+            edges.drop("_last", *_previous(values))
+        ),
+        [segment, whole],
+        order,
+        values,
+        also=["_wanted"],
+    ).filter("_wanted")
+    distinct = linked.drop("_wanted").unionByName(sliced.filter("not _first").drop("_first", "_last"))
+    return _unfold(distinct, values).select(*df.columns, *_previous(values))
 
-    scanned = df.withColumns(cuts).withColumns(
+
+def _previous(values: list[str]) -> list[str]:
+    return [f"prev_{v}" for v in values]
+
+
+def _scan(
+    rows: DataFrame, group: list[str], order_by: list[str], values: list[str], also: list[str] = ()
+) -> DataFrame:
+    """``lag`` inside each group, and whether a row is the first or the last of its group.
+
+    Rows equal in ``order_by`` are ordered by the flags ``also``, true first.
+    """
+    order = [F.col(c).asc_nulls_first() for c in order_by] + [F.col(c).desc() for c in also]
+    inside = Window.partitionBy(*group).orderBy(*order)
+    return rows.withColumns(
         {
             **{f"prev_{v}": F.lag(v).over(inside) for v in values},
             "_first": F.lag(F.lit(True)).over(inside).isNull(),
             "_last": F.lead(F.lit(True)).over(inside).isNull(),
         }
     )
-    linked = (
-        scanned.filter("_first or _last")
-        .withColumns({f"prev_{v}": F.lag(v).over(across) for v in values})
-        .filter("_first")
+
+
+def _link(
+    rows: DataFrame,
+    groups: list[list[str]],
+    order_by: list[str],
+    values: list[str],
+    also: list[str] = (),
+) -> DataFrame:
+    """``lag`` inside the narrow ``groups[0]``; the first row of each finds its predecessor among
+    the last rows of the others in the wider ``groups[1]``.
+
+    Both uses of the scanned rows read the same shuffle files.
+    """
+    narrow, wide = groups
+    scanned = _scan(rows, narrow, order_by, values, also)
+    edges = scanned.filter("_first or _last").withColumnRenamed("_first", "_head")
+    heads = (
+        _scan(edges.drop("_last", *_previous(values)), wide, order_by, values, [*also, "_head"])
+        .filter("_head")
+        .drop("_head", "_first", "_last")
+    )
+    return scanned.filter("not _first").drop("_first", "_last").unionByName(heads)
+
+
+def _unfold(rows: DataFrame, values: list[str]) -> DataFrame:
+    """Give folded copies back: the first has the predecessor found, the others follow each other.
+
+    Copies leave in portions that are spread over the tasks before they are written out.
+    """
+    portion = 100_000
+    folded = rows.filter("_copies > 1").withColumns(
+        {f"prev_{v}": F.col(v) for v in values}
     )
-    return scanned.filter("not _first").unionByName(linked).drop("_first", "_last", *cuts)
+    portions = folded.withColumn(
+        "_portion", F.explode(F.sequence(F.lit(0), F.ceil((F.col("_copies") - 1) / portion) - 1))
+    ).repartition("_group", "_portion")
+    size = F.least(F.lit(portion), F.col("_copies") - 1 - F.col("_portion") * portion)
+    copies = portions.withColumn("_copy", F.explode(F.sequence(F.lit(1), size)))
+    return rows.unionByName(copies.drop("_portion", "_copy"))

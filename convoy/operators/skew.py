@@ -1,0 +1,26 @@
+"""Finding the groups that are too large for one task."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A group is crowded from this many rows on ...
+CROWDED_ROWS = 5_000_000
+# ... provided that it holds this share of the table, so that fewer than 10,000 groups can be crowded.
+CROWDED_SHARE = 1 / 10_000
+
+
+def group_sizes(df: DataFrame, group: list[str]) -> DataFrame:
+    """Rows per group, as ``_rows``. Counting combines on the map side, so skew does no harm."""
+    return df.groupBy(*group).agg(F.count("*").alias("_rows"))
+
+
+def crowded_groups(sizes: DataFrame, rows: int = CROWDED_ROWS) -> DataFrame:
+    """The groups with more than ``rows`` rows and more than ``CROWDED_SHARE`` of all rows.
+
+    Shares add up to 1, so the result has fewer than 1 / CROWDED_SHARE rows whatever the size of
+    the input: that is what makes the broadcast safe.
+    """
+    total = sizes.agg(F.sum("_rows").alias("_total"))
+    limit = F.greatest(F.lit(float(rows)), F.col("_total") * CROWDED_SHARE)
+    crowded = sizes.crossJoin(total).filter(F.col("_rows") > limit)
+    return F.broadcast(crowded.drop("_rows", "_total"))

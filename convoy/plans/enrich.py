@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from convoy.functions import haversine_km, whole_seconds
 from convoy.operators import with_previous
+from convoy.operators.skew import CROWDED_ROWS
 from convoy.schemas import (
     IMMOBILE_BELOW_KMH,
     MAX_SPEED_GAP_KMH,
@@ -15,10 +16,11 @@ from convoy.schemas import (
 POSITION = ["lat", "lon", "event_time"]
 
 
-def with_previous_position(positions: DataFrame) -> DataFrame:
+def with_previous_position(positions: DataFrame, crowded_rows: int | None = None) -> DataFrame:
     """``prev_lat``, ``prev_lon``, ``prev_event_time`` of the same vehicle.
 
-    Positions without a time come first, as nulls do in an ascending sort; they are cut by
+    ``crowded_rows`` is for histories in which a vehicle may have any number of positions of the
+    same instant; see ``with_previous``. Positions without a time come first, as nulls do in an ascending sort; they are cut by
     hour of arrival instead where that is known. Equal times are told apart by the other columns.
     """
     cuts = [F.date_trunc("HOUR", "event_time")]
@@ -29,7 +31,7 @@ def with_previous_position(positions: DataFrame) -> DataFrame:
             F.when(F.col("event_time").isNull(), F.date_trunc("HOUR", "kafka_timestamp"))
         )
     order += [c for c in positions.columns if c not in order and c != "vehicle_id"]
-    return with_previous(positions, "vehicle_id", order, POSITION, cuts)
+    return with_previous(positions, "vehicle_id", order, POSITION, cuts, crowded_rows)
 
 
 def with_movement(positions: DataFrame) -> DataFrame:
@@ -55,8 +57,8 @@ def with_movement(positions: DataFrame) -> DataFrame:
     )
 
 
-def add_movement_metrics(positions: DataFrame) -> DataFrame:
-    return positions.transform(with_previous_position).transform(with_movement)
+def add_movement_metrics(positions: DataFrame, crowded_rows: int | None = None) -> DataFrame:
+    return with_movement(with_previous_position(positions, crowded_rows))
 
 
 def add_anomaly_flags(positions: DataFrame) -> DataFrame:
@@ -74,5 +76,10 @@ def add_anomaly_flags(positions: DataFrame) -> DataFrame:
     )
 
 
-def enrich_gps(positions: DataFrame) -> DataFrame:
-    return positions.transform(add_movement_metrics).transform(add_anomaly_flags)
+def enrich_gps(positions: DataFrame, crowded_rows: int | None = None) -> DataFrame:
+    return add_anomaly_flags(add_movement_metrics(positions, crowded_rows))
+
+
+def enrich_history(positions: DataFrame) -> DataFrame:
+    """``enrich_gps`` for a whole history as it was received, repeated deliveries included."""
+    return enrich_gps(positions, CROWDED_ROWS)
