@@ -119,6 +119,11 @@ _ORDER = ", ".join(
 CTE["lake_moved"] = _moved("clean_gps", _ORDER)
 CTE["lake_gps"] = f"SELECT *, {FLAGS} AS anomaly_types FROM lake_moved"
 
+CTE["timed_gps"] = "SELECT * FROM clean_gps WHERE event_time IS NOT NULL"
+CTE["timed_moved"] = _moved("timed_gps", _ORDER)
+CTE["halves"] = """
+ SELECT min(ts) + (max(ts) - min(ts)) / 2 AS middle FROM events"""
+
 CTE["driver_history"] = """
  SELECT vehicle_id, event_time AS driver_assigned_at, max(driver_id) AS driver_id FROM stg_driver_events
  WHERE vehicle_id IS NOT NULL AND driver_id IS NOT NULL GROUP BY vehicle_id, event_time"""
@@ -471,4 +476,46 @@ _TEXTS = {
     ),
 }
 
+
+
+def _loaded(t, table):
+    return f"""SELECT '{table}' AS table_name, count(*) FILTER (kafka_timestamp >= middle) AS n_loaded,
+ CAST(0 AS BIGINT) AS n_errors, count(*) AS n_rows_after FROM clean_{t} , (SELECT middle FROM halves )"""
+
+
+_LAKE_GPS = f"""SELECT {_parsed_columns(GPS_FIELDS)}, event_time, {_MOVED}, {FLAGS} AS anomaly_types,
+ {FLAGS} <> '' AS is_anomaly, 'gps' AS event_type, CAST(event_time AS DATE) AS event_date FROM"""
+
+_TEXTS |= {
+    "stream_enriched": f"{_LAKE_GPS} timed_moved",
+    "stream_lake": f"""SELECT {_parsed_columns(DELIVERY_FIELDS)}, event_time,
+ 'delivery' AS event_type, CAST(event_time AS DATE) AS event_date FROM clean_delivery""",
+    "stream_dual_write": _union(
+        f"SELECT CAST({i} AS INTEGER) AS lake, count(*) AS n FROM clean_order" for i in (0, 1)
+    ),
+    "stream_dedup": "SELECT package_id, event_time, status FROM clean_delivery WHERE event_time IS NOT NULL",
+    "stream_dead_letter": f"""SELECT kafka_key, kafka_timestamp, 'delivery_events' AS reject_topic,
+ 'missing_required_key' AS reject_reason, package_id, order_id FROM parsed_delivery WHERE NOT ({VALID['delivery']})""",
+    "stream_state": """SELECT vehicle_id, driver_id, lat, lon, speed_kmh, event_time FROM (
+  SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY event_time DESC NULLS LAST, driver_id DESC NULLS LAST,
+   lat DESC NULLS LAST, lon DESC NULLS LAST, speed_kmh DESC NULLS LAST) AS rn FROM clean_gps ) WHERE rn = 1""",
+    "stream_topics": _union(
+        f"""SELECT '{t}' AS event_type, (SELECT count(*) FROM clean_{t} ) AS n_lake,
+ (SELECT count(*) FROM parsed_{t} WHERE NOT ({VALID[t]})) AS n_rejected"""
+        for t in _TYPES
+    ),
+    "stream_progress": _union(
+        f"SELECT '{q}' AS query_name, count(*) AS n_input_rows FROM events" for q in ("lake_orders", "lake_drivers")
+    ),
+    "incremental_load": _union(
+        _loaded(t, table)
+        for t, table in [
+            ("gps", "gps_events"), ("delivery", "delivery_events"), ("order", "orders"), ("driver", "driver_events"),
+        ]
+    ),
+    "loaded_gps": "SELECT vehicle_id, driver_id, lat, lon, speed_kmh, event_time FROM clean_gps",
+    "reloaded_orders": "SELECT order_id, package_id, status, event_time FROM clean_order",
+    "batch_job": _all("fct_daily_activity"),
+}
+
 ORACLE = {name: with_ctes(text) for name, text in _TEXTS.items()}

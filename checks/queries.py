@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from checks import streams
 from checks.fleet import raw_tables, topic_records
 from convoy.plans import enrich, gauges, ingest, marts, quality, staging, state, worksheet
 from convoy.schemas import (
@@ -394,3 +395,15 @@ def table_tests(spark, sf_dir):
         "fct_daily_activity": daily,
     }
     return quality.table_tests({**raw, **staged, **built})
+
+
+# --- streams, files, jobs ----------------------------------------------------
+
+
+@query
+def stream_enriched(spark, sf_dir):
+    return comparable(rounded(streams.stream_enriched(spark, sf_dir)))
+
+
+for _name, _query in streams.STREAM_QUERIES.items():
+    QUERIES[_name] = lambda spark, sf_dir, run=_query: comparable(run(spark, sf_dir))
