@@ -77,17 +77,21 @@ SUITES = {
 }
 
 
+def unexpected(table: DataFrame, check: Check) -> Column:
+    """Aggregate: rows that break the check; null when the table lacks the column."""
+    if check.column not in table.columns:
+        return F.lit(None).cast("bigint")
+    return F.count_if(check.broken())
+
+
 def run_checks(table: DataFrame, checks: list[Check]) -> DataFrame:
     """``(expectation, column, n_rows, n_unexpected)`` per check, in one pass over the table.
 
     A check on a column the table lacks has a null count.
     """
-    counts = [
-        F.count_if(check.broken()) if check.column in table.columns else F.lit(None).cast("bigint")
-        for check in checks
-    ]
     totals = table.agg(
-        F.count("*").alias("n_rows"), *[c.alias(f"check{i}") for i, c in enumerate(counts)]
+        F.count("*").alias("n_rows"),
+        *[unexpected(table, check).alias(f"check{i}") for i, check in enumerate(checks)],
     )
     rows = [
         F.struct(
