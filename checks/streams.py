@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from checks.fleet import raw_tables, topic_records
 from convoy.plans import ingest, jobs
-from convoy.plans.enrich import enrich_history
+from convoy.plans.enrich import enrich_gps
 from convoy.schemas import DELIVERY_TOPIC, DRIVER_TOPIC, EVENT_TYPE_BY_TOPIC, GPS_TOPIC, ORDER_TOPIC
 from convoy.session import work_folder
 from convoy.sources.lake import dead_letter_path, file_inventory, lake_path, read_lake
@@ -186,7 +186,7 @@ def _lake_in_two_steps(spark, sf_dir, purpose):
     for topic, event_type in EVENT_TYPE_BY_TOPIC.items():
         clean = ingest.topic_pipeline(topic_records(spark, sf_dir, topic), topic)[0]
         if topic == GPS_TOPIC:
-            clean = enrich_history(clean)
+            clean = enrich_gps(clean)
         tables[event_type] = pieces(ingest.with_lake_columns(clean, event_type), "kafka_timestamp", 2)
     for i in range(2):
         for event_type, parts in tables.items():

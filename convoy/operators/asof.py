@@ -3,6 +3,10 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from convoy.operators.skew import CROWDED_ROWS, crowded_groups, group_sizes
+
+# Rows without a key are spread over this many groups.
+_SPREAD = 1024
 _SEGMENT = ["_segment", "_key"]
 
 
@@ -14,57 +18,81 @@ def asof_join(
     right_time: str,
     values: list[str],
     segment: str = "HOUR",
+    crowded_rows: int = CROWDED_ROWS,
 ) -> DataFrame:
     """Left outer as-of join on ``key``: adds ``values`` of the right row with the greatest
     ``right_time <= left_time``; the greatest values win among right rows of the same instant.
 
-    The question is answered once per distinct (key, instant), on narrow rows, and the left rows
-    pick up the answer by an equality join. No step gives one task a group that grows with
-    the data:
-
-    - taking distinct instants combines on the map side, so a hot instant costs one row per task;
-    - a window carries matches forward inside a (key, ``segment`` of time) only, and what earlier
-      segments leave behind takes one row per key and segment;
-    - the equality join is split by adaptive execution when one instant is hot. Left rows
-      without key or time find nothing there and keep nulls.
+    Keys of ordinary size take one shuffle: both sides together, and a window that carries the last
+    match forward. Keys with more than ``crowded_rows`` rows are split, see ``_by_instant``.
+    Which keys those are is found by a count that is part of the query; adaptive execution
+    drops the branch when there are none.
     """
-    in_segment = F.date_trunc(segment, "_time").alias("_segment")
-    instants = (
-        left.select(F.col(key).alias("_key"), F.col(left_time).alias("_time"))
-        .filter("_key is not null and _time is not null")
-        .distinct()
-        .select("*", in_segment)
+    matches = right.select(
+        F.col(key).alias("_key"), F.col(right_time).alias("_time"), F.struct(*values).alias("_match")
+    ).filter("_key is not null and _time is not null")
+    # Rows without key match nothing and are spread evenly; those without time sort before any match.
+    loose = F.pmod(F.xxhash64(*left.columns), F.lit(_SPREAD))
+    rows = left.withColumns({"_key": F.col(key), "_time": F.col(left_time)})
+    keys = rows.select("_key").filter("_key is not null").unionAll(matches.select("_key"))
+    crowded = crowded_groups(group_sizes(keys, ["_key"]), crowded_rows)
+
+    calm = rows.join(crowded, "_key", "left_anti").withColumns(
+        {"_is_row": F.lit(True), "_spread": F.when(F.col("_key").isNull(), loose).otherwise(0)}
+    )
+    calm_matches = matches.join(crowded, "_key", "left_anti").withColumns(
+        {"_is_row": F.lit(False), "_spread": F.lit(0).cast("bigint")}
     )
-    matches = (
-        right.select(
-            F.col(key).alias("_key"),
-            F.col(right_time).alias("_time"),
-            F.struct(*values).alias("_match"),
-        )
-        .filter("_key is not null and _time is not null")
-        .distinct()
-        .select("*", in_segment)
+    found = _last_match(
+        calm.unionByName(calm_matches, allowMissingColumns=True), ["_key", "_spread"]
     )
-    answers = _carry_forward(instants, matches).select(
-        F.col("_key").alias(key), F.col("_time").alias(left_time), "_match"
+    split = _by_instant(
+        rows.join(crowded, "_key", "left_semi"), matches.join(crowded, "_key", "left_semi"), segment
     )
-    return left.join(answers, [key, left_time], "left").select(
-        *left.columns, *[F.col(f"_match.{v}").alias(v) for v in values]
+    columns = [*left.columns, "_match"]
+    return (
+        found.select(*left.columns, F.col("_so_far").alias("_match"))
+        .unionByName(split.select(*columns))
+        .select(*left.columns, *[F.col(f"_match.{v}").alias(v) for v in values])
     )
 
 
-def _carry_forward(instants: DataFrame, matches: DataFrame) -> DataFrame:
-    """``instants`` with the ``_match`` of the latest match of their ``_key`` up to their ``_time``."""
+def _last_match(rows_and_matches: DataFrame, group: list[str]) -> DataFrame:
+    """The rows with ``_so_far``, the last match up to their time inside their group."""
     so_far = (
-        Window.partitionBy(*_SEGMENT)
-        .orderBy("_time", "_is_instant", "_match")
+        Window.partitionBy(*group)
+        .orderBy("_time", "_is_row", "_match")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    inside = (
-        instants.withColumn("_is_instant", F.lit(True))
-        .unionByName(matches.withColumn("_is_instant", F.lit(False)), allowMissingColumns=True)
-        .withColumn("_so_far", F.last("_match", ignorenulls=True).over(so_far))
-        .filter("_is_instant")
+    return rows_and_matches.withColumn(
+        "_so_far", F.last("_match", ignorenulls=True).over(so_far)
+    ).filter("_is_row")
+
+
+def _by_instant(rows: DataFrame, matches: DataFrame, segment: str) -> DataFrame:
+    """``_match`` for the rows of crowded keys, with no group that grows with the data.
+
+    The question is answered once per distinct (key, instant), on narrow rows: taking distinct
+    instants combines on the map side, a window carries matches forward inside a (key,
+    ``segment`` of time) only, and what earlier segments leave behind takes one row per key and
+    segment. The rows pick up the answer by an equality join, which adaptive execution splits
+    when one instant is hot.
+    """
+    in_segment = F.date_trunc(segment, "_time").alias("_segment")
+    instants = rows.select("_key", "_time").filter("_time is not null").distinct()
+    answers = _carry_forward(
+        instants.select("*", in_segment), matches.distinct().select("*", in_segment)
+    )
+    return rows.join(answers, ["_key", "_time"], "left")
+
+
+def _carry_forward(instants: DataFrame, matches: DataFrame) -> DataFrame:
+    """``instants`` with the ``_match`` of the latest match of their ``_key`` up to their ``_time``."""
+    inside = _last_match(
+        instants.withColumn("_is_row", F.lit(True)).unionByName(
+            matches.withColumn("_is_row", F.lit(False)), allowMissingColumns=True
+        ),
+        _SEGMENT,
     )
     # ``inside`` is partitioned by segment already: only the small side moves for this join.
     return inside.join(_last_before(instants, matches), _SEGMENT, "left").select(

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from convoy.operators.skew import crowded_groups, group_sizes
+from convoy.operators.skew import CROWDED_ROWS, crowded_groups, group_sizes
 
 # Rows of one instant in a crowded segment are spread over this many groups.
 _SLICES = 1024
@@ -15,30 +15,53 @@ def with_previous(
     order_by: list[str],
     values: list[str],
     segments: list[Column],
-    crowded_rows: int | None = None,
+    crowded_rows: int | None = CROWDED_ROWS,
 ) -> DataFrame:
-    """Add ``prev_<value>``: what ``lag(value)`` over the key, nulls first, would give.
+    """Add ``prev_<value>``: what ``lag(value)`` over the key, nulls first, gives.
 
-    ``segments`` cut the order of a key into consecutive pieces (an hour, say). A plain ``lag`` sends
-    all rows of a key to one task; here the rows are spread by key *and* segment, and only
-    the first and the last row of every segment meet per key, to link neighbouring segments.
-    That second step sees at most two rows per key and segment however large the key is.
+    Keys of ordinary size take exactly that window. A key with more than ``crowded_rows`` rows is
+    cut along ``segments``, consecutive pieces of its order (an hour, say): its rows are spread
+    by key and segment, and only the first and the last row of every segment meet per key, to
+    link neighbouring segments. That second step sees two rows per segment at most, however
+    large the key is. A segment that is crowded itself is cut further, see ``_by_slice``.
 
-    A segment is bounded where a key has one row per instant (staging tables) or where the input is
-    (a micro-batch). Elsewhere give ``crowded_rows``: segments with more rows are cut further, by
-    instant and by a hash of the row, after identical rows were folded into one. Rows of the
-    same instant are then in the order of that hash.
+    Which keys are crowded is found by a count that is part of the query; adaptive execution drops
+    the branches that turn out empty. ``crowded_rows=None`` cuts every key and counts nothing,
+    for inputs that are bounded and read once, such as micro-batches.
     """
     cuts = {f"_segment{i}": cut for i, cut in enumerate(segments)}
-    rows = df.withColumns(cuts)
-    segment, whole = [key, *cuts], [key]
+    groups = [[key, *cuts], [key]]
+    columns = [*df.columns, *_previous(values)]
     if crowded_rows is None:
-        return _link(rows, [segment, whole], order_by, values).select(
-            *df.columns, *_previous(values)
-        )
+        return _link(df.withColumns(cuts), groups, order_by, values).select(*columns)
 
     # A hash stands for the group, null keys included. Should two groups share one, both are cut
-    # further when one is crowded, which changes nothing in the answer.
+    # when one is crowded, which changes nothing in the answer.
+    rows = df.withColumn("_group", F.xxhash64(key))
+    crowded = crowded_groups(group_sizes(rows, ["_group"]), crowded_rows)
+    calm = rows.join(crowded, "_group", "left_anti")
+    busy = rows.join(crowded, "_group", "left_semi").drop("_group").withColumns(cuts)
+    found = _scan(calm, [key], order_by, values).select(*columns)
+    return found.unionByName(
+        _by_slice(busy, df.columns, groups, order_by, values, crowded_rows).select(*columns)
+    )
+
+
+def _by_slice(
+    rows: DataFrame,
+    columns: list[str],
+    groups: list[list[str]],
+    order_by: list[str],
+    values: list[str],
+    crowded_rows: int,
+) -> DataFrame:
+    """As ``_link``, but segments with very many rows of the same instant are cut further.
+
+    Identical rows of such a segment are folded into one, on the map side already, and the rest is
+    spread by instant and by a hash of the row. Rows of the same instant are then in the
+    order of that hash.
+    """
+    segment, (key,) = groups
     rows = rows.withColumn("_group", F.xxhash64(*segment))
     crowded = crowded_groups(group_sizes(rows, ["_group"]), crowded_rows)
     calm = rows.join(crowded, "_group", "left_anti").withColumns(
@@ -48,22 +71,20 @@ def with_previous(
         rows.join(crowded, "_group", "left_semi")
         .groupBy(*rows.columns)
         .agg(F.count("*").alias("_copies"))
-        .withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(_SLICES)))
+        .withColumn("_slice", F.pmod(F.xxhash64(*columns), F.lit(_SLICES)))
     )
     order = [order_by[0], "_slice", *order_by[1:]]
     sliced = _scan(busy, [key, order_by[0], "_slice"], order, values)
     edges = sliced.filter("_first or _last").withColumnRenamed("_first", "_wanted")
     linked = _link(
-        calm.withColumn("_wanted", F.lit(True)).unionByName(
-            edges.drop("_last", *_previous(values))
-        ),
-        [segment, whole],
+        calm.withColumn("_wanted", F.lit(True)).unionByName(edges.drop("_last", *_previous(values))),
+        groups,
         order,
         values,
         also=["_wanted"],
     ).filter("_wanted")
     distinct = linked.drop("_wanted").unionByName(sliced.filter("not _first").drop("_first", "_last"))
-    return _unfold(distinct, values).select(*df.columns, *_previous(values))
+    return _unfold(distinct, values)
 
 
 def _previous(values: list[str]) -> list[str]:

@@ -16,11 +16,12 @@ from convoy.schemas import (
 POSITION = ["lat", "lon", "event_time"]
 
 
-def with_previous_position(positions: DataFrame, crowded_rows: int | None = None) -> DataFrame:
+def with_previous_position(
+    positions: DataFrame, crowded_rows: int | None = CROWDED_ROWS
+) -> DataFrame:
     """``prev_lat``, ``prev_lon``, ``prev_event_time`` of the same vehicle.
 
-    ``crowded_rows`` is for histories in which a vehicle may have any number of positions of the
-    same instant; see ``with_previous``. Positions without a time come first, as nulls do in an ascending sort; they are cut by
+    Positions without a time come first, as nulls do in an ascending sort; they are cut by
     hour of arrival instead where that is known. Equal times are told apart by the other columns.
     """
     cuts = [F.date_trunc("HOUR", "event_time")]
@@ -57,7 +58,9 @@ def with_movement(positions: DataFrame) -> DataFrame:
     )
 
 
-def add_movement_metrics(positions: DataFrame, crowded_rows: int | None = None) -> DataFrame:
+def add_movement_metrics(
+    positions: DataFrame, crowded_rows: int | None = CROWDED_ROWS
+) -> DataFrame:
     return with_movement(with_previous_position(positions, crowded_rows))
 
 
@@ -76,10 +79,5 @@ def add_anomaly_flags(positions: DataFrame) -> DataFrame:
     )
 
 
-def enrich_gps(positions: DataFrame, crowded_rows: int | None = None) -> DataFrame:
+def enrich_gps(positions: DataFrame, crowded_rows: int | None = CROWDED_ROWS) -> DataFrame:
     return add_anomaly_flags(add_movement_metrics(positions, crowded_rows))
-
-
-def enrich_history(positions: DataFrame) -> DataFrame:
-    """``enrich_gps`` for a whole history as it was received, repeated deliveries included."""
-    return enrich_gps(positions, CROWDED_ROWS)

@@ -30,14 +30,14 @@ def enrich_batch(batch: DataFrame, last: DataFrame | None = None) -> DataFrame:
     only late positions of its own batch to follow.
     """
     if last is None:
-        return enrich_gps(batch)
+        return enrich_gps(batch, crowded_rows=None)
     known = last.withColumn("_new", F.lit(False))
     rows = known.unionByName(batch.withColumn("_new", F.lit(True)), allowMissingColumns=True)
     # Equal times: the known position first, then the batch in its own order.
     first = ["vehicle_id", "event_time", "_new"]
     ordered = rows.select(*first, *[c for c in batch.columns if c not in first])
     return (
-        ordered.transform(with_previous_position)
+        ordered.transform(with_previous_position, crowded_rows=None)
         .filter("_new")
         .transform(with_movement)
         .transform(add_anomaly_flags)

@@ -70,7 +70,8 @@ def brute_asof(left, right):
 
 @pytest.mark.parametrize("seed", range(4))
 @pytest.mark.parametrize("segment", ["HOUR", "DAY", "MINUTE"])
-def test_asof_join_equals_brute_force(spark, seed, segment):
+@pytest.mark.parametrize("crowded_rows", [1, 70, 10_000])
+def test_asof_join_equals_brute_force(spark, seed, segment, crowded_rows):
     left = random_rows(seed, 150)
     right = [(k, t, f"d{i % 7}") for k, t, i in random_rows(seed + 100, 60)]
     joined = asof_join(
@@ -81,6 +82,7 @@ def test_asof_join_equals_brute_force(spark, seed, segment):
         "since",
         ["driver"],
         segment,
+        crowded_rows,
     )
     assert joined.columns == ["key", "time", "i", "driver"]
     rows = joined.collect()
@@ -88,7 +90,8 @@ def test_asof_join_equals_brute_force(spark, seed, segment):
     assert {r.i: r.driver for r in rows} == brute_asof(left, right)
 
 
-def test_asof_join_with_a_hot_instant(spark):
+@pytest.mark.parametrize("crowded_rows", [10, 10_000])
+def test_asof_join_with_a_hot_instant(spark, crowded_rows):
     left = [("k", minutes(90), i) for i in range(300)] + [("k", minutes(1), 300)]
     right = [("k", minutes(5), "early")] * 50 + [("k", minutes(60), "late")] * 50
     joined = asof_join(
@@ -98,6 +101,7 @@ def test_asof_join_with_a_hot_instant(spark):
         "time",
         "since",
         ["driver"],
+        crowded_rows=crowded_rows,
     )
     found = {r.i: r.driver for r in joined.collect()}
     assert len(found) == 301 and found[300] is None
@@ -125,18 +129,19 @@ def test_asof_join_without_right_rows(spark):
 
 
 
-def previous(df, crowded_rows=None):
+def previous(df, crowded_rows):
     return with_previous(
         df, "key", ["time", "i"], ["time", "i"], [F.date_trunc("HOUR", "time")], crowded_rows
     )
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_previous_equals_lag(spark, seed):
+@pytest.mark.parametrize("crowded_rows", [None, 10_000])
+def test_previous_equals_lag(spark, seed, crowded_rows):
     df = spark.createDataFrame(random_rows(seed, 200), "key string, time timestamp, i int")
     w = Window.partitionBy("key").orderBy(F.asc_nulls_first("time"), F.asc_nulls_first("i"))
     want = df.withColumns({"prev_time": F.lag("time").over(w), "prev_i": F.lag("i").over(w)})
-    assert sorted(map(str, previous(df).collect())) == sorted(map(str, want.collect()))
+    assert sorted(map(str, previous(df, crowded_rows).collect())) == sorted(map(str, want.collect()))
 
 
 def chain(rows):
@@ -145,7 +150,7 @@ def chain(rows):
 
 
 @pytest.mark.parametrize("seed", range(4))
-@pytest.mark.parametrize("crowded_rows", [1, 5, 1000])
+@pytest.mark.parametrize("crowded_rows", [None, 1, 5, 30, 1000])
 def test_previous_with_crowded_segments(spark, seed, crowded_rows):
     base = random_rows(seed, 120, span=130)
     rows = base + [("k0", minutes(30), i) for i in range(40)] + [("k0", minutes(31), 7)] * 25
@@ -164,13 +169,15 @@ def test_previous_with_crowded_segments(spark, seed, crowded_rows):
 
 def test_previous_of_one_row_and_of_none(spark):
     schema = "key string, time timestamp, i int"
-    assert previous(spark.createDataFrame([("a", START, 1)], schema)).first().prev_i is None
-    assert previous(spark.createDataFrame([], schema), 5).count() == 0
+    for crowded_rows in (None, 0, 5):
+        one = previous(spark.createDataFrame([("a", START, 1)], schema), crowded_rows)
+        assert one.first().prev_i is None
+        assert previous(spark.createDataFrame([], schema), crowded_rows).count() == 0
 
 
 def test_previous_spreads_a_key_over_segments(spark):
     df = spark.createDataFrame(random_rows(1, 10), "key string, time timestamp, i int")
-    plan = previous(df)._jdf.queryExecution().executedPlan().toString()
+    plan = previous(df, None)._jdf.queryExecution().executedPlan().toString()
     wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(key" in line]
     # The exchange of the rows is by key and segment; only segment edges move by key alone.
     assert any("_segment0" in line for line in wide)
