@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from convoy.operators.skew import CROWDED_ROWS, crowded_groups, group_sizes
+from convoy.operators.skew import CROWDED_ROWS, crowded_groups, in_groups
 
 # Rows without a key are spread over this many groups.
 _SPREAD = 1024
@@ -25,36 +25,42 @@ def asof_join(
 
     Keys of ordinary size take one shuffle: both sides together, and a window that carries the last
     match forward. Keys with more than ``crowded_rows`` rows are split, see ``_by_instant``.
-    Which keys those are is found by a count that is part of the query; adaptive execution
-    drops the branch when there are none.
+    Finding the crowded keys runs a job.
     """
     matches = right.select(
         F.col(key).alias("_key"), F.col(right_time).alias("_time"), F.struct(*values).alias("_match")
     ).filter("_key is not null and _time is not null")
-    # Rows without key match nothing and are spread evenly; those without time sort before any match.
-    loose = F.pmod(F.xxhash64(*left.columns), F.lit(_SPREAD))
     rows = left.withColumns({"_key": F.col(key), "_time": F.col(left_time)})
-    keys = rows.select("_key").filter("_key is not null").unionAll(matches.select("_key"))
-    crowded = crowded_groups(group_sizes(keys, ["_key"]), crowded_rows)
+    columns = [*left.columns, "_match"]
 
-    calm = rows.join(crowded, "_key", "left_anti").withColumns(
+    keys = rows.select("_key").filter("_key is not null").unionAll(matches.select("_key"))
+    crowded = crowded_groups(keys, ["_key"], crowded_rows)
+    if crowded:
+        busy = in_groups(["_key"], crowded)
+        found = (
+            _by_window(rows.filter(~busy), matches.filter(~busy))
+            .select(*columns)
+            .unionByName(
+                _by_instant(rows.filter(busy), matches.filter(busy), segment).select(*columns)
+            )
+        )
+    else:
+        found = _by_window(rows, matches)
+    return found.select(*left.columns, *[F.col(f"_match.{v}").alias(v) for v in values])
+
+
+def _by_window(rows: DataFrame, matches: DataFrame) -> DataFrame:
+    """``_match`` for the rows, one task per key. Rows without key match nothing and are spread
+    evenly; those without time sort before any match."""
+    loose = F.pmod(F.xxhash64(*rows.columns), F.lit(_SPREAD))
+    both = rows.withColumns(
         {"_is_row": F.lit(True), "_spread": F.when(F.col("_key").isNull(), loose).otherwise(0)}
+    ).unionByName(
+        matches.withColumns({"_is_row": F.lit(False), "_spread": F.lit(0).cast("bigint")}),
+        allowMissingColumns=True,
     )
-    calm_matches = matches.join(crowded, "_key", "left_anti").withColumns(
-        {"_is_row": F.lit(False), "_spread": F.lit(0).cast("bigint")}
-    )
-    found = _last_match(
-        calm.unionByName(calm_matches, allowMissingColumns=True), ["_key", "_spread"]
-    )
-    split = _by_instant(
-        rows.join(crowded, "_key", "left_semi"), matches.join(crowded, "_key", "left_semi"), segment
-    )
-    columns = [*left.columns, "_match"]
-    return (
-        found.select(*left.columns, F.col("_so_far").alias("_match"))
-        .unionByName(split.select(*columns))
-        .select(*left.columns, *[F.col(f"_match.{v}").alias(v) for v in values])
-    )
+    found = _last_match(both, ["_key", "_spread"])
+    return found.withColumn("_match", F.col("_so_far"))
 
 
 def _last_match(rows_and_matches: DataFrame, group: list[str]) -> DataFrame:

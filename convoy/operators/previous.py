@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from convoy.operators.skew import CROWDED_ROWS, crowded_groups, group_sizes
+from convoy.operators.skew import CROWDED_ROWS, crowded_groups, in_groups
 
 # Rows of one instant in a crowded segment are spread over this many groups.
 _SLICES = 1024
@@ -25,9 +25,8 @@ def with_previous(
     link neighbouring segments. That second step sees two rows per segment at most, however
     large the key is. A segment that is crowded itself is cut further, see ``_by_slice``.
 
-    Which keys are crowded is found by a count that is part of the query; adaptive execution drops
-    the branches that turn out empty. ``crowded_rows=None`` cuts every key and counts nothing,
-    for inputs that are bounded and read once, such as micro-batches.
+    ``crowded_rows=None`` cuts every key and counts nothing, for inputs that are bounded and read
+    once, such as micro-batches; otherwise finding the crowded keys runs a job.
     """
     cuts = {f"_segment{i}": cut for i, cut in enumerate(segments)}
     groups = [[key, *cuts], [key]]
@@ -35,16 +34,13 @@ def with_previous(
     if crowded_rows is None:
         return _link(df.withColumns(cuts), groups, order_by, values).select(*columns)
 
-    # A hash stands for the group, null keys included. Should two groups share one, both are cut
-    # when one is crowded, which changes nothing in the answer.
-    rows = df.withColumn("_group", F.xxhash64(key))
-    crowded = crowded_groups(group_sizes(rows, ["_group"]), crowded_rows)
-    calm = rows.join(crowded, "_group", "left_anti")
-    busy = rows.join(crowded, "_group", "left_semi").drop("_group").withColumns(cuts)
-    found = _scan(calm, [key], order_by, values).select(*columns)
-    return found.unionByName(
-        _by_slice(busy, df.columns, groups, order_by, values, crowded_rows).select(*columns)
-    )
+    crowded = crowded_groups(df, [key], crowded_rows)
+    if not crowded:
+        return _scan(df, [key], order_by, values).select(*columns)
+    calm = df.filter(~in_groups([key], crowded))
+    busy = df.filter(in_groups([key], crowded)).withColumns(cuts)
+    split = _by_slice(busy, df.columns, groups, order_by, values, crowded_rows)
+    return _scan(calm, [key], order_by, values).select(*columns).unionByName(split.select(*columns))
 
 
 def _by_slice(
@@ -62,13 +58,14 @@ def _by_slice(
     order of that hash.
     """
     segment, (key,) = groups
-    rows = rows.withColumn("_group", F.xxhash64(*segment))
-    crowded = crowded_groups(group_sizes(rows, ["_group"]), crowded_rows)
-    calm = rows.join(crowded, "_group", "left_anti").withColumns(
+    crowded = crowded_groups(rows, segment, crowded_rows)
+    if not crowded:
+        return _link(rows, groups, order_by, values)
+    calm = rows.filter(~in_groups(segment, crowded)).withColumns(
         {"_slice": F.lit(0).cast("bigint"), "_copies": F.lit(1).cast("bigint")}
     )
     busy = (
-        rows.join(crowded, "_group", "left_semi")
+        rows.filter(in_groups(segment, crowded))
         .groupBy(*rows.columns)
         .agg(F.count("*").alias("_copies"))
         .withColumn("_slice", F.pmod(F.xxhash64(*columns), F.lit(_SLICES)))
@@ -143,7 +140,7 @@ def _unfold(rows: DataFrame, values: list[str]) -> DataFrame:
     )
     portions = folded.withColumn(
         "_portion", F.explode(F.sequence(F.lit(0), F.ceil((F.col("_copies") - 1) / portion) - 1))
-    ).repartition("_group", "_portion")
+    ).repartition(*folded.columns, "_portion")
     size = F.least(F.lit(portion), F.col("_copies") - 1 - F.col("_portion") * portion)
     copies = portions.withColumn("_copy", F.explode(F.sequence(F.lit(1), size)))
     return rows.unionByName(copies.drop("_portion", "_copy"))

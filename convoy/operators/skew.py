@@ -1,26 +1,31 @@
 """Finding the groups that are too large for one task."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A group is crowded from this many rows on ...
+# A group with more rows than this is split, if it is among the largest MAX_CROWDED groups.
 CROWDED_ROWS = 5_000_000
-# ... provided that it holds this share of the table, so that fewer than 10,000 groups can be crowded.
-CROWDED_SHARE = 1 / 10_000
+MAX_CROWDED = 10_000
 
 
-def group_sizes(df: DataFrame, group: list[str]) -> DataFrame:
-    """Rows per group, as ``_rows``. Counting combines on the map side, so skew does no harm."""
-    return df.groupBy(*group).agg(F.count("*").alias("_rows"))
+def crowded_groups(df: DataFrame, group: list[str], rows: int = CROWDED_ROWS) -> list[int]:
+    """Hashes of the groups with more than ``rows`` rows, the 10,000 largest at most.
 
+    This runs a job: a count per group, over the group's columns only, that combines on the
+    map side. The driver gets 10,000 numbers at most. A group that is left out holds less
+    than a 10,000th of all rows, and callers treat it right in any case: the list decides how a
+    group is computed, never whether.
+    """
+    sizes = df.groupBy(group_hash(group).alias("_group")).agg(F.count("*").alias("_rows"))
+    largest = sizes.filter(F.col("_rows") > rows).orderBy(F.col("_rows").desc()).limit(MAX_CROWDED)
+    return [r["_group"] for r in largest.collect()]
 
-def crowded_groups(sizes: DataFrame, rows: int = CROWDED_ROWS) -> DataFrame:
-    """The groups with more than ``rows`` rows and more than ``CROWDED_SHARE`` of all rows.
 
-    Shares add up to 1, so the result has fewer than 1 / CROWDED_SHARE rows whatever the size of
-    the input: that is what makes the broadcast safe.
-    """
-    total = sizes.agg(F.sum("_rows").alias("_total"))
-    limit = F.greatest(F.lit(float(rows)), F.col("_total") * CROWDED_SHARE)
-    crowded = sizes.crossJoin(total).filter(F.col("_rows") > limit)
-    return F.broadcast(crowded.drop("_rows", "_total"))
+def group_hash(group: list[str]) -> Column:
+    """A number that stands for the group, null values included. Groups that happen to share
+    one are split together, which changes nothing in the answer."""
+    return F.xxhash64(*group)
+
+
+def in_groups(group: list[str], hashes: list[int]) -> Column:
+    return group_hash(group).isin(hashes)
