@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from convoy.schemas import DELIVERY_TOPIC, DRIVER_TOPIC, GPS_TOPIC, ORDER_TOPIC
+from convoy.sources.topics import read_topic
 from convoy.streaming.layout import Layout
 from convoy.streaming.sinks import write_topic
 
@@ -30,6 +31,17 @@ def start_topics(
     ]
 
 
+def run_stream(
+    spark: SparkSession, servers: str, layout: Layout, max_offsets_per_trigger: int | None = None
+) -> None:
+    """Read the four topics from a broker and process them until interrupted."""
+    start_topics(
+        {topic: read_topic(spark, topic, servers, max_offsets_per_trigger) for topic in QUERY_NAMES},
+        layout,
+    )
+    watch(spark)
+
+
 def drop_repeats(events: DataFrame, keys: list[str], delay: str = "1 hour") -> DataFrame:
     """Drop events already seen under the same keys; the state forgets them after ``delay``.
 
