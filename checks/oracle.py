@@ -121,9 +121,6 @@ CTE["lake_gps"] = f"SELECT *, {FLAGS} AS anomaly_types FROM lake_moved"
 
 CTE["timed_gps"] = "SELECT * FROM clean_gps WHERE event_time IS NOT NULL"
 CTE["timed_moved"] = _moved("timed_gps", _ORDER)
-CTE["halves"] = """
- SELECT min(ts) + (max(ts) - min(ts)) / 2 AS middle FROM events"""
-
 CTE["driver_history"] = """
  SELECT vehicle_id, event_time AS driver_assigned_at, max(driver_id) AS driver_id FROM stg_driver_events
  WHERE vehicle_id IS NOT NULL AND driver_id IS NOT NULL GROUP BY vehicle_id, event_time"""
@@ -480,7 +477,8 @@ _TEXTS = {
 
 def _loaded(t, table):
     return f"""SELECT '{table}' AS table_name, count(*) FILTER (kafka_timestamp >= middle) AS n_loaded,
- CAST(0 AS BIGINT) AS n_errors, count(*) AS n_rows_after FROM clean_{t} , (SELECT middle FROM halves )"""
+ CAST(0 AS BIGINT) AS n_errors, count(*) AS n_rows_after FROM clean_{t} ,
+ (SELECT min(kafka_timestamp) + (max(kafka_timestamp) - min(kafka_timestamp)) / 2 AS middle FROM clean_{t} )"""
 
 
 _LAKE_GPS = f"""SELECT {_parsed_columns(GPS_FIELDS)}, event_time, {_MOVED}, {FLAGS} AS anomaly_types,
