@@ -179,22 +179,29 @@ def stream_progress(spark, sf_dir):
     return seen.groupBy("query_name").agg(F.sum("n_input_rows").alias("n_input_rows"))
 
 
-def _lake_in_two_steps(spark, sf_dir, purpose):
-    """A lake whose second half is written after the first was loaded into RAW."""
+def _lake_in_two_steps(spark, sf_dir, purpose, event_type=None, load=True):
+    """A lake, of one event type or all, whose second half is written after the first was loaded
+    into RAW."""
+    only = event_type
     folder = work_folder(spark, purpose)
-    tables = {}
+    tables, summary = {}, None
     for topic, event_type in EVENT_TYPE_BY_TOPIC.items():
+        if only not in (None, event_type):
+            continue
         clean = ingest.topic_pipeline(topic_records(spark, sf_dir, topic), topic)[0]
         if topic == GPS_TOPIC:
             clean = enrich_gps(clean)
         tables[event_type] = pieces(ingest.with_lake_columns(clean, event_type), "kafka_timestamp", 2)
     for i in range(2):
         for event_type, parts in tables.items():
-            parts[i].write.partitionBy("event_date", "event_type").mode("append").parquet(
+            # Few files per day; a large day is split by adaptive execution.
+            rows = parts[i].hint("rebalance", "event_date")
+            rows.write.partitionBy("event_date", "event_type").mode("append").parquet(
                 lake_path(f"{folder}/lake", event_type)
             )
-        summary = load_events(spark, f"{folder}/lake", f"{folder}/raw")
-        if i == 0:
+        if load:
+            summary = load_events(spark, f"{folder}/lake", f"{folder}/raw", only)
+        if load and i == 0:
             summary.collect()
     return folder, summary
 
@@ -207,21 +214,21 @@ def incremental_load(spark, sf_dir):
 
 def loaded_gps(spark, sf_dir):
     """RAW positions after two incremental loads and one that finds nothing new."""
-    folder, _ = _lake_in_two_steps(spark, sf_dir, "loaded")
+    folder, _ = _lake_in_two_steps(spark, sf_dir, "loaded", "gps")
     load_events(spark, f"{folder}/lake", f"{folder}/raw", "gps").collect()
     return read_raw(spark, f"{folder}/raw", "gps_events").drop("load_timestamp")
 
 
 def reloaded_orders(spark, sf_dir):
     """RAW orders after an incremental load and a full reload."""
-    folder, _ = _lake_in_two_steps(spark, sf_dir, "reloaded")
+    folder, _ = _lake_in_two_steps(spark, sf_dir, "reloaded", "order")
     load_events(spark, f"{folder}/lake", f"{folder}/raw", "order", truncate=True).collect()
     return read_raw(spark, f"{folder}/raw", "orders").drop("load_timestamp")
 
 
 def lake_inventory(spark, sf_dir):
     """Files and bytes per event type (they depend on how Spark splits the work)."""
-    folder, _ = _lake_in_two_steps(spark, sf_dir, "inventory")
+    folder, _ = _lake_in_two_steps(spark, sf_dir, "inventory", load=False)
     return file_inventory(spark, f"{folder}/lake")
 
 
