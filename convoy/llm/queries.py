@@ -5,10 +5,14 @@ Each query runs its operator with production parameters over its whole table.
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from convoy.llm.bpe import encoding_digests
 from convoy.llm.naming import exact_duplicates
 from convoy.llm.tables import table
+from convoy.llm.token_counts import token_counts
+from convoy.llm.wu_manber import contamination_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -25,6 +29,23 @@ def op7_block_naming(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_wu_manber(spark, sf_dir):
+    return contamination_digests(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op9_token_counts(spark, sf_dir):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts(table(spark, sf_dir, "documents"), path)
+
+
+@query
+def op10_bpe(spark, sf_dir):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return encoding_digests(table(spark, sf_dir, "documents"), path)
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE["op7_block_naming"] = f"""
@@ -35,3 +56,29 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
        sha256(t) AS text_sha256
 FROM g
 """
+
+_WORDS = r"regexp_extract_all({}, '[0-9a-z\x{{80}}-\x{{10FFFF}}]+')".format(_LOWER)
+
+ORACLE["op8_wu_manber"] = f"""
+WITH items AS (SELECT item_id, {_WORDS} AS w FROM benchmark
+               WHERE item_id IS NOT NULL),
+     patterns AS (
+         SELECT DISTINCT item_id, least(len(w), 13) AS l,
+                array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS k
+         FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 13) + 2)) AS i FROM items
+               WHERE len(w) > 0)),
+     docs AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+     places AS (
+         SELECT doc_id, l, i, array_to_string(w[i:i + l - 1], ' ') AS k
+         FROM (SELECT doc_id, w, l, unnest(range(1, len(w) - l + 2)) AS i
+               FROM docs, (SELECT DISTINCT l FROM patterns))),
+     found AS (SELECT doc_id, item_id, i, l FROM places JOIN patterns USING (l, k)),
+     hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+             FROM (SELECT doc_id, unnest(range(i, i + l)) AS p FROM found) GROUP BY doc_id),
+     named AS (SELECT doc_id, count(*) AS n_items, string_agg(n, ',' ORDER BY n) AS names
+               FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS n FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
+"""
