@@ -111,6 +111,7 @@ def exact_duplicates(
     groups = found.groupBy("height", "name").agg(
         F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
+    groups = stored(groups, "groups")  # so that the join below can split a hot group
     return found.join(groups, ["height", "name"]).select(
         "doc_id",
         "keep_id",
