@@ -8,6 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from convoy.llm.bbit_minhash import near_duplicates
 from convoy.llm.bpe import encoding_digests
 from convoy.llm.naming import exact_duplicates
 from convoy.llm.tables import table
@@ -24,6 +25,11 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_bbit_minhash(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_block_naming(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"))
