@@ -153,16 +153,16 @@ def _least_estimate(threshold: float) -> float:
 
 
 _SET = ["n_shingles", "f1", "f2"]
-_NO_ID = F.lit(-(2**63))
+_NO_ID = -(2**63)
 
 
 def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) of nodes whose full sets are similar enough."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = stored(nodes.join(used, "node").select("node", *_SET, F.coalesce("least_id", _NO_ID).alias("id")), "wanted")
+    wanted = stored(nodes.join(used, "node").select("node", *_SET, F.coalesce("least_id", F.lit(_NO_ID)).alias("id")), "wanted")
     ids = wanted.select("id").distinct()
     ids = F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids
-    of_ids = docs.withColumn("id", F.coalesce("doc_id", _NO_ID)).join(ids, "id", "left_semi").select("text")
+    of_ids = docs.withColumn("id", F.coalesce("doc_id", F.lit(_NO_ID))).join(ids, "id", "left_semi").select("text")
     sets = of_ids.mapInArrow(_full_sets, "n_shingles long, f1 long, f2 long, shingles array<long>")
     # an id may repeat with the same or another text
     sets = sets.join(wanted, _SET).select("node", "shingles").dropDuplicates(["node"])
