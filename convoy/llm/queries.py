@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from convoy.llm.bbit_minhash import near_duplicates
 from convoy.llm.bpe import encoding_digests
+from convoy.llm.latent_quality import quality
 from convoy.llm.naming import exact_duplicates
 from convoy.llm.tables import table
 from convoy.llm.token_counts import token_counts
@@ -30,6 +31,11 @@ def op1_bbit_minhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op5_latent_quality(spark, sf_dir):
+    return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_block_naming(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"))
