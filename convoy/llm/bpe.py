@@ -193,10 +193,8 @@ def pieces(texts: list[str], most: int = 1 << 22) -> Iterator[list[str]]:
 
 
 def encoded(text: Column, path: str, digests: bool = False) -> Column:
-    """Struct of ``n_tokens`` and either the array ``ids`` and the text ``decoded``, or, if ``digests``,
-    the SHA-256 of the ids joined by spaces and of the decoded text."""
-    names = ("ids_sha256", "decoded_sha256") if digests else ("ids", "decoded")
-    kinds = ("string", "string") if digests else ("array<int>", "string")
+    """Struct of ``n_tokens``, ``ids`` (joined by spaces) and ``decoded``, or, if ``digests``, with the
+    SHA-256 of either instead."""
 
     def sha(s: str) -> str:
         return hashlib.sha256(s.encode()).hexdigest()
@@ -207,33 +205,53 @@ def encoded(text: Column, path: str, digests: bool = False) -> Column:
             rows = []
             for texts in pieces(["" if t is None else t for t in batch]):
                 for n, ids, shown in model.encode(texts):
-                    if digests:
-                        rows.append((n, sha(ids), sha(shown)))
-                    else:
-                        rows.append((n, [int(i) for i in ids.split()], shown))
-            yield pd.DataFrame(rows, columns=["n_tokens", *names])
+                    rows.append((n, sha(ids), sha(shown)) if digests else (n, ids, shown))
+            yield pd.DataFrame(rows, columns=["n_tokens", "ids", "decoded"])
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
-    schema = f"n_tokens long, {names[0]} {kinds[0]}, {names[1]} {kinds[1]}"
-    return F.pandas_udf(run, schema)(text.cast("string"))
+    return F.pandas_udf(run, "n_tokens long, ids string, decoded string")(text.cast("string"))
 
 
 def encode(docs: DataFrame, path: str, text_column: str = "text", out: str = "encoding") -> DataFrame:
-    """``docs`` with a struct column ``out``: n_tokens, ids, decoded.
+    """``docs`` with a struct column ``out``: n_tokens, ids (array), decoded, ids_sha256, decoded_sha256.
 
     Null counts as the empty text, which has no tokens. Nothing is added at begin or end, nothing cut
     or padded; the strings of special tokens inside texts become those tokens. Decoding joins the
     tokens' strings by spaces, as the file names no decoder. ``out`` replaces a column of its name; other
-    columns pass through.
+    columns pass through. Characters that came into Unicode after the tables of the installed
+    ``regex`` may be cut otherwise than by another library.
     """
-    return docs.withColumn(out, encoded(F.col(text_column), path))
+    e = F.col("__encoded")
+    ids = F.when(e["n_tokens"] > 0, F.split(e["ids"], " ").cast("array<int>")).otherwise(F.array())
+    return (
+        docs.withColumn("__encoded", encoded(F.col(text_column), path))
+        .withColumn(
+            out,
+            F.struct(
+                e["n_tokens"].alias("n_tokens"),
+                ids.cast("array<int>").alias("ids"),
+                e["decoded"].alias("decoded"),
+                F.sha2(e["ids"].cast("binary"), 256).alias("ids_sha256"),
+                F.sha2(e["decoded"].cast("binary"), 256).alias("decoded_sha256"),
+            ),
+        )
+        .drop("__encoded")
+    )
 
 
 def encoding_digests(
     docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256."""
+    """One row per row of ``docs``: doc_id, n_tokens, ids_sha256, decoded_sha256, as ``encode`` has them.
+
+    Repeated rows are encoded each; further columns are ignored; an empty table gives an empty result.
+    """
     done = docs.select(
         F.col(id_column).alias("doc_id"), encoded(F.col(text_column), path, digests=True).alias("e")
     )
-    return done.select("doc_id", "e.*")
+    return done.select(
+        "doc_id",
+        F.col("e.n_tokens").alias("n_tokens"),
+        F.col("e.ids").alias("ids_sha256"),
+        F.col("e.decoded").alias("decoded_sha256"),
+    )
