@@ -12,6 +12,8 @@ from convoy.llm.bbit_minhash import near_duplicates
 from convoy.llm.bpe import encoding_digests
 from convoy.llm.latent_quality import quality
 from convoy.llm.naming import exact_duplicates
+from convoy.llm.ppm_language import language
+from convoy.llm.ring import balanced_shards
 from convoy.llm.tables import table
 from convoy.llm.token_counts import token_counts
 from convoy.llm.wu_manber import contamination_digests
@@ -31,11 +33,21 @@ def op1_bbit_minhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_bounded_ring(spark, sf_dir):
+    return balanced_shards(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_latent_quality(spark, sf_dir):
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_ppm_language(spark, sf_dir):
+    return language(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_block_naming(spark, sf_dir):
     return exact_duplicates(table(spark, sf_dir, "documents"))
