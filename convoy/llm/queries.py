@@ -12,6 +12,7 @@ from convoy.llm.bbit_minhash import near_duplicates
 from convoy.llm.bpe import encoding_digests
 from convoy.llm.latent_quality import quality
 from convoy.llm.naming import exact_duplicates
+from convoy.llm.pii import personal_data
 from convoy.llm.ppm_language import language
 from convoy.llm.ring import balanced_shards
 from convoy.llm.tables import table
@@ -38,6 +39,11 @@ def op2_bounded_ring(spark, sf_dir):
     return balanced_shards(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_contextual_pii(spark, sf_dir):
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_latent_quality(spark, sf_dir):
     return quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
