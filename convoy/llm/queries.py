@@ -15,6 +15,7 @@ from convoy.llm.naming import exact_duplicates
 from convoy.llm.pii import personal_data
 from convoy.llm.ppm_language import language
 from convoy.llm.ring import balanced_shards
+from convoy.llm.suffix_dedup import remove_repeats
 from convoy.llm.tables import table
 from convoy.llm.token_counts import token_counts
 from convoy.llm.wu_manber import contamination_digests
@@ -39,6 +40,11 @@ def op2_bounded_ring(spark, sf_dir):
     return balanced_shards(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_induced_suffixes(spark, sf_dir):
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_contextual_pii(spark, sf_dir):
     return personal_data(table(spark, sf_dir, "documents"))
