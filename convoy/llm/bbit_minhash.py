@@ -156,22 +156,27 @@ _SET = ["n_shingles", "f1", "f2"]
 _NO_ID = -(2**63)
 
 
-def _confirmed(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of nodes whose full sets are similar enough."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = stored(nodes.join(used, "node").select("node", *_SET, F.coalesce("least_id", F.lit(_NO_ID)).alias("id")), "wanted")
+def _sets(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+    """(node, shingles) of the members of crowded buckets, from one more reading of their texts."""
+    used = members.select("node").distinct()
+    wanted = nodes.join(used, "node").select("node", *_SET, F.coalesce("least_id", F.lit(_NO_ID)).alias("id"))
+    wanted = stored(wanted, "wanted")
     ids = wanted.select("id").distinct()
     ids = F.broadcast(ids) if wanted.count() <= BROADCAST_IDS else ids
     of_ids = docs.withColumn("id", F.coalesce("doc_id", F.lit(_NO_ID))).join(ids, "id", "left_semi").select("text")
     sets = of_ids.mapInArrow(_full_sets, "n_shingles long, f1 long, f2 long, shingles array<long>")
     # an id may repeat with the same or another text
     sets = sets.join(wanted, _SET).select("node", "shingles").dropDuplicates(["node"])
-    sets = stored(sets, "sets")
+    return stored(sets, "sets")
+
+
+def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, ...) of nodes whose full sets are similar enough."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("s"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("t"))
     common = F.size(F.array_intersect("s", "t"))
     union = F.size("s") + F.size("t") - common
-    return pairs.join(left, "a").join(right, "b").filter(common * 100 >= union * percent).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").filter(common * 100 >= union * percent).select(*pairs.columns)
 
 
 def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
@@ -216,13 +221,13 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFr
 
 
 def _rounds():
-    """(which buckets, hubs per bucket) of each round; the first, over an eighth of the buckets, finds
-    most links, so that later ones compare little."""
+    """(which buckets, hubs per bucket) of each round. The first two find most links, so that the later ones
+    compare little."""
     yield F.pmod(F.xxhash64("bucket"), F.lit(8)) == 0, 1
     hubs = 1
     while True:
         yield F.lit(True), hubs
-        hubs *= 8
+        hubs *= 16
 
 
 def _bucket_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -236,10 +241,11 @@ def _bucket_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     )
     members = stored(members, "members")
     links = members.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+    if members.isEmpty():
+        return links
+    sets = _sets(docs, nodes, members)
     least = _least_estimate(percent / 100)
     for part, slots in _rounds():
-        if members.isEmpty():
-            return links
         slot = F.pmod(F.xxhash64(F.lit(slots), "node", "bucket"), F.lit(slots))
         order = F.xxhash64(F.lit(-slots), "node", "bucket").alias("order")
         first = F.min(F.struct(order, "node", "component", *PLANES)).alias("hub")
@@ -250,14 +256,24 @@ def _bucket_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         apart = F.col("m.component") != F.col("h.component")
         near = m.join(
             h, (F.col("m.bucket") == F.col("h.bucket")) & apart & (estimate("m", "h") >= least)
-        ).select(F.least("m.node", "h.node").alias("a"), F.greatest("m.node", "h.node").alias("b"))
-        new = _confirmed(docs, nodes, stored(near.distinct(), "pairs"), percent)
-        links = stored(links.unionByName(new.toDF("u", "v")), "links")
-
-        of = stored(components(links), "components")
-        rest = members.drop("component").join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
-        rest = rest.join(of, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        rest = stored(rest, "rest")
+        ).select(
+            F.least("m.node", "h.node").alias("a"),
+            F.greatest("m.node", "h.node").alias("b"),
+            F.least("m.component", "h.component").alias("u"),
+            F.greatest("m.component", "h.component").alias("v"),
+        )
+        new = stored(_confirmed(sets, stored(near.distinct(), "pairs"), percent), "new-links")
+        rest = members.join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
+        if not new.isEmpty():
+            links = links.unionByName(new.select(F.col("a").alias("u"), F.col("b").alias("v")))
+            # components that are joined now; only they have to be looked at
+            joined = stored(components(new.select("u", "v")), "joined")
+            joined = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
+            rest = rest.join(joined, "component", "left")
+            rest = rest.withColumn("component", F.coalesce("whole", "component")).drop("whole")
+        rest = stored(rest.select(members.columns), "rest")
         split = rest.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
         unlike = split.filter("a != b").select("bucket")
         members = stored(rest.join(unlike, "bucket", "left_semi").select(members.columns), "members")
+        if members.isEmpty():
+            return links

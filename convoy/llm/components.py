@@ -25,20 +25,19 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     return stored(hung.filter("u != v").distinct(), "stars")
 
 
-def _state(edges: DataFrame):
-    return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node hangs below one other, which hangs below none."""
+    if not edges.groupBy("u").count().filter("count > 1").isEmpty():
+        return False
+    return edges.join(edges.select(F.col("v").alias("u")).distinct(), "u", "left_semi").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the edges (u, v): the least node that can be reached."""
-    edges = stored(edges.select("u", "v").filter("u != v"), "edges")
-    before = _state(edges)
-    while before[0]:
+    edges = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    edges = stored(edges.filter("u != v").distinct(), "edges")
+    while not _are_stars(edges):
         edges = _stars(_stars(edges, True), False)
-        now = _state(edges)
-        if now == before:
-            break
-        before = now
     pairs = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return pairs.unionByName(roots)
