@@ -114,7 +114,9 @@ def scores(model: Model, texts: pa.Array, neighbours: int = NEIGHBOURS) -> np.nd
         return found
     ones = model.labels.mean()
     weigh = np.where(model.labels > 0, model.prior / max(ones, 1e-9), (1 - model.prior) / max(1 - ones, 1e-9))
-    k = min(neighbours, len(model.labels))
+    # no more neighbours than half of the smaller class, or it could never win
+    smaller = int(min((model.labels > 0).sum(), (model.labels <= 0).sum()))
+    k = max(1, min(neighbours, smaller // 2))
     for a, b in runs(offsets):
         part = offsets[a : b + 1]
         x = term_counts(data[part[0] : part[-1]], part - part[0]) * model.weights
