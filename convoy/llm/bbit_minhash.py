@@ -1,15 +1,16 @@
 """Near-duplicate documents by b-bit MinHash.
 
-1. Every document's set of shingles is hashed; of each of 128 minima the low bits are kept, packed as bit
-   planes, and 32 bands of four whole minima give the keys of buckets. Documents with equal sets
+1. Every document's set of shingles is hashed; of each of 512 minima the lowest bit is kept, packed into
+   words, and 32 bands of four whole minima give the keys of buckets. Documents with equal sets
    become one node.
 2. In every bucket some nodes are hubs. Pairs of a hub and another node of its bucket that are not
-   yet in one component are candidates. The collision-corrected similarity, estimated from the
-   packed bits by bit counts, drops pairs that are five standard deviations below the threshold.
+   yet in one component are candidates; in small buckets all such pairs are. The collision-corrected similarity, estimated from the
+   packed bits by bit counts, drops pairs that are five standard deviations below the threshold, and a bitmap of
+   the shingles those that cannot have enough in common.
 3. The others are confirmed on the full sets. Links join components, and what has become one
    component needs no further comparing.
 4. A hub is done with its bucket; buckets in which all that is left lies in one component are done.
-   The next round takes eight times as many hubs per bucket. So every pair of a bucket is either
+   The next round takes more hubs per bucket. So every pair of a bucket is either
    compared or already linked when the rounds end, however large the bucket, and no round makes more
    rows than hubs times members.
 """
@@ -26,9 +27,11 @@ from convoy.llm.words import NOT_SPACE, chained, flat, mixed, runs, words
 WORDS = 5
 THRESHOLD_PERCENT = 75
 BANDS, BAND_SIZE = 32, 4
-MINIMA = BANDS * BAND_SIZE
-BITS = 4
+MINIMA = 512  # the bands use the first of them
+BITS = 1
 PLANES = [f"p{i}" for i in range(BITS * MINIMA // 64)]
+MAP_BITS = 512
+MAPS = [f"m{i}" for i in range(MAP_BITS // 64)]
 #: Up to so many ids are broadcast to pick out the documents of candidate pairs (8 MB).
 BROADCAST_IDS = 1_000_000
 
@@ -76,7 +79,7 @@ def fingerprints(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 def signatures(hashes: np.ndarray, first: np.ndarray):
-    """(band keys, bit planes) of each set; sets without shingles get zeros."""
+    """(band keys, words of bit planes and bitmap) of each set; sets without shingles get zeros."""
     n = len(first) - 1
     filled = np.flatnonzero(np.diff(first) > 0)
     starts = first[:-1][filled]
@@ -87,12 +90,14 @@ def signatures(hashes: np.ndarray, first: np.ndarray):
             minima[filled, k] = np.minimum.reduceat((small ^ XOR[k]) * TIMES[k], starts)
     keys = np.zeros((n, BANDS), np.uint64)
     for j in range(BAND_SIZE):
-        keys = mixed(keys ^ minima[:, j::BAND_SIZE].astype(np.uint64) + np.arange(BANDS, dtype=np.uint64))
-    low = np.empty((n, BITS, MINIMA), np.uint8)
+        own = minima[:, j : BANDS * BAND_SIZE : BAND_SIZE].astype(np.uint64)
+        keys = mixed(keys ^ own + np.arange(BANDS, dtype=np.uint64))
+    bits = np.zeros((n, BITS * MINIMA + MAP_BITS), np.uint8)
     for bit in range(BITS):
-        low[:, bit] = (minima >> np.uint32(bit)) & 1
-    planes = np.packbits(low.reshape(n, -1), axis=1).view(np.uint64)
-    return keys.view(np.int64), planes.view(np.int64)
+        bits[:, bit * MINIMA : (bit + 1) * MINIMA] = (minima >> np.uint32(bit)) & 1
+    text = np.repeat(np.arange(n), np.diff(first))
+    bits[text, BITS * MINIMA + (hashes % np.uint64(MAP_BITS)).astype(np.int64)] = 1
+    return keys.view(np.int64), np.packbits(bits, axis=1).view(np.uint64).view(np.int64)
 
 
 def _lists(values: np.ndarray) -> pa.Array:
@@ -106,7 +111,7 @@ def _sketch(batches):
     for batch in batches:
         ids, at = batch.column("doc_id"), 0
         for hashes, first in shingle_sets(batch.column("text")):
-            keys, planes = signatures(hashes, first)
+            keys, bits = signatures(hashes, first)
             prints = fingerprints(hashes, first)
             n = len(first) - 1
             yield pa.RecordBatch.from_arrays(
@@ -116,9 +121,9 @@ def _sketch(batches):
                     pa.array(prints[:, 0].copy()),
                     pa.array(prints[:, 1].copy()),
                     _lists(keys),
-                    *(pa.array(np.ascontiguousarray(planes[:, i])) for i in range(len(PLANES))),
+                    *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(bits.shape[1])),
                 ],
-                names=["doc_id", "n_shingles", "f1", "f2", "bands", *PLANES],
+                names=["doc_id", "n_shingles", "f1", "f2", "bands", *PLANES, *MAPS],
             )
             at += n
 
@@ -149,10 +154,26 @@ def estimate(a: str, b: str) -> Column:
 
 
 def _least_estimate(threshold: float) -> float:
-    return threshold - 5 * (threshold * (1 - threshold) / MINIMA) ** 0.5 / (1 - 0.5**BITS)
+    equal = threshold + (1 - threshold) * 0.5**BITS
+    return threshold - 5 * (equal * (1 - equal) / MINIMA) ** 0.5 / (1 - 0.5**BITS)
+
+
+def _may_reach(a: str, b: str, percent: int) -> Column:
+    """Whether two sets can be similar enough: a bit that only one bitmap has is a shingle that only that
+    set has."""
+
+    def own(x: str, y: str) -> Column:
+        alone = F.lit(0)
+        for m in MAPS:
+            alone = alone + F.bit_count(F.col(f"{x}.{m}").bitwiseAND(F.bitwise_not(F.col(f"{y}.{m}"))))
+        return F.col(f"{x}.n_shingles") - alone
+
+    both = F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles")
+    return F.least(own(a, b), own(b, a)) * (100 + percent) >= both * percent
 
 
 _SET = ["n_shingles", "f1", "f2"]
+_BITS = [*PLANES, *MAPS]
 _NO_ID = -(2**63)
 
 
@@ -190,11 +211,11 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFr
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     kinds = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, "
-    kinds += ", ".join(f"{p} long" for p in PLANES)
+    kinds += ", ".join(f"{c} long" for c in _BITS)
     rows = stored(docs.mapInArrow(_sketch, kinds), "sketches")
     # equal sets have equal bands and planes: any of them will do
     groups = rows.filter("n_shingles > 0").groupBy(*_SET).agg(
-        F.min("doc_id").alias("least_id"), *[F.any_value(c).alias(c) for c in ("bands", *PLANES)]
+        F.min("doc_id").alias("least_id"), *[F.any_value(c).alias(c) for c in ("bands", *_BITS)]
     )
     nodes = stored(groups.withColumn("node", F.monotonically_increasing_id()), "nodes")
 
@@ -220,50 +241,63 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFr
     )
 
 
+#: Buckets of so many nodes are compared pair by pair, at most 120 pairs each; larger ones by hubs.
+SMALL_BUCKET = 16
+
+
 def _rounds():
     """(which buckets, hubs per bucket) of each round. The first two find most links, so that the later ones
-    compare little."""
+    compare little. Small buckets are done with in the second."""
     yield F.pmod(F.xxhash64("bucket"), F.lit(8)) == 0, 1
-    hubs = 1
+    yield F.col("size") > SMALL_BUCKET, 1
+    hubs = 16
     while True:
         yield F.lit(True), hubs
         hubs *= 16
 
 
+def _near(members: DataFrame, others: DataFrame, nodes: DataFrame, percent: int, different: bool = False) -> DataFrame:
+    """Pairs (a, b) of nodes of one bucket that may be similar, and the components (u, v) they are in."""
+    bits = nodes.select("node", "n_shingles", *_BITS)
+    m, h = members.join(bits, "node").alias("m"), others.join(bits, "node").alias("h")
+    wanted = (F.col("m.bucket") == F.col("h.bucket")) & (F.col("m.component") != F.col("h.component"))
+    if different:
+        wanted = wanted & (F.col("m.node") < F.col("h.node"))
+    wanted = wanted & (estimate("m", "h") >= _least_estimate(percent / 100)) & _may_reach("m", "h", percent)
+    return m.join(h, wanted).select(
+        F.least("m.node", "h.node").alias("a"),
+        F.greatest("m.node", "h.node").alias("b"),
+        F.least("m.component", "h.component").alias("u"),
+        F.greatest("m.component", "h.component").alias("v"),
+    )
+
+
 def _bucket_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that connect what the threshold connects, from the rounds described above."""
     placed = nodes.select("node", F.explode("bands").alias("bucket"))
-    crowded = placed.groupBy("bucket").count().filter("count > 1").select("bucket")
-    members = (
-        stored(placed.join(crowded, "bucket", "left_semi"), "placed")
-        .join(nodes, "node")
-        .select("bucket", "node", F.col("node").alias("component"), *PLANES)
-    )
+    crowded = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    members = placed.join(stored(crowded, "crowded"), "bucket").withColumn("component", F.col("node"))
     members = stored(members, "members")
     links = members.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
     if members.isEmpty():
         return links
     sets = _sets(docs, nodes, members)
-    least = _least_estimate(percent / 100)
-    for part, slots in _rounds():
+    nodes = stored(nodes.join(members.select("node").distinct(), "node"), "bucket-nodes")
+    for number, (part, slots) in enumerate(_rounds()):
         slot = F.pmod(F.xxhash64(F.lit(slots), "node", "bucket"), F.lit(slots))
         order = F.xxhash64(F.lit(-slots), "node", "bucket").alias("order")
-        first = F.min(F.struct(order, "node", "component", *PLANES)).alias("hub")
-        hubs = members.filter(part).groupBy("bucket", slot.alias("slot")).agg(first)
-        hubs = stored(hubs.select("bucket", "hub.*").drop("order"), "hubs")
-
-        m, h = members.alias("m"), hubs.alias("h")
-        apart = F.col("m.component") != F.col("h.component")
-        near = m.join(
-            h, (F.col("m.bucket") == F.col("h.bucket")) & apart & (estimate("m", "h") >= least)
-        ).select(
-            F.least("m.node", "h.node").alias("a"),
-            F.greatest("m.node", "h.node").alias("b"),
-            F.least("m.component", "h.component").alias("u"),
-            F.greatest("m.component", "h.component").alias("v"),
+        hubs = members.filter(part).groupBy("bucket", slot.alias("slot")).agg(
+            F.min(F.struct(order, "node", "component")).alias("hub")
         )
-        new = stored(_confirmed(sets, stored(near.distinct(), "pairs"), percent), "new-links")
-        rest = members.join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
+        hubs = stored(hubs.select("bucket", "hub.node", "hub.component"), "hubs")
+        near = _near(members, hubs, nodes, percent)
+        rest = members
+        if number == 1:
+            small = members.filter(F.col("size") <= SMALL_BUCKET)
+            near = near.unionByName(_near(small, small, nodes, percent, different=True))
+            rest = members.filter(F.col("size") > SMALL_BUCKET)
+        new = stored(_confirmed(sets, near.distinct(), percent), "new-links")
+        rest = rest.join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
         if not new.isEmpty():
             links = links.unionByName(new.select(F.col("a").alias("u"), F.col("b").alias("v")))
             # components that are joined now; only they have to be looked at
