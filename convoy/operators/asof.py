@@ -3,11 +3,8 @@
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from convoy.operators.skew import CROWDED_ROWS, crowded_groups, in_groups
-
-# Rows without a key are spread over this many groups.
-_SPREAD = 1024
-_SEGMENT = ["_segment", "_key"]
+#: Pieces of time, coarse to fine, in which rows of a key meet.
+SEGMENTS = ("HOUR", "MINUTE")
 
 
 def asof_join(
@@ -17,104 +14,66 @@ def asof_join(
     left_time: str,
     right_time: str,
     values: list[str],
-    segment: str = "HOUR",
-    crowded_rows: int = CROWDED_ROWS,
+    segments: tuple[str, ...] = SEGMENTS,
 ) -> DataFrame:
     """Left outer as-of join on ``key``: adds ``values`` of the right row with the greatest
     ``right_time <= left_time``; the greatest values win among right rows of the same instant.
 
-    Keys of ordinary size take one shuffle: both sides together, and a window that carries the last
-    match forward. Keys with more than ``crowded_rows`` rows are split, see ``_by_instant``.
-    Finding the crowded keys runs a job.
+    The question is answered once per distinct (key, instant), on narrow rows: distinct instants and the
+    greatest match per instant are combined on the map side, a window carries matches forward inside the
+    finest of ``segments`` only, and what earlier segments leave behind takes one row per segment
+    and level. The rows pick up the answer by an equality join, which adaptive execution splits when one
+    instant is hot. Rows without key or time match nothing and are not shuffled.
+    There is one plan for all sizes.
     """
-    matches = right.select(
-        F.col(key).alias("_key"), F.col(right_time).alias("_time"), F.struct(*values).alias("_match")
-    ).filter("_key is not null and _time is not null")
+    match = F.struct(*values).alias("_match")
+    matches = right.select(F.col(key).alias("_key"), F.col(right_time).alias("_time"), match)
+    matches = matches.filter("_key is not null and _time is not null")
+    matches = matches.groupBy("_key", "_time").agg(F.max("_match").alias("_match"))
     rows = left.withColumns({"_key": F.col(key), "_time": F.col(left_time)})
-    columns = [*left.columns, "_match"]
-
-    keys = rows.select("_key").filter("_key is not null").unionAll(matches.select("_key"))
-    crowded = crowded_groups(keys, ["_key"], crowded_rows)
-    if crowded:
-        busy = in_groups(["_key"], crowded)
-        found = (
-            _by_window(rows.filter(~busy), matches.filter(~busy))
-            .select(*columns)
-            .unionByName(
-                _by_instant(rows.filter(busy), matches.filter(busy), segment).select(*columns)
-            )
-        )
-    else:
-        found = _by_window(rows, matches)
-    return found.select(*left.columns, *[F.col(f"_match.{v}").alias(v) for v in values])
+    placed = F.col("_key").isNotNull() & F.col("_time").isNotNull()
+    instants = rows.filter(placed).select("_key", "_time").distinct()
+    answers = _carry_forward(instants, matches, segments)
+    found = rows.filter(placed).join(answers, ["_key", "_time"], "left")
+    chosen = [F.col(f"_match.{v}").alias(v) for v in values]
+    unplaced = rows.filter(~placed).withColumn("_match", F.lit(None).cast(answers.schema["_match"].dataType))
+    columns = [*left.columns, *chosen]
+    return found.select(*columns).unionByName(unplaced.select(*columns))
 
 
-def _by_window(rows: DataFrame, matches: DataFrame) -> DataFrame:
-    """``_match`` for the rows, one task per key. Rows without key match nothing and are spread
-    evenly; those without time sort before any match."""
-    loose = F.pmod(F.xxhash64(*rows.columns), F.lit(_SPREAD))
-    both = rows.withColumns(
-        {"_is_row": F.lit(True), "_spread": F.when(F.col("_key").isNull(), loose).otherwise(0)}
-    ).unionByName(
-        matches.withColumns({"_is_row": F.lit(False), "_spread": F.lit(0).cast("bigint")}),
-        allowMissingColumns=True,
+def _carry_forward(instants: DataFrame, matches: DataFrame, segments: tuple[str, ...]) -> DataFrame:
+    """``instants`` with the ``_match`` of the latest match of their ``_key`` up to their ``_time``."""
+    cuts = {f"_segment{i}": F.date_trunc(unit, "_time") for i, unit in enumerate(segments)}
+    instants, matches = instants.withColumns(cuts), matches.withColumns(cuts)
+    names = ["_key", *cuts]
+    both = instants.withColumn("_is_row", F.lit(True)).unionByName(
+        matches.withColumn("_is_row", F.lit(False)), allowMissingColumns=True
     )
-    found = _last_match(both, ["_key", "_spread"])
-    return found.withColumn("_match", F.col("_so_far"))
-
-
-def _last_match(rows_and_matches: DataFrame, group: list[str]) -> DataFrame:
-    """The rows with ``_so_far``, the last match up to their time inside their group."""
     so_far = (
-        Window.partitionBy(*group)
-        .orderBy("_time", "_is_row", "_match")
+        Window.partitionBy(*names)
+        .orderBy("_time", "_is_row")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    return rows_and_matches.withColumn(
-        "_so_far", F.last("_match", ignorenulls=True).over(so_far)
-    ).filter("_is_row")
-
-
-def _by_instant(rows: DataFrame, matches: DataFrame, segment: str) -> DataFrame:
-    """``_match`` for the rows of crowded keys, with no group that grows with the data.
-
-    The question is answered once per distinct (key, instant), on narrow rows: taking distinct
-    instants combines on the map side, a window carries matches forward inside a (key,
-    ``segment`` of time) only, and what earlier segments leave behind takes one row per key and
-    segment. The rows pick up the answer by an equality join, which adaptive execution splits
-    when one instant is hot.
-    """
-    in_segment = F.date_trunc(segment, "_time").alias("_segment")
-    instants = rows.select("_key", "_time").filter("_time is not null").distinct()
-    answers = _carry_forward(
-        instants.select("*", in_segment), matches.distinct().select("*", in_segment)
-    )
-    return rows.join(answers, ["_key", "_time"], "left")
-
-
-def _carry_forward(instants: DataFrame, matches: DataFrame) -> DataFrame:
-    """``instants`` with the ``_match`` of the latest match of their ``_key`` up to their ``_time``."""
-    inside = _last_match(
-        instants.withColumn("_is_row", F.lit(True)).unionByName(
-            matches.withColumn("_is_row", F.lit(False)), allowMissingColumns=True
-        ),
-        _SEGMENT,
-    )
-    # ``inside`` is partitioned by segment already: only the small side moves for this join.
-    return inside.join(_last_before(instants, matches), _SEGMENT, "left").select(
-        "_key", "_time", F.coalesce("_so_far", "_inherited").alias("_match")
-    )
+    answers = both.withColumn("_match", F.last("_match", ignorenulls=True).over(so_far)).filter("_is_row")
+    for level in range(len(names), 1, -1):
+        before = _last_before(instants, matches, names[:level])
+        answers = answers.join(before, names[:level], "left").withColumn(
+            "_match", F.coalesce("_match", "_inherited")
+        )
+        answers = answers.drop("_inherited")
+    return answers.select("_key", "_time", "_match")
 
 
-def _last_before(instants: DataFrame, matches: DataFrame) -> DataFrame:
-    """``_inherited``: the latest match of the key before each segment, one row per segment."""
-    ends = matches.groupBy(*_SEGMENT).agg(F.max(F.struct("_time", "_match")).alias("_end"))
-    asked = instants.select(*_SEGMENT).distinct()
+def _last_before(instants: DataFrame, matches: DataFrame, segment: list[str]) -> DataFrame:
+    """``_inherited``: the latest match before each segment inside the next coarser one (the key, at
+    last); one row per segment."""
+    ends = matches.groupBy(*segment).agg(F.max(F.struct("_time", "_match")).alias("_end"))
+    asked = instants.select(*segment).distinct()
     before = (
-        Window.partitionBy("_key")
-        .orderBy("_segment")
+        Window.partitionBy(*segment[:-1])
+        .orderBy(segment[-1])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return asked.join(ends, _SEGMENT, "full").select(
-        *_SEGMENT, F.last("_end._match", ignorenulls=True).over(before).alias("_inherited")
+    return asked.join(ends, segment, "full").select(
+        *segment, F.last("_end._match", ignorenulls=True).over(before).alias("_inherited")
     )

@@ -3,99 +3,45 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from convoy.operators.skew import CROWDED_ROWS, crowded_groups, in_groups
-
-# Rows of one instant in a crowded segment are spread over this many groups.
-_SLICES = 1024
-
 
 def with_previous(
     df: DataFrame,
-    key: str,
+    keys: list[str],
     order_by: list[str],
     values: list[str],
     segments: list[Column],
-    crowded_rows: int | None = CROWDED_ROWS,
+    distinct: bool = False,
 ) -> DataFrame:
-    """Add ``prev_<value>``: what ``lag(value)`` over the key, nulls first, gives.
+    """Add ``prev_<value>``: what ``lag(value)`` over the keys, nulls first, gives.
 
-    Keys of ordinary size take exactly that window. A key with more than ``crowded_rows`` rows is
-    cut along ``segments``, consecutive pieces of its order (an hour, say): its rows are spread
-    by key and segment, and only the first and the last row of every segment meet per key, to
-    link neighbouring segments. That second step sees two rows per segment at most, however
-    large the key is. A segment that is crowded itself is cut further, see ``_by_slice``.
+    ``segments`` cut the order of a key into consecutive pieces, from coarse to fine (hour, then
+    minute). Rows meet by key and finest piece; only the first and the last row of every piece go on
+    to the next coarser one, where the first rows find their predecessors among the last ones,
+    and at most two rows per coarsest piece meet per key. There is one plan for all sizes.
 
-    ``crowded_rows=None`` cuts every key and counts nothing, for inputs that are bounded and read
-    once, such as micro-batches; otherwise finding the crowded keys runs a job.
+    Identical rows are folded into one before anything is shuffled and given back afterwards, so a
+    key, hour or instant that is full of copies is no larger than its different rows. ``distinct``
+    tells that ``df`` has no identical rows and saves that step.
     """
     cuts = {f"_segment{i}": cut for i, cut in enumerate(segments)}
-    groups = [[key, *cuts], [key]]
+    groups = [[*keys, *list(cuts)[:n]] for n in range(len(cuts), -1, -1)]
     columns = [*df.columns, *_previous(values)]
-    if crowded_rows is None:
-        return _link(df.withColumns(cuts), groups, order_by, values).select(*columns)
-
-    crowded = crowded_groups(df, [key], crowded_rows)
-    if not crowded:
-        return _scan(df, [key], order_by, values).select(*columns)
-    calm = df.filter(~in_groups([key], crowded))
-    busy = df.filter(in_groups([key], crowded)).withColumns(cuts)
-    split = _by_slice(busy, df.columns, groups, order_by, values, crowded_rows)
-    return _scan(calm, [key], order_by, values).select(*columns).unionByName(split.select(*columns))
-
-
-def _by_slice(
-    rows: DataFrame,
-    columns: list[str],
-    groups: list[list[str]],
-    order_by: list[str],
-    values: list[str],
-    crowded_rows: int,
-) -> DataFrame:
-    """As ``_link``, but segments with very many rows of the same instant are cut further.
-
-    Identical rows of such a segment are folded into one, on the map side already, and the rest is
-    spread by instant and by a hash of the row. Rows of the same instant are then in the
-    order of that hash.
-    """
-    segment, (key,) = groups
-    crowded = crowded_groups(rows, segment, crowded_rows)
-    if not crowded:
-        return _link(rows, groups, order_by, values)
-    calm = rows.filter(~in_groups(segment, crowded)).withColumns(
-        {"_slice": F.lit(0).cast("bigint"), "_copies": F.lit(1).cast("bigint")}
-    )
-    busy = (
-        rows.filter(in_groups(segment, crowded))
-        .groupBy(*rows.columns)
-        .agg(F.count("*").alias("_copies"))
-        .withColumn("_slice", F.pmod(F.xxhash64(*columns), F.lit(_SLICES)))
-    )
-    order = [order_by[0], "_slice", *order_by[1:]]
-    sliced = _scan(busy, [key, order_by[0], "_slice"], order, values)
-    edges = sliced.filter("_first or _last").withColumnRenamed("_first", "_wanted")
-    linked = _link(
-        calm.withColumn("_wanted", F.lit(True)).unionByName(edges.drop("_last", *_previous(values))),
-        groups,
-        order,
-        values,
-        also=["_wanted"],
-    ).filter("_wanted")
-    distinct = linked.drop("_wanted").unionByName(sliced.filter("not _first").drop("_first", "_last"))
-    return _unfold(distinct, values)
+    if distinct:
+        return _linked(df.withColumns(cuts), groups, order_by, values).select(*columns)
+    folded = df.groupBy(*df.columns).agg(F.count("*").alias("_copies")).withColumns(cuts)
+    return _unfold(_linked(folded, groups, order_by, values), values).select(*columns)
 
 
 def _previous(values: list[str]) -> list[str]:
     return [f"prev_{v}" for v in values]
 
 
-def _scan(
-    rows: DataFrame, group: list[str], order_by: list[str], values: list[str], also: list[str] = ()
-) -> DataFrame:
+def _scan(rows: DataFrame, group: list[str], order_by: list[str], values: list[str]) -> DataFrame:
     """``lag`` inside each group, and whether a row is the first or the last of its group.
 
-    Rows equal in ``order_by`` are ordered by the flags ``also``, true first.
+    Of rows equal in ``order_by`` those still without a predecessor come first.
     """
-    order = [F.col(c).asc_nulls_first() for c in order_by] + [F.col(c).desc() for c in also]
+    order = [F.col(c).asc_nulls_first() for c in order_by] + [F.col("_open").desc()]
     inside = Window.partitionBy(*group).orderBy(*order)
     return rows.withColumns(
         {
@@ -106,27 +52,24 @@ def _scan(
     )
 
 
-def _link(
-    rows: DataFrame,
-    groups: list[list[str]],
-    order_by: list[str],
-    values: list[str],
-    also: list[str] = (),
+def _linked(
+    rows: DataFrame, groups: list[list[str]], order_by: list[str], values: list[str]
 ) -> DataFrame:
-    """``lag`` inside the narrow ``groups[0]``; the first row of each finds its predecessor among
-    the last rows of the others in the wider ``groups[1]``.
+    """``lag`` over the widest of ``groups``, found level by level from the narrowest.
 
-    Both uses of the scanned rows read the same shuffle files.
+    Both uses of the scanned rows of a level read the same shuffle files.
     """
-    narrow, wide = groups
-    scanned = _scan(rows, narrow, order_by, values, also)
-    edges = scanned.filter("_first or _last").withColumnRenamed("_first", "_head")
-    heads = (
-        _scan(edges.drop("_last", *_previous(values)), wide, order_by, values, [*also, "_head"])
-        .filter("_head")
-        .drop("_head", "_first", "_last")
-    )
-    return scanned.filter("not _first").drop("_first", "_last").unionByName(heads)
+    rows = rows.withColumn("_open", F.lit(True))
+    done = []
+    for group in groups[:-1]:
+        scanned = _scan(rows, group, order_by, values)
+        done.append(scanned.filter("_open and not _first").drop("_open", "_first", "_last"))
+        edges = scanned.filter("_first or _last").withColumn("_open", F.col("_open") & F.col("_first"))
+        rows = edges.drop("_first", "_last", *_previous(values))
+    found = _scan(rows, groups[-1], order_by, values).filter("_open").drop("_open", "_first", "_last")
+    for part in done:
+        found = found.unionByName(part)
+    return found
 
 
 def _unfold(rows: DataFrame, values: list[str]) -> DataFrame:
@@ -135,9 +78,7 @@ def _unfold(rows: DataFrame, values: list[str]) -> DataFrame:
     Copies leave in portions that are spread over the tasks before they are written out.
     """
     portion = 100_000
-    folded = rows.filter("_copies > 1").withColumns(
-        {f"prev_{v}": F.col(v) for v in values}
-    )
+    folded = rows.filter("_copies > 1").withColumns({f"prev_{v}": F.col(v) for v in values})
     portions = folded.withColumn(
         "_portion", F.explode(F.sequence(F.lit(0), F.ceil((F.col("_copies") - 1) / portion) - 1))
     ).repartition(*folded.columns, "_portion")

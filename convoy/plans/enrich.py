@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from convoy.functions import haversine_km, whole_seconds
 from convoy.operators import with_previous
-from convoy.operators.skew import CROWDED_ROWS
 from convoy.schemas import (
     IMMOBILE_BELOW_KMH,
     MAX_SPEED_GAP_KMH,
@@ -16,23 +15,24 @@ from convoy.schemas import (
 POSITION = ["lat", "lon", "event_time"]
 
 
-def with_previous_position(
-    positions: DataFrame, crowded_rows: int | None = CROWDED_ROWS
-) -> DataFrame:
+def with_previous_position(positions: DataFrame, distinct: bool = False) -> DataFrame:
     """``prev_lat``, ``prev_lon``, ``prev_event_time`` of the same vehicle.
 
-    Positions without a time come first, as nulls do in an ascending sort; they are cut by
-    hour of arrival instead where that is known. Equal times are told apart by the other columns.
+    Positions without a time have no predecessor and are none: where they belong is unknown, and a stream
+    could not know those still to come. Equal times are told apart by the other columns, the
+    time of arrival first. ``distinct``: no two rows are identical.
     """
-    cuts = [F.date_trunc("HOUR", "event_time")]
     order = ["event_time"]
     if "kafka_timestamp" in positions.columns:
         order.append("kafka_timestamp")
-        cuts.append(
-            F.when(F.col("event_time").isNull(), F.date_trunc("HOUR", "kafka_timestamp"))
-        )
     order += [c for c in positions.columns if c not in order and c != "vehicle_id"]
-    return with_previous(positions, "vehicle_id", order, POSITION, cuts, crowded_rows)
+    cuts = [F.date_trunc("HOUR", "event_time"), F.date_trunc("MINUTE", "event_time")]
+    # positions without a time go through the same plan, spread evenly, so that nothing is parsed twice
+    timed = F.col("event_time").isNotNull()
+    spread = F.when(timed, F.lit(-1)).otherwise(F.pmod(F.xxhash64(*positions.columns), F.lit(1024)))
+    keys = ["vehicle_id", "_spread"]
+    found = with_previous(positions.withColumn("_spread", spread), keys, order, POSITION, cuts, distinct)
+    return found.withColumns({f"prev_{c}": F.when(timed, F.col(f"prev_{c}")) for c in POSITION}).drop("_spread")
 
 
 def with_movement(positions: DataFrame) -> DataFrame:
@@ -58,10 +58,8 @@ def with_movement(positions: DataFrame) -> DataFrame:
     )
 
 
-def add_movement_metrics(
-    positions: DataFrame, crowded_rows: int | None = CROWDED_ROWS
-) -> DataFrame:
-    return with_movement(with_previous_position(positions, crowded_rows))
+def add_movement_metrics(positions: DataFrame, distinct: bool = False) -> DataFrame:
+    return with_movement(with_previous_position(positions, distinct))
 
 
 def add_anomaly_flags(positions: DataFrame) -> DataFrame:
@@ -79,5 +77,5 @@ def add_anomaly_flags(positions: DataFrame) -> DataFrame:
     )
 
 
-def enrich_gps(positions: DataFrame, crowded_rows: int | None = CROWDED_ROWS) -> DataFrame:
-    return add_anomaly_flags(add_movement_metrics(positions, crowded_rows))
+def enrich_gps(positions: DataFrame, distinct: bool = False) -> DataFrame:
+    return add_anomaly_flags(add_movement_metrics(positions, distinct))
