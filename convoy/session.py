@@ -1,5 +1,6 @@
 """Session settings and the folder for intermediate tables."""
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,7 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         shared = tempfile.mkdtemp(prefix="run-")
     return f"{shared.rstrip('/')}/convoy-{purpose}-{uuid.uuid4().hex[:12]}"

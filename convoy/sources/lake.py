@@ -30,15 +30,20 @@ def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType)
     return rows.select(*schema.names)
 
 
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """Whether a table's folder was written to the end."""
+    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+
+
 def read_lake(spark: SparkSession, root: str, event_type: str) -> DataFrame:
     """All rows of one event type."""
     return read_parquet_or_empty(spark, lake_path(root, event_type), LAKE_SCHEMAS[event_type])
 
 
-def lake_files(spark: SparkSession, root: str) -> DataFrame:
-    """Event type, path and size of every Parquet file, from the listing: no content is read."""
+def _binary_files(spark: SparkSession, root: str) -> DataFrame:
     try:
-        files = (
+        return (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.parquet")
             .option("recursiveFileLookup", "true")
@@ -47,12 +52,21 @@ def lake_files(spark: SparkSession, root: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        files = spark.createDataFrame([], "path string, length bigint")
-    return files.select(
-        F.regexp_extract("path", "/events/([^/]+)/", 1).alias("event_type"),
-        F.col("path").alias("file_path"),
-        F.col("length").alias("file_size"),
-    )
+        return spark.createDataFrame([], "path string, length bigint, content binary")
+
+
+_EVENT_TYPE = "regexp_extract(path, '/events/([^/]+)/', 1) AS event_type"
+
+
+def lake_files(spark: SparkSession, root: str) -> DataFrame:
+    """Event type, path and size of every Parquet file, from the listing: no content is read."""
+    files = _binary_files(spark, root)
+    return files.selectExpr(_EVENT_TYPE, "path AS file_path", "length AS file_size")
+
+
+def lake_contents(spark: SparkSession, root: str) -> DataFrame:
+    """Event type, path and content of the files; content is read where it is used."""
+    return _binary_files(spark, root).selectExpr(_EVENT_TYPE, "path AS file_path", "content")
 
 
 def file_inventory(spark: SparkSession, root: str, event_type: str | None = None) -> DataFrame:

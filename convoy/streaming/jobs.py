@@ -1,10 +1,11 @@
 """The streaming job: start, watch and stop the queries."""
 
 import time
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from convoy.schemas import DELIVERY_TOPIC, DRIVER_TOPIC, GPS_TOPIC, ORDER_TOPIC
 from convoy.sources.topics import read_topic
@@ -35,23 +36,11 @@ def run_stream(
     spark: SparkSession, servers: str, layout: Layout, max_offsets_per_trigger: int | None = None
 ) -> None:
     """Read the four topics from a broker and process them until interrupted."""
-    start_topics(
+    queries = start_topics(
         {topic: read_topic(spark, topic, servers, max_offsets_per_trigger) for topic in QUERY_NAMES},
         layout,
     )
-    watch(spark)
-
-
-def drop_repeats(events: DataFrame, keys: list[str], delay: str = "1 hour") -> DataFrame:
-    """Drop events already seen under the same keys; the state forgets them after ``delay``.
-
-    Events without a time cannot be placed before or after the watermark and are left out.
-    """
-    return (
-        events.filter("event_time is not null")
-        .withWatermark("event_time", delay)
-        .dropDuplicatesWithinWatermark(keys)
-    )
+    watch(spark, queries=queries)
 
 
 def progress(spark: SparkSession, queries: list[StreamingQuery] | None = None) -> DataFrame:
@@ -64,15 +53,37 @@ def progress(spark: SparkSession, queries: list[StreamingQuery] | None = None) -
                 query.name,
                 last["batchId"] if last else None,
                 last["numInputRows"] if last else None,
-                query.status["message"],
+                "failed" if query.exception() else query.status["message"],
             )
         )
     return spark.createDataFrame(rows, PROGRESS_COLUMNS)
 
 
-def rows_read(query: StreamingQuery) -> int:
-    """Input rows over the batches the query still remembers."""
-    return sum(p["numInputRows"] for p in query.recentProgress)
+class RowCounter(StreamingQueryListener):
+    """Input rows of every query since the counter was added to ``spark.streams``, by query id."""
+
+    def __init__(self):
+        self.rows: dict[str, int] = defaultdict(int)
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event):
+        self.ended.discard(str(event.id))
+
+    def onQueryProgress(self, event):
+        self.rows[str(event.progress.id)] += event.progress.numInputRows
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.add(str(event.id))
+
+    def of(self, query: StreamingQuery, patience: float = 30) -> int:
+        """Rows of a query; if it has ended, with all that the listener is still to hear."""
+        until = time.time() + patience
+        while not query.isActive and str(query.id) not in self.ended and time.time() < until:
+            time.sleep(0.05)
+        return self.rows[str(query.id)]
 
 
 def stop_all(spark: SparkSession) -> None:
@@ -80,13 +91,23 @@ def stop_all(spark: SparkSession) -> None:
         query.stop()
 
 
-def watch(spark: SparkSession, every_seconds: int = 30) -> None:
-    """Print the progress until interrupted or until a query fails, then stop all queries."""
+def failures(queries: list[StreamingQuery]) -> list[Exception]:
+    return [e for e in (q.exception() for q in queries if not q.isActive) if e is not None]
+
+
+def watch(
+    spark: SparkSession, every_seconds: float = 30, queries: list[StreamingQuery] | None = None
+) -> None:
+    """Print the progress until interrupted, until all queries have ended or until one fails; then stop
+    all queries, and raise what the failed one raised."""
+    queries = spark.streams.active if queries is None else queries
     try:
-        while spark.streams.active:
-            progress(spark).orderBy(F.col("query_name")).show(truncate=False)
+        while any(q.isActive for q in queries) and not failures(queries):
+            progress(spark, queries).orderBy(F.col("query_name")).show(truncate=False)
             time.sleep(every_seconds)
     except KeyboardInterrupt:
         pass
     finally:
         stop_all(spark)
+    for failure in failures(queries):
+        raise failure

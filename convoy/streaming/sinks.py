@@ -2,13 +2,21 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from convoy.plans.ingest import split_valid_invalid, clean_events, with_lake_columns, with_reject_date
 from convoy.plans.state import STATE_FIELDS, live_state, merge_state, vehicle_state
-from convoy.schemas import EVENT_TYPE_BY_TOPIC, GPS_TOPIC, STATE_TTL_SECONDS, struct_of
+from convoy.schemas import (
+    EVENT_TYPE_BY_TOPIC,
+    GPS_TOPIC,
+    LAKE_SCHEMAS,
+    STATE_TTL_SECONDS,
+    struct_of,
+)
+from convoy.sources.lake import read_parquet_or_empty
 from convoy.sources.topics import parse_events
 from convoy.streaming.enrich import advance, enrich_batch, last_positions
 from convoy.streaming.layout import Layout
@@ -17,6 +25,12 @@ from convoy.streaming.state import BatchState
 LAKE_PARTITIONS = ["event_date", "event_type"]
 DEAD_LETTER_PARTITIONS = ["reject_date", "reject_topic"]
 
+#: Lake rows with the partition columns that name their writer and batch.
+STORED_EVENTS = {
+    t: StructType([*s.fields, StructField("writer_id", StringType()), StructField("batch_id", LongType())])
+    for t, s in LAKE_SCHEMAS.items()
+}
+
 VEHICLE_STATE = struct_of(
     "vehicle_id string, driver_id string, lat double, lon double, speed_kmh double, "
     "event_time timestamp, updated_at timestamp"
@@ -30,11 +44,17 @@ def _triggered(writer: DataStreamWriter, seconds: int, available_now: bool) -> D
     return writer.trigger(processingTime=f"{seconds} seconds")
 
 
+def _writer(batch: DataFrame) -> str:
+    """Id of the streaming query that handles this batch: kept in its checkpoint, so it stays through
+    restarts, and a new checkpoint, whose batches count from 0 again, has another one."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+
+
 def _append_batch(rows: DataFrame, path: str, partitions: list[str], batch_id: int) -> None:
     """Add a batch to a partitioned table; replaying it replaces its own files only."""
     (
-        rows.withColumn("batch_id", F.lit(batch_id))
-        .write.partitionBy(*partitions, "batch_id")
+        rows.withColumns({"writer_id": F.lit(_writer(rows)), "batch_id": F.lit(batch_id)})
+        .write.partitionBy(*partitions, "writer_id", "batch_id")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .parquet(path)
@@ -43,11 +63,13 @@ def _append_batch(rows: DataFrame, path: str, partitions: list[str], batch_id: i
 
 def _append_to_all(rows: DataFrame, paths: list[str], partitions: list[str], batch_id: int) -> None:
     """Write to every target, computing the rows once."""
-    if len(paths) > 1:
-        rows = rows.persist()
-    for path in paths:
-        _append_batch(rows, path, partitions, batch_id)
-    if len(paths) > 1:
+    if len(paths) == 1:
+        return _append_batch(rows, paths[0], partitions, batch_id)
+    rows = rows.persist()
+    try:
+        for path in paths:
+            _append_batch(rows, path, partitions, batch_id)
+    finally:
         rows.unpersist()
 
 
@@ -90,11 +112,12 @@ def write_lake(
 def write_dead_letters(
     rejected: DataFrame, layout: Layout, query_name: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Rejected events, as they came, by day of rejection and topic."""
+    """Rejected events, as they came, by day of arrival and topic: a batch that is replayed on the next day
+    is filed where it was."""
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # The topics share one table; the topic in the partition keeps their batches apart.
-        rows = with_reject_date(batch)
+        rows = with_reject_date(batch, F.to_date("kafka_timestamp"))
         _append_to_all(rows, layout.dead_letters(), DEAD_LETTER_PARTITIONS, batch_id)
 
     return _for_each_batch(
@@ -137,8 +160,17 @@ def write_enriched_lake(
     )
 
 
-def vehicle_states(layout: Layout) -> BatchState:
-    return BatchState(layout.state("vehicles"), VEHICLE_STATE)
+class VehicleStates(BatchState):
+    """The vehicles as readers see them: those heard of within the time-to-live before ``as_of`` (now)."""
+
+    def latest(
+        self, spark: SparkSession, as_of: Column | None = None, ttl_seconds: int = STATE_TTL_SECONDS
+    ) -> DataFrame:
+        return live_state(super().latest(spark), F.current_timestamp() if as_of is None else as_of, ttl_seconds)
+
+
+def vehicle_states(layout: Layout) -> VehicleStates:
+    return VehicleStates(layout.state("vehicles"), VEHICLE_STATE)
 
 
 def _update_vehicles(layout: Layout, ttl_seconds: int) -> Callable[[DataFrame, int], None]:
@@ -171,6 +203,47 @@ def write_vehicle_state(
     )
 
 
+def write_once(
+    events: DataFrame,
+    event_type: str,
+    keys: list[str],
+    layout: Layout,
+    query_name: str,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Clean events to the lake, each only the first time it comes.
+
+    Events with a time are told apart by ``keys`` (with ``event_time``); of several in one batch that differ
+    otherwise the least row stays. Events without a time are told apart by all of their columns, the
+    time of arrival included. However late, an event is compared with what the lake has of its own day, so nothing
+    is forgotten and nothing but repeats is dropped.
+    """
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        rows = with_lake_columns(batch, event_type)
+        columns = [c for c in batch.columns if c not in keys]
+        rest = F.min(F.struct(*columns)).alias("rest")
+        timed = rows.filter("event_time is not null").groupBy(*keys, "event_type", "event_date").agg(rest)
+        timed = timed.select(*keys, *[f"rest.{c}" for c in columns], "event_type", "event_date")
+        untimed = rows.filter("event_time is null").distinct()
+        for path in layout.events(event_type):
+            stored = read_parquet_or_empty(batch.sparkSession, path, STORED_EVENTS[event_type])
+            own = (F.col("writer_id") == _writer(batch)) & (F.col("batch_id") == batch_id)
+            known = stored.filter(~own).drop("writer_id", "batch_id")
+            days = timed.select("event_date").distinct()
+            seen = known.join(days, "event_date", "left_semi").select("event_date", *keys)
+            new = timed.join(seen, ["event_date", *keys], "left_anti").select(rows.columns)
+            same = [c for c in batch.columns if c != "event_time"]
+            there = known.filter("event_date is null").select(*same).alias("k")
+            equal = [F.col(f"u.{c}").eqNullSafe(F.col(f"k.{c}")) for c in same]
+            also = untimed.alias("u").join(there, equal, "left_anti").select(rows.columns)
+            _append_batch(new.unionByName(also), path, LAKE_PARTITIONS, batch_id)
+
+    return _for_each_batch(
+        events, write_batch, layout, query_name, layout.trigger_seconds, available_now
+    )
+
+
 def write_topic(
     records: DataFrame, topic: str, layout: Layout, query_name: str, available_now: bool = False
 ) -> StreamingQuery:
@@ -183,18 +256,23 @@ def write_topic(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         parsed = parse_events(batch, topic).persist()
-        valid, rejected = split_valid_invalid(parsed, topic)
-        clean = clean_events(valid)
-        if is_gps:
-            enrich(clean, batch_id)
-            update_vehicles(clean, batch_id)
-        else:
-            rows = with_lake_columns(clean, event_type)
-            _append_to_all(rows, layout.events(event_type), LAKE_PARTITIONS, batch_id)
-        _append_to_all(
-            with_reject_date(rejected), layout.dead_letters(), DEAD_LETTER_PARTITIONS, batch_id
-        )
-        parsed.unpersist()
+        try:
+            valid, rejected = split_valid_invalid(parsed, topic)
+            clean = clean_events(valid)
+            if is_gps:
+                enrich(clean, batch_id)
+                update_vehicles(clean, batch_id)
+            else:
+                rows = with_lake_columns(clean, event_type)
+                _append_to_all(rows, layout.events(event_type), LAKE_PARTITIONS, batch_id)
+            _append_to_all(
+                with_reject_date(rejected, F.to_date("kafka_timestamp")),
+                layout.dead_letters(),
+                DEAD_LETTER_PARTITIONS,
+                batch_id,
+            )
+        finally:
+            parsed.unpersist()
 
     return _for_each_batch(
         records, write_batch, layout, query_name, layout.trigger_seconds, available_now

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from convoy.sources.lake import read_parquet_or_empty
+from convoy.sources.lake import is_committed, read_parquet_or_empty
 
 
 class BatchState:
@@ -29,16 +29,21 @@ class BatchState:
     def write(self, state: DataFrame, batch_id: int) -> None:
         (
             state.select(*self.schema.names)
-            .withColumn("state_batch", F.lit(batch_id).cast("bigint"))
+            .withColumn("state_written", F.current_timestamp())
             .write.mode("overwrite")
             .parquet(self._slot(batch_id))
         )
 
     def latest(self, spark: SparkSession) -> DataFrame:
-        """State after the newest batch, for readers outside the stream."""
-        stored = T.StructType([*self.schema.fields, T.StructField("state_batch", T.LongType())])
-        slots = read_parquet_or_empty(spark, self._slot(0), stored).unionByName(
-            read_parquet_or_empty(spark, self._slot(1), stored)
-        )
-        newest = slots.agg(F.max("state_batch").alias("state_batch"))
-        return slots.join(newest, "state_batch").select(*self.schema.names)
+        """State after the newest batch, for readers outside the stream.
+
+        Of the slots whose writing has ended the one written last counts: batch numbers start again with
+        a new checkpoint, times don't.
+        """
+        stored = T.StructType([*self.schema.fields, T.StructField("state_written", T.TimestampType())])
+        slots = spark.createDataFrame([], stored)
+        for slot in (0, 1):
+            if is_committed(spark, self._slot(slot)):
+                slots = slots.unionByName(read_parquet_or_empty(spark, self._slot(slot), stored))
+        newest = slots.agg(F.max("state_written").alias("state_written"))
+        return slots.join(newest, "state_written").select(*self.schema.names)
