@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from convoy.functions import boundary_diff, percentage
 from convoy.operators import asof_join
-from convoy.schemas import CALENDAR_MARGIN_DAYS, CALENDAR_MAX_ROWS
+from convoy.schemas import CALENDAR_MARGIN_DAYS
 
 
 def _refreshed(mart: DataFrame, as_of: Column | None) -> DataFrame:
@@ -258,19 +258,13 @@ def fct_deliveries(
 
 
 def date_spine(daily_activity: DataFrame) -> DataFrame:
-    """One row per day from 30 days before the first active day to 30 after the last,
-    400 rows at most counted from the start."""
+    """One row per day from 30 days before the first active day to 30 after the last."""
     start = F.date_add(F.min("activity_date"), -CALENDAR_MARGIN_DAYS)
     end = F.date_add(F.max("activity_date"), CALENDAR_MARGIN_DAYS)
-    last_allowed = F.date_add("start_date", CALENDAR_MAX_ROWS - 1)
     return (
         daily_activity.agg(start.alias("start_date"), end.alias("end_date"))
         .filter("start_date is not null")
-        .select(
-            F.explode(
-                F.sequence(F.col("start_date"), F.least(F.col("end_date"), last_allowed))
-            ).alias("date_day")
-        )
+        .select(F.explode(F.sequence("start_date", "end_date")).alias("date_day"))
     )
 
 

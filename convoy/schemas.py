@@ -39,7 +39,6 @@ MAX_STEP_KM = 2.0
 
 STATE_TTL_SECONDS = 86400
 CALENDAR_MARGIN_DAYS = 30
-CALENDAR_MAX_ROWS = 400
 # ----------------------------------------------------------------------------
 
 

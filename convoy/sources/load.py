@@ -5,12 +5,22 @@ overwrites it when it is replayed, so a lost executor or driver never leaves a r
 A full reload starts generation G+1 with a new checkpoint; readers see the old one until then.
 """
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.schemas import LAKE_SCHEMAS, RAW_SCHEMAS, RAW_TABLE_BY_EVENT_TYPE, struct_of
-from convoy.sources.lake import lake_files, lake_path, read_parquet_or_empty
+from convoy.sources.lake import lake_contents, lake_files, lake_path, read_parquet_or_empty
+
+#: No file is too old to be loaded; a backfill may keep the times of its files.
+MAX_FILE_AGE = "36500d"
+#: A pace for the first load of a large lake, not a limit: all files are loaded.
+FILES_PER_BATCH = 10_000
 
+GENERATION_SCHEMA = struct_of("generation int")
 AUDIT_SCHEMA = struct_of(
     "table_name string, generation int, file_path string, n_rows bigint, load_timestamp timestamp"
 )
@@ -26,14 +36,23 @@ def read_load_audit(spark: SparkSession, raw: str) -> DataFrame:
     return read_parquet_or_empty(spark, _audit_path(raw), AUDIT_SCHEMA)
 
 
+def _generations_path(raw: str, table: str) -> str:
+    return f"{raw}/_generations/{table}"
+
+
 def _generation(spark: SparkSession, raw: str, table: str) -> int:
-    newest = (
-        read_load_audit(spark, raw)
-        .filter(F.col("table_name") == table)
-        .agg(F.max("generation"))
-        .first()[0]
+    """The generation that readers see: the greatest whose load has ended."""
+    ended = read_parquet_or_empty(spark, _generations_path(raw, table), GENERATION_SCHEMA)
+    return ended.agg(F.max("generation")).first()[0] or 0
+
+
+def _switch(spark: SparkSession, raw: str, table: str, generation: int) -> None:
+    """Make a generation current, also one that no file gave a row."""
+    (
+        spark.createDataFrame([(generation,)], GENERATION_SCHEMA)
+        .write.mode("overwrite")
+        .parquet(f"{_generations_path(raw, table)}/ended={generation}")
     )
-    return newest or 0
 
 
 def read_raw(spark: SparkSession, raw: str, table: str) -> DataFrame:
@@ -57,9 +76,10 @@ def bind_to_raw(lake_rows: DataFrame, table: str) -> DataFrame:
     return lake_rows.select(*columns)
 
 
-def _load_type(spark: SparkSession, lake: str, raw: str, event_type: str, truncate: bool) -> None:
+def _load_type(
+    spark: SparkSession, lake: str, raw: str, event_type: str, generation: int, files_per_batch: int
+) -> None:
     table = RAW_TABLE_BY_EVENT_TYPE[event_type]
-    generation = _generation(spark, raw, table) + (1 if truncate else 0)
 
     def write_batch(rows: DataFrame, batch_id: int) -> None:
         target = f"{raw}/{table}/generation={generation}/load_batch={batch_id}"
@@ -82,6 +102,8 @@ def _load_type(spark: SparkSession, lake: str, raw: str, event_type: str, trunca
         spark.readStream.schema(LAKE_SCHEMAS[event_type])
         .option("pathGlobFilter", "*.parquet")
         .option("ignoreCorruptFiles", "true")
+        .option("maxFileAge", MAX_FILE_AGE)
+        .option("maxFilesPerTrigger", files_per_batch)
         .parquet(lake_path(lake, event_type))
         .select("*", "_metadata.file_path")
         .writeStream.foreachBatch(write_batch)
@@ -99,25 +121,34 @@ def load_events(
     raw: str,
     event_type: str | None = None,
     truncate: bool = False,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> DataFrame:
     """Load the files not seen before, of one type or all, and return the load summary.
 
-    ``truncate`` starts over with every file. The summary has, per table: files and rows loaded by
-    this call, files of the lake that gave no row (empty or unreadable), and the rows after it.
+    Files of any age are loaded, ``files_per_batch`` at a time. ``truncate`` starts over with every file: a new
+    generation is filled and becomes current at the end, empty if the lake is. The summary has, per
+    table: files and rows loaded by this call, files of the lake without a row, unreadable
+    files, and the rows after it.
     """
     types = [event_type] if event_type else list(RAW_TABLE_BY_EVENT_TYPE)
     earlier = {} if truncate else _loaded(spark, raw)
     present = [r["event_type"] for r in lake_files(spark, lake).select("event_type").distinct().collect()]
     for name in types:
+        table = RAW_TABLE_BY_EVENT_TYPE[name]
+        generation = _generation(spark, raw, table) + (1 if truncate else 0)
         if name in present:
-            _load_type(spark, lake, raw, name, truncate)
+            _load_type(spark, lake, raw, name, generation, files_per_batch)
+        if truncate:
+            _switch(spark, raw, table, generation)
     return load_summary(spark, lake, raw, types, earlier)
 
 
 def _current_audit(spark: SparkSession, raw: str) -> DataFrame:
-    audit = read_load_audit(spark, raw)
-    newest = audit.groupBy("table_name").agg(F.max("generation").alias("generation"))
-    return audit.join(newest, ["table_name", "generation"])
+    current = spark.createDataFrame(
+        [(t, _generation(spark, raw, t)) for t in RAW_TABLE_BY_EVENT_TYPE.values()],
+        "table_name string, generation int",
+    )
+    return read_load_audit(spark, raw).join(current, ["table_name", "generation"])
 
 
 def _loaded(spark: SparkSession, raw: str) -> dict[str, tuple[int, int]]:
@@ -130,6 +161,21 @@ def _loaded(spark: SparkSession, raw: str) -> dict[str, tuple[int, int]]:
     return {r["table_name"]: (r["n_files"], r["n_rows"]) for r in totals.collect()}
 
 
+def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Whether each file can be opened as Parquet and read to its end."""
+    for batch in batches:
+        readable = []
+        for content in batch.column("content"):
+            try:
+                pq.ParquetFile(pa.BufferReader(content.as_buffer())).read(columns=[])
+                readable.append(True)
+            except (pa.ArrowInvalid, OSError):
+                readable.append(False)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("event_type"), pa.array(readable)], names=["event_type", "readable"]
+        )
+
+
 def load_summary(
     spark: SparkSession,
     lake: str,
@@ -137,18 +183,22 @@ def load_summary(
     types: list[str],
     earlier: dict[str, tuple[int, int]],
 ) -> DataFrame:
+    """Per table what a load did. A file that gave no row is opened to tell whether it is empty or
+    unreadable; these files are few and small, as Spark leaves them behind."""
     loaded = _current_audit(spark, raw)
     totals = loaded.groupBy("table_name").agg(
         F.count("*").alias("files_after"), F.sum("n_rows").alias("n_rows_after")
     )
     # The same file can be spelt file:/x in one listing and file:///x in the other.
     plain = F.regexp_replace("file_path", "^[a-z0-9]+:/+", "/")
-    missing = (
-        lake_files(spark, lake)
+    rowless = (
+        lake_contents(spark, lake)
         .withColumn("file", plain)
         .join(loaded.select(plain.alias("file")), "file", "left_anti")
+        .select("event_type", "content")
+        .mapInArrow(_footers, "event_type string, readable boolean")
         .groupBy("event_type")
-        .agg(F.count("*").alias("n_errors"))
+        .agg(F.count_if("readable").alias("n_empty"), F.count_if(~F.col("readable")).alias("n_errors"))
     )
     tables = spark.createDataFrame(
         [(t, RAW_TABLE_BY_EVENT_TYPE[t], *earlier.get(RAW_TABLE_BY_EVENT_TYPE[t], (0, 0))) for t in types],
@@ -156,12 +206,13 @@ def load_summary(
     )
     return (
         tables.join(totals, "table_name", "left")
-        .join(missing, "event_type", "left")
+        .join(rowless, "event_type", "left")
         .fillna(0)
         .select(
             "table_name",
             (F.col("files_after") - F.col("files_before")).alias("n_files"),
             (F.col("n_rows_after") - F.col("rows_before")).alias("n_loaded"),
+            "n_empty",
             "n_errors",
             "n_rows_after",
         )

@@ -1,4 +1,4 @@
-from datetime import date
+from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -247,10 +247,11 @@ def test_calendar_margins_and_flags(frame):
     assert (sunday.week_of_year, str(sunday.quarter_start), str(sunday.month_end)) == (1, "2026-01-01", "2026-01-31")
 
 
-def test_calendar_is_capped(frame):
+def test_calendar_has_every_day_of_six_years(frame):
     days = frame("activity_date string", ("2020-01-01",), ("2026-01-01",)).selectExpr("date(activity_date) activity_date")
-    rows = marts.date_spine(days).collect()
-    assert len(rows) == 400 and str(rows[0].date_day) == "2019-12-02"
+    rows = [r.date_day for r in marts.date_spine(days).collect()]
+    assert rows == [date(2019, 12, 2) + timedelta(days=i) for i in range(2253)]
+    assert rows[-1] == date(2026, 1, 31)
 
 
 def test_calendar_of_nothing_is_empty(spark):
