@@ -38,9 +38,9 @@ def _type_totals(
     )
     age = (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros("newest")) / 1_000_000
     gauges = [
-        _gauge("lake_events_total", event_type, F.col("n")),
-        _gauge("lake_last_event_age_seconds", event_type, F.coalesce(age, F.lit(-1.0))),
-        *[_gauge("lake_anomalies_total", a, F.col(a)) for a in anomalies],
+        _gauge("delivery_lake_events_total", event_type, F.col("n")),
+        _gauge("delivery_lake_last_event_age_seconds", event_type, F.coalesce(age, F.lit(-1.0))),
+        *[_gauge("delivery_lake_anomalies_total", a, F.col(a)) for a in anomalies],
     ]
     passed = [F.coalesce(F.col(f"check{i}") == 0, F.lit(False)) for i in range(len(checks))]
     return totals.select(
@@ -69,7 +69,7 @@ def lake_and_quality_gauges(lake: dict[str, DataFrame], as_of: Column) -> DataFr
         return F.when(checks > 0, F.lit(100.0) * passed / checks).otherwise(0.0)
 
     by_type = _gauge(
-        "data_quality_score_by_type", F.col("event_type"), score(F.col("n_passed"), F.col("n_checks"))
+        "delivery_data_quality_score_by_type", F.col("event_type"), score(F.col("n_passed"), F.col("n_checks"))
     )
     # One row per event type, four at most, come together here.
     totals = types.agg(
@@ -78,9 +78,9 @@ def lake_and_quality_gauges(lake: dict[str, DataFrame], as_of: Column) -> DataFr
         F.sum("n_passed").alias("n_passed"),
     )
     overall = [
-        _gauge("data_quality_score", None, F.round(score(F.col("n_passed"), F.col("n_checks")), 1)),
-        _gauge("data_quality_expectations_total", None, F.col("n_checks")),
-        _gauge("data_quality_expectations_passed", None, F.col("n_passed")),
+        _gauge("delivery_data_quality_score", None, F.round(score(F.col("n_passed"), F.col("n_checks")), 1)),
+        _gauge("delivery_data_quality_expectations_total", None, F.col("n_checks")),
+        _gauge("delivery_data_quality_expectations_passed", None, F.col("n_passed")),
     ]
     return totals.select(F.inline(F.concat("gauges", F.array(*overall))))
 
@@ -95,14 +95,14 @@ def driver_gauges(driver_events: DataFrame) -> DataFrame:
     totals = latest.agg(
         *[F.count_if(F.col("latest.status") == s).alias(s) for s in DRIVER_STATUSES]
     )
-    return _rows(totals, *[_gauge("drivers_by_status", s, F.col(s)) for s in DRIVER_STATUSES])
+    return _rows(totals, *[_gauge("delivery_drivers_by_status", s, F.col(s)) for s in DRIVER_STATUSES])
 
 
 def state_gauges(state: DataFrame) -> DataFrame:
     return _rows(
         fleet_speed(state),
-        _gauge("vehicles_tracked", None, F.col("vehicles_tracked")),
-        _gauge("vehicles_avg_speed_kmh", None, F.col("avg_speed_kmh")),
+        _gauge("delivery_vehicles_tracked", None, F.col("vehicles_tracked")),
+        _gauge("delivery_vehicles_avg_speed_kmh", None, F.col("avg_speed_kmh")),
     )
 
 

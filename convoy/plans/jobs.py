@@ -1,5 +1,7 @@
 """The batch job: load, staging, tests, marts, tests."""
 
+import uuid
+from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +14,9 @@ from convoy.schemas import RAW_SCHEMAS
 from convoy.sources.load import load_events, read_raw
 
 
+SCHEMA = "fleet"
+
+
 class GateFailed(Exception):
     """A table test failed; ``failures`` lists (table, test, column, failing)."""
 
@@ -30,27 +35,31 @@ def gate(stage: str, tables: dict[str, DataFrame]) -> None:
         )
 
 
-def _store(table: DataFrame, path: str, name: str) -> DataFrame:
-    """Write a table, read it back and give it its name in the session."""
+def _store(table: DataFrame, path: str) -> DataFrame:
+    """Write a table and read it back."""
     table.write.mode("overwrite").parquet(path)
-    stored = table.sparkSession.read.schema(table.schema).parquet(path)
-    stored.createOrReplaceTempView(name)
-    return stored
+    return table.sparkSession.read.schema(table.schema).parquet(path)
 
 
 def _store_all(tables: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
     """Write tables that do not depend on each other side by side."""
     with ThreadPoolExecutor() as pool:
-        stored = pool.map(lambda name: _store(tables[name], f"{out}/{name}", name), tables)
+        stored = pool.map(lambda name: _store(tables[name], f"{out}/{name}"), tables)
         return dict(zip(tables, stored))
 
 
+def publish(spark: SparkSession, schema: str, names: Iterable[str], out: str) -> None:
+    """Let ``schema.name`` in the catalog show the table stored at ``out/name``, one switch per table: readers see the
+    former table until then, and whole."""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{schema}`")
+    for name in names:
+        spark.sql(f"CREATE OR REPLACE VIEW `{schema}`.`{name}` AS SELECT * FROM parquet.`{out}/{name}`")
+
+
 def build_marts(staging: dict[str, DataFrame], out: str) -> dict[str, DataFrame]:
     """The five marts, written in the order they need each other."""
     now = F.current_timestamp()
-    rollup = _store(
-        M.gps_day_rollup(staging["stg_gps_events"]), f"{out}/gps_day_rollup", "gps_day_rollup"
-    )
+    rollup = _store(M.gps_day_rollup(staging["stg_gps_events"]), f"{out}/gps_day_rollup")
     deliveries, drivers = staging["stg_delivery_events"], staging["stg_driver_events"]
     marts = {
         "dim_drivers": M.dim_drivers(drivers, deliveries, now),
@@ -60,18 +69,26 @@ def build_marts(staging: dict[str, DataFrame], out: str) -> dict[str, DataFrame]
     }
     stored = _store_all(marts, out)
     calendar = M.dim_date(stored["fct_daily_activity"], F.current_date(), now)
-    stored["dim_date"] = _store(calendar, f"{out}/dim_date", "dim_date")
+    stored["dim_date"] = _store(calendar, f"{out}/dim_date")
     return stored
 
 
 def run_batch(
-    spark: SparkSession, raw: dict[str, DataFrame], out: str, stored_staging: bool = True
+    spark: SparkSession,
+    raw: dict[str, DataFrame],
+    out: str,
+    stored_staging: bool = True,
+    schema: str = SCHEMA,
 ) -> dict[str, DataFrame]:
-    """RAW tables to tested marts; stops at the first failed gate.
+    """RAW tables to tested tables in a schema of the catalog; stops at the first failed gate.
+
+    Every run writes to a folder of its own below ``out``. Only after a gate has passed do the names in
+    ``schema`` show the new tables, so a failure leaves what was there.
 
-    Staging tables are views; with ``stored_staging`` they are written once instead, because the
-    tests and several marts read them and would each repeat the deduplication.
+    Staging tables are views of the session; with ``stored_staging`` they are written once and published instead,
+    because the tests and several marts read them and would each repeat the deduplication.
     """
+    out = f"{out}/run-{uuid.uuid4().hex[:12]}"
     for name, table in raw.items():
         table.createOrReplaceTempView(name)
     gate("raw", raw)
@@ -82,8 +99,11 @@ def run_batch(
         for name, table in staging.items():
             table.createOrReplaceTempView(name)
     gate("staging", staging)
+    if stored_staging:
+        publish(spark, schema, staging, f"{out}/staging")
     marts = build_marts(staging, f"{out}/marts")
     gate("marts", marts)
+    publish(spark, schema, marts, f"{out}/marts")
     return {**staging, **marts}
 
 

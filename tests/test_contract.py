@@ -33,3 +33,16 @@ def test_query(spark, duck, name):
         assert query(spark, SF_DIR).count() > 0
     else:
         assert differences(spark, duck, SF_DIR, name, query, sql) == []
+
+
+def test_jobs_end_with_a_status(spark, tmp_path, capsys):
+    from convoy.__main__ import load, main, quality
+
+    assert main([]) == 2
+    lake = str(tmp_path / "lake")
+    assert quality(spark, lake) == 1
+    assert load(spark, lake, str(tmp_path / "raw")) == 0
+    folder = tmp_path / "lake/events/order/event_date=2026-01-01/event_type=order"
+    folder.mkdir(parents=True)
+    (folder / "broken.parquet").write_text("no parquet")
+    assert load(spark, lake, str(tmp_path / "raw")) == 1

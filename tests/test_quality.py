@@ -101,14 +101,14 @@ def test_lake_gauges_and_sentinels(frame, spark):
         "anomaly_types", F.array(F.lit("IMMOBILE"), F.lit("GPS_JUMP"))
     )
     found = values(gauges.lake_gauges("gps", rows, now()))
-    assert found[("lake_events_total", "gps")] == 1
-    assert found[("lake_last_event_age_seconds", "gps")] == 30.0
-    assert found[("lake_anomalies_total", "IMMOBILE")] == 1
-    assert found[("lake_anomalies_total", "SPEED_TOO_HIGH")] == 0
+    assert found[("delivery_lake_events_total", "gps")] == 1
+    assert found[("delivery_lake_last_event_age_seconds", "gps")] == 30.0
+    assert found[("delivery_lake_anomalies_total", "IMMOBILE")] == 1
+    assert found[("delivery_lake_anomalies_total", "SPEED_TOO_HIGH")] == 0
     empty = spark.createDataFrame([], "event_time timestamp")
     assert values(gauges.lake_gauges("order", empty, now())) == {
-        ("lake_events_total", "order"): 0,
-        ("lake_last_event_age_seconds", "order"): -1,
+        ("delivery_lake_events_total", "order"): 0,
+        ("delivery_lake_last_event_age_seconds", "order"): -1,
     }
 
 
@@ -122,7 +122,7 @@ def test_driver_gauges(frame):
         (None, "online", "2026-01-01 11:00:00"),
     )
     found = values(gauges.driver_gauges(rows))
-    assert [found[("drivers_by_status", s)] for s in ("offline", "online", "on_break", "delivering")] == [0, 0, 1, 0]
+    assert [found[("delivery_drivers_by_status", s)] for s in ("offline", "online", "on_break", "delivering")] == [0, 0, 1, 0]
 
 
 def test_all_gauges(frame, spark):
@@ -133,8 +133,8 @@ def test_all_gauges(frame, spark):
         "driver": spark.createDataFrame([], "driver_id string, status string, event_time timestamp"),
     }
     found = values(gauges.fleet_metrics(lake, state.vehicle_state(lake["gps"]), now()))
-    assert found[("vehicles_tracked", None)] == 1 and found[("vehicles_avg_speed_kmh", None)] == 30
-    assert found[("data_quality_score", None)] == 100 and found[("data_quality_score_by_type", "order")] == 0
+    assert found[("delivery_vehicles_tracked", None)] == 1 and found[("delivery_vehicles_avg_speed_kmh", None)] == 30
+    assert found[("delivery_data_quality_score", None)] == 100 and found[("delivery_data_quality_score_by_type", "order")] == 0
 
 
 # --- vehicle state -----------------------------------------------------------
