@@ -98,9 +98,11 @@ def _moved(source, order):
     6371.0 * 2 * atan2(sqrt(a), sqrt(1 - a)) AS distance_km FROM (
     SELECT *, pow(sin(radians(lat - prev_lat) / 2), 2)
       + cos(radians(prev_lat)) * cos(radians(lat)) * pow(sin(radians(lon - prev_lon) / 2), 2) AS a FROM (
-     SELECT *, lag(lat) OVER w AS prev_lat, lag(lon) OVER w AS prev_lon, lag(event_time) OVER w AS prev_event_time
+     SELECT *, CASE WHEN event_time IS NOT NULL THEN lag(lat) OVER w END AS prev_lat,
+      CASE WHEN event_time IS NOT NULL THEN lag(lon) OVER w END AS prev_lon,
+      CASE WHEN event_time IS NOT NULL THEN lag(event_time) OVER w END AS prev_event_time
      FROM {source}
-     WINDOW w AS (PARTITION BY vehicle_id ORDER BY {order})))))"""
+     WINDOW w AS (PARTITION BY vehicle_id, event_time IS NULL ORDER BY {order})))))"""
 
 
 FLAGS = """array_to_string(list_filter([
@@ -119,8 +121,11 @@ _ORDER = ", ".join(
 CTE["lake_moved"] = _moved("clean_gps", _ORDER)
 CTE["lake_gps"] = f"SELECT *, {FLAGS} AS anomaly_types FROM lake_moved"
 
-CTE["timed_gps"] = "SELECT * FROM clean_gps WHERE event_time IS NOT NULL"
-CTE["timed_moved"] = _moved("timed_gps", _ORDER)
+CTE["hot_positions"] = """
+ SELECT CASE WHEN vehicle_id LIKE 'veh-1%' THEN vehicle_id ELSE 'veh-hot' END AS vehicle_id, lat, lon, speed_kmh,
+  CASE WHEN vehicle_id LIKE 'veh-1%' THEN event_time WHEN minute(event_time) < 40 THEN TIMESTAMP '2024-01-10 00:00:00'
+   ELSE TIMESTAMP '2024-01-10 00:00:00' + to_seconds(60 * minute(event_time)) END AS event_time FROM stg_positions"""
+CTE["hot_moved"] = _moved("hot_positions", "event_time, lat, lon, speed_kmh")
 CTE["driver_history"] = """
  SELECT vehicle_id, event_time AS driver_assigned_at, max(driver_id) AS driver_id FROM stg_driver_events
  WHERE vehicle_id IS NOT NULL AND driver_id IS NOT NULL GROUP BY vehicle_id, event_time"""
@@ -206,7 +211,11 @@ CTE["dim_date"] = f"""
   CAST(date_trunc('quarter', date_day) AS DATE) AS quarter_start, CAST(date_trunc('year', date_day) AS DATE) AS year_start
  FROM (SELECT CAST(start_date + CAST(n AS INTEGER) AS DATE) AS date_day, end_date
   FROM (SELECT min(activity_date) - 30 AS start_date, max(activity_date) + 30 AS end_date FROM fct_daily_activity),
-   range(400) AS days(n)) WHERE date_day <= end_date"""
+   range(40000) AS days(n)) WHERE date_day <= end_date"""
+CTE["stretched_activity"] = """
+ SELECT CAST(DATE '2024-01-01' + CAST(20 * (activity_date - DATE '2024-01-01') AS INTEGER) AS DATE) AS activity_date
+ FROM fct_daily_activity"""
+CTE["dim_date_long"] = CTE["dim_date"].replace("fct_daily_activity", "stretched_activity")
 CTE["vehicle_latest"] = """
  SELECT vehicle_id, driver_id, latitude AS lat, longitude AS lon, speed_kmh, event_time FROM (
   SELECT *, row_number() OVER (PARTITION BY vehicle_id ORDER BY event_time DESC NULLS LAST) AS rn
@@ -311,14 +320,14 @@ _MOVED = """prev_lat, prev_lon, prev_event_time, round(distance_km, 6) AS distan
 
 def _events_total(tables):
     return _union(
-        f"SELECT 'lake_events_total' AS metric, '{t}' AS label, CAST(count(*) AS DOUBLE) AS value FROM {tables[t]}"
+        f"SELECT 'delivery_lake_events_total' AS metric, '{t}' AS label, CAST(count(*) AS DOUBLE) AS value FROM {tables[t]}"
         for t in _TYPES
     )
 
 
 def _freshness(tables):
     return _union(
-        f"SELECT 'lake_last_event_age_seconds' AS metric, '{t}' AS label,"
+        f"SELECT 'delivery_lake_last_event_age_seconds' AS metric, '{t}' AS label,"
         f" coalesce((epoch_us({AS_OF}) - epoch_us(max(event_time))) / 1000000, -1.0e0) AS value FROM {tables[t]}"
         for t in _TYPES
     )
@@ -326,14 +335,14 @@ def _freshness(tables):
 
 def _anomalies(table):
     return _union(
-        f"SELECT 'lake_anomalies_total' AS metric, '{a}' AS label,"
+        f"SELECT 'delivery_lake_anomalies_total' AS metric, '{a}' AS label,"
         f" CAST(count(*) FILTER (contains(anomaly_types, '{a}')) AS DOUBLE) AS value FROM {table}"
         for a in _ANOMALIES
     )
 
 
 def _drivers(table):
-    return f"""SELECT 'drivers_by_status' AS metric, s.label, CAST(count(l.driver_id) AS DOUBLE) AS value
+    return f"""SELECT 'delivery_drivers_by_status' AS metric, s.label, CAST(count(l.driver_id) AS DOUBLE) AS value
  FROM (VALUES {", ".join(f"('{s}')" for s in _DRIVER_STATUSES)}) s(label)
  LEFT JOIN (SELECT driver_id, status FROM (
    SELECT driver_id, status, row_number() OVER (PARTITION BY driver_id ORDER BY event_time DESC, status DESC) AS rn
@@ -407,6 +416,8 @@ _TEXTS = {
     "clean_events": f"SELECT {_parsed_columns(DELIVERY_FIELDS)}, event_time FROM clean_delivery",
     "clean_gps": f"SELECT {_parsed_columns(GPS_FIELDS)}, event_time FROM clean_gps",
     "movement_metrics": f"SELECT vehicle_id, lat, lon, speed_kmh, event_time, {_MOVED} FROM moved",
+    "movement_metrics_hot": f"SELECT vehicle_id, lat, lon, speed_kmh, event_time, {_MOVED} FROM hot_moved",
+    "dim_date_long": _all("dim_date_long"),
     "anomaly_flags": f"SELECT vehicle_id, event_time, anomaly_types, anomaly_types <> '' AS is_anomaly"
     f" FROM (SELECT *, {FLAGS} AS anomaly_types FROM moved )",
     "gps_enriched": f"SELECT {_parsed_columns(GPS_FIELDS)}, event_time, {_MOVED}, anomaly_types,"
@@ -457,12 +468,12 @@ _TEXTS = {
             _freshness(_CLEAN_TABLES),
             _anomalies("lake_gps"),
             _drivers("clean_driver"),
-            f"SELECT 'vehicles_tracked', NULL, CAST(count(*) AS DOUBLE) FROM {_CLEAN_STATE} WHERE rn = 1",
-            f"SELECT 'vehicles_avg_speed_kmh', NULL, coalesce(avg(speed_kmh), 0.0e0) FROM {_CLEAN_STATE} WHERE rn = 1",
-            "SELECT 'data_quality_score', NULL, quality_score FROM lake_scores WHERE scope = 'all'",
-            "SELECT 'data_quality_expectations_total', NULL, CAST(n_expectations AS DOUBLE) FROM lake_scores WHERE scope = 'all'",
-            "SELECT 'data_quality_expectations_passed', NULL, CAST(n_success AS DOUBLE) FROM lake_scores WHERE scope = 'all'",
-            "SELECT 'data_quality_score_by_type', scope, quality_score FROM lake_scores WHERE scope <> 'all'",
+            f"SELECT 'delivery_vehicles_tracked', NULL, CAST(count(*) AS DOUBLE) FROM {_CLEAN_STATE} WHERE rn = 1",
+            f"SELECT 'delivery_vehicles_avg_speed_kmh', NULL, coalesce(avg(speed_kmh), 0.0e0) FROM {_CLEAN_STATE} WHERE rn = 1",
+            "SELECT 'delivery_data_quality_score', NULL, quality_score FROM lake_scores WHERE scope = 'all'",
+            "SELECT 'delivery_data_quality_expectations_total', NULL, CAST(n_expectations AS DOUBLE) FROM lake_scores WHERE scope = 'all'",
+            "SELECT 'delivery_data_quality_expectations_passed', NULL, CAST(n_success AS DOUBLE) FROM lake_scores WHERE scope = 'all'",
+            "SELECT 'delivery_data_quality_score_by_type', scope, quality_score FROM lake_scores WHERE scope <> 'all'",
         ]
     )
     + ")",
@@ -477,7 +488,7 @@ _TEXTS = {
 
 def _loaded(t, table):
     return f"""SELECT '{table}' AS table_name, count(*) FILTER (kafka_timestamp >= middle) AS n_loaded,
- CAST(0 AS BIGINT) AS n_errors, count(*) AS n_rows_after FROM clean_{t} ,
+ CAST(0 AS BIGINT) AS n_empty, CAST(0 AS BIGINT) AS n_errors, count(*) AS n_rows_after FROM clean_{t} ,
  (SELECT min(kafka_timestamp) + (max(kafka_timestamp) - min(kafka_timestamp)) / 2 AS middle FROM clean_{t} )"""
 
 
@@ -485,13 +496,34 @@ _LAKE_GPS = f"""SELECT {_parsed_columns(GPS_FIELDS)}, event_time, {_MOVED}, {FLA
  {FLAGS} <> '' AS is_anomaly, 'gps' AS event_type, CAST(event_time AS DATE) AS event_date FROM"""
 
 _TEXTS |= {
-    "stream_enriched": f"{_LAKE_GPS} timed_moved",
+    "stream_enriched": f"{_LAKE_GPS} lake_moved",
     "stream_lake": f"""SELECT {_parsed_columns(DELIVERY_FIELDS)}, event_time,
  'delivery' AS event_type, CAST(event_time AS DATE) AS event_date FROM clean_delivery""",
     "stream_dual_write": _union(
         f"SELECT CAST({i} AS INTEGER) AS lake, count(*) AS n FROM clean_order" for i in (0, 1)
     ),
-    "stream_dedup": "SELECT package_id, event_time, status FROM clean_delivery WHERE event_time IS NOT NULL",
+    "stream_dedup": "SELECT package_id, event_time, status FROM clean_delivery",
+    "stream_two_writers": _union(
+        f"""SELECT {_parsed_columns(DELIVERY_FIELDS)}, event_time, 'delivery' AS event_type,
+ CAST(event_time AS DATE) AS event_date FROM clean_delivery"""
+        for _ in range(2)
+    ),
+    "reloaded_empty": _union(
+        f"SELECT CAST({i} AS INTEGER) AS step, count(*) AS n_rows FROM clean_order{' WHERE false' if i == 1 else ''}"
+        for i in range(3)
+    ),
+    "lake_inventory": _union(
+        f"""SELECT '{t}' AS event_type, count(DISTINCT coalesce(CAST(CAST(event_time AS DATE) AS VARCHAR), 'none'))
+ AS n_files, true AS has_bytes FROM clean_{t}"""
+        for t in _TYPES
+    ),
+    "batch_tables": _union(
+        f"SELECT '{n}' AS table_name, count(*) AS n_rows FROM {n}"
+        for n in [
+            "stg_gps_events", "stg_delivery_events", "stg_orders", "stg_driver_events", "dim_drivers",
+            "dim_vehicles", "fct_deliveries", "fct_daily_activity", "dim_date",
+        ]
+    ),
     "stream_dead_letter": f"""SELECT kafka_key, kafka_timestamp, 'delivery_events' AS reject_topic,
  'missing_required_key' AS reject_reason, package_id, order_id FROM parsed_delivery WHERE NOT ({VALID['delivery']})""",
     "stream_state": """SELECT vehicle_id, driver_id, lat, lon, speed_kmh, event_time FROM (

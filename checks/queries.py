@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from checks import streams
 from checks.fleet import raw_tables, topic_records
-from convoy.plans import enrich, gauges, ingest, marts, quality, staging, state, worksheet
+from convoy.plans import enrich, gauges, ingest, jobs, marts, quality, staging, state, worksheet
 from convoy.schemas import (
     DELIVERY_TOPIC,
     DRIVER_TOPIC,
@@ -20,6 +20,7 @@ from convoy.schemas import (
     ORDER_TOPIC,
     RAW_TABLE_BY_EVENT_TYPE,
 )
+from convoy.session import work_folder
 from convoy.sources.topics import parse_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +48,15 @@ def comparable(df: DataFrame) -> DataFrame:
     return df.select(*shown)
 
 
+def stored(spark, tables, purpose):
+    """The tables as written once, for queries that read them several times."""
+    folder, found = work_folder(spark, purpose), {}
+    for name, table in tables.items():
+        table.write.parquet(f"{folder}/{name}")
+        found[name] = spark.read.schema(table.schema).parquet(f"{folder}/{name}")
+    return found
+
+
 def as_of():
     return F.lit(AS_OF).cast("timestamp")
 
@@ -146,12 +156,28 @@ def positions(spark, sf_dir):
 
 @query
 def movement_metrics(spark, sf_dir):
-    return comparable(rounded(enrich.add_movement_metrics(positions(spark, sf_dir))))
+    return comparable(rounded(enrich.add_movement_metrics(positions(spark, sf_dir), distinct=True)))
+
+
+@query
+def movement_metrics_hot(spark, sf_dir):
+    """One vehicle, one instant of it and one hour hold most of the positions."""
+    usual = F.col("vehicle_id").like("veh-1%")
+    start = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    minute = F.minute("event_time")
+    crowd = F.when(minute < 40, start).otherwise(start + F.make_dt_interval(mins=minute))
+    hot = positions(spark, sf_dir).withColumns(
+        {
+            "vehicle_id": F.when(usual, F.col("vehicle_id")).otherwise("veh-hot"),
+            "event_time": F.when(usual, F.col("event_time")).otherwise(crowd),
+        }
+    )
+    return comparable(rounded(enrich.add_movement_metrics(hot)))
 
 
 @query
 def anomaly_flags(spark, sf_dir):
-    flagged = enrich.enrich_gps(positions(spark, sf_dir))
+    flagged = enrich.enrich_gps(positions(spark, sf_dir), distinct=True)
     return comparable(flagged.select("vehicle_id", "event_time", "anomaly_types", "is_anomaly"))
 
 
@@ -167,7 +193,7 @@ def gps_enriched(spark, sf_dir):
 @query
 def anomaly_counts(spark, sf_dir):
     return gauges.lake_gauges("gps", gps_lake(spark, sf_dir), as_of()).filter(
-        "metric = 'lake_anomalies_total'"
+        "metric = 'delivery_lake_anomalies_total'"
     )
 
 
@@ -244,6 +270,16 @@ def dim_date(spark, sf_dir):
     return marts.dim_date(fct_daily_activity(spark, sf_dir), today=F.to_date(as_of()))
 
 
+@query
+def dim_date_long(spark, sf_dir):
+    """The calendar of an activity whose days lie twenty times as far apart."""
+    first = F.lit("2024-01-01").cast("date")
+    days = fct_daily_activity(spark, sf_dir).select(
+        F.date_add(first, 20 * F.datediff("activity_date", first)).alias("activity_date")
+    )
+    return marts.dim_date(days, today=F.to_date(as_of()))
+
+
 @query
 def kpi_cards(spark, sf_dir):
     gps, deliveries, orders, drivers = stage(
@@ -345,12 +381,12 @@ def all_lake_gauges(spark, sf_dir):
 
 @query
 def lake_event_counts(spark, sf_dir):
-    return all_lake_gauges(spark, sf_dir).filter("metric = 'lake_events_total'")
+    return all_lake_gauges(spark, sf_dir).filter("metric = 'delivery_lake_events_total'")
 
 
 @query
 def lake_freshness(spark, sf_dir):
-    return all_lake_gauges(spark, sf_dir).filter("metric = 'lake_last_event_age_seconds'")
+    return all_lake_gauges(spark, sf_dir).filter("metric = 'delivery_lake_last_event_age_seconds'")
 
 
 @query
@@ -365,8 +401,9 @@ def fleet_metrics(spark, sf_dir):
         for t in PARSE_NAMES.values()
         if t != GPS_TOPIC
     }
-    tables = {"gps": gps_lake(spark, sf_dir), **rows}
-    found = state.vehicle_state(clean(spark, sf_dir, GPS_TOPIC))
+    # stored as a lake would be: each topic is parsed once for all gauges
+    tables = stored(spark, {"gps": gps_lake(spark, sf_dir), **rows}, "gauges")
+    found = state.vehicle_state(tables["gps"])
     return gauges.fleet_metrics(tables, found, as_of()).withColumn("value", F.round("value", 6))
 
 
@@ -383,17 +420,8 @@ def quality_score(spark, sf_dir):
 @query
 def table_tests(spark, sf_dir):
     raw = raw_tables(spark, sf_dir)
-    staged = staging.staging_tables(raw)
-    deliveries, drivers = staged["stg_delivery_events"], staged["stg_driver_events"]
-    day_rollup = marts.gps_day_rollup(staged["stg_gps_events"])
-    daily = marts.fct_daily_activity(day_rollup, deliveries)
-    built = {
-        "dim_drivers": marts.dim_drivers(drivers, deliveries),
-        "dim_vehicles": marts.dim_vehicles(day_rollup),
-        "dim_date": marts.dim_date(daily),
-        "fct_deliveries": marts.fct_deliveries(deliveries, staged["stg_orders"], drivers),
-        "fct_daily_activity": daily,
-    }
+    staged = stored(spark, staging.staging_tables(raw), "tested")
+    built = jobs.build_marts(staged, work_folder(spark, "tested-marts"))
     return quality.table_tests({**raw, **staged, **built})
 
 

@@ -5,6 +5,7 @@ piece the streaming query is started again from its checkpoint and works off wha
 """
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,11 +40,12 @@ def arrive(
     folder: str,
     records: dict[str, DataFrame],
     start: Callable[[dict[str, DataFrame]], list[StreamingQuery]],
+    order: tuple[int, ...] = (0, 1, 2),
 ) -> list[StreamingQuery]:
     """Let the records arrive piece by piece and run the queries over each; all runs' queries."""
     cut = {topic: pieces(rows, "timestamp") for topic, rows in records.items()}
     ran = []
-    for i in range(3):
+    for i in order:
         for topic, parts in cut.items():
             parts[i].write.mode("append").parquet(f"{folder}/topics/{topic}")
         sources = {t: read_topic_files(spark, f"{folder}/topics/{t}") for t in records}
@@ -67,11 +69,10 @@ def _one(spark, sf_dir, purpose, topic, start):
 
 
 def stream_enriched(spark, sf_dir):
-    """Timed positions through the enriching sink: equals one pass over the ordered history."""
+    """Positions through the enriching sink: equals one pass over the ordered history."""
 
     def start(clean, _, layout):
-        timed = clean.filter("event_time is not null")
-        return [sinks.write_enriched_lake(timed, layout, available_now=True)]
+        return [sinks.write_enriched_lake(clean, layout, available_now=True)]
 
     layout = _one(spark, sf_dir, "enriched", GPS_TOPIC, start)
     return read_lake(spark, layout.lakes[0], "gps")
@@ -105,20 +106,35 @@ def stream_dual_write(spark, sf_dir):
 
 
 def stream_dedup(spark, sf_dir):
-    """Every record arrives twice; each delivery step comes out once."""
+    """Every record arrives twice, the middle piece last; each delivery step comes out once, late and
+    untimed ones too."""
     folder = work_folder(spark, "dedup")
     layout = Layout([f"{folder}/lake"], folder)
     once = topic_records(spark, sf_dir, DELIVERY_TOPIC)
 
     def start(sources):
         clean = ingest.topic_pipeline(sources[DELIVERY_TOPIC], DELIVERY_TOPIC)[0]
-        steps = streams.drop_repeats(clean, ["package_id", "event_time"])
-        return sinks.write_lake(steps, "delivery", layout, "once", available_now=True)
+        keys = ["package_id", "event_time"]
+        return [sinks.write_once(clean, "delivery", keys, layout, "once", available_now=True)]
 
-    arrive(spark, folder, {DELIVERY_TOPIC: once.unionAll(once)}, start)
+    arrive(spark, folder, {DELIVERY_TOPIC: once.unionAll(once)}, start, order=(0, 2, 1))
     return read_lake(spark, layout.lakes[0], "delivery").select("package_id", "event_time", "status")
 
 
+def stream_two_writers(spark, sf_dir):
+    """Two streams with checkpoints of their own write all positions and all deliveries of the topics, each to
+    the same lake; rows of both are there."""
+    folder = work_folder(spark, "writers")
+    lake = f"{folder}/lake"
+    records = topic_records(spark, sf_dir, DELIVERY_TOPIC)
+    records.write.parquet(f"{folder}/topics/{DELIVERY_TOPIC}")
+    for work in ("first", "second"):
+        source = read_topic_files(spark, f"{folder}/topics/{DELIVERY_TOPIC}")
+        layout = Layout([lake], f"{folder}/{work}")
+        sinks.write_topic(source, DELIVERY_TOPIC, layout, "lake_delivery", True).awaitTermination()
+    return read_lake(spark, lake, "delivery")
+
+
 def stream_dead_letter(spark, sf_dir):
     def start(_, rejected, layout):
         return [sinks.write_dead_letters(rejected, layout, "dlq_delivery", available_now=True)]
@@ -172,11 +188,13 @@ def stream_progress(spark, sf_dir):
         ]
 
     records = {t: topic_records(spark, sf_dir, t) for t in (ORDER_TOPIC, DRIVER_TOPIC)}
-    ran = arrive(spark, folder, records, start)
-    seen = spark.createDataFrame(
-        [(q.name, streams.rows_read(q)) for q in ran], "query_name string, n_input_rows bigint"
-    )
-    return seen.groupBy("query_name").agg(F.sum("n_input_rows").alias("n_input_rows"))
+    counter = streams.RowCounter()
+    spark.streams.addListener(counter)
+    try:
+        rows = {q.name: counter.of(q) for q in arrive(spark, folder, records, start)}
+    finally:
+        spark.streams.removeListener(counter)
+    return spark.createDataFrame(list(rows.items()), "query_name string, n_input_rows bigint")
 
 
 def _lake_in_two_steps(spark, sf_dir, purpose, event_type=None, load=True):
@@ -212,6 +230,17 @@ def incremental_load(spark, sf_dir):
     return summary.drop("n_files")
 
 
+def reloaded_empty(spark, sf_dir):
+    """Rows of the RAW orders after a load, a full reload of an empty lake, and a full reload of the lake."""
+    folder, _ = _lake_in_two_steps(spark, sf_dir, "emptied", "order")
+    seen = []
+    for i, lake in enumerate(["lake", "nothing", "lake"]):
+        load_events(spark, f"{folder}/{lake}", f"{folder}/raw", "order", truncate=i > 0).collect()
+        rows = read_raw(spark, f"{folder}/raw", "orders").agg(F.count("*").alias("n_rows"))
+        seen.append(rows.select(F.lit(i).alias("step"), "n_rows"))
+    return seen[0].unionByName(seen[1]).unionByName(seen[2])
+
+
 def loaded_gps(spark, sf_dir):
     """RAW positions after two incremental loads and one that finds nothing new."""
     folder, _ = _lake_in_two_steps(spark, sf_dir, "loaded", "gps")
@@ -227,9 +256,25 @@ def reloaded_orders(spark, sf_dir):
 
 
 def lake_inventory(spark, sf_dir):
-    """Files and bytes per event type (they depend on how Spark splits the work)."""
-    folder, _ = _lake_in_two_steps(spark, sf_dir, "inventory", load=False)
-    return file_inventory(spark, f"{folder}/lake")
+    """Files and bytes per event type of a lake with one file per day."""
+    folder = work_folder(spark, "inventory")
+    for topic, event_type in EVENT_TYPE_BY_TOPIC.items():
+        clean = ingest.topic_pipeline(topic_records(spark, sf_dir, topic), topic)[0]
+        rows = ingest.with_lake_columns(clean, event_type).repartition("event_date")
+        rows.write.partitionBy("event_date", "event_type").parquet(lake_path(f"{folder}/lake", event_type))
+    found = file_inventory(spark, f"{folder}/lake")
+    return found.select("event_type", "n_files", (F.col("n_bytes") > 0).alias("has_bytes"))
+
+
+def batch_tables(spark, sf_dir):
+    """Rows of all tables that the batch job publishes in its schema."""
+    out = work_folder(spark, "published")
+    tables = jobs.run_batch(spark, raw_tables(spark, sf_dir), out, schema="checked")
+    counts = [
+        spark.table(f"checked.{name}").agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+        for name in tables
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def batch_job(spark, sf_dir):
@@ -245,6 +290,7 @@ STREAM_QUERIES = {
         stream_lake,
         stream_dual_write,
         stream_dedup,
+        stream_two_writers,
         stream_dead_letter,
         stream_state,
         stream_topics,
@@ -252,7 +298,9 @@ STREAM_QUERIES = {
         incremental_load,
         loaded_gps,
         reloaded_orders,
+        reloaded_empty,
         lake_inventory,
         batch_job,
+        batch_tables,
     ]
 }

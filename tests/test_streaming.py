@@ -1,5 +1,7 @@
 import json
+import os
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,18 +199,92 @@ def test_expired_vehicles_leave_the_state(spark, send, layout):
 def test_repeats_are_dropped_across_batches(spark, send, layout):
     for _ in range(2):
         stream = send(DELIVERY_TOPIC, step("p1", "failed", 0), step("p1", "failed", 0), step("p1", "delivered", 1))
-        steps = streams.drop_repeats(clean(stream, DELIVERY_TOPIC), ["package_id", "event_time"])
-        run(sinks.write_lake(steps, "delivery", layout, "once", available_now=True))
+        steps = clean(stream, DELIVERY_TOPIC)
+        run(sinks.write_once(steps, "delivery", ["package_id", "event_time"], layout, "once", True))
     assert read_lake(spark, layout.lakes[0], "delivery").count() == 2
 
 
+def test_late_and_untimed_events_are_no_repeats(spark, send, layout):
+    untimed = step("p1", "failed", 0, timestamp="x")
+    parts = [[step("a", "failed", 0)], [step("b", "failed", 600), untimed], [step("late", "failed", 1)]]
+    for part in parts:
+        stream = send(DELIVERY_TOPIC, *part)
+        once = clean(stream, DELIVERY_TOPIC)
+        run(sinks.write_once(once, "delivery", ["package_id", "event_time"], layout, "once", True))
+    rows = read_lake(spark, layout.lakes[0], "delivery").collect()
+    assert sorted(r.package_id for r in rows) == ["a", "b", "late", "p1"]
+
+
+def test_two_checkpoints_write_into_one_lake(spark, send, tmp_path):
+    lake = str(tmp_path / "lake")
+    for work, vehicles in (("w1", "abc"), ("w2", "xy")):
+        stream = send(GPS_TOPIC, *[position(0, vehicle=v) for v in vehicles])
+        run(sinks.write_topic(stream, GPS_TOPIC, Layout([lake], str(tmp_path / work)), "lake_gps", True))
+    rows = read_lake(spark, lake, "gps").collect()
+    assert sorted(r.vehicle_id for r in rows) == sorted("abc" + "abcxy")
+
+
+def test_readers_skip_a_half_written_state(spark, send, layout):
+    stream = send(GPS_TOPIC, position(1, vehicle="a"), position(5, vehicle="b"))
+    run(sinks.write_vehicle_state(clean(stream), layout, available_now=True))
+    states = sinks.vehicle_states(layout)
+    half = spark.read.parquet(f"{states.path}/slot0").limit(1).withColumn("vehicle_id", F.lit("half"))
+    half.write.parquet(f"{states.path}/slot1")
+    assert {r.vehicle_id for r in states.latest(spark).collect()} != {"a", "b"}
+    (Path(states.path) / "slot1/_SUCCESS").unlink()
+    assert {r.vehicle_id for r in states.latest(spark).collect()} == {"a", "b"}
+    later = F.current_timestamp() + F.expr("interval 2 days")
+    assert states.latest(spark, as_of=later).count() == 0
+
+
+def test_state_of_a_new_checkpoint_wins(spark, send, tmp_path):
+    layout = Layout([str(tmp_path / "lake")], str(tmp_path))
+    for i in range(3):
+        stream = send(GPS_TOPIC, position(i, vehicle="a"))
+        run(sinks.write_vehicle_state(clean(stream), layout, available_now=True))
+    send(GPS_TOPIC, position(9, vehicle="a"))
+    run(sinks.write_vehicle_state(clean(stream), layout, query_name="anew", available_now=True))
+    assert sinks.vehicle_states(layout).latest(spark).first().event_time == START + timedelta(seconds=360)
+
+
+def test_watch_raises_what_a_query_raised(spark, send, layout):
+    good = send(DELIVERY_TOPIC, step("p1", "failed", 0))
+    running = sinks.write_lake(clean(good, DELIVERY_TOPIC), "delivery", layout, "running")
+
+    def fail(batch, batch_id):
+        raise ValueError("broken sink")
+
+    bad = (
+        good.writeStream.foreachBatch(fail)
+        .option("checkpointLocation", layout.checkpoint("broken"))
+        .queryName("broken")
+        .start()
+    )
+    with pytest.raises(Exception, match="broken sink"):
+        streams.watch(spark, 0.2, [*running, bad])
+    assert not running[0].isActive
+    assert {r.query_name: r.status for r in streams.progress(spark, [bad]).collect()} == {"broken": "failed"}
+
+
+def test_rows_of_all_batches_are_counted(spark, send, layout):
+    counter = streams.RowCounter()
+    spark.streams.addListener(counter)
+    try:
+        for i in range(3):
+            stream = send(DELIVERY_TOPIC, step(f"p{i}", "failed", 0), step(f"q{i}", "failed", 0))
+            queries = sinks.write_lake(clean(stream, DELIVERY_TOPIC), "delivery", layout, "counted", True)
+            run(queries)
+            assert counter.of(queries[0]) == 2 * (i + 1)
+    finally:
+        spark.streams.removeListener(counter)
+
+
 def test_progress_and_stop(spark, send, layout):
     stream = send(DELIVERY_TOPIC, step("p1", "failed", 0))
     queries = sinks.write_lake(clean(stream, DELIVERY_TOPIC), "delivery", layout, "watched")
     queries[0].processAllAvailable()
     rows = {r.query_name: r for r in streams.progress(spark).collect()}
     assert "watched" in rows and rows["watched"].status
-    assert streams.rows_read(queries[0]) == 1
     streams.stop_all(spark)
     assert not queries[0].isActive
 
@@ -260,6 +336,28 @@ def test_incremental_load(spark, tmp_path):
     assert read_raw(spark, raw, "driver_events").count() == 1
 
 
+def test_old_and_empty_files(spark, tmp_path):
+    lake, raw = str(tmp_path / "lake"), str(tmp_path / "raw")
+    lake_rows(spark, lake, "order", ("o1", "p1", "created", START, 7))
+    for file in (tmp_path / "lake").rglob("*.parquet"):
+        os.utime(file, (1, 1))
+    lake_rows(spark, lake, "order", ("o2", "p2", "created", START, 7))
+    lake_rows(spark, lake, "order")
+    row = load_events(spark, lake, raw, "order").first()
+    assert (row.n_files, row.n_loaded, row.n_empty, row.n_errors) == (2, 2, 1, 0)
+
+
+def test_reload_of_an_empty_lake_empties_raw(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    lake_rows(spark, str(tmp_path / "lake"), "order", ("o1", "p1", "created", START, 7))
+    load_events(spark, str(tmp_path / "lake"), raw, "order").collect()
+    row = load_events(spark, str(tmp_path / "nothing"), raw, "order", truncate=True).first()
+    assert (row.n_files, row.n_loaded, row.n_rows_after) == (0, 0, 0)
+    assert read_raw(spark, raw, "orders").count() == 0
+    row = load_events(spark, str(tmp_path / "lake"), raw, "order", truncate=True).first()
+    assert (row.n_loaded, row.n_rows_after) == (1, 1)
+
+
 def test_file_inventory(spark, tmp_path):
     lake = str(tmp_path / "lake")
     assert {r.event_type: r.n_files for r in file_inventory(spark, lake).collect()} == {
@@ -305,7 +403,8 @@ def test_batch_job(spark, tmp_path, stored):
     assert (row.driver_id, row.final_status, row.minutes_order_to_delivery) == ("d", "delivered", 0)
     assert row.mart_refreshed_at is not None
     assert tables["dim_date"].count() == 61 and "days_from_today" in tables["dim_date"].columns
-    assert spark.table("dim_drivers").count() == 1 and spark.table("stg_orders").count() == 1
+    assert spark.table("fleet.dim_drivers").count() == 1
+    assert spark.table("fleet.stg_orders" if stored else "stg_orders").count() == 1
 
 
 def test_batch_job_stops_at_a_failed_gate(spark, tmp_path):
@@ -313,7 +412,16 @@ def test_batch_job_stops_at_a_failed_gate(spark, tmp_path):
         jobs.run_batch(spark, raw_tables(spark, order_id=None), str(tmp_path))
     assert error.value.stage == "raw"
     assert error.value.failures == [("orders", "not_null", "order_id", 1)]
-    assert not (tmp_path / "marts").exists()
+    assert not list(tmp_path.glob("run-*/marts"))
+
+
+def test_a_failed_gate_leaves_the_published_tables(spark, tmp_path):
+    jobs.run_batch(spark, raw_tables(spark), str(tmp_path), schema="gated")
+    with pytest.raises(jobs.GateFailed):
+        jobs.run_batch(spark, raw_tables(spark, order_id=None), str(tmp_path), schema="gated")
+    assert spark.table("gated.fct_deliveries").count() == 1
+    names = {r.tableName for r in spark.sql("SHOW TABLES IN gated").collect() if not r.isTemporary}
+    assert len(names) == 9
 
 
 def test_from_lake_to_marts(spark, send, tmp_path):
