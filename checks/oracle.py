@@ -497,6 +497,7 @@ _LAKE_GPS = f"""SELECT {_parsed_columns(GPS_FIELDS)}, event_time, {_MOVED}, {FLA
 
 _TEXTS |= {
     "stream_enriched": f"{_LAKE_GPS} lake_moved",
+    "stream_late": f"{_LAKE_GPS} lake_moved",
     "stream_lake": f"""SELECT {_parsed_columns(DELIVERY_FIELDS)}, event_time,
  'delivery' AS event_type, CAST(event_time AS DATE) AS event_date FROM clean_delivery""",
     "stream_dual_write": _union(

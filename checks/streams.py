@@ -21,6 +21,7 @@ from convoy.sources.load import load_events, read_raw
 from convoy.sources.topics import read_topic_files
 from convoy.streaming import jobs as streams
 from convoy.streaming import sinks
+from convoy.streaming.enrich import mend_lake
 from convoy.streaming.layout import Layout
 
 TOPICS = [GPS_TOPIC, DELIVERY_TOPIC, ORDER_TOPIC, DRIVER_TOPIC]
@@ -78,6 +79,23 @@ def stream_enriched(spark, sf_dir):
     return read_lake(spark, layout.lakes[0], "gps")
 
 
+def stream_late(spark, sf_dir):
+    """Positions whose middle piece arrives last, after the days it touches were enriched anew: equals one
+    pass over the ordered history."""
+    folder = work_folder(spark, "late")
+    layout = Layout([f"{folder}/lake"], folder)
+    records = topic_records(spark, sf_dir, GPS_TOPIC)
+
+    def start(sources):
+        clean = ingest.topic_pipeline(sources[GPS_TOPIC], GPS_TOPIC)[0]
+        return [sinks.write_enriched_lake(clean, layout, available_now=True)]
+
+    arrive(spark, folder, {GPS_TOPIC: records}, start, order=(0, 2, 1))
+    late = pieces(records, "timestamp")[1].agg(F.to_date(F.min("timestamp"))).first()[0]
+    mend_lake(spark, layout.lakes[0], late)
+    return read_lake(spark, layout.lakes[0], "gps")
+
+
 def stream_lake(spark, sf_dir):
     def start(clean, _, layout):
         return sinks.write_lake(clean, "delivery", layout, "lake_delivery", available_now=True)

@@ -141,6 +141,12 @@ LAKE_SCHEMAS = {
     event_type: _lake_schema(topic) for topic, event_type in EVENT_TYPE_BY_TOPIC.items()
 }
 
+#: Lake rows with the partition columns that name the stream and the batch that wrote them.
+STORED_EVENTS = {
+    event_type: T.StructType([*lake.fields, *struct_of("writer_id string, batch_id bigint").fields])
+    for event_type, lake in LAKE_SCHEMAS.items()
+}
+
 
 def topic_schema(topic: str) -> T.StructType:
     """Schema of a topic's JSON payload; an undeclared topic is a ``KeyError``."""

@@ -1,6 +1,8 @@
 """GPS enrichment of a stream: the last position of every vehicle crosses batch boundaries."""
 
-from pyspark.sql import DataFrame
+from datetime import date
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.plans.enrich import (
@@ -9,9 +11,15 @@ from convoy.plans.enrich import (
     with_movement,
     with_previous_position,
 )
-from convoy.schemas import struct_of
+from convoy.schemas import STORED_EVENTS, struct_of
+from convoy.session import work_folder
+from convoy.sources.lake import lake_path, read_parquet_or_empty
 from convoy.streaming.state import BatchState
 
+METRICS = [
+    "prev_lat", "prev_lon", "prev_event_time", "distance_km", "elapsed_seconds", "computed_speed_kmh", "is_immobile",
+]
+
 LAST_POSITION = struct_of(
     "vehicle_id string, lat double, lon double, event_time timestamp"
 )
@@ -41,9 +49,7 @@ def enrich_batch(batch: DataFrame, last: DataFrame | None = None) -> DataFrame:
         .filter("_new")
         .transform(with_movement)
         .transform(add_anomaly_flags)
-        .select(*batch.columns, "prev_lat", "prev_lon", "prev_event_time", "distance_km",
-                "elapsed_seconds", "computed_speed_kmh", "is_immobile", "anomaly_types",
-                "is_anomaly")
+        .select(*batch.columns, *METRICS, "anomaly_types", "is_anomaly")
     )
 
 
@@ -62,3 +68,30 @@ def advance(last: DataFrame, batch: DataFrame) -> DataFrame:
         .agg(newest)
         .select("vehicle_id", "newest.lat", "newest.lon", "newest.event_time")
     )
+
+
+def mend_lake(spark: SparkSession, lake: str, since: date) -> None:
+    """Enrich the lake's positions from the day ``since`` on anew, as one pass over the whole history gives them.
+
+    Late positions have found their predecessors in their own batch only, and the positions that follow them don't
+    know them. The last position of every vehicle before ``since`` takes part; every row goes back into the
+    folder of its writer and batch, which is replaced as a whole. The result is written to the shared scratch folder
+    first. No stream may write to these days meanwhile; run again, a broken-off call ends the work.
+    """
+    path = lake_path(lake, "gps")
+    stored = read_parquet_or_empty(spark, path, STORED_EVENTS["gps"])
+    plain = stored.drop(*METRICS, "anomaly_types", "is_anomaly")
+    positions = plain.filter(F.col("event_date") >= F.lit(since))
+    earlier = plain.filter(F.col("event_date") < F.lit(since))
+    none = spark.createDataFrame([], LAST_POSITION)
+    mended = enrich_batch(positions, advance(none, earlier.drop("event_date", "event_type", "writer_id", "batch_id")))
+    scratch = work_folder(spark, "mended")
+    mended.select(stored.columns).write.parquet(scratch)
+    (
+        spark.read.schema(stored.schema)
+        .parquet(scratch)
+        .write.partitionBy("event_date", "event_type", "writer_id", "batch_id")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(path)
+    )

@@ -5,15 +5,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from convoy.plans.ingest import split_valid_invalid, clean_events, with_lake_columns, with_reject_date
 from convoy.plans.state import STATE_FIELDS, live_state, merge_state, vehicle_state
 from convoy.schemas import (
     EVENT_TYPE_BY_TOPIC,
     GPS_TOPIC,
-    LAKE_SCHEMAS,
     STATE_TTL_SECONDS,
+    STORED_EVENTS,
     struct_of,
 )
 from convoy.sources.lake import read_parquet_or_empty
@@ -25,12 +24,6 @@ from convoy.streaming.state import BatchState
 LAKE_PARTITIONS = ["event_date", "event_type"]
 DEAD_LETTER_PARTITIONS = ["reject_date", "reject_topic"]
 
-#: Lake rows with the partition columns that name their writer and batch.
-STORED_EVENTS = {
-    t: StructType([*s.fields, StructField("writer_id", StringType()), StructField("batch_id", LongType())])
-    for t, s in LAKE_SCHEMAS.items()
-}
-
 VEHICLE_STATE = struct_of(
     "vehicle_id string, driver_id string, lat double, lon double, speed_kmh double, "
     "event_time timestamp, updated_at timestamp"

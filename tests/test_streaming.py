@@ -15,6 +15,7 @@ from convoy.sources.load import load_events, read_load_audit, read_raw
 from convoy.sources.topics import read_topic_files
 from convoy.streaming import jobs as streams
 from convoy.streaming import sinks
+from convoy.streaming.enrich import mend_lake
 from convoy.streaming.layout import Layout
 
 START = datetime(2026, 1, 1, 9, 58)
@@ -127,6 +128,23 @@ def test_late_position_is_not_a_predecessor(spark, send, layout):
     assert late.prev_event_time is None
 
 
+def test_mended_days_equal_one_pass(spark, send, layout):
+    """Two days; a late position on the first, one before all others, and one without a time."""
+    day = 24 * 3600
+    seconds = [0, 400, 800, day, day + 400]
+    stream = send(GPS_TOPIC, *[position(i, seconds=s) for i, s in enumerate(seconds)])
+    run(sinks.write_enriched_lake(clean(stream), layout, available_now=True))
+    late = [position(7, seconds=600), position(8, seconds=day + 200), position(9, timestamp="x")]
+    stream = send(GPS_TOPIC, *late)
+    run(sinks.write_enriched_lake(clean(stream), layout, available_now=True))
+    records = spark.read.parquet(f"{layout.work}/topics/{GPS_TOPIC}")
+    want = metrics(enrich_gps(clean(records)))
+    assert metrics(read_lake(spark, layout.lakes[0], "gps")) != want
+    for _ in range(2):
+        mend_lake(spark, layout.lakes[0], START.date())
+        assert metrics(read_lake(spark, layout.lakes[0], "gps")) == want
+
+
 def test_a_replayed_batch_replaces_itself(spark, send, layout):
     """foreachBatch may see a batch again after a failure."""
     stream = send(GPS_TOPIC, position(0), position(1))
