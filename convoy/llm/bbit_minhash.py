@@ -248,7 +248,7 @@ SMALL_BUCKET = 16
 def _rounds():
     """(which buckets, hubs per bucket) of each round. The first two find most links, so that the later ones
     compare little. Small buckets are done with in the second."""
-    yield F.pmod(F.xxhash64("bucket"), F.lit(8)) == 0, 1
+    yield F.col("band") < BANDS // 8, 1
     yield F.col("size") > SMALL_BUCKET, 1
     hubs = 16
     while True:
@@ -258,12 +258,15 @@ def _rounds():
 
 def _near(members: DataFrame, others: DataFrame, nodes: DataFrame, percent: int, different: bool = False) -> DataFrame:
     """Pairs (a, b) of nodes of one bucket that may be similar, and the components (u, v) they are in."""
-    bits = nodes.select("node", "n_shingles", *_BITS)
+    bits = nodes.select("node", "n_shingles", "bands", *_BITS)
     m, h = members.join(bits, "node").alias("m"), others.join(bits, "node").alias("h")
     wanted = (F.col("m.bucket") == F.col("h.bucket")) & (F.col("m.component") != F.col("h.component"))
     if different:
         wanted = wanted & (F.col("m.node") < F.col("h.node"))
     wanted = wanted & (estimate("m", "h") >= _least_estimate(percent / 100)) & _may_reach("m", "h", percent)
+    # a pair that meets in many buckets is a candidate in the first of them only
+    shared = F.filter(F.zip_with("m.bands", "h.bands", lambda a, b: F.when(a == b, a)), lambda x: x.isNotNull())
+    wanted = wanted & (F.col("m.bucket") == shared[0])
     return m.join(h, wanted).select(
         F.least("m.node", "h.node").alias("a"),
         F.greatest("m.node", "h.node").alias("b"),
@@ -274,7 +277,7 @@ def _near(members: DataFrame, others: DataFrame, nodes: DataFrame, percent: int,
 
 def _bucket_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that connect what the threshold connects, from the rounds described above."""
-    placed = nodes.select("node", F.explode("bands").alias("bucket"))
+    placed = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     crowded = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = placed.join(stored(crowded, "crowded"), "bucket").withColumn("component", F.col("node"))
     members = stored(members, "members")

@@ -118,3 +118,22 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """
+
+ORACLE["op1_bbit_minhash"] = rf"""
+WITH RECURSIVE
+     docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+     sets AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(len(w), 5) - 1], ' ') AS s
+              FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(len(w), 5) + 2)) AS i FROM docs
+                    WHERE len(w) > 0)),
+     sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+     common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+                FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+     links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+               WHERE 100 * c >= 75 * (p.n + q.n - c)),
+     reached(doc_id, other) AS (
+         SELECT doc_id, doc_id FROM documents
+         UNION SELECT reached.doc_id, y FROM reached JOIN links ON x = other)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id,
+       doc_id = min(other) AS kept
+FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
