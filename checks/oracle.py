@@ -414,6 +414,11 @@ _TEXTS = {
     + _union(f"SELECT '{TOPIC[t]}' AS topic, {_rejection_reason(t)} AS reason FROM parsed_{t}" for t in _TYPES)
     + ") WHERE reason IS NOT NULL GROUP BY 1, 2",
     "clean_events": f"SELECT {_parsed_columns(DELIVERY_FIELDS)}, event_time FROM clean_delivery",
+    "valid_gps": f"SELECT {_parsed_columns(GPS_FIELDS)} FROM parsed_gps WHERE {VALID['gps']}",
+    "valid_orders": f"SELECT {_parsed_columns(ORDER_FIELDS)} FROM parsed_order WHERE {VALID['order']}",
+    "valid_driver": f"SELECT {_parsed_columns(DRIVER_FIELDS)} FROM parsed_driver WHERE {VALID['driver']}",
+    "clean_orders": f"SELECT {_parsed_columns(ORDER_FIELDS)}, event_time FROM clean_order",
+    "clean_driver": f"SELECT {_parsed_columns(DRIVER_FIELDS)}, event_time FROM clean_driver",
     "clean_gps": f"SELECT {_parsed_columns(GPS_FIELDS)}, event_time FROM clean_gps",
     "movement_metrics": f"SELECT vehicle_id, lat, lon, speed_kmh, event_time, {_MOVED} FROM moved",
     "movement_metrics_hot": f"SELECT vehicle_id, lat, lon, speed_kmh, event_time, {_MOVED} FROM hot_moved",

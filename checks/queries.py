@@ -134,6 +134,21 @@ def clean_gps(spark, sf_dir):
     return comparable(clean(spark, sf_dir, GPS_TOPIC))
 
 
+def _valid(topic):
+    def run(spark, sf_dir):
+        events = parse_events(topic_records(spark, sf_dir, topic), topic)
+        return comparable(ingest.split_valid_invalid(events, topic)[0])
+
+    return run
+
+
+# The delivery topic is in valid_split and clean_events, positions are in clean_gps.
+for _name, _topic in {"gps": GPS_TOPIC, "orders": ORDER_TOPIC, "driver": DRIVER_TOPIC}.items():
+    QUERIES[f"valid_{_name}"] = _valid(_topic)
+for _name, _topic in {"orders": ORDER_TOPIC, "driver": DRIVER_TOPIC}.items():
+    QUERIES[f"clean_{_name}"] = lambda spark, sf_dir, topic=_topic: comparable(clean(spark, sf_dir, topic))
+
+
 # --- enrichment --------------------------------------------------------------
 
 ROUNDED = ["distance_km", "computed_speed_kmh"]
