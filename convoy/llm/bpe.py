@@ -218,7 +218,7 @@ def encode(docs: DataFrame, path: str, text_column: str = "text", out: str = "en
     Null counts as the empty text, which has no tokens. Nothing is added at begin or end, nothing cut
     or padded; the strings of special tokens inside texts become those tokens. Decoding joins the
     tokens' strings by spaces, as the file names no decoder. ``out`` replaces a column of its name; other
-    columns pass through. Characters that came into Unicode after the tables of the installed
+    columns pass through, but ``__encoded`` is the operator's own name. Characters that came into Unicode after the tables of the installed
     ``regex`` may be cut otherwise than by another library.
     """
     e = F.col("__encoded")

@@ -159,7 +159,7 @@ def predict(docs: DataFrame, tree: Tree | None, out: str = "language") -> DataFr
 
     ``score`` is the chance of the language if all were equally likely before. Texts that are null or have
     no letter are ``und`` with score 0, and so is every text if nothing was learnt. Ties go to
-    the first language by name. ``out`` replaces a column of its name, others pass through.
+    the first language by name. ``out`` replaces a column of its name, others pass through, but ``__guess`` is the operator's own name.
     """
     text = F.col("text").cast("string")
     if tree is None:
