@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 NO_RANK = np.iinfo(np.int64).max
-MAX_KNOWN_WORDS = 200_000  # words a task remembers before it starts anew; results don't depend on it
+MAX_KNOWN_WORDS = 100_000  # words a task remembers before it starts anew; results don't depend on it
 
 #: Signs at which Python cuts texts but the vocabulary doesn't.
 ODD_SPACE = re.compile("[\x1c-\x1f]")
@@ -179,7 +179,7 @@ class WordEnd:
                 yield 0, "", ""
 
 
-def pieces(texts: list[str], most: int = 1 << 22) -> Iterator[list[str]]:
+def pieces(texts: list[str], most: int = 1 << 20) -> Iterator[list[str]]:
     """Runs of texts with about ``most`` characters, so that what a batch needs is bounded."""
     run, size = [], 0
     for text in texts:
@@ -202,11 +202,10 @@ def encoded(text: Column, path: str, digests: bool = False) -> Column:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = WordEnd(path)
         for batch in batches:
-            rows = []
             for texts in pieces(["" if t is None else t for t in batch]):
-                for n, ids, shown in model.encode(texts):
-                    rows.append((n, sha(ids), sha(shown)) if digests else (n, ids, shown))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids", "decoded"])
+                found = model.encode(texts)
+                rows = [(n, sha(i), sha(d)) for n, i, d in found] if digests else list(found)
+                yield pd.DataFrame(rows, columns=["n_tokens", "ids", "decoded"])
 
     run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.DataFrame]}
     return F.pandas_udf(run, "n_tokens long, ids string, decoded string")(text.cast("string"))

@@ -14,11 +14,12 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.bpe import MAX_KNOWN_WORDS, byte_symbols, merge_rounds, pieces, read_model, splitter
+from convoy.llm.bpe import byte_symbols, merge_rounds, pieces, read_model, splitter
 
 #: Fixed value: how the byte-level vocabulary cuts texts before merging.
 PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+MAX_KNOWN_TOKENS = 200_000  # counts a task remembers before it starts anew; results don't depend on it
 SPACE_RUN = re.compile(r"\s ")
 
 
@@ -64,7 +65,7 @@ class ByteLevel:
         self.known.update((c, sum(map(get, own))) for c, own in cut.items())
 
     def count(self, texts: list[str]) -> list[int]:
-        if len(self.known) > MAX_KNOWN_WORDS:
+        if len(self.known) > MAX_KNOWN_TOKENS:
             self.known.clear()
             self.tokens.clear()
         cut = [self.chunks(t) for t in texts]
