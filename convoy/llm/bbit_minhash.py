@@ -1,12 +1,12 @@
 """Near-duplicate documents by b-bit MinHash.
 
-1. Every document's set of shingles is hashed; of each of 512 minima the lowest bit is kept, packed into
+1. Every document's set of shingles is hashed; of each of 512 minima, mixed once more, one bit is kept, packed into
    words, and 32 bands of four whole minima give the keys of buckets. Documents with equal sets
    become one node.
 2. In every bucket some nodes are hubs. Pairs of a hub and another node of its bucket that are not
    yet in one component are candidates; in small buckets all such pairs are. The collision-corrected similarity, estimated from the
-   packed bits by bit counts, drops pairs that are five standard deviations below the threshold, and a bitmap of
-   the shingles those that cannot have enough in common.
+   packed bits by bit counts, drops pairs of more than 128 shingles that are five standard deviations below the
+   threshold, and a bitmap of the shingles those of any size that cannot have enough in common.
 3. The others are confirmed on the full sets. Links join components, and what has become one
    component needs no further comparing.
 4. A hub is done with its bucket; buckets in which all that is left lies in one component are done.
@@ -32,6 +32,8 @@ BITS = 1
 PLANES = [f"p{i}" for i in range(BITS * MINIMA // 64)]
 MAP_BITS = 512
 MAPS = [f"m{i}" for i in range(MAP_BITS // 64)]
+#: Pairs of sets up to this size are left to the bitmap, which is the sharper bound there and never wrong.
+FEW = 128
 #: Up to so many ids are broadcast to pick out the documents of candidate pairs (8 MB).
 BROADCAST_IDS = 1_000_000
 
@@ -78,6 +80,16 @@ def fingerprints(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
     return prints.view(np.int64)
 
 
+def _scattered(x: np.ndarray) -> np.ndarray:
+    """Bits that depend on the whole of each minimum: the low bits of an odd multiple follow the member alone."""
+    x = x ^ (x >> np.uint32(16))
+    x *= np.uint32(0x7FEB352D)
+    x ^= x >> np.uint32(15)
+    x *= np.uint32(0x846CA68B)
+    x ^= x >> np.uint32(16)
+    return x
+
+
 def signatures(hashes: np.ndarray, first: np.ndarray):
     """(band keys, words of bit planes and bitmap) of each set; sets without shingles get zeros."""
     n = len(first) - 1
@@ -93,6 +105,7 @@ def signatures(hashes: np.ndarray, first: np.ndarray):
         own = minima[:, j : BANDS * BAND_SIZE : BAND_SIZE].astype(np.uint64)
         keys = mixed(keys ^ own + np.arange(BANDS, dtype=np.uint64))
     bits = np.zeros((n, BITS * MINIMA + MAP_BITS), np.uint8)
+    minima = _scattered(minima)
     for bit in range(BITS):
         bits[:, bit * MINIMA : (bit + 1) * MINIMA] = (minima >> np.uint32(bit)) & 1
     text = np.repeat(np.arange(n), np.diff(first))
@@ -139,7 +152,7 @@ def _full_sets(batches):
 
 
 def estimate(a: str, b: str) -> Column:
-    """Similarity estimated from the packed low bits of two rows' minima, corrected for equal low bits of
+    """Similarity estimated from the packed bits of two rows' minima, corrected for equal bits of
     different minima."""
     per = MINIMA // 64
     different = F.lit(0)
@@ -263,7 +276,8 @@ def _near(members: DataFrame, others: DataFrame, nodes: DataFrame, percent: int,
     wanted = (F.col("m.bucket") == F.col("h.bucket")) & (F.col("m.component") != F.col("h.component"))
     if different:
         wanted = wanted & (F.col("m.node") < F.col("h.node"))
-    wanted = wanted & (estimate("m", "h") >= _least_estimate(percent / 100)) & _may_reach("m", "h", percent)
+    few = F.greatest("m.n_shingles", "h.n_shingles") <= FEW
+    wanted = wanted & (few | (estimate("m", "h") >= _least_estimate(percent / 100))) & _may_reach("m", "h", percent)
     # a pair that meets in many buckets is a candidate in the first of them only
     shared = F.filter(F.zip_with("m.bands", "h.bands", lambda a, b: F.when(a == b, a)), lambda x: x.isNotNull())
     wanted = wanted & (F.col("m.bucket") == shared[0])

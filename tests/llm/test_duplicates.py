@@ -93,6 +93,18 @@ def test_near_duplicates_of_a_crowd(spark):
     assert sorted(map(tuple, got.collect())) == sorted(near_by_hand(rows))
 
 
+def test_near_duplicates_of_short_documents(spark):
+    """Pairs of 7 to 20 words, each with words of its own, at 0.75 to 0.8."""
+    rows = []
+    for i in range(150):
+        for n, more in ((7, 1), (8, 1), (10, 2), (13, 3), (16, 4), (16, 3)):
+            text = [f"p{len(rows)}x{k}" for k in range(n + more)]
+            rows += [(len(rows), " ".join(text[:n])), (len(rows) + 1, " ".join(text))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs).collect()}
+    assert [i for i in range(0, len(rows), 2) if got[i + 1] != i] == []
+
+
 def test_components_of_long_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 200)]
     rng = random.Random(1)
