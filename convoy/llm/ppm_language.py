@@ -1,14 +1,16 @@
 """Language of texts by prediction by partial matching over bytes.
 
 For every language a tree of contexts of up to three bytes counts what followed. The code length of a byte is
-taken at the deepest context of the tree that precedes it; a byte not seen there costs an
+taken at the deepest context of the language that precedes it; a byte not seen there costs an
 escape (method C: as likely as the number of different bytes seen) and is coded one byte of context shorter, down to
 equal chances for all 256 bytes. The counts are frozen after learning, so the length of every byte in
 every context is a table, and a text's code length in all languages is a sum of looked-up rows. The
 language with the shortest code wins.
 
-Counts cover the whole of all learnt texts and are summed by Spark. The tree keeps the contexts that
-occur most (TABLE_CELLS bounds the broadcast table at 16 MB).
+Counts cover the whole of all learnt texts and all contexts; nothing is left out, however rare the string or the language.
+Spark sums them, finds the distinct four-byte strings of the texts to be told, and joins each with its counts of
+orders 0 to 3. The finished rows reach the texts in pieces of at most TABLE_CELLS cells, one after the other: a
+larger table makes more passes, not a smaller model.
 """
 
 from collections.abc import Iterator
@@ -20,24 +22,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convoy.llm.latent_quality import held_out
+from convoy.llm.tables import stored
 from convoy.llm.words import LOWER, flat, runs
 
 ORDER = 3
+#: Cells (a four-byte string in a language) that the driver and a task hold at once.
 TABLE_CELLS = 4 << 20
-#: Counts of four-byte strings that reach the driver at most, the greatest first (16 bytes each).
-MAX_COUNTS = 400_000
 UNDETERMINED = "und"
 
 
 @dataclass(frozen=True)
 class Tree:
-    """Letters' numbers, children of contexts by letter, and bits by context, letter and language."""
+    """Names of the languages in order, and all counts: (lang, gram, n), lang being the place in the list."""
 
     languages: list[str]
-    letter: np.ndarray
-    second: np.ndarray
-    third: np.ndarray
-    bits: np.ndarray
+    counts: DataFrame
 
 
 def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -49,6 +48,13 @@ def padded(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return signs, places
 
 
+def _grams(data: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Each byte of a run of texts with the three before it, the byte itself in the lowest place."""
+    signs, at = padded(data[part[0] : part[-1]], part - part[0])
+    x = signs.astype(np.uint32)
+    return x[at - 3] << np.uint32(24) | x[at - 2] << np.uint32(16) | x[at - 1] << np.uint32(8) | x[at]
+
+
 def _gram_counts(batches):
     for batch in batches:
         languages = np.array(batch.column("lang").to_pylist(), object)
@@ -56,10 +62,7 @@ def _gram_counts(batches):
             data, offsets = flat(batch.column("text").filter(pa.array(languages == language)))
             for a, b in runs(offsets, 8 << 20):
                 part = offsets[a : b + 1]
-                signs, at = padded(data[part[0] : part[-1]], part - part[0])
-                x = signs.astype(np.uint32)
-                grams = x[at - 3] << np.uint32(24) | x[at - 2] << np.uint32(16) | x[at - 1] << np.uint32(8) | x[at]
-                grams, counts = np.unique(grams, return_counts=True)
+                grams, counts = np.unique(_grams(data, part), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([language] * len(grams), pa.string()),
@@ -70,119 +73,112 @@ def _gram_counts(batches):
                 )
 
 
-def learn(docs: DataFrame, most: int = MAX_COUNTS) -> Tree | None:
+def learn(docs: DataFrame) -> Tree | None:
     """Tree of the texts of ``docs`` (lang, text). Rows without lang teach nothing; without any, None."""
     known = docs.filter("lang is not null and text is not null").select("lang", "text")
     counts = known.mapInArrow(_gram_counts, "lang string, gram long, n long")
-    counts = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    best = counts.orderBy(F.desc("n"), "lang", "gram").limit(most).toArrow()
-    return build(best) if best.num_rows else None
-
-
-def build(counts: pa.Table) -> Tree:
-    languages = sorted(set(counts.column("lang").to_pylist()))
-    number = {name: i for i, name in enumerate(languages)}
-    lang = np.array([number[x] for x in counts.column("lang").to_pylist()])
-    gram = counts.column("gram").to_numpy().astype(np.int64)
-    n = counts.column("n").to_numpy().astype(np.float64)
-    byte = [(gram >> s) & 255 for s in (0, 8, 16, 24)]  # the byte itself, then its context backwards
-    seen = np.unique(np.concatenate([*byte, [32]]))
-    size = len(seen) + 1
-    letter = np.full(256, len(seen), np.int32)  # one number for all bytes never seen
-    letter[seen] = np.arange(len(seen))
-    x0, x1, x2, x3 = (letter[b].astype(np.int64) for b in byte)
-    room = max(0, TABLE_CELLS // (size * len(languages)) - 1 - size)
-
-    def most_frequent(keys: np.ndarray, room: int) -> np.ndarray:
-        own, at = np.unique(keys, return_inverse=True)
-        total = np.bincount(at, n)
-        return np.sort(own[np.lexsort((own, -total))[:room]])
-
-    pairs = most_frequent(x1 * size + x2, room // 2)
-    triples = (x1 * size + x2) * size + x3
-    triples = triples[np.isin(x1 * size + x2, pairs)]
-    own, at = np.unique(triples, return_inverse=True)
-    total = np.bincount(at, n[np.isin(x1 * size + x2, pairs)])
-    triples = np.sort(own[np.lexsort((own, -total))[: room - len(pairs)]])
-    # contexts: 0 is the empty one, then single letters, pairs, triples; a missing child is its parent
-    second = np.repeat(1 + np.arange(size), size)
-    second[pairs] = 1 + size + np.arange(len(pairs))
-    third = np.repeat(np.arange(1 + size + len(pairs)), size).reshape(-1, size)
-    parents = 1 + size + np.searchsorted(pairs, triples // size)
-    third[parents, triples % size] = 1 + size + len(pairs) + np.arange(len(triples))
-    contexts = 1 + size + len(pairs) + len(triples)
-
-    node2 = second[x1 * size + x2]
-    node3 = third[node2, x3]
-    parent = np.zeros(contexts, np.int64)
-    parent[1 + size : 1 + size + len(pairs)] = 1 + pairs // size
-    parent[1 + size + len(pairs) :] = parents
-    of = np.zeros((len(languages), contexts, size))
-    for nodes in {0: np.zeros_like(x1), 1: 1 + x1}.values():
-        np.add.at(of, (lang, nodes, x0), n)
-    deep = node2 > size
-    np.add.at(of, (lang[deep], node2[deep], x0[deep]), n[deep])
-    deep = node3 > size + len(pairs)
-    np.add.at(of, (lang[deep], node3[deep], x0[deep]), n[deep])
-    chance = np.full((len(languages), size), 1 / 256)
-    chances = np.empty_like(of)
-    for first, to in ((0, 1), (1, 1 + size), (1 + size, 1 + size + len(pairs)), (1 + size + len(pairs), contexts)):
-        own = of[:, first:to]
-        total, kinds = own.sum(axis=2, keepdims=True), (own > 0).sum(axis=2, keepdims=True)
-        above = chance[:, None] if first == 0 else chances[:, parent[first:to]]
-        shorter = np.where(total > 0, kinds / np.maximum(total + kinds, 1), 1.0) * above
-        chances[:, first:to] = np.where(own > 0, own / np.maximum(total + kinds, 1), shorter)
-    bits = -np.log2(chances).transpose(1, 2, 0).reshape(-1, len(languages)).astype(np.float32)
-    return Tree(languages, letter, second.astype(np.int32), third.reshape(-1).astype(np.int32), bits)
-
-
-def code_lengths(tree: Tree, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Bits of each text in each language."""
-    found = np.zeros((len(offsets) - 1, len(tree.languages)))
-    size = int(len(tree.second) ** 0.5)
+    counts = stored(counts.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "gram-counts")
+    languages = sorted(r.lang for r in counts.select("lang").distinct().collect())
+    if not languages:
+        return None
+    places = docs.sparkSession.createDataFrame(list(enumerate(languages)), "place int, lang string")
+    counts = counts.join(F.broadcast(places), "lang")
+    return Tree(languages, counts.select(F.col("place").alias("lang"), "gram", "n"))
+
+
+def _code_table(docs: DataFrame, tree: Tree) -> DataFrame:
+    """(gram, lang, bits): the code length of the last byte of every four-byte string of ``docs``, in every language."""
+    texts = docs.select(F.lit("").alias("lang"), F.col("text").cast("string").alias("text"))
+    met = texts.mapInArrow(_gram_counts, "lang string, gram long, n long").select("gram").distinct()
+    met = stored(met, "grams")
+    languages = docs.sparkSession.range(len(tree.languages)).select(F.col("id").cast("int").alias("lang"))
+    shorter = None
+    for order in range(ORDER + 1):
+        string = F.col("gram").bitwiseAND(F.lit((1 << 8 * (order + 1)) - 1)).alias("string")
+        context = F.shiftright("string", 8).alias("context")
+        seen = tree.counts.groupBy("lang", string).agg(F.sum("n").alias("n"))
+        seen = stored(seen.withColumn("context", context), "strings")
+        contexts = seen.groupBy("lang", "context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds"))
+        wanted = met.select(string).distinct().crossJoin(F.broadcast(languages)).withColumn("context", context)
+        found = wanted.join(seen.drop("context"), ["lang", "string"], "left").join(contexts, ["lang", "context"], "left")
+        if shorter is None:
+            found = found.withColumn("above", F.lit(1 / 256))
+        else:
+            found = found.withColumn("end", F.col("string").bitwiseAND(F.lit((1 << 8 * order) - 1))).join(
+                shorter.select("lang", F.col("string").alias("end"), F.col("chance").alias("above")), ["lang", "end"]
+            )
+        room = F.col("total") + F.col("kinds")
+        chance = F.coalesce(F.col("n") / room, F.col("kinds") / room * F.col("above"), F.col("above"))
+        shorter = stored(found.select("lang", "string", chance.alias("chance")), "chances")
+    return shorter.select(F.col("string").alias("gram"), "lang", (-F.log2("chance")).cast("float").alias("bits"))
+
+
+def code_lengths(grams: np.ndarray, bits: np.ndarray, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Bits of each text in each language, of those bytes that end one of the sorted ``grams``; the last row of ``bits``
+    is for all others."""
+    found = np.zeros((len(offsets) - 1, bits.shape[1]))
     for a, b in runs(offsets):
         part = offsets[a : b + 1]
         if part[-1] == part[0]:
             continue
-        signs, at = padded(data[part[0] : part[-1]], part - part[0])
-        x = tree.letter[signs]
-        node = tree.second[x[at - 1] * size + x[at - 2]]
-        node = tree.third[node * size + x[at - 3]]
-        rows = tree.bits[node * size + x[at]]
+        x = _grams(data, part)
+        at = np.searchsorted(grams, x)
+        at[grams[np.minimum(at, len(grams) - 1)] != x] = len(grams)
         filled = np.flatnonzero(np.diff(part) > 0)
-        found[a + filled] = np.add.reduceat(rows, (part - part[0])[:-1][filled], axis=0, dtype=np.float64)
+        found[a + filled] = np.add.reduceat(bits[at], (part - part[0])[:-1][filled], axis=0, dtype=np.float64)
     return found
 
 
-def predict(docs: DataFrame, tree: Tree | None, out: str = "language") -> DataFrame:
+def predict(docs: DataFrame, tree: Tree | None, out: str = "language", cells: int = TABLE_CELLS) -> DataFrame:
     """``docs`` with a struct column ``out``: lang_pred, score.
 
     ``score`` is the chance of the language if all were equally likely before. Texts that are null or have
     no letter are ``und`` with score 0, and so is every text if nothing was learnt. Ties go to
     the first language by name. ``out`` replaces a column of its name, others pass through, but ``__guess`` is the operator's own name.
+    ``docs`` is read twice, and once more for each further ``cells`` cells of the table.
     """
     text = F.col("text").cast("string")
     if tree is None:
         return docs.withColumn(out, F.struct(F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score")))
-    sent = docs.sparkSession.sparkContext.broadcast(tree)
-    kind = pa.struct([("lang_pred", pa.string()), ("score", pa.float64())])
-
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        names = np.array(sent.value.languages, object)
-        for batch in batches:
-            lengths = code_lengths(sent.value, *flat(batch))
-            best = lengths.argmin(axis=1)
-            chance = 1 / np.exp2(lengths.min(axis=1, keepdims=True) - lengths).sum(axis=1)
-            arrays = [pa.array(names[best], pa.string()), pa.array(chance)]
-            yield pa.StructArray.from_arrays(arrays, fields=list(kind))
-
-    guess = F.arrow_udf(run, "lang_pred string, score double")(text)
+    table = _code_table(docs, tree)
+    wide = len(tree.languages)
+    pieces = max(1, -(-table.count() // max(cells, wide)))
+    piece = F.pmod(F.xxhash64("gram"), F.lit(pieces))
+    docs = docs.withColumn("__guess", F.array_repeat(F.lit(0.0), wide))
+    for i in range(pieces):
+        rows = table.filter(piece == i).toArrow()
+        gram, lang = rows.column("gram").to_numpy(), rows.column("lang").to_numpy()
+        order = np.lexsort((lang, gram))
+        bits = np.zeros((len(order) // wide + 1, wide), np.float32)
+        bits[:-1] = rows.column("bits").to_numpy()[order].reshape(-1, wide)
+        sent = docs.sparkSession.sparkContext.broadcast((gram[order][::wide].astype(np.uint32), bits))
+        if i:
+            docs = stored(docs, "lengths")
+        docs = docs.withColumn("__guess", _add_lengths(sent)(text, F.col("__guess")))
+    names = F.array(*[F.lit(x) for x in tree.languages])
+    least = F.array_min("__guess")
+    chance = 1 / F.aggregate("__guess", F.lit(0.0), lambda s, x: s + F.pow(F.lit(2.0), least - x))
     letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
     chosen = F.struct(
-        F.when(letter, F.col("__guess.lang_pred")).otherwise(UNDETERMINED).alias("lang_pred"),
-        F.when(letter, F.col("__guess.score")).otherwise(0.0).alias("score"),
+        F.when(letter, F.element_at(names, F.array_position("__guess", least).cast("int"))).otherwise(UNDETERMINED).alias("lang_pred"),
+        F.when(letter, chance).otherwise(0.0).alias("score"),
     )
-    return docs.withColumn("__guess", guess).withColumn(out, chosen).drop("__guess")
+    return docs.withColumn(out, chosen).drop("__guess")
+
+
+def _add_lengths(sent):
+    """A column function: code lengths so far and those by the sent piece of the table."""
+
+    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        grams, bits = sent.value
+        for texts, before in batches:
+            own = np.zeros((len(texts), bits.shape[1])) if not len(grams) else code_lengths(grams, bits, *flat(texts))
+            total = own + before.flatten().to_numpy(zero_copy_only=False).reshape(own.shape)
+            ends = np.arange(len(total) + 1, dtype=np.int32) * bits.shape[1]
+            yield pa.ListArray.from_arrays(ends, pa.array(total.reshape(-1)))
+
+    run.__annotations__ = {"batches": Iterator[tuple[pa.Array, pa.Array]], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, "array<double>")
 
 
 def language(docs: DataFrame) -> DataFrame:

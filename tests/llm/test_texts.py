@@ -1,8 +1,10 @@
 """Operators that look at one text at a time, against libraries and brute force."""
 
 import hashlib
+import math
 import random
 import re
+from collections import Counter
 
 import pyarrow as pa
 import pytest
@@ -192,6 +194,55 @@ def test_code_lengths_prefer_the_own_language(spark):
     assert [r.language.lang_pred for r in predict(texts, tree).collect()] == ["aa", "bb", "und", "und"]
 
 
+def lengths_by_hand(learnt, text):
+    """Bits of ``text`` in each language, by the definition."""
+    seen = {}
+    for lang, t in learnt:
+        b = b"   " + t.encode().translate(LOWER)
+        for i in range(3, len(b)):
+            for k in range(4):
+                seen.setdefault(lang, {}).setdefault(b[i - k : i], Counter())[b[i]] += 1
+    b = b"   " + text.encode().translate(LOWER)
+    found = {}
+    for lang, contexts in seen.items():
+        chance = 1.0
+        for i in range(3, len(b)):
+            for k in range(3, -1, -1):
+                if c := contexts.get(b[i - k : i]):
+                    room = c.total() + len(c)
+                    chance *= (c[b[i]] or len(c)) / room
+                    if c[b[i]]:
+                        break
+            else:
+                chance /= 256
+        found[lang] = -math.log2(chance)
+    return found
+
+
+def test_a_language_with_a_thousandth_of_the_rows(spark):
+    """Its strings are rarer than 400,000 of the great language."""
+    rng = random.Random(6)
+    great = [("aa", "".join(chr(rng.randrange(97, 123)) for _ in range(500))) for _ in range(2000)]
+    small = [("bb", "żółć gęślą jaźń")]
+    tree = learn(spark.createDataFrame(great + small, "lang string, text string").repartition(4))
+    assert tree.languages == ["aa", "bb"]
+    texts = spark.createDataFrame([("gęślą jaźń",), ("qxkzjw vbn",)], "text string")
+    assert [r.language.lang_pred for r in predict(texts, tree).collect()] == ["bb", "aa"]
+
+
+@pytest.mark.parametrize("cells", [1 << 20, 20])
+def test_code_lengths_by_definition(spark, cells):
+    rng = random.Random(9)
+    learnt = [(x, prose(rng, 12, 9) + " " + y * rng.randrange(9)) for x in ("aa", "bb", "cc") for y in ("ab", "Éc", "zq")]
+    texts = ["w1 w2", "abÉ zqc", "w7 unseen £ 9", "x"]
+    tree = learn(spark.createDataFrame(learnt, "lang string, text string"))
+    got = predict(spark.createDataFrame([(t,) for t in texts], "text string"), tree, cells=cells).collect()
+    for r in got:
+        bits = lengths_by_hand(learnt, r.text)
+        assert r.language.lang_pred == min(bits, key=lambda x: (bits[x], x))
+        assert r.language.score == pytest.approx(1 / sum(2 ** (min(bits.values()) - x) for x in bits.values()), rel=1e-4)
+
+
 @pytest.mark.parametrize("shards", [1, 8, 9])
 def test_shards_are_equally_full(hard, hard_rows, shards):
     got = balanced_shards(hard, shards).collect()
