@@ -1,8 +1,9 @@
 """Exact duplicates by deterministic block naming.
 
-Every text is cut into blocks of a fixed number of bytes. All distinct blocks of the corpus are
-sorted and get integer names; adjacent names are paired, distinct pairs are sorted and named, and
-so on until each text has one name. Texts of one height with one name are equal, and only those.
+Every text is cut into blocks of a fixed number of bytes. All distinct blocks of the corpus
+get integer names; adjacent names are paired, distinct pairs are named, and so on until each text has
+one name. Blocks and pairs are sorted inside each partition only, so names are unique but follow the
+partitioning, not one order of all blocks. Texts of one height with one name are equal, and only those.
 
 Blocks travel to the place of naming once, after a map-side combine, so a group of copies sends one
 block per map task. There each block is known by a 128-bit key; the naming job compares the bytes
@@ -37,7 +38,7 @@ def _key(block: Column, seed: int) -> Column:
 
 
 def _name_blocks(texts: DataFrame, size: int, seed: int) -> DataFrame:
-    """(key, name, clash): names follow the order of the blocks' bytes."""
+    """(key, name, clash): names follow the order of the blocks' bytes inside a partition only."""
     blocks = texts.select(F.explode(_blocks(F.col("text"), size)).alias("block"))
     firsts = blocks.groupBy(_key(F.col("block"), seed).alias("key")).agg(
         F.min("block").alias("block"), F.max("block").alias("other")
@@ -51,7 +52,7 @@ def _name_blocks(texts: DataFrame, size: int, seed: int) -> DataFrame:
 
 
 def _name_pairs(pairs: DataFrame) -> DataFrame:
-    """(first, second, name): the distinct pairs in order."""
+    """(first, second, name): the distinct pairs, in order inside a partition only."""
     distinct = pairs.select("first", "second").distinct().sortWithinPartitions("first", "second")
     return stored(distinct.withColumn("name", F.monotonically_increasing_id()), "pair-names")
 
