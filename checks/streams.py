@@ -140,8 +140,8 @@ def stream_dedup(spark, sf_dir):
 
 
 def stream_two_writers(spark, sf_dir):
-    """Two streams with checkpoints of their own write all positions and all deliveries of the topics, each to
-    the same lake; rows of both are there."""
+    """Two streams with checkpoints of their own write all records of the delivery topic, each to
+    the same lake; rows of both are there. Positions and their enriching sink are not covered."""
     folder = work_folder(spark, "writers")
     lake = f"{folder}/lake"
     records = topic_records(spark, sf_dir, DELIVERY_TOPIC)
