@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from convoy.llm.bbit_minhash import near_duplicates
 from convoy.llm.bpe import encoding_digests
+from convoy.llm.hard_negatives import mined
 from convoy.llm.latent_quality import quality
 from convoy.llm.naming import exact_duplicates
 from convoy.llm.pii import personal_data
@@ -18,6 +19,8 @@ from convoy.llm.ring import balanced_shards
 from convoy.llm.suffix_dedup import remove_repeats
 from convoy.llm.tables import table
 from convoy.llm.token_counts import token_counts
+from convoy.llm.toxicity import toxicity
+from convoy.llm.whitening import whitened
 from convoy.llm.wu_manber import contamination_digests
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +85,21 @@ def op10_bpe(spark, sf_dir):
     return encoding_digests(table(spark, sf_dir, "documents"), path)
 
 
+@query
+def op11_hilbert_negatives(spark, sf_dir):
+    return mined(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_cholesky_whitening(spark, sf_dir):
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_toxic_grammar(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE["op7_block_naming"] = f"""
@@ -137,3 +155,22 @@ SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS co
        doc_id = min(other) AS kept
 FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
 """
+
+ORACLE["op11_hilbert_negatives"] = """
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda c : floor(256 * c::DOUBLE)) AS x
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+             AND len(list_filter(embedding, lambda c : c IS NULL OR NOT isfinite(c))) = 0),
+     scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+                       list_dot_product(a.x, b.x)::BIGINT AS score
+                FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+     positives AS (SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+                   QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)::INTEGER AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
