@@ -503,12 +503,14 @@ _LAKE_GPS = f"""SELECT {_parsed_columns(GPS_FIELDS)}, event_time, {_MOVED}, {FLA
 _TEXTS |= {
     "stream_enriched": f"{_LAKE_GPS} lake_moved",
     "stream_late": f"{_LAKE_GPS} lake_moved",
+    "stream_ordered": f"{_LAKE_GPS} lake_moved",
     "stream_lake": f"""SELECT {_parsed_columns(DELIVERY_FIELDS)}, event_time,
  'delivery' AS event_type, CAST(event_time AS DATE) AS event_date FROM clean_delivery""",
     "stream_dual_write": _union(
         f"SELECT CAST({i} AS INTEGER) AS lake, count(*) AS n FROM clean_order" for i in (0, 1)
     ),
     "stream_dedup": "SELECT package_id, event_time, status FROM clean_delivery",
+    "stream_first_arrivals": "SELECT package_id, event_time, status FROM clean_delivery",
     "stream_two_writers": _union(
         f"""SELECT {_parsed_columns(DELIVERY_FIELDS)}, event_time, 'delivery' AS event_type,
  CAST(event_time AS DATE) AS event_date FROM clean_delivery"""

@@ -453,5 +453,10 @@ def stream_late(spark, sf_dir):
     return comparable(rounded(streams.stream_late(spark, sf_dir)))
 
 
+@query
+def stream_ordered(spark, sf_dir):
+    return comparable(rounded(streams.stream_ordered(spark, sf_dir)))
+
+
 for _name, _query in streams.STREAM_QUERIES.items():
     QUERIES[_name] = lambda spark, sf_dir, run=_query: comparable(run(spark, sf_dir))

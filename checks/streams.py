@@ -42,9 +42,10 @@ def arrive(
     records: dict[str, DataFrame],
     start: Callable[[dict[str, DataFrame]], list[StreamingQuery]],
     order: tuple[int, ...] = (0, 1, 2),
+    by: str = "timestamp",
 ) -> list[StreamingQuery]:
     """Let the records arrive piece by piece and run the queries over each; all runs' queries."""
-    cut = {topic: pieces(rows, "timestamp") for topic, rows in records.items()}
+    cut = {topic: pieces(rows, by) for topic, rows in records.items()}
     ran = []
     for i in order:
         for topic, parts in cut.items():
@@ -96,6 +97,40 @@ def stream_late(spark, sf_dir):
     return read_lake(spark, layout.lakes[0], "gps")
 
 
+def stream_ordered(spark, sf_dir):
+    """Positions that arrive out of order, up to six hours late, held for that time and drained at the end: equals
+    one pass over the ordered history, without any later correction."""
+    folder = work_folder(spark, "ordered")
+    layout = Layout([f"{folder}/lake"], folder, hold_seconds=6 * 3600)
+    late = F.make_dt_interval(secs=F.pmod(F.xxhash64("value"), F.lit(6 * 3600)).cast("double"))
+    records = topic_records(spark, sf_dir, GPS_TOPIC).withColumn("arrival", F.col("timestamp") + late)
+
+    def start(sources):
+        return [sinks.write_topic(sources[GPS_TOPIC], GPS_TOPIC, layout, "lake_gps", True)]
+
+    arrive(spark, folder, {GPS_TOPIC: records}, start, by="arrival")
+    sinks.drain_ordered(spark, layout)
+    return read_lake(spark, layout.lakes[0], "gps")
+
+
+def stream_first_arrivals(spark, sf_dir):
+    """Every record arrives again ten minutes later; each delivery step comes out once, from a state that holds
+    an hour of arrivals."""
+    folder = work_folder(spark, "first")
+    layout = Layout([f"{folder}/lake"], folder)
+    once = topic_records(spark, sf_dir, DELIVERY_TOPIC)
+    again = once.withColumn("timestamp", F.col("timestamp") + F.expr("interval 10 minutes"))
+
+    def start(sources):
+        clean = ingest.topic_pipeline(sources[DELIVERY_TOPIC], DELIVERY_TOPIC)[0]
+        return sinks.write_first_arrivals(
+            clean, "delivery", ["package_id", "event_time"], layout, "first", available_now=True
+        )
+
+    arrive(spark, folder, {DELIVERY_TOPIC: once.unionAll(again)}, start)
+    return read_lake(spark, layout.lakes[0], "delivery").select("package_id", "event_time", "status")
+
+
 def stream_lake(spark, sf_dir):
     def start(clean, _, layout):
         return sinks.write_lake(clean, "delivery", layout, "lake_delivery", available_now=True)
@@ -308,6 +343,7 @@ STREAM_QUERIES = {
         stream_lake,
         stream_dual_write,
         stream_dedup,
+        stream_first_arrivals,
         stream_two_writers,
         stream_dead_letter,
         stream_state,

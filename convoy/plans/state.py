@@ -24,12 +24,11 @@ def vehicle_state(positions: DataFrame, updated_at: Column | None = None) -> Dat
     )
 
 
-def merge_state(old: DataFrame, new: DataFrame) -> DataFrame:
-    """Newest position of two states; the time of writing of the newer write is kept."""
+def merge_state(rows: DataFrame) -> DataFrame:
+    """Newest position per vehicle of several states; the time of writing of the newest write is kept."""
     fields = F.struct("event_time", *[c for c in STATE_FIELDS if c != "event_time"])
     return (
-        old.unionByName(new)
-        .groupBy("vehicle_id")
+        rows.groupBy("vehicle_id")
         .agg(F.max(fields).alias("newest"), F.max("updated_at").alias("updated_at"))
         .select("vehicle_id", *[f"newest.{c}" for c in STATE_FIELDS], "updated_at")
     )

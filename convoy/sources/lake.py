@@ -30,10 +30,32 @@ def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType)
     return rows.select(*schema.names)
 
 
+def _file_system(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
 def is_committed(spark: SparkSession, path: str) -> bool:
     """Whether a table's folder was written to the end."""
-    mark = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    return mark.getFileSystem(spark._jsc.hadoopConfiguration()).exists(mark)
+    files, mark = _file_system(spark, f"{path}/_SUCCESS")
+    return files.exists(mark)
+
+
+def folder_values(spark: SparkSession, path: str, name: str) -> list[str]:
+    """The values of the folders ``name=value`` directly below a path, none if it is not there."""
+    files, place = _file_system(spark, path)
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(place, f"{name}=*")) or []
+    return sorted(status.getPath().getName().split("=", 1)[1] for status in found)
+
+
+def committed_numbers(spark: SparkSession, path: str, name: str) -> list[int]:
+    """The numbers of the folders ``name=number`` below a path that were written to the end, rising."""
+    return sorted(int(v) for v in folder_values(spark, path, name) if is_committed(spark, f"{path}/{name}={v}"))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, place = _file_system(spark, path)
+    files.delete(place, True)
 
 
 def read_lake(spark: SparkSession, root: str, event_type: str) -> DataFrame:

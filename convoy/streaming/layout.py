@@ -9,13 +9,15 @@ from convoy.sources.lake import dead_letter_path, lake_path
 class Layout:
     """``lakes`` are the roots to write the same lake to: one, or several for a dual write.
 
-    All paths must be on storage that every executor shares.
+    All paths must be on storage that every executor shares. With ``hold_seconds`` positions are held so
+    long for those that arrive out of order, see ``write_ordered_lake``.
     """
 
     lakes: list[str]
     work: str
     trigger_seconds: int = 10
     state_trigger_seconds: int = 5
+    hold_seconds: int | None = None
 
     def events(self, event_type: str) -> list[str]:
         return [lake_path(root, event_type) for root in self.lakes]

@@ -17,9 +17,10 @@ from convoy.schemas import (
 )
 from convoy.sources.lake import read_parquet_or_empty
 from convoy.sources.topics import parse_events
+from convoy.streaming import ordered
 from convoy.streaming.enrich import advance, enrich_batch, last_positions
 from convoy.streaming.layout import Layout
-from convoy.streaming.state import BatchState
+from convoy.streaming.state import KeyedState
 
 LAKE_PARTITIONS = ["event_date", "event_type"]
 DEAD_LETTER_PARTITIONS = ["reject_date", "reject_topic"]
@@ -43,10 +44,12 @@ def _writer(batch: DataFrame) -> str:
     return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
 
 
-def _append_batch(rows: DataFrame, path: str, partitions: list[str], batch_id: int) -> None:
+def _append_batch(
+    rows: DataFrame, path: str, partitions: list[str], batch_id: int, writer: str | None = None
+) -> None:
     """Add a batch to a partitioned table; replaying it replaces its own files only."""
     (
-        rows.withColumns({"writer_id": F.lit(_writer(rows)), "batch_id": F.lit(batch_id)})
+        rows.withColumns({"writer_id": F.lit(writer or _writer(rows)), "batch_id": F.lit(batch_id)})
         .write.partitionBy(*partitions, "writer_id", "batch_id")
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
@@ -54,14 +57,16 @@ def _append_batch(rows: DataFrame, path: str, partitions: list[str], batch_id: i
     )
 
 
-def _append_to_all(rows: DataFrame, paths: list[str], partitions: list[str], batch_id: int) -> None:
+def _append_to_all(
+    rows: DataFrame, paths: list[str], partitions: list[str], batch_id: int, writer: str | None = None
+) -> None:
     """Write to every target, computing the rows once."""
     if len(paths) == 1:
-        return _append_batch(rows, paths[0], partitions, batch_id)
+        return _append_batch(rows, paths[0], partitions, batch_id, writer)
     rows = rows.persist()
     try:
         for path in paths:
-            _append_batch(rows, path, partitions, batch_id)
+            _append_batch(rows, path, partitions, batch_id, writer)
     finally:
         rows.unpersist()
 
@@ -153,27 +158,69 @@ def write_enriched_lake(
     )
 
 
-class VehicleStates(BatchState):
+def _enrich_in_order(layout: Layout, delay_seconds: int) -> Callable[[DataFrame, int], None]:
+    def write(rows: DataFrame, batch_id: int) -> None:
+        _append_to_all(rows, layout.events("gps"), LAKE_PARTITIONS, batch_id)
+
+    return ordered.hold_and_release(layout, delay_seconds, write, _writer)
+
+
+def write_ordered_lake(
+    positions: DataFrame,
+    layout: Layout,
+    query_name: str = "lake_gps",
+    delay_seconds: int = 600,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """Positions with movement metrics and anomalies to the lake, exact for all that arrive within the delay.
+
+    A position may arrive ``delay_seconds`` after the newest one seen and still gets its true predecessor, and is
+    the predecessor of those that follow it. The lake lags behind by the delay and a minute; ``drain_ordered``
+    ends that when a stream has ended. ``ordered.late_positions`` counts those that came later.
+    """
+    return _for_each_batch(
+        positions,
+        _enrich_in_order(layout, delay_seconds),
+        layout,
+        query_name,
+        layout.trigger_seconds,
+        available_now,
+    )
+
+
+def drain_ordered(spark: SparkSession, layout: Layout) -> None:
+    """Enrich and store what the ordered streams of a layout still hold; no such stream may run."""
+
+    def write(rows: DataFrame, writer: str, batch_id: int) -> None:
+        _append_to_all(rows, layout.events("gps"), LAKE_PARTITIONS, batch_id, writer)
+
+    ordered.drain(spark, layout, write)
+
+
+class VehicleStates(KeyedState):
     """The vehicles as readers see them: those heard of within the time-to-live before ``as_of`` (now)."""
 
-    def latest(
-        self, spark: SparkSession, as_of: Column | None = None, ttl_seconds: int = STATE_TTL_SECONDS
-    ) -> DataFrame:
-        return live_state(super().latest(spark), F.current_timestamp() if as_of is None else as_of, ttl_seconds)
+    def __init__(self, path: str, ttl_seconds: int = STATE_TTL_SECONDS, fold_every: int = 100):
+        self.ttl_seconds = ttl_seconds
+        super().__init__(path, VEHICLE_STATE, merge_state, self.live, fold_every)
+
+    def live(self, rows: DataFrame, as_of: Column | None = None) -> DataFrame:
+        return live_state(rows, F.current_timestamp() if as_of is None else as_of, self.ttl_seconds)
 
+    def latest(self, spark: SparkSession, as_of: Column | None = None) -> DataFrame:
+        return self.live(super().latest(spark), as_of)
 
-def vehicle_states(layout: Layout) -> VehicleStates:
-    return VehicleStates(layout.state("vehicles"), VEHICLE_STATE)
+
+def vehicle_states(layout: Layout, ttl_seconds: int = STATE_TTL_SECONDS) -> VehicleStates:
+    return VehicleStates(layout.state("vehicles"), ttl_seconds)
 
 
 def _update_vehicles(layout: Layout, ttl_seconds: int) -> Callable[[DataFrame, int], None]:
-    state = vehicle_states(layout)
+    state = vehicle_states(layout, ttl_seconds)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        now = F.current_timestamp()
-        fresh = vehicle_state(batch.select("vehicle_id", *STATE_FIELDS), updated_at=now)
-        merged = merge_state(state.before(batch.sparkSession, batch_id), fresh)
-        state.write(live_state(merged, now, ttl_seconds), batch_id)
+        fresh = vehicle_state(batch.select("vehicle_id", *STATE_FIELDS), updated_at=F.current_timestamp())
+        state.write(fresh, batch_id, _writer(batch))
 
     return write_batch
 
@@ -185,7 +232,10 @@ def write_vehicle_state(
     ttl_seconds: int = STATE_TTL_SECONDS,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """Keep the latest position per vehicle; vehicles silent for the time-to-live drop out."""
+    """Keep the latest position per vehicle; vehicles silent for the time-to-live drop out.
+
+    A batch writes the vehicles it has heard of and no others, see ``KeyedState``.
+    """
     return _for_each_batch(
         positions,
         _update_vehicles(layout, ttl_seconds),
@@ -237,6 +287,37 @@ def write_once(
     )
 
 
+def first_arrivals(events: DataFrame, keys: list[str], within: str) -> DataFrame:
+    """Events that did not come before within the given time of arrival, told apart by ``keys``.
+
+    The watermark follows the time of arrival (``kafka_timestamp``), not that of the event: what is repeated,
+    is repeated soon, and an event that happened long ago is no repeat. The state holds the keys that arrived in
+    that time and no others. Events without a time are told apart by all columns but the time of arrival. A record that stands further
+    back than ``within`` in a topic partition that lags behind the others is dropped; the progress of the query
+    counts such rows (numRowsDroppedByWatermark), so choose ``within`` above the lag between partitions.
+    """
+    whole = F.sha2(F.to_json(F.struct(*[c for c in events.columns if c not in ("event_time", "kafka_timestamp")])), 256)
+    untimed = F.when(F.col("event_time").isNull(), whole).otherwise(F.lit(""))
+    marked = events.withColumn("_untimed", untimed).withWatermark("kafka_timestamp", within)
+    return marked.dropDuplicatesWithinWatermark([*keys, "_untimed"]).drop("_untimed")
+
+
+def write_first_arrivals(
+    events: DataFrame,
+    event_type: str,
+    keys: list[str],
+    layout: Layout,
+    query_name: str,
+    within: str = "1 hour",
+    available_now: bool = False,
+) -> list[StreamingQuery]:
+    """Clean events to the lake without the repeats of the last while: bounded state, nothing of the lake is read.
+
+    ``write_once`` compares with all days of the lake instead, for repeats of any age.
+    """
+    return write_lake(first_arrivals(events, keys, within), event_type, layout, query_name, available_now)
+
+
 def write_topic(
     records: DataFrame, topic: str, layout: Layout, query_name: str, available_now: bool = False
 ) -> StreamingQuery:
@@ -244,7 +325,10 @@ def write_topic(
     lake rows (enriched for positions), dead letters and, for positions, the vehicle state."""
     is_gps = topic == GPS_TOPIC
     event_type = EVENT_TYPE_BY_TOPIC[topic]
-    enrich = _enrich_and_store(layout, carry=True)
+    if layout.hold_seconds is None:
+        enrich = _enrich_and_store(layout, carry=True)
+    else:
+        enrich = _enrich_in_order(layout, layout.hold_seconds)
     update_vehicles = _update_vehicles(layout, STATE_TTL_SECONDS)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:

@@ -14,7 +14,7 @@ from convoy.sources.lake import dead_letter_path, file_inventory, lake_path, rea
 from convoy.sources.load import load_events, read_load_audit, read_raw
 from convoy.sources.topics import read_topic_files
 from convoy.streaming import jobs as streams
-from convoy.streaming import sinks
+from convoy.streaming import ordered, sinks
 from convoy.streaming.enrich import mend_lake
 from convoy.streaming.layout import Layout
 
@@ -211,7 +211,7 @@ def test_vehicle_state_over_batches(spark, send, layout):
 def test_expired_vehicles_leave_the_state(spark, send, layout):
     stream = send(GPS_TOPIC, position(1))
     run(sinks.write_vehicle_state(clean(stream), layout, ttl_seconds=0, available_now=True))
-    assert sinks.vehicle_states(layout).latest(spark).count() == 0
+    assert sinks.vehicle_states(layout, ttl_seconds=0).latest(spark).count() == 0
 
 
 def test_repeats_are_dropped_across_batches(spark, send, layout):
@@ -246,15 +246,128 @@ def test_readers_skip_a_half_written_state(spark, send, layout):
     stream = send(GPS_TOPIC, position(1, vehicle="a"), position(5, vehicle="b"))
     run(sinks.write_vehicle_state(clean(stream), layout, available_now=True))
     states = sinks.vehicle_states(layout)
-    half = spark.read.parquet(f"{states.path}/slot0").limit(1).withColumn("vehicle_id", F.lit("half"))
-    half.write.parquet(f"{states.path}/slot1")
-    assert {r.vehicle_id for r in states.latest(spark).collect()} != {"a", "b"}
-    (Path(states.path) / "slot1/_SUCCESS").unlink()
+    (changes,) = Path(states.path).glob("writer=*/changes")
+    half = spark.read.parquet(f"{changes}/batch=0").limit(1).withColumn("vehicle_id", F.lit("half"))
+    half.write.parquet(f"{changes}/batch=1")
+    assert {r.vehicle_id for r in states.latest(spark).collect()} == {"a", "b", "half"}
+    (changes / "batch=1/_SUCCESS").unlink()
     assert {r.vehicle_id for r in states.latest(spark).collect()} == {"a", "b"}
     later = F.current_timestamp() + F.expr("interval 2 days")
     assert states.latest(spark, as_of=later).count() == 0
 
 
+def rows_in(spark, path):
+    return spark.read.parquet(str(path)).count()
+
+
+def test_a_batch_writes_the_vehicles_it_has_heard_of(spark, send, layout):
+    stream = send(GPS_TOPIC, *[position(i, vehicle=f"v{i}") for i in range(50)])
+    run(sinks.write_vehicle_state(clean(stream), layout, available_now=True))
+    for i in range(3):
+        stream = send(GPS_TOPIC, position(60 + i, vehicle="v7"), position(61 + i, vehicle="v7"))
+        run(sinks.write_vehicle_state(clean(stream), layout, available_now=True))
+    states = sinks.vehicle_states(layout)
+    (changes,) = Path(states.path).glob("writer=*/changes")
+    assert [rows_in(spark, changes / f"batch={i}") for i in range(4)] == [50, 1, 1, 1]
+    found = {r.vehicle_id: r.event_time for r in states.latest(spark).collect()}
+    assert len(found) == 50 and found["v7"] == START + timedelta(seconds=40 * 63)
+
+
+def changed(spark, batch, *vehicles):
+    now = datetime.now() if batch >= 0 else datetime.now() - timedelta(days=2)
+    rows = [(v, "d", 45.5, -73.6, float(batch), START + timedelta(minutes=abs(batch)), now) for v in vehicles]
+    return spark.createDataFrame(rows, sinks.VEHICLE_STATE)
+
+
+def test_changes_are_folded_and_expired_vehicles_leave(spark, tmp_path):
+    """A state folded every 3 batches equals one never folded; replays and both kinds of readers included."""
+    plain = sinks.VehicleStates(str(tmp_path / "plain"), fold_every=10_000)
+    folded = sinks.VehicleStates(str(tmp_path / "folded"), fold_every=3)
+    for state in (plain, folded):
+        state.write(changed(spark, -1, "old", "a"), 0, "w")
+    for n in range(1, 9):
+        for state in (plain, folded):
+            for _ in range(1 + n % 2):
+                state.write(changed(spark, n, "a" if n % 2 else "b", f"v{n}"), n, "w")
+        live = sorted(map(str, plain.latest(spark).drop("updated_at").collect()))
+        assert sorted(map(str, folded.latest(spark).drop("updated_at").collect())) == live
+        assert sorted(map(str, folded.before(spark, n + 1, "w").filter("vehicle_id <> 'old'").drop("updated_at").collect())) == live
+    root = tmp_path / "folded/writer=w"
+    assert sorted(f.name for f in (root / "folded").glob("upto=*")) == ["upto=5", "upto=8"]
+    assert sorted(f.name for f in (root / "changes").glob("batch=*")) == ["batch=6", "batch=7", "batch=8"]
+    assert "old" not in {r.vehicle_id for r in spark.read.parquet(str(root / "folded/upto=8")).collect()}
+
+
+@pytest.mark.parametrize("pieces", [1, 2, 6])
+def test_out_of_order_arrival_gives_what_one_pass_gives(spark, send, layout, pieces):
+    """Positions arrive shuffled, within the delay, in any number of batches: no later correction is needed."""
+    layout = Layout(layout.lakes, layout.work, hold_seconds=900)
+    order = sorted(range(60), key=lambda i: (i // 12, i * 7 % 12))
+    events = [position(i, vehicle=f"v{i % 3}") for i in order] + [position(3, timestamp="x")]
+    size = -(-len(events) // pieces)
+    for i in range(0, len(events), size):
+        stream = send(GPS_TOPIC, *events[i : i + size], files_per_trigger=1)
+    run(sinks.write_topic(stream, GPS_TOPIC, layout, "lake_gps", available_now=True))
+    held = read_lake(spark, layout.lakes[0], "gps").count()
+    assert held < len(events)
+    records = spark.read.parquet(str(layout.work) + f"/topics/{GPS_TOPIC}")
+    want = metrics(enrich_gps(clean(records)))
+    for _ in range(2):
+        sinks.drain_ordered(spark, layout)
+        assert metrics(read_lake(spark, layout.lakes[0], "gps")) == want
+    assert [r.n_late for r in ordered.late_positions(spark, layout).collect()] == [0]
+
+
+def test_a_position_after_its_minute_is_stored_and_counted(spark, send, layout):
+    def go(*seconds):
+        stream = send(GPS_TOPIC, *[position(1, seconds=s) for s in seconds])
+        run(sinks.write_ordered_lake(clean(stream), layout, delay_seconds=120, available_now=True))
+
+    go(0, 60, 600)
+    go(30, 540, 660)
+    go(5000)
+    sinks.drain_ordered(spark, layout)
+    go(4000, 9000)
+    sinks.drain_ordered(spark, layout)
+    rows = {(r.event_time - START).total_seconds(): r.prev_event_time for r in read_lake(spark, layout.lakes[0], "gps").collect()}
+    gone = {k: v and (v - START).total_seconds() for k, v in rows.items()}
+    assert gone == {0: None, 30: None, 60: 0, 540: 60, 600: 540, 660: 600, 4000: None, 5000: 660, 9000: 5000}
+    assert ordered.late_positions(spark, layout).first().n_late == 2
+
+
+def test_a_replayed_ordered_batch_changes_nothing(spark, send, layout):
+    send(GPS_TOPIC, *[position(i) for i in range(40)])
+    rows = clean(spark.read.parquet(f"{layout.work}/topics/{GPS_TOPIC}"))
+    write = sinks._enrich_in_order(layout, 120)
+    for n in range(4):
+        for _ in range(2):
+            cut = F.expr(f"int(unix_seconds(event_time) / 40) % 4 = {n}")
+            write(rows.filter(cut) if n < 3 else rows.filter(cut).limit(0), n)
+    sinks.drain_ordered(spark, layout)
+    assert read_lake(spark, layout.lakes[0], "gps").count() == 30
+    held = list(Path(layout.state("held")).glob("writer=*/batch=*"))
+    assert len(held) <= 3
+
+
+def test_state_of_first_arrivals_is_bounded(spark, send, layout):
+    """Every record comes twice, a minute apart; keys leave the state an hour after they came."""
+    for hour in range(5):
+        for again in (0, 1):
+            records = [step(f"p{hour}-{i}", "failed", hour * 60) for i in range(10)]
+            stream = send(DELIVERY_TOPIC, *records, step("late", "failed", 0), files_per_trigger=1)
+    hours = F.expr("make_interval(0, 0, 0, 0, int(offset / 22), int(offset / 11) % 2, 0)")
+    stream = stream.withColumn("timestamp", F.col("timestamp") + hours)
+    queries = sinks.write_first_arrivals(
+        clean(stream, DELIVERY_TOPIC), "delivery", ["package_id", "event_time"], layout, "first", "30 minutes", True
+    )
+    run(queries)
+    rows = read_lake(spark, layout.lakes[0], "delivery")
+    assert rows.filter("package_id <> 'late'").count() == 50
+    kept = [p["stateOperators"][0] for p in queries[0].recentProgress if p["stateOperators"]]
+    assert max(k["numRowsTotal"] for k in kept) <= 22
+    assert sum(k["numRowsDroppedByWatermark"] for k in kept) == 0
+
+
 def test_state_of_a_new_checkpoint_wins(spark, send, tmp_path):
     layout = Layout([str(tmp_path / "lake")], str(tmp_path))
     for i in range(3):
