@@ -24,6 +24,8 @@ TERMS = 1024
 MARKS = 16
 NEIGHBOURS = 25
 BLOCK = 512
+#: Texts whose term counts are held at once: a batch may have ten thousand short ones.
+TEXTS_AT_ONCE = 1024
 PREDICT_AT = 0.3
 
 _SYMBOL = np.zeros(256, bool)
@@ -117,7 +119,7 @@ def scores(model: Model, texts: pa.Array, neighbours: int = NEIGHBOURS) -> np.nd
     # no more neighbours than half of the smaller class, or it could never win
     smaller = int(min((model.labels > 0).sum(), (model.labels <= 0).sum()))
     k = max(1, min(neighbours, smaller // 2))
-    for a, b in runs(offsets):
+    for a, b in runs(offsets, texts=TEXTS_AT_ONCE):
         part = offsets[a : b + 1]
         x = term_counts(data[part[0] : part[-1]], part - part[0]) * model.weights
         x = unit(x @ model.axes)
@@ -135,7 +137,7 @@ def _vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in batches:
         data, offsets = flat(batch)
         for_texts = [
-            term_counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in runs(offsets)
+            term_counts(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]) for a, b in runs(offsets, texts=TEXTS_AT_ONCE)
         ]
         x = np.concatenate(for_texts) if for_texts else np.zeros((0, TERMS), np.float32)
         yield pa.array([row.tobytes() for row in x], pa.binary())

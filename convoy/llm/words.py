@@ -51,13 +51,14 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def runs(offsets: np.ndarray, most: int = 1 << 21) -> list[tuple[int, int]]:
-    """Ranges of texts with about ``most`` bytes each (one text at least)."""
+def runs(offsets: np.ndarray, most: int = 1 << 21, texts: int = 1 << 30) -> list[tuple[int, int]]:
+    """Ranges of texts with about ``most`` bytes and at most so many ``texts`` each (one text at least)."""
     found, a, n = [], 0, len(offsets) - 1
     while a < n:
         b = max(a + 1, int(np.searchsorted(offsets, offsets[a] + most, "right")) - 1)
-        found.append((a, min(b, n)))
-        a = min(b, n)
+        b = min(b, a + texts, n)
+        found.append((a, b))
+        a = b
     return found
 
 
