@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from convoy.llm.components import components
-from convoy.llm.tables import stored
+from convoy.llm.tables import discard, stored
 from convoy.llm.words import NOT_SPACE, chained, flat, mixed, runs, words
 
 WORDS = 5
@@ -34,6 +34,8 @@ MAP_BITS = 512
 MAPS = [f"m{i}" for i in range(MAP_BITS // 64)]
 #: Pairs of sets up to this size are left to the bitmap, which is the sharper bound there and never wrong.
 FEW = 128
+#: Texts whose minima are held at once.
+TEXTS_AT_ONCE = 4096
 #: Up to so many ids are broadcast to pick out the documents of candidate pairs (8 MB).
 BROADCAST_IDS = 1_000_000
 
@@ -46,7 +48,7 @@ def shingle_sets(texts: pa.Array, n: int = WORDS):
     """For runs of texts: (hashes, first): each text's distinct shingles in order, one after the other,
     and where they begin. Fewer words than ``n`` are one shingle; no words, none."""
     data, offsets = flat(texts)
-    for a, b in runs(offsets):
+    for a, b in runs(offsets, texts=TEXTS_AT_ONCE):
         part = offsets[a : b + 1]
         w = words(data[part[0] : part[-1]], part - part[0], NOT_SPACE)
         counts = np.diff(w.first)
@@ -200,8 +202,9 @@ def _sets(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
     of_ids = docs.withColumn("id", F.coalesce("doc_id", F.lit(_NO_ID))).join(ids, "id", "left_semi").select("text")
     sets = of_ids.mapInArrow(_full_sets, "n_shingles long, f1 long, f2 long, shingles array<long>")
     # an id may repeat with the same or another text
-    sets = sets.join(wanted, _SET).select("node", "shingles").dropDuplicates(["node"])
-    return stored(sets, "sets")
+    sets = stored(sets.join(wanted, _SET).select("node", "shingles").dropDuplicates(["node"]), "sets")
+    discard(wanted)
+    return sets
 
 
 def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -241,6 +244,7 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFr
     )
     least = of_node.groupBy("component").agg(F.min("least_id").alias("least_id"))
     root = stored(of_node.drop("least_id").join(least, "component").drop("component"), "roots")
+    discard(nodes, of_node)
     component = F.when(F.col("n_shingles") > 0, F.col("least_id")).otherwise(F.col("doc_id"))
     return (
         rows.select("doc_id", *_SET)
@@ -269,19 +273,15 @@ def _rounds():
         hubs *= 16
 
 
-def _near(members: DataFrame, others: DataFrame, nodes: DataFrame, percent: int, different: bool = False) -> DataFrame:
-    """Pairs (a, b) of nodes of one bucket that may be similar, and the components (u, v) they are in."""
-    bits = nodes.select("node", "n_shingles", "bands", *_BITS)
-    m, h = members.join(bits, "node").alias("m"), others.join(bits, "node").alias("h")
+def _met(members: DataFrame, others: DataFrame, percent: int, different: bool = False) -> DataFrame:
+    """Pairs (a, b) of nodes that meet in a bucket and are not in one component (u, v) yet: ids only, and sizes
+    that a similar pair can have."""
+    m, h = members.alias("m"), others.alias("h")
     wanted = (F.col("m.bucket") == F.col("h.bucket")) & (F.col("m.component") != F.col("h.component"))
     if different:
         wanted = wanted & (F.col("m.node") < F.col("h.node"))
-    few = F.greatest("m.n_shingles", "h.n_shingles") <= FEW
-    wanted = wanted & (few | (estimate("m", "h") >= _least_estimate(percent / 100))) & _may_reach("m", "h", percent)
-    # a pair that meets in many buckets is a candidate in the first of them only
-    shared = F.filter(F.zip_with("m.bands", "h.bands", lambda a, b: F.when(a == b, a)), lambda x: x.isNotNull())
-    wanted = wanted & (F.col("m.bucket") == shared[0])
-    return m.join(h, wanted).select(
+    small, great = F.least("m.n_shingles", "h.n_shingles"), F.greatest("m.n_shingles", "h.n_shingles")
+    return m.join(h, wanted & (small * 100 >= great * percent)).select(
         F.least("m.node", "h.node").alias("a"),
         F.greatest("m.node", "h.node").alias("b"),
         F.least("m.component", "h.component").alias("u"),
@@ -289,36 +289,55 @@ def _near(members: DataFrame, others: DataFrame, nodes: DataFrame, percent: int,
     )
 
 
+def _may_be_similar(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs, each once, whose packed bits and bitmaps don't rule them out. Bits join a pair once, however many
+    buckets it meets in."""
+    pairs = pairs.groupBy("a", "b").agg(F.min("u").alias("u"), F.min("v").alias("v"))
+    bits = nodes.select("node", "n_shingles", *_BITS)
+    packed = F.struct("n_shingles", *_BITS)
+    left = bits.select(F.col("node").alias("a"), packed.alias("m"))
+    right = bits.select(F.col("node").alias("b"), packed.alias("h"))
+    few = F.greatest("m.n_shingles", "h.n_shingles") <= FEW
+    wanted = (few | (estimate("m", "h") >= _least_estimate(percent / 100))) & _may_reach("m", "h", percent)
+    return pairs.join(left, "a").join(right, "b").filter(wanted).select("a", "b", "u", "v")
+
+
 def _bucket_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that connect what the threshold connects, from the rounds described above."""
-    placed = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    placed = nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
     crowded = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    members = placed.join(stored(crowded, "crowded"), "bucket").withColumn("component", F.col("node"))
+    crowded = stored(crowded, "crowded")
+    members = placed.join(crowded, "bucket").withColumn("component", F.col("node"))
     members = stored(members, "members")
-    links = members.select(F.col("node").alias("u"), F.col("node").alias("v")).limit(0)
+    discard(crowded)
+    links = docs.sparkSession.createDataFrame([], "u long, v long")
     if members.isEmpty():
         return links
     sets = _sets(docs, nodes, members)
-    nodes = stored(nodes.join(members.select("node").distinct(), "node"), "bucket-nodes")
+    bits = nodes.select("node", "n_shingles", *_BITS)
+    bits = stored(bits.join(members.select("node").distinct(), "node"), "bucket-nodes")
     for number, (part, slots) in enumerate(_rounds()):
         slot = F.pmod(F.xxhash64(F.lit(slots), "node", "bucket"), F.lit(slots))
         order = F.xxhash64(F.lit(-slots), "node", "bucket").alias("order")
         hubs = members.filter(part).groupBy("bucket", slot.alias("slot")).agg(
-            F.min(F.struct(order, "node", "component")).alias("hub")
+            F.min(F.struct(order, "node", "component", "n_shingles")).alias("hub")
         )
-        hubs = stored(hubs.select("bucket", "hub.node", "hub.component"), "hubs")
-        near = _near(members, hubs, nodes, percent)
+        hubs = stored(hubs.select("bucket", "hub.node", "hub.component", "hub.n_shingles"), "hubs")
+        hub_rows = hubs.select("bucket", "node", "component", "n_shingles")
+        near = _met(members, hub_rows, percent)
         rest = members
         if number == 1:
             small = members.filter(F.col("size") <= SMALL_BUCKET)
-            near = near.unionByName(_near(small, small, nodes, percent, different=True))
+            near = near.unionByName(_met(small, small, percent, different=True))
             rest = members.filter(F.col("size") > SMALL_BUCKET)
-        new = stored(_confirmed(sets, near.distinct(), percent), "new-links")
+        new = stored(_confirmed(sets, _may_be_similar(near, bits, percent), percent), "new-links")
+        done = [hubs, members]
         rest = rest.join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
         if not new.isEmpty():
             links = links.unionByName(new.select(F.col("a").alias("u"), F.col("b").alias("v")))
             # components that are joined now; only they have to be looked at
             joined = stored(components(new.select("u", "v")), "joined")
+            done.append(joined)
             joined = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
             rest = rest.join(joined, "component", "left")
             rest = rest.withColumn("component", F.coalesce("whole", "component")).drop("whole")
@@ -326,5 +345,7 @@ def _bucket_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         split = rest.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"))
         unlike = split.filter("a != b").select("bucket")
         members = stored(rest.join(unlike, "bucket", "left_semi").select(members.columns), "members")
+        discard(*done, rest)
         if members.isEmpty():
+            discard(members, sets, bits)
             return links

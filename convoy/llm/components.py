@@ -3,14 +3,15 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.tables import stored
+from convoy.llm.tables import discard, stored
 
 
 def _stars(edges: DataFrame, large: bool) -> DataFrame:
     """Hang the neighbours of each node below the least of them (large: only greater neighbours;
-    small: only lesser ones and the node itself)."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    if not large:
+    small: only lesser ones and the node itself). ``edges`` is a stored table; it is removed."""
+    if large:
+        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    else:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
     # joined from a table, so that a node with very many neighbours can be split
@@ -22,7 +23,9 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
         hung = hung.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             least.select("u", F.col("m").alias("v"))
         )
-    return stored(hung.filter("u != v").distinct(), "stars")
+    found = stored(hung.filter("u != v").distinct(), "stars")
+    discard(least, edges)
+    return found
 
 
 def _are_stars(edges: DataFrame) -> bool:

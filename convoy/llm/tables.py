@@ -11,7 +11,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     cuts the lineage and survives lost executors."""
     path = work_folder(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    found = df.sparkSession.read.schema(df.schema).parquet(path)
+    found.stored_path = path
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove stored tables whose rows nothing will read any more."""
+    for found in tables:
+        spark = found.sparkSession
+        place = spark._jvm.org.apache.hadoop.fs.Path(found.stored_path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
