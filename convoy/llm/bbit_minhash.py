@@ -125,6 +125,7 @@ def _lists(values: np.ndarray) -> pa.Array:
 def _sketch(batches):
     for batch in batches:
         ids, at = batch.column("doc_id"), 0
+        carried = [c for c in batch.schema.names if c not in ("doc_id", "text")]
         for hashes, first in shingle_sets(batch.column("text")):
             keys, bits = signatures(hashes, first)
             prints = fingerprints(hashes, first)
@@ -132,13 +133,14 @@ def _sketch(batches):
             yield pa.RecordBatch.from_arrays(
                 [
                     ids.slice(at, n),
+                    *(batch.column(c).slice(at, n) for c in carried),
                     pa.array(np.diff(first)),
                     pa.array(prints[:, 0].copy()),
                     pa.array(prints[:, 1].copy()),
                     _lists(keys),
                     *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(bits.shape[1])),
                 ],
-                names=["doc_id", "n_shingles", "f1", "f2", "bands", *PLANES, *MAPS],
+                names=["doc_id", *carried, "n_shingles", "f1", "f2", "bands", *PLANES, *MAPS],
             )
             at += n
 
@@ -216,8 +218,9 @@ def _confirmed(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").filter(common * 100 >= union * percent).select(*pairs.columns)
 
 
-def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept.
+def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT, carry: str | None = None) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, kept. ``carry`` names a
+    string column that is handed on, to tell rows of one id apart.
 
     Sets of five-word shingles (A-Z lower-cased, words between white space) are linked if
     100 * intersection >= percent * union. ``component_id`` is the smallest id that links reach. Null and
@@ -225,8 +228,9 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFr
     count by their own texts. Rows without an id take part in links; a component without any id has
     ``component_id`` null and is kept. An empty table gives an empty result; further columns are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    kinds = "doc_id long, n_shingles long, f1 long, f2 long, bands array<long>, "
+    more = [F.col(carry).alias("carried")] if carry else []
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more)
+    kinds = "doc_id long, " + ("carried string, " if carry else "") + "n_shingles long, f1 long, f2 long, bands array<long>, "
     kinds += ", ".join(f"{c} long" for c in _BITS)
     rows = stored(docs.mapInArrow(_sketch, kinds), "sketches")
     # equal sets have equal bands and planes: any of them will do
@@ -247,13 +251,13 @@ def near_duplicates(docs: DataFrame, percent: int = THRESHOLD_PERCENT) -> DataFr
     discard(nodes, of_node)
     component = F.when(F.col("n_shingles") > 0, F.col("least_id")).otherwise(F.col("doc_id"))
     return (
-        rows.select("doc_id", *_SET)
-        .join(root, _SET, "left")
+        rows.join(root, _SET, "left")
         .select(
             "doc_id",
             "n_shingles",
             component.alias("component_id"),
             F.col("doc_id").eqNullSafe(component).alias("kept"),
+            *([F.col("carried").alias(carry)] if carry else []),
         )
     )
 
