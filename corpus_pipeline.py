@@ -1,8 +1,9 @@
 """Corpus preparation: quality, exact copies, near copies, benchmark passages, tokens.
 
 Each stage takes (spark, docs, sf_dir) and returns what it keeps, with the columns of ``docs``; the last
-returns the encoded documents. Rows whose id is null or repeated go through like others; rows that
-repeat both id and text are one document.
+returns the encoded documents. Rows whose id is null or repeated go through like others, each by its own
+text; rows that repeat both id and text are one document. Empty tables give empty results. Columns of ``docs``
+pass through; ``__score``, ``__found``, ``__coded``, ``__id`` and ``__sha`` are the pipeline's own names.
 """
 
 import public_tokenizers
@@ -39,9 +40,11 @@ def exact_dedup(spark, docs, sf_dir):
 
 def near_dedup(spark, docs, sf_dir):
     """Of documents that similarity connects the one with the smallest id."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("__id")).distinct()
-    kept = stored(kept, "near")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(F.col("__id")), "left_semi")
+    text = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    found = near_duplicates(docs.select("doc_id", "text", text.alias("__sha")), carry="__sha")
+    kept = stored(found.filter("kept").select(F.col("doc_id").alias("__id"), "__sha").distinct(), "near")
+    same = docs["doc_id"].eqNullSafe(F.col("__id")) & (text == F.col("__sha"))
+    return docs.join(kept, same, "left_semi")
 
 
 def decontaminate(spark, docs, sf_dir):
