@@ -551,6 +551,17 @@ _TEXTS |= {
             ("gps", "gps_events"), ("delivery", "delivery_events"), ("order", "orders"), ("driver", "driver_events"),
         ]
     ),
+    "load_outcomes": """SELECT CAST(step AS INTEGER) AS step, 'orders' AS table_name,
+  CASE step WHEN 0 THEN early_files WHEN 1 THEN late_files ELSE 0 END AS n_files,
+  CASE step WHEN 0 THEN early WHEN 1 THEN late ELSE 0 END AS n_loaded,
+  CAST(0 AS BIGINT) AS n_empty, CAST(least(step, 1) AS BIGINT) AS n_errors,
+  CASE step WHEN 0 THEN early ELSE early + late END AS n_rows_after
+ FROM (SELECT unnest([0, 1, 2]) AS step),
+  (SELECT count(*) FILTER (kafka_timestamp < middle) AS early, count(*) FILTER (kafka_timestamp >= middle) AS late,
+    count(DISTINCT day) FILTER (kafka_timestamp < middle) AS early_files,
+    count(DISTINCT day) FILTER (kafka_timestamp >= middle) AS late_files
+   FROM (SELECT kafka_timestamp, coalesce(CAST(event_time AS DATE), DATE '0001-01-01') AS day FROM clean_order),
+    (SELECT min(kafka_timestamp) + (max(kafka_timestamp) - min(kafka_timestamp)) / 2 AS middle FROM clean_order))""",
     "loaded_gps": "SELECT vehicle_id, driver_id, lat, lon, speed_kmh, event_time FROM clean_gps",
     "reloaded_orders": "SELECT order_id, package_id, status, event_time FROM clean_order",
     "batch_job": _all("fct_daily_activity"),

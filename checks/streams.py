@@ -16,7 +16,7 @@ from convoy.plans import ingest, jobs
 from convoy.plans.enrich import enrich_gps
 from convoy.schemas import DELIVERY_TOPIC, DRIVER_TOPIC, EVENT_TYPE_BY_TOPIC, GPS_TOPIC, ORDER_TOPIC
 from convoy.session import work_folder
-from convoy.sources.lake import dead_letter_path, file_inventory, lake_path, read_lake
+from convoy.sources.lake import dead_letter_path, file_inventory, lake_path, read_lake, write_file
 from convoy.sources.load import load_events, read_raw
 from convoy.sources.topics import read_topic_files
 from convoy.streaming import jobs as streams
@@ -24,6 +24,7 @@ from convoy.streaming import sinks
 from convoy.streaming.enrich import mend_lake
 from convoy.streaming.layout import Layout
 
+LOAD_SUMMARY = "table_name string, n_files long, n_loaded long, n_empty long, n_errors long, n_rows_after long"
 TOPICS = [GPS_TOPIC, DELIVERY_TOPIC, ORDER_TOPIC, DRIVER_TOPIC]
 
 
@@ -283,6 +284,25 @@ def incremental_load(spark, sf_dir):
     return summary.drop("n_files")
 
 
+def load_outcomes(spark, sf_dir):
+    """Files, rows and unreadable files of three loads: the first half of the orders with one file a day, the
+    second half beside a broken file, and a load that finds nothing new."""
+    folder = work_folder(spark, "outcomes")
+    clean = ingest.topic_pipeline(topic_records(spark, sf_dir, ORDER_TOPIC), ORDER_TOPIC)[0]
+    path = lake_path(f"{folder}/lake", "order")
+    halves = pieces(ingest.with_lake_columns(clean, "order"), "kafka_timestamp", 2)
+    found = []
+    for step in range(3):
+        if step < 2:
+            rows = halves[step].repartition("event_date")
+            rows.write.partitionBy("event_date", "event_type").mode("append").parquet(path)
+        if step == 1:
+            write_file(spark, f"{path}/event_date=2024-01-01/event_type=order/broken.parquet", b"no parquet")
+        summary = load_events(spark, f"{folder}/lake", f"{folder}/raw", "order")
+        found.append(spark.createDataFrame(summary.select(F.lit(step).alias("step"), "*").collect(), f"step int, {LOAD_SUMMARY}"))
+    return reduce(DataFrame.unionByName, found)
+
+
 def reloaded_empty(spark, sf_dir):
     """Rows of the RAW orders after a load, a full reload of an empty lake, and a full reload of the lake."""
     folder, _ = _lake_in_two_steps(spark, sf_dir, "emptied", "order")
@@ -350,6 +370,7 @@ STREAM_QUERIES = {
         stream_topics,
         stream_progress,
         incremental_load,
+        load_outcomes,
         loaded_gps,
         reloaded_orders,
         reloaded_empty,

@@ -58,14 +58,28 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def write_file(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file beside the tables, complete or not there: it gets its name when it is written."""
+    files, place = _file_system(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f"_{place.getName()}.draft")
+    out = files.create(draft, True)
+    out.write(bytearray(content))
+    out.close()
+    files.rename(draft, place)
+
+
 def read_lake(spark: SparkSession, root: str, event_type: str) -> DataFrame:
     """All rows of one event type."""
     return read_parquet_or_empty(spark, lake_path(root, event_type), LAKE_SCHEMAS[event_type])
 
 
-def _binary_files(spark: SparkSession, root: str) -> DataFrame:
+_EVENT_TYPE = "regexp_extract(path, '/events/([^/]+)/', 1) AS event_type"
+
+
+def lake_files(spark: SparkSession, root: str) -> DataFrame:
+    """Event type, path, size and time of every Parquet file, from the listing: no content is read."""
     try:
-        return (
+        files = (
             spark.read.format("binaryFile")
             .option("pathGlobFilter", "*.parquet")
             .option("recursiveFileLookup", "true")
@@ -74,21 +88,10 @@ def _binary_files(spark: SparkSession, root: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], "path string, length bigint, content binary")
-
-
-_EVENT_TYPE = "regexp_extract(path, '/events/([^/]+)/', 1) AS event_type"
-
-
-def lake_files(spark: SparkSession, root: str) -> DataFrame:
-    """Event type, path and size of every Parquet file, from the listing: no content is read."""
-    files = _binary_files(spark, root)
-    return files.selectExpr(_EVENT_TYPE, "path AS file_path", "length AS file_size")
-
-
-def lake_contents(spark: SparkSession, root: str) -> DataFrame:
-    """Event type, path and content of the files; content is read where it is used."""
-    return _binary_files(spark, root).selectExpr(_EVENT_TYPE, "path AS file_path", "content")
+        files = spark.createDataFrame([], "path string, length bigint, modificationTime timestamp")
+    return files.selectExpr(
+        _EVENT_TYPE, "path AS file_path", "length AS file_size", "modificationTime AS modified_at"
+    )
 
 
 def file_inventory(spark: SparkSession, root: str, event_type: str | None = None) -> DataFrame:

@@ -6,24 +6,35 @@ A full reload starts generation G+1 with a new checkpoint; readers see the old o
 """
 
 from collections.abc import Iterator
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.schemas import LAKE_SCHEMAS, RAW_SCHEMAS, RAW_TABLE_BY_EVENT_TYPE, struct_of
-from convoy.sources.lake import lake_contents, lake_files, lake_path, read_parquet_or_empty
+from convoy.sources.lake import lake_files, lake_path, read_parquet_or_empty
 
 #: No file is too old to be loaded; a backfill may keep the times of its files.
 MAX_FILE_AGE = "36500d"
 #: A pace for the first load of a large lake, not a limit: all files are loaded.
 FILES_PER_BATCH = 10_000
 
+#: Files without a row up to this size are opened by the tasks, larger ones by their footer alone; so many
+#: paths at a time.
+OPENED_BYTES, PATHS_AT_ONCE = 64 << 20, 1000
+
 GENERATION_SCHEMA = struct_of("generation int")
 AUDIT_SCHEMA = struct_of(
     "table_name string, generation int, file_path string, n_rows bigint, load_timestamp timestamp"
 )
+#: What became of a file that gave no row: ``empty`` or ``unreadable``.
+OUTCOME_SCHEMA = struct_of(
+    "table_name string, generation int, file_path string, modified_at timestamp, outcome string"
+)
 
 
 def _audit_path(raw: str) -> str:
@@ -36,6 +47,15 @@ def read_load_audit(spark: SparkSession, raw: str) -> DataFrame:
     return read_parquet_or_empty(spark, _audit_path(raw), AUDIT_SCHEMA)
 
 
+def _outcomes_path(raw: str) -> str:
+    return f"{raw}/_load_outcomes"
+
+
+def read_load_outcomes(spark: SparkSession, raw: str) -> DataFrame:
+    """One row per file that gave no row, with the reason, as the load that met it found it."""
+    return read_parquet_or_empty(spark, _outcomes_path(raw), OUTCOME_SCHEMA)
+
+
 def _generations_path(raw: str, table: str) -> str:
     return f"{raw}/_generations/{table}"
 
@@ -131,6 +151,7 @@ def load_events(
     files, and the rows after it.
     """
     types = [event_type] if event_type else list(RAW_TABLE_BY_EVENT_TYPE)
+    started = spark.sql("SELECT unix_micros(now())").first()[0]
     earlier = {} if truncate else _loaded(spark, raw)
     present = [r["event_type"] for r in lake_files(spark, lake).select("event_type").distinct().collect()]
     for name in types:
@@ -140,15 +161,20 @@ def load_events(
             _load_type(spark, lake, raw, name, generation, files_per_batch)
         if truncate:
             _switch(spark, raw, table, generation)
+    _look_into_rowless(spark, lake, raw, types, started)
     return load_summary(spark, lake, raw, types, earlier)
 
 
-def _current_audit(spark: SparkSession, raw: str) -> DataFrame:
-    current = spark.createDataFrame(
-        [(t, _generation(spark, raw, t)) for t in RAW_TABLE_BY_EVENT_TYPE.values()],
-        "table_name string, generation int",
+def _current(spark: SparkSession, raw: str) -> DataFrame:
+    """Event type, RAW table and the generation readers see: four rows."""
+    return spark.createDataFrame(
+        [(e, t, _generation(spark, raw, t)) for e, t in RAW_TABLE_BY_EVENT_TYPE.items()],
+        "event_type string, table_name string, generation int",
     )
-    return read_load_audit(spark, raw).join(current, ["table_name", "generation"])
+
+
+def _current_audit(spark: SparkSession, raw: str) -> DataFrame:
+    return read_load_audit(spark, raw).join(_current(spark, raw), ["table_name", "generation"])
 
 
 def _loaded(spark: SparkSession, raw: str) -> dict[str, tuple[int, int]]:
@@ -161,19 +187,74 @@ def _loaded(spark: SparkSession, raw: str) -> dict[str, tuple[int, int]]:
     return {r["table_name"]: (r["n_files"], r["n_rows"]) for r in totals.collect()}
 
 
+def _plain(path: str) -> Column:
+    """The same file can be spelt file:/x in one listing and file:///x in the other."""
+    return F.regexp_replace(path, "^[a-z0-9]+:/+", "/")
+
+
+def _known_files(spark: SparkSession, lake: str, raw: str) -> DataFrame:
+    """The listed files with the table they belong to, whether they gave rows, and the outcome if they gave none."""
+    files = lake_files(spark, lake).join(_current(spark, raw), "event_type").withColumn("file", _plain("file_path"))
+    loaded = _current_audit(spark, raw).select(_plain("file_path").alias("file"), F.lit(True).alias("gave_rows"))
+    outcomes = read_load_outcomes(spark, raw).withColumn("file", _plain("file_path"))
+    outcomes = outcomes.groupBy("generation", "file", "modified_at").agg(F.max("outcome").alias("outcome"))
+    return files.join(loaded.distinct(), "file", "left").join(outcomes, ["generation", "file", "modified_at"], "left")
+
+
+def _look_into_rowless(spark: SparkSession, lake: str, raw: str, types: list[str], started: int) -> None:
+    """Find out why files gave no row, and remember it; each file is opened once.
+
+    Listing and audit tell which files these are, so what is read follows their number, not the lake's size.
+    A file with rows that came after the load had ``started`` waits for the next one.
+    """
+    found = _known_files(spark, lake, raw).filter(F.col("event_type").isin(types))
+    new = found.filter("gave_rows is null and outcome is null").select(
+        "table_name", "generation", "file_path", "file_size", "modified_at",
+        F.unix_micros("modified_at").alias("micros"),
+    )
+    rows = new.toLocalIterator()
+    while part := list(islice(rows, PATHS_AT_ONCE)):
+        small = [r.file_path for r in part if r.file_size <= OPENED_BYTES]
+        counts = _rows_inside(spark, small) | {
+            r.file_path: _rows_by_footer(spark, r.file_path) for r in part if r.file_size > OPENED_BYTES
+        }
+        outcomes = []
+        for r in part:
+            n = counts.get(r.file_path)
+            if n == 0 or n is None or r.micros < started:
+                outcomes.append((*r[:3], r.modified_at, "empty" if n == 0 else "unreadable"))
+        if outcomes:
+            spark.createDataFrame(outcomes, OUTCOME_SCHEMA).write.mode("append").parquet(_outcomes_path(raw))
+
+
+def _rows_inside(spark: SparkSession, paths: list[str]) -> dict[str, int | None]:
+    """Rows of each file by its footer, None if it is no Parquet file."""
+    if not paths:
+        return {}
+    files = spark.read.format("binaryFile").load(paths).filter(F.col("length") <= OPENED_BYTES)
+    found = files.select("path", "content").mapInArrow(_footers, "path string, n_rows bigint").collect()
+    plain = {r.path.split(":", 1)[-1].lstrip("/"): r.n_rows for r in found}
+    return {p: plain.get(p.split(":", 1)[-1].lstrip("/")) for p in paths}
+
+
 def _footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whether each file can be opened as Parquet and read to its end."""
     for batch in batches:
-        readable = []
+        counts = []
         for content in batch.column("content"):
             try:
-                pq.ParquetFile(pa.BufferReader(content.as_buffer())).read(columns=[])
-                readable.append(True)
+                counts.append(pq.ParquetFile(pa.BufferReader(content.as_buffer())).metadata.num_rows)
             except (pa.ArrowInvalid, OSError):
-                readable.append(False)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("event_type"), pa.array(readable)], names=["event_type", "readable"]
-        )
+                counts.append(None)
+        columns = [batch.column("path"), pa.array(counts, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["path", "n_rows"])
+
+
+def _rows_by_footer(spark: SparkSession, path: str) -> int | None:
+    """Rows of one large file: a count without columns reads its footer only."""
+    try:
+        return spark.read.option("ignoreCorruptFiles", "false").parquet(path).count()
+    except (PySparkException, Py4JError):
+        return None
 
 
 def load_summary(
@@ -183,22 +264,18 @@ def load_summary(
     types: list[str],
     earlier: dict[str, tuple[int, int]],
 ) -> DataFrame:
-    """Per table what a load did. A file that gave no row is opened to tell whether it is empty or
-    unreadable; these files are few and small, as Spark leaves them behind."""
-    loaded = _current_audit(spark, raw)
-    totals = loaded.groupBy("table_name").agg(
+    """Per table what a load did, from the listing, the audit and the outcomes: no file is opened."""
+    totals = _current_audit(spark, raw).groupBy("table_name").agg(
         F.count("*").alias("files_after"), F.sum("n_rows").alias("n_rows_after")
     )
-    # The same file can be spelt file:/x in one listing and file:///x in the other.
-    plain = F.regexp_replace("file_path", "^[a-z0-9]+:/+", "/")
     rowless = (
-        lake_contents(spark, lake)
-        .withColumn("file", plain)
-        .join(loaded.select(plain.alias("file")), "file", "left_anti")
-        .select("event_type", "content")
-        .mapInArrow(_footers, "event_type string, readable boolean")
+        _known_files(spark, lake, raw)
+        .filter("gave_rows is null")
         .groupBy("event_type")
-        .agg(F.count_if("readable").alias("n_empty"), F.count_if(~F.col("readable")).alias("n_errors"))
+        .agg(
+            F.count_if(F.col("outcome") == "empty").alias("n_empty"),
+            F.count_if(F.col("outcome") == "unreadable").alias("n_errors"),
+        )
     )
     tables = spark.createDataFrame(
         [(t, RAW_TABLE_BY_EVENT_TYPE[t], *earlier.get(RAW_TABLE_BY_EVENT_TYPE[t], (0, 0))) for t in types],

@@ -10,6 +10,7 @@ from convoy.plans import ingest, jobs
 from convoy.plans.enrich import enrich_gps
 from convoy.schemas import DELIVERY_TOPIC, GPS_TOPIC, ORDER_TOPIC
 from convoy.session import work_folder
+from convoy.sources import load
 from convoy.sources.lake import dead_letter_path, file_inventory, lake_path, read_lake
 from convoy.sources.load import load_events, read_load_audit, read_raw
 from convoy.sources.topics import read_topic_files
@@ -478,6 +479,44 @@ def test_old_and_empty_files(spark, tmp_path):
     assert (row.n_files, row.n_loaded, row.n_empty, row.n_errors) == (2, 2, 1, 0)
 
 
+def test_a_load_opens_only_what_gave_no_row_and_only_once(spark, tmp_path):
+    """Files that gave rows are never opened again, whatever their size; outcomes are kept by file."""
+    lake, raw = str(tmp_path / "lake"), str(tmp_path / "raw")
+    lake_rows(spark, lake, "order", *[(f"o{i}", f"p{i}", "created", START, i) for i in range(500)])
+    folder = tmp_path / "lake/events/order/event_date=2026-01-01/event_type=order"
+    (good,) = folder.glob("*.parquet")
+    load_events(spark, lake, raw, "order").collect()
+    (folder / "broken.parquet").write_text("no parquet")
+    (folder / "cut.parquet").write_bytes(good.read_bytes()[:-9])
+    opened = []
+    look = load._rows_inside
+
+    def watched(session, paths):
+        opened.append(len(paths))
+        return look(session, paths)
+
+    load._rows_inside = watched
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", good.stat().st_size - 1)
+    try:
+        rows = [load_events(spark, lake, raw, "order").first() for _ in range(2)]
+    finally:
+        load._rows_inside = look
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert [(r.n_files, r.n_loaded, r.n_empty, r.n_errors) for r in rows] == [(0, 0, 0, 2)] * 2
+    assert opened == [2]
+    assert load._rows_by_footer(spark, str(good)) == 500
+    assert load._rows_by_footer(spark, str(folder / "cut.parquet")) is None
+
+
+def test_a_file_that_came_too_late_for_the_load_waits(spark, tmp_path):
+    lake, raw = str(tmp_path / "lake"), str(tmp_path / "raw")
+    lake_rows(spark, lake, "order", ("o1", "p1", "created", START, 7))
+    load._look_into_rowless(spark, lake, raw, ["order"], 0)
+    assert load.read_load_outcomes(spark, raw).count() == 0
+    row = load_events(spark, lake, raw, "order").first()
+    assert (row.n_files, row.n_loaded, row.n_empty, row.n_errors) == (1, 1, 0, 0)
+
+
 def test_reload_of_an_empty_lake_empties_raw(spark, tmp_path):
     raw = str(tmp_path / "raw")
     lake_rows(spark, str(tmp_path / "lake"), "order", ("o1", "p1", "created", START, 7))
