@@ -16,8 +16,10 @@ from convoy.plans import ingest, jobs
 from convoy.plans.enrich import enrich_gps
 from convoy.schemas import DELIVERY_TOPIC, DRIVER_TOPIC, EVENT_TYPE_BY_TOPIC, GPS_TOPIC, ORDER_TOPIC
 from convoy.session import work_folder
-from convoy.sources.lake import dead_letter_path, file_inventory, lake_path, read_lake, write_file
+from convoy.sources import manifest
+from convoy.sources.lake import dead_letter_path, file_inventory, lake_path, write_file
 from convoy.sources.load import load_events, read_raw
+from convoy.sources.manifest import read_lake
 from convoy.sources.topics import read_topic_files
 from convoy.streaming import jobs as streams
 from convoy.streaming import sinks

@@ -13,7 +13,7 @@ from convoy.plans.jobs import GateFailed, run_pipeline
 from convoy.plans.quality import quality_report, quality_results
 from convoy.schemas import EVENT_TYPES
 from convoy.session import utc
-from convoy.sources.lake import read_lake
+from convoy.sources.manifest import read_lake
 from convoy.sources.load import load_events
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from convoy.schemas import EVENT_TYPES, LAKE_SCHEMAS
+from convoy.schemas import EVENT_TYPES
 
 
 def lake_path(root: str, event_type: str) -> str:
@@ -30,20 +30,24 @@ def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType)
     return rows.select(*schema.names)
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
 
 
+def file_exists(spark: SparkSession, path: str) -> bool:
+    files, place = file_system(spark, path)
+    return files.exists(place)
+
+
 def is_committed(spark: SparkSession, path: str) -> bool:
     """Whether a table's folder was written to the end."""
-    files, mark = _file_system(spark, f"{path}/_SUCCESS")
-    return files.exists(mark)
+    return file_exists(spark, f"{path}/_SUCCESS")
 
 
 def folder_values(spark: SparkSession, path: str, name: str) -> list[str]:
     """The values of the folders ``name=value`` directly below a path, none if it is not there."""
-    files, place = _file_system(spark, path)
+    files, place = file_system(spark, path)
     found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(place, f"{name}=*")) or []
     return sorted(status.getPath().getName().split("=", 1)[1] for status in found)
 
@@ -54,13 +58,13 @@ def committed_numbers(spark: SparkSession, path: str, name: str) -> list[int]:
 
 
 def remove_folder(spark: SparkSession, path: str) -> None:
-    files, place = _file_system(spark, path)
+    files, place = file_system(spark, path)
     files.delete(place, True)
 
 
 def write_file(spark: SparkSession, path: str, content: bytes) -> None:
     """A small file beside the tables, complete or not there: it gets its name when it is written."""
-    files, place = _file_system(spark, path)
+    files, place = file_system(spark, path)
     draft = spark._jvm.org.apache.hadoop.fs.Path(place.getParent(), f"_{place.getName()}.draft")
     out = files.create(draft, True)
     out.write(bytearray(content))
@@ -68,11 +72,6 @@ def write_file(spark: SparkSession, path: str, content: bytes) -> None:
     files.rename(draft, place)
 
 
-def read_lake(spark: SparkSession, root: str, event_type: str) -> DataFrame:
-    """All rows of one event type."""
-    return read_parquet_or_empty(spark, lake_path(root, event_type), LAKE_SCHEMAS[event_type])
-
-
 _EVENT_TYPE = "regexp_extract(path, '/events/([^/]+)/', 1) AS event_type"
 
 

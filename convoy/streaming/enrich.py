@@ -11,9 +11,9 @@ from convoy.plans.enrich import (
     with_movement,
     with_previous_position,
 )
-from convoy.schemas import STORED_EVENTS, struct_of
-from convoy.session import work_folder
-from convoy.sources.lake import lake_path, read_parquet_or_empty
+from convoy.plans.ingest import with_lake_columns
+from convoy.schemas import struct_of
+from convoy.sources import manifest
 from convoy.streaming.state import BatchState
 
 METRICS = [
@@ -74,24 +74,23 @@ def mend_lake(spark: SparkSession, lake: str, since: date) -> None:
     """Enrich the lake's positions from the day ``since`` on anew, as one pass over the whole history gives them.
 
     Late positions have found their predecessors in their own batch only, and the positions that follow them don't
-    know them. The last position of every vehicle before ``since`` takes part; every row goes back into the
-    folder of its writer and batch, which is replaced as a whole. The result is written to the shared scratch folder
-    first. No stream may write to these days meanwhile; run again, a broken-off call ends the work.
+    know them. The last position of every vehicle before ``since`` takes part. The days are written to a new run and
+    switched at once, so readers see them as they were or mended; what streams write meanwhile stays beside
+    them until the next call.
     """
-    path = lake_path(lake, "gps")
-    stored = read_parquet_or_empty(spark, path, STORED_EVENTS["gps"])
-    plain = stored.drop(*METRICS, "anomaly_types", "is_anomaly")
-    positions = plain.filter(F.col("event_date") >= F.lit(since))
-    earlier = plain.filter(F.col("event_date") < F.lit(since))
+    at = manifest.read_manifest(spark, lake, "gps")
+    folders = manifest.live_folders(spark, lake, "gps", at)
+    due = {d for d in {*folders, *at.runs} if d != manifest.NO_DAY and d >= since.isoformat()}
+    names = [f for d, own in folders.items() if d in due for f in own]
+    before = [f for d, own in folders.items() if d not in due for f in own]
+    derived = [*METRICS, "anomaly_types", "is_anomaly", "event_date", "event_type"]
+
+    def rows(chosen: list[str], runs: dict[str, str]) -> DataFrame:
+        stored = manifest.stored_in(spark, lake, "gps", chosen).drop("writer_id", "batch_id")
+        return stored.unionByName(manifest.compacted_in(spark, lake, "gps", runs)).drop(*derived)
+
+    positions = rows(names, {d: r for d, r in at.runs.items() if d in due})
+    earlier = rows(before, {d: r for d, r in at.runs.items() if d not in due})
     none = spark.createDataFrame([], LAST_POSITION)
-    mended = enrich_batch(positions, advance(none, earlier.drop("event_date", "event_type", "writer_id", "batch_id")))
-    scratch = work_folder(spark, "mended")
-    mended.select(stored.columns).write.parquet(scratch)
-    (
-        spark.read.schema(stored.schema)
-        .parquet(scratch)
-        .write.partitionBy("event_date", "event_type", "writer_id", "batch_id")
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
+    mended = with_lake_columns(enrich_batch(positions, advance(none, earlier)), "gps")
+    manifest.switch_days(spark, lake, "gps", mended, due, names, at)

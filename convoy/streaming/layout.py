@@ -32,3 +32,7 @@ class Layout:
 
     def state(self, name: str) -> str:
         return f"{self.work.rstrip('/')}/state/{name}"
+
+    def commits(self, name: str) -> str:
+        """Records of the batches that are in all targets."""
+        return f"{self.work.rstrip('/')}/commits/{name}"

@@ -12,10 +12,10 @@ from convoy.schemas import (
     EVENT_TYPE_BY_TOPIC,
     GPS_TOPIC,
     STATE_TTL_SECONDS,
-    STORED_EVENTS,
     struct_of,
 )
-from convoy.sources.lake import read_parquet_or_empty
+from convoy.sources.lake import file_exists, write_file
+from convoy.sources.manifest import read_stored
 from convoy.sources.topics import parse_events
 from convoy.streaming import ordered
 from convoy.streaming.enrich import advance, enrich_batch, last_positions
@@ -58,17 +58,31 @@ def _append_batch(
 
 
 def _append_to_all(
-    rows: DataFrame, paths: list[str], partitions: list[str], batch_id: int, writer: str | None = None
+    rows: DataFrame,
+    paths: list[str],
+    partitions: list[str],
+    batch_id: int,
+    writer: str | None = None,
+    commits: str | None = None,
 ) -> None:
-    """Write to every target, computing the rows once."""
+    """Write to every target, computing the rows once.
+
+    A batch for several targets is committed as one, by a small record in ``commits`` after the last
+    target: replayed before it, a batch is written to all of them anew; after it, to none.
+    """
     if len(paths) == 1:
         return _append_batch(rows, paths[0], partitions, batch_id, writer)
+    record = f"{commits}/writer={writer or _writer(rows)}/batch={batch_id}" if commits else None
+    if record and file_exists(rows.sparkSession, record):
+        return None
     rows = rows.persist()
     try:
         for path in paths:
             _append_batch(rows, path, partitions, batch_id, writer)
     finally:
         rows.unpersist()
+    if record:
+        write_file(rows.sparkSession, record, "\n".join(paths).encode())
 
 
 def _for_each_batch(
@@ -116,7 +130,9 @@ def write_dead_letters(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         # The topics share one table; the topic in the partition keeps their batches apart.
         rows = with_reject_date(batch, F.to_date("kafka_timestamp"))
-        _append_to_all(rows, layout.dead_letters(), DEAD_LETTER_PARTITIONS, batch_id)
+        _append_to_all(
+            rows, layout.dead_letters(), DEAD_LETTER_PARTITIONS, batch_id, commits=layout.commits("dead_letters")
+        )
 
     return _for_each_batch(
         rejected, write_batch, layout, query_name, layout.trigger_seconds, available_now
@@ -129,7 +145,7 @@ def _enrich_and_store(layout: Layout, carry: bool) -> Callable[[DataFrame, int],
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         last = state.before(batch.sparkSession, batch_id) if carry else None
         rows = with_lake_columns(enrich_batch(batch, last), EVENT_TYPE_BY_TOPIC[GPS_TOPIC])
-        _append_to_all(rows, layout.events("gps"), LAKE_PARTITIONS, batch_id)
+        _append_to_all(rows, layout.events("gps"), LAKE_PARTITIONS, batch_id, commits=layout.commits("events"))
         if carry:
             state.write(advance(last, batch), batch_id)
 
@@ -160,7 +176,7 @@ def write_enriched_lake(
 
 def _enrich_in_order(layout: Layout, delay_seconds: int) -> Callable[[DataFrame, int], None]:
     def write(rows: DataFrame, batch_id: int) -> None:
-        _append_to_all(rows, layout.events("gps"), LAKE_PARTITIONS, batch_id)
+        _append_to_all(rows, layout.events("gps"), LAKE_PARTITIONS, batch_id, commits=layout.commits("events"))
 
     return ordered.hold_and_release(layout, delay_seconds, write, _writer)
 
@@ -192,7 +208,8 @@ def drain_ordered(spark: SparkSession, layout: Layout) -> None:
     """Enrich and store what the ordered streams of a layout still hold; no such stream may run."""
 
     def write(rows: DataFrame, writer: str, batch_id: int) -> None:
-        _append_to_all(rows, layout.events("gps"), LAKE_PARTITIONS, batch_id, writer)
+        events = layout.events("gps")
+        _append_to_all(rows, events, LAKE_PARTITIONS, batch_id, writer, layout.commits("events"))
 
     ordered.drain(spark, layout, write)
 
@@ -269,9 +286,9 @@ def write_once(
         timed = rows.filter("event_time is not null").groupBy(*keys, "event_type", "event_date").agg(rest)
         timed = timed.select(*keys, *[f"rest.{c}" for c in columns], "event_type", "event_date")
         untimed = rows.filter("event_time is null").distinct()
-        for path in layout.events(event_type):
-            stored = read_parquet_or_empty(batch.sparkSession, path, STORED_EVENTS[event_type])
-            own = (F.col("writer_id") == _writer(batch)) & (F.col("batch_id") == batch_id)
+        for root, path in zip(layout.lakes, layout.events(event_type)):
+            stored = read_stored(batch.sparkSession, root, event_type)
+            own = F.col("writer_id").eqNullSafe(_writer(batch)) & F.col("batch_id").eqNullSafe(batch_id)
             known = stored.filter(~own).drop("writer_id", "batch_id")
             days = timed.select("event_date").distinct()
             seen = known.join(days, "event_date", "left_semi").select("event_date", *keys)
@@ -341,12 +358,14 @@ def write_topic(
                 update_vehicles(clean, batch_id)
             else:
                 rows = with_lake_columns(clean, event_type)
-                _append_to_all(rows, layout.events(event_type), LAKE_PARTITIONS, batch_id)
+                events = layout.events(event_type)
+                _append_to_all(rows, events, LAKE_PARTITIONS, batch_id, commits=layout.commits("events"))
             _append_to_all(
                 with_reject_date(rejected, F.to_date("kafka_timestamp")),
                 layout.dead_letters(),
                 DEAD_LETTER_PARTITIONS,
                 batch_id,
+                commits=layout.commits("dead_letters"),
             )
         finally:
             parsed.unpersist()

@@ -10,9 +10,10 @@ from convoy.plans import ingest, jobs
 from convoy.plans.enrich import enrich_gps
 from convoy.schemas import DELIVERY_TOPIC, GPS_TOPIC, ORDER_TOPIC
 from convoy.session import work_folder
-from convoy.sources import load
-from convoy.sources.lake import dead_letter_path, file_inventory, lake_path, read_lake
+from convoy.sources import load, manifest
+from convoy.sources.lake import dead_letter_path, file_inventory, lake_path
 from convoy.sources.load import load_events, read_load_audit, read_raw
+from convoy.sources.manifest import read_lake
 from convoy.sources.topics import read_topic_files
 from convoy.streaming import jobs as streams
 from convoy.streaming import ordered, sinks
@@ -200,6 +201,91 @@ def test_one_query_per_topic_writes_everything(spark, send, tmp_path):
     assert sinks.vehicle_states(layout).latest(spark).count() == 1
 
 
+def files_below(path):
+    return len(list(Path(path).rglob("*.parquet")))
+
+
+def test_readers_of_compacted_days_see_old_or_new(spark, send, layout):
+    """Readers built before, between writing and switching, and after; late batches; vacuum; a second compaction."""
+    lake = layout.lakes[0]
+
+    def go(*events):
+        stream = send(DELIVERY_TOPIC, *events)
+        run(sinks.write_topic(stream, DELIVERY_TOPIC, layout, "lake_delivery", True))
+
+    def packages():
+        return sorted(r.package_id for r in read_lake(spark, lake, "delivery").collect())
+
+    for i in range(4):
+        go(step(f"p{i}", "failed", i), step(f"q{i}", "failed", 24 * 60 + i), step(f"r{i}", "failed", i, timestamp="x"))
+    want = packages()
+    assert len(want) == 12
+    old_reader = read_lake(spark, lake, "delivery")
+    broken_off = manifest.write_file
+    manifest.write_file = lambda *a: (_ for _ in ()).throw(OSError("lost"))
+    try:
+        with pytest.raises(OSError):
+            manifest.compact(spark, lake, "delivery")
+    finally:
+        manifest.write_file = broken_off
+    assert packages() == want
+    assert manifest.compact(spark, lake, "delivery") == ["2026-01-01", "2026-01-02", manifest.NO_DAY]
+    assert packages() == want and manifest.compact(spark, lake, "delivery") == []
+    assert sorted(r.package_id for r in old_reader.collect()) == want
+    run_files = files_below(f"{lake}/compacted/delivery")
+    assert run_files < files_below(f"{lake}/events/delivery")
+    go(step("late", "failed", 1))
+    go(step("later", "failed", 2))
+    want = sorted([*want, "late", "later"])
+    assert packages() == want
+    loaded = spark.createDataFrame([], "file_path string")
+    assert manifest.vacuum(spark, lake, "delivery", loaded) == 0 and packages() == want
+    assert manifest.vacuum(spark, lake, "delivery") == 12 and packages() == want
+    assert manifest.compact(spark, lake, "delivery", before="2026-01-02") == ["2026-01-01"]
+    assert packages() == want
+    manifest.vacuum(spark, lake, "delivery")
+    assert packages() == want and files_below(f"{lake}/events/delivery") == 0
+    # a repeat is still known from the compacted day
+    stream = send(DELIVERY_TOPIC, step("p0", "failed", 0), step("new", "failed", 3))
+    once = clean(stream, DELIVERY_TOPIC)
+    run(sinks.write_once(once, "delivery", ["package_id", "event_time"], layout, "once", True))
+    assert packages() == sorted([*want, "new"])
+
+
+def test_two_maintainers_do_not_overwrite_each_other(spark, send, layout):
+    stream = send(DELIVERY_TOPIC, step("a", "failed", 0))
+    run(sinks.write_topic(stream, DELIVERY_TOPIC, layout, "lake_delivery", True))
+    lake = layout.lakes[0]
+    at = manifest.read_manifest(spark, lake, "delivery")
+    assert manifest.compact(spark, lake, "delivery", at_least=1) == ["2026-01-01"]
+    rows = read_lake(spark, lake, "delivery")
+    with pytest.raises(RuntimeError):
+        manifest.switch_days(spark, lake, "delivery", rows, {"2026-01-01"}, [], at)
+
+
+def test_a_batch_lost_between_two_targets_ends_in_both(spark, send, tmp_path, monkeypatch):
+    layout = Layout([str(tmp_path / "a"), str(tmp_path / "b")], str(tmp_path))
+    write, lost = sinks._append_batch, []
+
+    def failing(rows, path, *more):
+        if path.startswith(str(tmp_path / "b")) and not lost:
+            lost.append(path)
+            raise OSError("lost")
+        return write(rows, path, *more)
+
+    monkeypatch.setattr(sinks, "_append_batch", failing)
+    stream = send(DELIVERY_TOPIC, *[step(f"p{i}", "failed", i) for i in range(5)])
+    query = sinks.write_topic(stream, DELIVERY_TOPIC, layout, "lake_delivery", True)
+    with pytest.raises(Exception, match="lost"):
+        query.awaitTermination()
+    assert read_lake(spark, layout.lakes[1], "delivery").count() == 0
+    run(sinks.write_topic(stream, DELIVERY_TOPIC, layout, "lake_delivery", True))
+    both = [sorted(map(str, read_lake(spark, root, "delivery").collect())) for root in layout.lakes]
+    assert both[0] == both[1] and len(both[0]) == 5
+    (record,) = Path(layout.commits("events")).glob("writer=*/batch=0")
+    assert record.read_text().split() == layout.events("delivery")
+
+
 def test_vehicle_state_over_batches(spark, send, layout):
     stream = send(GPS_TOPIC, position(1, vehicle="a"), position(5, vehicle="b"))
     run(sinks.write_vehicle_state(clean(stream), layout, available_now=True))
