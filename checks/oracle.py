@@ -532,6 +532,19 @@ _TEXTS |= {
             "dim_vehicles", "fct_deliveries", "fct_daily_activity", "dim_date",
         ]
     ),
+    "stream_batches": _union(
+        f"""SELECT '{q}' AS query_name, batch_id, count(*) AS n_input_rows FROM (
+ SELECT CAST(CAST(t >= first + step AS INTEGER) + CAST(t >= first + 2 * step AS INTEGER) AS BIGINT) AS batch_id
+ FROM (SELECT epoch_us(ts) AS t FROM events),
+  (SELECT min(epoch_us(ts)) AS first, round((max(epoch_us(ts)) - min(epoch_us(ts))) / 3.0) AS step FROM events))
+ GROUP BY batch_id"""
+        for q in ("lake_orders", "lake_drivers")
+    ),
+    "stream_dual_rows": _union(
+        f"""SELECT {_parsed_columns(ORDER_FIELDS)}, event_time, 'order' AS event_type,
+ CAST(event_time AS DATE) AS event_date, {i} AS lake FROM clean_order"""
+        for i in range(2)
+    ),
     "stream_dead_letter": f"""SELECT kafka_key, kafka_timestamp, 'delivery_events' AS reject_topic,
  'missing_required_key' AS reject_reason, package_id, order_id FROM parsed_delivery WHERE NOT ({VALID['delivery']})""",
     "stream_state": """SELECT vehicle_id, driver_id, lat, lon, speed_kmh, event_time FROM (

@@ -253,6 +253,41 @@ def stream_progress(spark, sf_dir):
     return spark.createDataFrame(list(rows.items()), "query_name string, n_input_rows bigint")
 
 
+def stream_batches(spark, sf_dir):
+    """Input rows of every batch of two queries over three runs, from the stored progress."""
+    folder = work_folder(spark, "batches")
+    layout = Layout([f"{folder}/lake"], folder)
+    log = streams.ProgressLog(layout.state("progress"))
+
+    def start(sources):
+        return streams.start_topics(sources, layout, available_now=True)
+
+    spark.streams.addListener(log)
+    try:
+        records = {t: topic_records(spark, sf_dir, t) for t in (ORDER_TOPIC, DRIVER_TOPIC)}
+        log.settle(arrive(spark, folder, records, start))
+        log.flush(spark)
+    finally:
+        spark.streams.removeListener(log)
+    rows = streams.read_progress(spark, log.path).filter("query_name IN ('lake_orders', 'lake_drivers')")
+    return rows.filter("n_input_rows > 0").select("query_name", "batch_id", "n_input_rows")
+
+
+def stream_dual_rows(spark, sf_dir):
+    """All rows of each of two lakes written at once, one of them compacted afterwards."""
+    folder = work_folder(spark, "dual-rows")
+    layout = Layout([f"{folder}/a", f"{folder}/b"], folder)
+
+    def start(sources):
+        return streams.start_topics(sources, layout, available_now=True)
+
+    arrive(spark, folder, {ORDER_TOPIC: topic_records(spark, sf_dir, ORDER_TOPIC)}, start)
+    manifest.compact(spark, layout.lakes[1], "order", at_least=1)
+    manifest.vacuum(spark, layout.lakes[1], "order")
+    rows = [read_lake(spark, root, "order").withColumn("lake", F.lit(i)) for i, root in enumerate(layout.lakes)]
+    return rows[0].unionByName(rows[1])
+
+
 def _lake_in_two_steps(spark, sf_dir, purpose, event_type=None, load=True):
     """A lake, of one event type or all, whose second half is written after the first was loaded
     into RAW."""
@@ -371,6 +406,8 @@ STREAM_QUERIES = {
         stream_state,
         stream_topics,
         stream_progress,
+        stream_batches,
+        stream_dual_rows,
         incremental_load,
         load_outcomes,
         loaded_gps,

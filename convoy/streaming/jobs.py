@@ -1,5 +1,6 @@
 """The streaming job: start, watch and stop the queries."""
 
+import threading
 import time
 from collections import defaultdict
 
@@ -7,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
-from convoy.schemas import DELIVERY_TOPIC, DRIVER_TOPIC, GPS_TOPIC, ORDER_TOPIC
+from convoy.schemas import DELIVERY_TOPIC, DRIVER_TOPIC, GPS_TOPIC, ORDER_TOPIC, struct_of
+from convoy.sources.lake import read_parquet_or_empty
 from convoy.sources.topics import read_topic
 from convoy.streaming.layout import Layout
 from convoy.streaming.sinks import write_topic
@@ -19,6 +21,11 @@ QUERY_NAMES = {
     DRIVER_TOPIC: "lake_drivers",
 }
 
+#: ``started_at`` is the ISO time the batch began; state rows and dropped rows are sums over stateful operators.
+BATCHES = struct_of(
+    "query_name string, query_id string, batch_id bigint, started_at string, n_input_rows bigint, "
+    "duration_ms bigint, n_state_rows bigint, n_dropped_late bigint"
+)
 PROGRESS_COLUMNS = "query_name string, batch_id bigint, n_input_rows bigint, status string"
 
 
@@ -35,12 +42,20 @@ def start_topics(
 def run_stream(
     spark: SparkSession, servers: str, layout: Layout, max_offsets_per_trigger: int | None = None
 ) -> None:
-    """Read the four topics from a broker and process them until interrupted."""
-    queries = start_topics(
-        {topic: read_topic(spark, topic, servers, max_offsets_per_trigger) for topic in QUERY_NAMES},
-        layout,
-    )
-    watch(spark, queries=queries)
+    """Read the four topics from a broker and process them until interrupted.
+
+    Every query has a scheduler pool of its own name; the progress of all batches is stored below ``layout.work``.
+    """
+    log = ProgressLog(layout.state("progress"))
+    spark.streams.addListener(log)
+    try:
+        queries = start_topics(
+            {topic: read_topic(spark, topic, servers, max_offsets_per_trigger) for topic in QUERY_NAMES},
+            layout,
+        )
+        watch(spark, queries=queries, log=log)
+    finally:
+        spark.streams.removeListener(log)
 
 
 def progress(spark: SparkSession, queries: list[StreamingQuery] | None = None) -> DataFrame:
@@ -59,6 +74,62 @@ def progress(spark: SparkSession, queries: list[StreamingQuery] | None = None) -
     return spark.createDataFrame(rows, PROGRESS_COLUMNS)
 
 
+class ProgressLog(StreamingQueryListener):
+    """Every batch of every query as a row of a table, once added to ``spark.streams``.
+
+    Events are kept until ``flush`` appends them: the listener itself starts no job, so it never holds up a stream.
+    ``watch`` flushes at each round.
+    """
+
+    def __init__(self, path: str):
+        self.path = path
+        self.waiting: list[tuple] = []
+        self.ended: set[str] = set()
+        self.lock = threading.Lock()
+
+    def onQueryStarted(self, event):
+        self.ended.discard(str(event.id))
+
+    def onQueryProgress(self, event):
+        p = event.progress
+        states = p.stateOperators
+        row = (
+            p.name,
+            str(p.id),
+            p.batchId,
+            p.timestamp,
+            p.numInputRows,
+            p.durationMs.get("triggerExecution"),
+            sum(s.numRowsTotal for s in states),
+            sum(s.numRowsDroppedByWatermark for s in states),
+        )
+        with self.lock:
+            self.waiting.append(row)
+
+    def onQueryIdle(self, event):
+        pass
+
+    def onQueryTerminated(self, event):
+        self.ended.add(str(event.id))
+
+    def settle(self, queries: list[StreamingQuery], patience: float = 30) -> None:
+        """Wait until what ended queries have reported is here."""
+        until = time.time() + patience
+        while time.time() < until and any(not q.isActive and str(q.id) not in self.ended for q in queries):
+            time.sleep(0.05)
+
+    def flush(self, spark: SparkSession) -> None:
+        with self.lock:
+            rows, self.waiting = self.waiting, []
+        if rows:
+            spark.createDataFrame(rows, BATCHES).coalesce(1).write.mode("append").parquet(self.path)
+
+
+def read_progress(spark: SparkSession, path: str) -> DataFrame:
+    """The batches that progress logs have stored."""
+    return read_parquet_or_empty(spark, path, BATCHES)
+
+
 class RowCounter(StreamingQueryListener):
     """Input rows of every query since the counter was added to ``spark.streams``, by query id."""
 
@@ -96,18 +167,26 @@ def failures(queries: list[StreamingQuery]) -> list[Exception]:
 
 
 def watch(
-    spark: SparkSession, every_seconds: float = 30, queries: list[StreamingQuery] | None = None
+    spark: SparkSession,
+    every_seconds: float = 30,
+    queries: list[StreamingQuery] | None = None,
+    log: ProgressLog | None = None,
 ) -> None:
-    """Print the progress until interrupted, until all queries have ended or until one fails; then stop
-    all queries, and raise what the failed one raised."""
+    """Print the progress, and store that of all batches in ``log``, until interrupted, until all queries have
+    ended or until one fails; then stop all queries, and raise what the failed one raised."""
     queries = spark.streams.active if queries is None else queries
     try:
         while any(q.isActive for q in queries) and not failures(queries):
             progress(spark, queries).orderBy(F.col("query_name")).show(truncate=False)
+            if log is not None:
+                log.flush(spark)
             time.sleep(every_seconds)
     except KeyboardInterrupt:
         pass
     finally:
         stop_all(spark)
+        if log is not None:
+            log.settle(queries)
+            log.flush(spark)
     for failure in failures(queries):
         raise failure

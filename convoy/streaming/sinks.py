@@ -14,6 +14,7 @@ from convoy.schemas import (
     STATE_TTL_SECONDS,
     struct_of,
 )
+from convoy.session import pool
 from convoy.sources.lake import file_exists, write_file
 from convoy.sources.manifest import read_stored
 from convoy.sources.topics import parse_events
@@ -98,7 +99,8 @@ def _for_each_batch(
         .option("checkpointLocation", layout.checkpoint(query_name))
         .queryName(query_name)
     )
-    return _triggered(writer, seconds, available_now).start()
+    with pool(stream.sparkSession, query_name):
+        return _triggered(writer, seconds, available_now).start()
 
 
 def write_lake(
@@ -117,7 +119,8 @@ def write_lake(
             .outputMode("append")
             .queryName(name)
         )
-        queries.append(_triggered(writer, layout.trigger_seconds, available_now).start())
+        with pool(events.sparkSession, name):
+            queries.append(_triggered(writer, layout.trigger_seconds, available_now).start())
     return queries
 
 

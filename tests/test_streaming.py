@@ -1,5 +1,6 @@
 import json
 import os
+import time
 from datetime import datetime, timedelta
 from pathlib import Path
 
@@ -497,6 +498,48 @@ def test_rows_of_all_batches_are_counted(spark, send, layout):
         spark.streams.removeListener(counter)
 
 
+def test_every_batch_of_every_query_is_a_row(spark, send, layout):
+    log = streams.ProgressLog(layout.state("progress"))
+    spark.streams.addListener(log)
+    try:
+        for i in range(2):
+            stream = send(DELIVERY_TOPIC, step(f"p{i}", "failed", 0), step(f"q{i}", "failed", 0))
+            queries = sinks.write_lake(clean(stream, DELIVERY_TOPIC), "delivery", layout, "logged", True)
+            first = sinks.write_first_arrivals(clean(stream, DELIVERY_TOPIC), "order", ["package_id"], layout, "firsts", available_now=True)
+            run([*queries, *first])
+            streams.watch(spark, 0, [*queries, *first], log)
+    finally:
+        spark.streams.removeListener(log)
+    rows = streams.read_progress(spark, log.path).filter("n_input_rows > 0").collect()
+    assert sorted((r.query_name, r.batch_id, r.n_input_rows) for r in rows if r.query_name == "logged") == [("logged", 0, 2), ("logged", 1, 2)]
+    assert sum(r.n_input_rows for r in rows if r.query_name == "firsts") == 4
+    assert max(r.n_state_rows for r in rows if r.query_name == "firsts") >= 2
+    assert all(r.duration_ms > 0 for r in rows)
+
+
+def test_a_slow_stream_does_not_hold_up_another(spark, send, layout):
+    """Two streams in their own pools: the second ends while the first still has tasks waiting."""
+    ended, pools = {}, []
+
+    def slow(batch, batch_id):
+        pools.append(batch.sparkSession.sparkContext.getLocalProperty("spark.scheduler.pool"))
+        sleep = "java_method('java.lang.Thread', 'sleep', bigint(400))"
+        batch.sparkSession.range(0, 160, 1, 160).selectExpr(f"{sleep} AS s").write.format("noop").mode("overwrite").save()
+        ended["slow"] = time.time()
+
+    def fast(batch, batch_id):
+        batch.write.format("noop").mode("overwrite").save()
+        ended["fast"] = time.time()
+
+    stream = send(DELIVERY_TOPIC, step("p", "failed", 0))
+    one = sinks._for_each_batch(stream, slow, layout, "slow", 1, True)
+    time.sleep(1.5)
+    two = sinks._for_each_batch(stream, fast, layout, "fast", 1, True)
+    run([two, one])
+    assert ended["fast"] < ended["slow"] and pools == ["slow"]
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
 def test_progress_and_stop(spark, send, layout):
     stream = send(DELIVERY_TOPIC, step("p1", "failed", 0))
     queries = sinks.write_lake(clean(stream, DELIVERY_TOPIC), "delivery", layout, "watched")
