@@ -277,15 +277,27 @@ def _rounds():
         hubs *= 16
 
 
-def _met(members: DataFrame, others: DataFrame, percent: int, different: bool = False) -> DataFrame:
-    """Pairs (a, b) of nodes that meet in a bucket and are not in one component (u, v) yet: ids only, and sizes
-    that a similar pair can have."""
-    m, h = members.alias("m"), others.alias("h")
+def _near(members: DataFrame, others: DataFrame, bits: DataFrame, percent: int, different: bool = False) -> DataFrame:
+    """Pairs (a, b) of nodes of one bucket that may be similar, and the components (u, v) they are in.
+
+    A pair that meets in many buckets is a candidate in the first of them only; so a row carries half of the
+    keys of the bands before its own.
+    """
+
+    def with_bits(rows: DataFrame) -> DataFrame:
+        earlier = F.slice("halves", F.lit(1), F.col("band")).alias("earlier")
+        return rows.join(bits, "node").select("bucket", "node", "component", "n_shingles", earlier, *_BITS)
+
+    m, h = with_bits(members).alias("m"), with_bits(others).alias("h")
     wanted = (F.col("m.bucket") == F.col("h.bucket")) & (F.col("m.component") != F.col("h.component"))
     if different:
         wanted = wanted & (F.col("m.node") < F.col("h.node"))
     small, great = F.least("m.n_shingles", "h.n_shingles"), F.greatest("m.n_shingles", "h.n_shingles")
-    return m.join(h, wanted & (small * 100 >= great * percent)).select(
+    wanted = wanted & (small * 100 >= great * percent)
+    few = great <= FEW
+    wanted = wanted & (few | (estimate("m", "h") >= _least_estimate(percent / 100))) & _may_reach("m", "h", percent)
+    met_before = F.exists(F.zip_with("m.earlier", "h.earlier", lambda a, b: a == b), lambda x: x)
+    return m.join(h, wanted & ~met_before).select(
         F.least("m.node", "h.node").alias("a"),
         F.greatest("m.node", "h.node").alias("b"),
         F.least("m.component", "h.component").alias("u"),
@@ -293,22 +305,9 @@ def _met(members: DataFrame, others: DataFrame, percent: int, different: bool =
     )
 
 
-def _may_be_similar(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """The pairs, each once, whose packed bits and bitmaps don't rule them out. Bits join a pair once, however many
-    buckets it meets in."""
-    pairs = pairs.groupBy("a", "b").agg(F.min("u").alias("u"), F.min("v").alias("v"))
-    bits = nodes.select("node", "n_shingles", *_BITS)
-    packed = F.struct("n_shingles", *_BITS)
-    left = bits.select(F.col("node").alias("a"), packed.alias("m"))
-    right = bits.select(F.col("node").alias("b"), packed.alias("h"))
-    few = F.greatest("m.n_shingles", "h.n_shingles") <= FEW
-    wanted = (few | (estimate("m", "h") >= _least_estimate(percent / 100))) & _may_reach("m", "h", percent)
-    return pairs.join(left, "a").join(right, "b").filter(wanted).select("a", "b", "u", "v")
-
-
 def _bucket_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Links (u, v) that connect what the threshold connects, from the rounds described above."""
-    placed = nodes.select("node", "n_shingles", F.posexplode("bands").alias("band", "bucket"))
+    placed = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
     crowded = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     crowded = stored(crowded, "crowded")
     members = placed.join(crowded, "bucket").withColumn("component", F.col("node"))
@@ -318,23 +317,23 @@ def _bucket_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     if members.isEmpty():
         return links
     sets = _sets(docs, nodes, members)
-    bits = nodes.select("node", "n_shingles", *_BITS)
+    halves = F.transform("bands", lambda b: b.bitwiseAND(F.lit(2**31 - 1)).cast("int")).alias("halves")
+    bits = nodes.select("node", "n_shingles", halves, *_BITS)
     bits = stored(bits.join(members.select("node").distinct(), "node"), "bucket-nodes")
     for number, (part, slots) in enumerate(_rounds()):
         slot = F.pmod(F.xxhash64(F.lit(slots), "node", "bucket"), F.lit(slots))
         order = F.xxhash64(F.lit(-slots), "node", "bucket").alias("order")
         hubs = members.filter(part).groupBy("bucket", slot.alias("slot")).agg(
-            F.min(F.struct(order, "node", "component", "n_shingles")).alias("hub")
+            F.min(F.struct(order, "node", "component", "band")).alias("hub")
         )
-        hubs = stored(hubs.select("bucket", "hub.node", "hub.component", "hub.n_shingles"), "hubs")
-        hub_rows = hubs.select("bucket", "node", "component", "n_shingles")
-        near = _met(members, hub_rows, percent)
+        hubs = stored(hubs.select("bucket", "hub.node", "hub.component", "hub.band"), "hubs")
+        near = _near(members, hubs, bits, percent)
         rest = members
         if number == 1:
             small = members.filter(F.col("size") <= SMALL_BUCKET)
-            near = near.unionByName(_met(small, small, percent, different=True))
+            near = near.unionByName(_near(small, small, bits, percent, different=True))
             rest = members.filter(F.col("size") > SMALL_BUCKET)
-        new = stored(_confirmed(sets, _may_be_similar(near, bits, percent), percent), "new-links")
+        new = stored(_confirmed(sets, near.distinct(), percent), "new-links")
         done = [hubs, members]
         rest = rest.join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
         if not new.isEmpty():
