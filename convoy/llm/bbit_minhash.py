@@ -7,9 +7,9 @@
    yet in one component are candidates; in small buckets all such pairs are. The collision-corrected similarity, estimated from the
    packed bits by bit counts, drops pairs of more than 128 shingles that are five standard deviations below the
    threshold, and a bitmap of the shingles those of any size that cannot have enough in common.
-3. The others are confirmed on the full sets. Links join components, and what has become one
-   component needs no further comparing.
-4. A hub is done with its bucket; buckets in which all that is left lies in one component are done.
+3. The others are confirmed on the full sets. Links join components, and what is seen to have become one
+   component (by two steps of label propagation) needs no further comparing.
+4. A hub is done with its bucket; buckets in which all that is left is seen to lie in one component are done.
    The next round takes more hubs per bucket. So every pair of a bucket is either
    compared or already linked when the rounds end, however large the bucket, and no round makes more
    rows than hubs times members.
@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from convoy.llm.components import components
+from convoy.llm.components import components, merged_once
 from convoy.llm.tables import discard, stored
 from convoy.llm.words import NOT_SPACE, chained, flat, mixed, runs, words
 
@@ -338,8 +338,8 @@ def _bucket_links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
         rest = rest.join(hubs.select("bucket", "node"), ["bucket", "node"], "left_anti")
         if not new.isEmpty():
             links = links.unionByName(new.select(F.col("a").alias("u"), F.col("b").alias("v")))
-            # components that are joined now; only they have to be looked at
-            joined = stored(components(new.select("u", "v")), "joined")
+            # most of what is joined now; only those nodes have to be looked at
+            joined = stored(merged_once(new.select("u", "v")), "joined")
             done.append(joined)
             joined = joined.select(F.col("node").alias("component"), F.col("component").alias("whole"))
             rest = rest.join(joined, "component", "left")

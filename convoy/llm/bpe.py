@@ -118,7 +118,7 @@ class WordEnd:
     def chunks(self, text: str) -> list[str]:
         """Parts of a text that no word crosses: what lies between white space. A special token is
         given as its string after a null sign."""
-        if self.special is not None and "<|" in text:
+        if any(t in text for t in self.special_ids):
             found = []
             for piece in self.special.split(text):
                 found += ["\0" + piece] if piece in self.special_ids else self._chunks(piece)

@@ -44,3 +44,14 @@ def components(edges: DataFrame) -> DataFrame:
     pairs = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return pairs.unionByName(roots)
+
+
+def merged_once(edges: DataFrame) -> DataFrame:
+    """(node, component) after two steps of taking the least neighbour: nodes of one ``component`` are connected, but
+    connected nodes may still differ. Two shuffles and no loop, for callers that only want less work later."""
+    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    first = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+    # what a node hears is the least that a neighbour, or itself, has heard
+    heard = both.join(first, "u").select(F.col("v").alias("node"), "m")
+    own = first.select(F.col("u").alias("node"), "m")
+    return heard.unionByName(own).groupBy("node").agg(F.min("m").alias("component"))

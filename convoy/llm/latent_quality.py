@@ -172,13 +172,16 @@ def score(docs: DataFrame, model: Model, out: str = "score") -> DataFrame:
     """``docs`` with column ``out``: 0 to 1, higher when label 1 is likelier.
 
     Null counts as empty; an empty text is scored like any other, by its marks. Only ``text`` is read. Equal
-    texts get equal scores. ``out`` replaces a column of its name, others pass through.
+    texts get equal scores; an empty table stays empty. ``out`` replaces a column of its name, others pass through.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    # plain arrays: an object's class would have to be on the workers' path
+    arrays = (model.weights, model.axes, model.vectors, model.labels, model.prior)
+    sent = docs.sparkSession.sparkContext.broadcast(arrays)
 
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = Model(*sent.value)
         for batch in batches:
-            yield pa.array(scores(sent.value, batch), pa.float64())
+            yield pa.array(scores(own, batch), pa.float64())
 
     return docs.withColumn(out, F.arrow_udf(run, "double")(F.col("text").cast("string")))
 

@@ -12,6 +12,7 @@ are summed before they are shuffled, and the joins on patterns can be split.
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,12 +31,14 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 #: Strings that may be of a kind although they break its rule.
 LOOSE = (
-    ("email", re.compile(r"[^\s@,;<>()\"']+@[^\s@,;<>()\"']*[^\s@,;<>()\"'.:!?]")),
+    ("email", None),  # see _around_at
     ("ip", re.compile(r"(?<![0-9A-Za-z:])(?:[0-9A-Fa-f]{1,4}:){3,7}[0-9A-Fa-f]{1,4}(?![0-9A-Za-z:])")),
     ("card", re.compile(r"(?<![0-9])[0-9]{4}(?:[\x20-]?[0-9]{4}){2,3}(?![0-9])")),
     ("phone", re.compile(r"(?<![0-9+])\(?[0-9]{2,4}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{3,4}(?![0-9])")),
 )
+_NO_ADDRESS = re.compile(r"[\s@,;<>()\"']")
 HINT = re.compile(r"[0-9@]")
+NEAR = 200  # characters of a word that a span cuts, see Neighbours
 WORD_CHARS = 40  # of a neighbouring word in a pattern; longer words are told apart by their hash
 
 ROUNDS = 3
@@ -89,19 +92,49 @@ def _neighbour(word: str) -> str:
     return word if len(word) <= WORD_CHARS else hashlib.sha256(word.encode()).hexdigest()[:WORD_CHARS]
 
 
-def patterns(text: str, start: int, end: int) -> list[str]:
-    """Words before and after a span, alone and together. The reach is bounded, so that long words
-    aren't read again for each span."""
-    before = [_neighbour(w) for w in text[max(0, start - 200) : start].split()[-2:]]
-    after = [_neighbour(w) for w in text[end : end + 200].split()[:1]]
-    left = before[-1] if before else ""
-    right = after[0] if after else ""
-    return [f"{left} _", f"_ {right}", f"{left} _ {right}", f"{' '.join(before)} _"]
+class Neighbours:
+    """Words of a text, for the patterns around spans. A word that a span touches counts as far as it lies outside;
+    what is left of it beyond NEAR characters is known by the whole word, which is hashed once."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.places = [m.span() for m in re.finditer(r"\S+", text)]
+        self.starts = [a for a, _ in self.places]
+        self.known: dict[int, str] = {}
+
+    def _word(self, i: int, a: int, b: int) -> str:
+        if b - a <= NEAR:
+            return _neighbour(self.text[a:b])
+        if i not in self.known:
+            self.known[i] = _neighbour(self.text[slice(*self.places[i])])
+        return self.known[i]
+
+    def patterns(self, start: int, end: int) -> list[str]:
+        """Words before and after a span, alone and together."""
+        i = bisect_left(self.starts, start)
+        before = [self._word(k, a, min(b, start)) for k in range(max(0, i - 2), i) for a, b in [self.places[k]]]
+        j = bisect_right(self.starts, end)
+        j -= j > 0 and self.places[j - 1][1] > end
+        right = ""
+        if j < len(self.places):
+            a, b = self.places[j]
+            right = self._word(j, max(a, end), b)
+        left = before[-1] if before else ""
+        return [f"{left} _", f"_ {right}", f"{left} _ {right}", f"{' '.join(before)} _"]
+
+
+def _bare(text: str, start: int, end: int) -> tuple[int, int]:
+    """A word without the punctuation around it."""
+    while start < end and text[start] in "([{<\"'":
+        start += 1
+    while end > start and text[end - 1] in ".,;:!?)]}>\"'":
+        end -= 1
+    return start, end
 
 
 def mentions(text: str) -> tuple[list, list]:
     """Base spans, and (start, end, kind, role, instance, patterns) of all that could be an identifier:
-    role 0 a seed, 1 unproven, 2 another word with digits or @."""
+    role 0 a seed, 1 unproven, 2 another word with digits or @, of no kind yet."""
     if not HINT.search(text):
         return [], []
     base = base_spans(text)
@@ -121,35 +154,32 @@ def mentions(text: str) -> tuple[list, list]:
     for kind, rule in LOOSE:
         if kind == "email" and "@" not in text:
             continue
-        if kind == "email":
-            own = [(a, b) for a, b in _around_at(text, rule)]
-        else:
-            own = [m.span() for m in rule.finditer(text)]
+        own = list(_around_at(text)) if kind == "email" else [m.span() for m in rule.finditer(text)]
         own = free(taken, own)
         found += [(a, b, kind, 1) for a, b in own]
         taken = sorted(taken + own)
-    others, end = [], 0
-    for m in HINT.finditer(text):
-        if m.start() >= end:
-            start, end = m.start(), m.end()
-            while start > 0 and not text[start - 1].isspace() and m.start() - start < 100:
-                start -= 1
-            while end < len(text) and not text[end].isspace():
-                end += 1
-            others.append((start, end))
+    near = Neighbours(text)
+    others = [_bare(text, a, b) for a, b in near.places if HINT.search(text, a, b)]
     found += [(a, b, "", 2) for a, b in free(taken, others)]
     found.sort()
-    return base, [(a, b, k, r, text[a:b], patterns(text, a, b)) for a, b, k, r in found]
+    return base, [(a, b, k, r, text[a:b], near.patterns(a, b)) for a, b, k, r in found]
 
 
-def _around_at(text: str, rule: re.Pattern) -> Iterator[tuple[int, int]]:
-    """Matches of ``rule`` that lie within a hundred characters of an @."""
-    end, at = 0, text.find("@")
+def _around_at(text: str) -> Iterator[tuple[int, int]]:
+    """Strings around an @ up to the next sign that no address has, without stops at their end."""
+    done, at = 0, text.find("@")
     while at >= 0:
-        if m := rule.search(text, max(end, at - 100), at + 100):
-            end = m.end()
-            yield m.span()
-        at = text.find("@", max(at + 1, end))
+        start, end = at, at + 1
+        while start > done and not _NO_ADDRESS.match(text[start - 1]):
+            start -= 1
+        while end < len(text) and not _NO_ADDRESS.match(text[end]):
+            end += 1
+        done = end
+        while end > at + 1 and text[end - 1] in ".:!?":
+            end -= 1
+        if start < at and end > at + 1:
+            yield start, end
+        at = text.find("@", done)
 
 
 def shown(spans) -> str:
@@ -199,12 +229,11 @@ def scores(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         F.sum("n").alias("sure"), F.count(F.lit(1)).alias("different")
     )
     seeds = stored(seeds.filter(F.col("different") >= LEAST_SEEDS).join(totals, "pattern"), "pattern-seeds")
-    unproven = stored(
-        edges.filter("role = 1").select("pattern", "instance", "kind", "n").join(
-            seeds.select("pattern", "kind"), ["pattern", "kind"], "left_semi"
-        ),
-        "unproven",
-    )
+    near_miss = edges.filter("role = 1").select("pattern", "kind", "instance", "n")
+    near_miss = near_miss.join(seeds.select("pattern", "kind"), ["pattern", "kind"], "left_semi")
+    # another word may be of every kind that its patterns surround
+    words = edges.filter("role = 2").select("pattern", "instance", "n").join(seeds.select("pattern", "kind"), "pattern")
+    unproven = stored(near_miss.unionByName(words), "unproven")
     confidence = seeds.select("pattern", "kind", (F.col("sure") / (F.col("all") + 1)).alias("confidence"))
     for _ in range(rounds - 1):
         confidence = stored(confidence, "confidence")
@@ -244,12 +273,16 @@ def personal_data(docs: DataFrame, least_score: float = LEAST_SCORE) -> DataFram
     edges = placed.groupBy("pattern", "instance", "kind", "role").agg(F.count(F.lit(1)).alias("n"))
     confidence = scores(stored(edges, "edges"))
     doubt = F.exp(F.sum(F.log1p(-F.col("confidence"))))
+    at = ["row", "start", "end", "pattern", "kind"]
+    near_miss = placed.filter("role = 1").select(*at).join(confidence, ["pattern", "kind"])
+    words = placed.filter("role = 2").select(*at[:-1]).join(confidence, "pattern")
+    scored = near_miss.unionByName(words.select(near_miss.columns)).groupBy("row", "start", "end", "kind")
+    scored = scored.agg((1 - doubt).alias("score")).filter(F.col("score") >= least_score)
+    # of several kinds the likeliest, then the first in alphabetical order
+    best = F.max_by("kind", F.struct("score", -F.ascii("kind"))).alias("kind")
     added = (
-        placed.filter("role = 1")
-        .join(confidence, ["pattern", "kind"])
-        .groupBy("row", "start", "end", "kind")
-        .agg((1 - doubt).alias("score"))
-        .filter(F.col("score") >= least_score)
+        scored.groupBy("row", "start", "end")
+        .agg(best)
         .groupBy("row")
         .agg(F.collect_list(F.struct("start", "end", "kind")).alias("added"))  # of one text
     )

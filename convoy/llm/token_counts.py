@@ -32,6 +32,7 @@ class ByteLevel:
         pattern = PRE_TOKENS.replace("\\s", "\\p{White_Space}").replace("\\S", "\\P{White_Space}")
         self.pattern = regex.compile(pattern)
         self.special = splitter(spec)
+        self.special_strings = [t["content"] for t in spec["added_tokens"]]
         self.tokens: dict[str, int] = {}
         self.known: dict[str, int] = {}
 
@@ -41,7 +42,7 @@ class ByteLevel:
         A blank belongs to what follows, so a text is cut before its blanks, unless other white space
         precedes one.
         """
-        if self.special is not None and "<|" in text:
+        if any(t in text for t in self.special_strings):
             parts = self.special.split(text)
             return [c for p in parts[::2] for c in self._chunks(p)], len(parts) // 2
         return self._chunks(text), 0

@@ -138,6 +138,63 @@ def test_base_spans():
     assert pii.luhn("4539578763621486") and not pii.luhn("4539578763621487")
 
 
+def test_patterns_propose_words_that_break_every_rule(spark):
+    """Identifiers that no rule describes, in contexts that seeds have shown; precision on words that only look alike."""
+    rng = random.Random(9)
+    rows, planted = [], {}
+    for i in range(40):
+        rows.append((i, f"{prose(rng, 8)} please write to user{i}@mail{i}.org today {prose(rng, 5)}"))
+        rows.append((100 + i, f"{prose(rng, 8)} my number is +1 555 010 {1000 + i} {prose(rng, 5)}"))
+        word = f"handle{i}(at)host" if i % 2 else f"x{'y' * 300}{i}#host"
+        text = f"{prose(rng, 8)} please write to {word} today {prose(rng, 5)}"
+        planted[200 + i] = f"email:{text.index(word)}:{text.index(word) + len(word)}"
+        rows.append((200 + i, text))
+        rows.append((300 + i, f"{prose(rng, 8)} the year {1900 + i} was w{i} good {prose(rng, 5)}"))
+    got = {r.doc_id: r.spans for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i] == span for i, span in planted.items())
+    assert all(got[300 + i] == "" for i in range(40))
+
+
+def test_graph_scores_as_by_hand(spark):
+    rng = random.Random(2)
+    edges = [
+        (f"p{rng.randrange(6)}", f"i{k % 25}", rng.choice(pii.KINDS[:2]) if role < 2 else "", role, rng.randrange(1, 5))
+        for k in range(120)
+        for role in [rng.choice([0, 0, 1, 2])]
+    ]
+    edges = [(p, i, k, r, sum(e[4] for e in edges if e[:4] == (p, i, k, r))) for p, i, k, r in sorted({e[:4] for e in edges})]
+    sure = Counter()
+    different, every = Counter(), Counter()
+    for p, _, k, r, n in edges:
+        every[p] += n
+        if r == 0:
+            sure[p, k] += n
+            different[p, k] += 1
+    good = {key for key in sure if different[key] >= pii.LEAST_SEEDS}
+    confidence = {(p, k): sure[p, k] / (every[p] + 1) for p, k in good}
+    for _ in range(pii.ROUNDS - 1):
+        doubt, holds = {}, []
+        for p, i, k, r, n in edges:
+            for kind in [k] if r == 1 else pii.KINDS if r == 2 else []:
+                if (p, kind) in good:
+                    doubt[i, kind] = doubt.get((i, kind), 1.0) * (1 - confidence[p, kind])
+                    holds.append((p, i, kind, n))
+        believed = Counter()
+        for p, i, kind, n in holds:
+            believed[p, kind] += n * (1 - doubt[i, kind])
+        confidence = {(p, k): (sure[p, k] + believed[p, k]) / (every[p] + 1) for p, k in good}
+    table = spark.createDataFrame(edges, "pattern string, instance string, kind string, role int, n long")
+    got = {(r.pattern, r.kind): r.confidence for r in pii.scores(table).collect()}
+    assert got.keys() == confidence.keys() and len(got) > 3
+    assert all(math.isclose(got[key], confidence[key], rel_tol=1e-9) for key in got)
+
+
+def test_neighbours_cost_no_more_than_the_text():
+    text = "1.2.3.4," * 20_000 + " a@b.cd " + "4539578763621486;" * 10_000
+    base, found = pii.mentions(text)
+    assert len(found) >= len(base) > 20_000
+
+
 def test_patterns_find_unseen_identifiers(spark, hard, hard_rows):
     rows = [(1000 + i, f"please write to user{i}@mail{i}.example.org today, thanks") for i in range(12)]
     rows += [(2000, "please write to admin@localhost today, thanks"), (2001, "buy admin@localhost now")]
