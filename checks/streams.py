@@ -14,7 +14,8 @@ from pyspark.sql.streaming import StreamingQuery
 from checks.fleet import raw_tables, topic_records
 from convoy.plans import ingest, jobs
 from convoy.plans.enrich import enrich_gps
-from convoy.schemas import DELIVERY_TOPIC, DRIVER_TOPIC, EVENT_TYPE_BY_TOPIC, GPS_TOPIC, ORDER_TOPIC
+from convoy.plans.refresh import read_fact, refresh_facts
+from convoy.schemas import DELIVERY_TOPIC, DRIVER_TOPIC, EVENT_TYPE_BY_TOPIC, GPS_TOPIC, ORDER_TOPIC, RAW_SCHEMAS
 from convoy.session import work_folder
 from convoy.sources import manifest
 from convoy.sources.lake import dead_letter_path, file_inventory, lake_path, write_file
@@ -376,6 +377,30 @@ def lake_inventory(spark, sf_dir):
     return found.select("event_type", "n_files", (F.col("n_bytes") > 0).alias("has_bytes"))
 
 
+def _refreshed(spark, sf_dir, name):
+    """A fact refreshed after each of three loads of RAW, which come in order of their load times."""
+    folder = work_folder(spark, "refreshed")
+    cut = {}
+    for table, rows in raw_tables(spark, sf_dir).items():
+        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[table].fields])
+        cut[table] = pieces(typed, "load_timestamp")
+    for batch in range(3):
+        for table, parts in cut.items():
+            parts[batch].write.parquet(f"{folder}/raw/{table}/generation=0/load_batch={batch}")
+        refresh_facts(spark, f"{folder}/raw", f"{folder}/facts", tested=batch == 2)
+    return read_fact(spark, f"{folder}/facts", name)
+
+
+def refreshed_deliveries(spark, sf_dir):
+    """The delivery fact after three loads, each of which changed a part of it."""
+    return _refreshed(spark, sf_dir, "fct_deliveries").drop("delivery_day")
+
+
+def refreshed_activity(spark, sf_dir):
+    """The daily fact after three loads, each of which changed some days."""
+    return _refreshed(spark, sf_dir, "fct_daily_activity")
+
+
 def batch_tables(spark, sf_dir):
     """Rows of all tables that the batch job publishes in its schema."""
     out = work_folder(spark, "published")
@@ -416,5 +441,7 @@ STREAM_QUERIES = {
         lake_inventory,
         batch_job,
         batch_tables,
+        refreshed_deliveries,
+        refreshed_activity,
     ]
 }

@@ -60,7 +60,7 @@ def _generations_path(raw: str, table: str) -> str:
     return f"{raw}/_generations/{table}"
 
 
-def _generation(spark: SparkSession, raw: str, table: str) -> int:
+def generation_of(spark: SparkSession, raw: str, table: str) -> int:
     """The generation that readers see: the greatest whose load has ended."""
     ended = read_parquet_or_empty(spark, _generations_path(raw, table), GENERATION_SCHEMA)
     return ended.agg(F.max("generation")).first()[0] or 0
@@ -77,7 +77,7 @@ def _switch(spark: SparkSession, raw: str, table: str, generation: int) -> None:
 
 def read_raw(spark: SparkSession, raw: str, table: str) -> DataFrame:
     """Current content of a RAW table."""
-    path = f"{raw}/{table}/generation={_generation(spark, raw, table)}"
+    path = f"{raw}/{table}/generation={generation_of(spark, raw, table)}"
     return read_parquet_or_empty(spark, path, RAW_SCHEMAS[table])
 
 
@@ -156,7 +156,7 @@ def load_events(
     present = [r["event_type"] for r in lake_files(spark, lake).select("event_type").distinct().collect()]
     for name in types:
         table = RAW_TABLE_BY_EVENT_TYPE[name]
-        generation = _generation(spark, raw, table) + (1 if truncate else 0)
+        generation = generation_of(spark, raw, table) + (1 if truncate else 0)
         if name in present:
             _load_type(spark, lake, raw, name, generation, files_per_batch)
         if truncate:
@@ -168,7 +168,7 @@ def load_events(
 def _current(spark: SparkSession, raw: str) -> DataFrame:
     """Event type, RAW table and the generation readers see: four rows."""
     return spark.createDataFrame(
-        [(e, t, _generation(spark, raw, t)) for e, t in RAW_TABLE_BY_EVENT_TYPE.items()],
+        [(e, t, generation_of(spark, raw, t)) for e, t in RAW_TABLE_BY_EVENT_TYPE.items()],
         "event_type string, table_name string, generation int",
     )
 
