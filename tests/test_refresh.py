@@ -103,7 +103,7 @@ def test_random_loads(spark, tmp_path):
     rng = random.Random(6)
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     statuses = ["picked_up", "in_transit", "delivered", "failed", "created"]
-    for batch in range(3):
+    for batch in range(2):
         load(
             spark, raw, batch,
             gps_events=[gps(f"v{rng.randrange(4)}", rng.randrange(120), float(rng.randrange(-5, 90))) for _ in range(40)],
