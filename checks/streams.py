@@ -29,6 +29,8 @@ from convoy.streaming.layout import Layout
 
 LOAD_SUMMARY = "table_name string, n_files long, n_loaded long, n_empty long, n_errors long, n_rows_after long"
 TOPICS = [GPS_TOPIC, DELIVERY_TOPIC, ORDER_TOPIC, DRIVER_TOPIC]
+#: What makes a delivery step: a package can take several at one instant.
+STEP = ["package_id", "event_time", "status"]
 
 
 def pieces(rows: DataFrame, time: str, n: int = 3) -> list[DataFrame]:
@@ -127,9 +129,7 @@ def stream_first_arrivals(spark, sf_dir):
 
     def start(sources):
         clean = ingest.topic_pipeline(sources[DELIVERY_TOPIC], DELIVERY_TOPIC)[0]
-        return sinks.write_first_arrivals(
-            clean, "delivery", ["package_id", "event_time"], layout, "first", available_now=True
-        )
+        return sinks.write_first_arrivals(clean, "delivery", STEP, layout, "first", available_now=True)
 
     arrive(spark, folder, {DELIVERY_TOPIC: once.unionAll(again)}, start)
     return read_lake(spark, layout.lakes[0], "delivery").select("package_id", "event_time", "status")
@@ -171,8 +171,7 @@ def stream_dedup(spark, sf_dir):
 
     def start(sources):
         clean = ingest.topic_pipeline(sources[DELIVERY_TOPIC], DELIVERY_TOPIC)[0]
-        keys = ["package_id", "event_time"]
-        return [sinks.write_once(clean, "delivery", keys, layout, "once", available_now=True)]
+        return [sinks.write_once(clean, "delivery", STEP, layout, "once", available_now=True)]
 
     arrive(spark, folder, {DELIVERY_TOPIC: once.unionAll(once)}, start, order=(0, 2, 1))
     return read_lake(spark, layout.lakes[0], "delivery").select("package_id", "event_time", "status")
