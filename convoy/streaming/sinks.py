@@ -294,8 +294,9 @@ def write_once(
             own = F.col("writer_id").eqNullSafe(_writer(batch)) & F.col("batch_id").eqNullSafe(batch_id)
             known = stored.filter(~own).drop("writer_id", "batch_id")
             days = timed.select("event_date").distinct()
-            seen = known.join(days, "event_date", "left_semi").select("event_date", *keys)
-            new = timed.join(seen, ["event_date", *keys], "left_anti").select(rows.columns)
+            seen = known.join(days, "event_date", "left_semi").select("event_date", *keys).alias("s")
+            known_by = [F.col(f"t.{c}").eqNullSafe(F.col(f"s.{c}")) for c in ["event_date", *keys]]
+            new = timed.alias("t").join(seen, known_by, "left_anti").select(rows.columns)
             same = [c for c in batch.columns if c != "event_time"]
             there = known.filter("event_date is null").select(*same).alias("k")
             equal = [F.col(f"u.{c}").eqNullSafe(F.col(f"k.{c}")) for c in same]
