@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from checks import streams as queries
+from checks.fleet import topic_records
+from convoy.schemas import ORDER_TOPIC
 
 START = datetime(2026, 1, 1)
 
@@ -29,3 +31,35 @@ def test_steps_of_one_package_at_one_instant_are_no_repeats(spark, tables, query
     folder = tables((1, 0), (4, 5000), (5, 5000), (6, 5000), (7, 5000), (9, 10000))
     rows = query(spark, folder).filter(F.col("package_id") == "pkg-1").collect()
     assert sorted(r.status for r in rows) == ["created", "delivered", "in_transit", "picked_up"]
+
+
+def test_records_of_one_row_group_are_made_by_many_tasks(spark, tables):
+    folder = tables(*[(i, i) for i in range(200)])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        records = topic_records(spark, folder, ORDER_TOPIC)
+        assert records.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def _recorded(monkeypatch, module, name, seen):
+    before = getattr(module, name)
+
+    def call(rows, *more):
+        seen.append(rows.inputFiles())
+        return before(rows, *more)
+
+    monkeypatch.setattr(module, name, call)
+
+
+def _computed_before(files):
+    """None of the files is the table of events: the rows were stored."""
+    return bool(files) and all("events.parquet" not in f for f in files)
+
+
+def test_records_held_back_by_their_content_are_made_once(spark, tables, monkeypatch):
+    folder, seen = tables((1, 0), (2, 40_000), (3, 80_000), (4, 120_000)), []
+    _recorded(monkeypatch, queries, "pieces", seen)
+    assert queries.stream_ordered(spark, folder).count() == 4
+    assert all(map(_computed_before, seen))
