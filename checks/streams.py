@@ -305,8 +305,10 @@ def _lake_in_two_steps(spark, sf_dir, purpose, event_type=None, load=True):
         if only not in (None, event_type):
             continue
         clean = ingest.topic_pipeline(topic_records(spark, sf_dir, topic), topic)[0]
+        clean = held(clean, f"{folder}/clean/{event_type}")
         if topic == GPS_TOPIC:
-            clean = enrich_gps(clean)
+            # no cut can be made before enriching, which reads its rows several times
+            clean = held(enrich_gps(clean), f"{folder}/enriched")
         tables[event_type] = pieces(ingest.with_lake_columns(clean, event_type), "kafka_timestamp", 2)
     for i in range(2):
         for event_type, parts in tables.items():

@@ -63,3 +63,11 @@ def test_records_held_back_by_their_content_are_made_once(spark, tables, monkeyp
     _recorded(monkeypatch, queries, "pieces", seen)
     assert queries.stream_ordered(spark, folder).count() == 4
     assert all(map(_computed_before, seen))
+
+
+def test_the_lake_is_cut_from_rows_that_are_computed_once(spark, tables, monkeypatch):
+    folder, cut, enriched = tables((1, 0), (2, 40_000), (3, 80_000)), [], []
+    _recorded(monkeypatch, queries, "pieces", cut)
+    _recorded(monkeypatch, queries, "enrich_gps", enriched)
+    queries._lake_in_two_steps(spark, folder, "held", load=False)
+    assert len(cut) == 4 and len(enriched) == 1 and all(map(_computed_before, cut + enriched))
