@@ -416,8 +416,10 @@ def fleet_metrics(spark, sf_dir):
         for t in PARSE_NAMES.values()
         if t != GPS_TOPIC
     }
-    # stored as a lake would be: each topic is parsed once for all gauges
-    tables = stored(spark, {"gps": gps_lake(spark, sf_dir), **rows}, "gauges")
+    # stored as a lake would be: each topic is parsed once for all gauges, positions before they are enriched
+    positions = stored(spark, {"gps": clean(spark, sf_dir, GPS_TOPIC)}, "positions")["gps"]
+    moved = ingest.with_lake_columns(enrich.enrich_gps(positions), "gps")
+    tables = stored(spark, {"gps": moved, **rows}, "gauges")
     found = state.vehicle_state(tables["gps"])
     return gauges.fleet_metrics(tables, found, as_of()).withColumn("value", F.round("value", 6))
 

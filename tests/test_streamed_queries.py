@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from checks import streams as queries
 from checks.fleet import topic_records
+from checks.queries import fleet_metrics
 from convoy.schemas import ORDER_TOPIC
 
 START = datetime(2026, 1, 1)
@@ -71,3 +72,12 @@ def test_the_lake_is_cut_from_rows_that_are_computed_once(spark, tables, monkeyp
     _recorded(monkeypatch, queries, "enrich_gps", enriched)
     queries._lake_in_two_steps(spark, folder, "held", load=False)
     assert len(cut) == 4 and len(enriched) == 1 and all(map(_computed_before, cut + enriched))
+
+
+def test_gauges_parse_positions_before_they_are_enriched(spark, tables, monkeypatch):
+    from checks import queries as batch
+
+    folder, seen = tables((1, 0), (2, 40), (3, 80)), []
+    _recorded(monkeypatch, batch.enrich, "enrich_gps", seen)
+    fleet_metrics(spark, folder).collect()
+    assert len(seen) == 1 and _computed_before(seen[0])
