@@ -9,6 +9,7 @@ touched keep their files. A full reload of RAW (a new generation) builds everyth
 
 import json
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,6 +70,13 @@ def _days(rows: DataFrame, day) -> list[date]:
     return [r[0] for r in rows.select(day.alias("day")).filter("day is not null").distinct().collect()]
 
 
+def _kept(rows: DataFrame, purpose: str) -> DataFrame:
+    """Rows that are used several times, written once."""
+    path = work_folder(rows.sparkSession, purpose)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def touched_packages(raw: dict[str, DataFrame], changed: dict[str, DataFrame]) -> DataFrame:
     """Packages whose row can have changed: by their own events, their order, or a driver who took their vehicle
     before one of their events."""
@@ -76,35 +84,35 @@ def touched_packages(raw: dict[str, DataFrame], changed: dict[str, DataFrame]) -
     own = changed["delivery_events"].select("package_id")
     of_orders = steps.join(changed["orders"].select("order_id").distinct(), "order_id", "left_semi").select("package_id")
     # a driver event that is loaded again may have moved from one vehicle to another: both count
-    moves = raw["driver_events"].join(
-        changed["driver_events"].select("driver_id", "event_time").distinct(), ["driver_id", "event_time"], "left_semi"
-    )
+    again = changed["driver_events"].select("driver_id", "event_time")
+    span = again.agg(F.unix_micros(F.min("event_time")), F.unix_micros(F.max("event_time"))).first()
+    near = F.col("event_time").between(*[F.timestamp_micros(F.lit(t).cast("long")) for t in span])
+    moves = raw["driver_events"].filter(near).join(again.distinct(), ["driver_id", "event_time"], "left_semi")
     since = moves.groupBy("vehicle_id").agg(F.min("event_time").alias("since"))
     of_drivers = steps.join(since, "vehicle_id").filter("event_time >= since").select("package_id")
     found = own.unionByName(of_orders).unionByName(of_drivers)
     return found.filter("package_id is not null").distinct()
 
 
-def deliveries_of(raw: dict[str, DataFrame], packages: DataFrame) -> DataFrame:
-    """The delivery fact of some packages, with the day of the first step."""
-    steps = raw["delivery_events"].join(packages, "package_id", "left_semi")
-    steps = S.stg_delivery_events(steps)
-    orders = raw["orders"].join(steps.select("order_id").distinct(), "order_id", "left_semi")
-    vehicles = steps.select("vehicle_id").distinct()
-    # drivers' events are deduplicated before vehicles are picked: the newest load of one may have moved it
-    drivers = S.stg_driver_events(raw["driver_events"]).join(vehicles, "vehicle_id", "left_semi")
-    fact = M.fct_deliveries(steps, S.stg_orders(orders), drivers)
+def deliveries_of(raw: dict[str, DataFrame], packages: DataFrame | None = None) -> DataFrame:
+    """The delivery fact of some packages, or all, with the day of the first step.
+
+    Steps and drivers are staged once and stored, because the as-of join reads them several times.
+    """
+    steps, orders = raw["delivery_events"], raw["orders"]
+    drivers = S.stg_driver_events(raw["driver_events"])
+    if packages is not None:
+        steps = steps.join(packages, "package_id", "left_semi")
+    steps = _kept(S.stg_delivery_events(steps), "staged-steps")
+    if packages is not None:
+        orders = orders.join(steps.select("order_id").distinct(), "order_id", "left_semi")
+        # drivers' events are deduplicated before vehicles are picked: the newest load of one may have moved it
+        drivers = drivers.join(steps.select("vehicle_id").distinct(), "vehicle_id", "left_semi")
+    fact = M.fct_deliveries(steps, S.stg_orders(orders), _kept(drivers, "staged-drivers"))
     first = F.least("picked_up_at", "in_transit_at", "delivered_at", "failed_at")
     return fact.withColumn("delivery_day", F.to_date(first))
 
 
-def _kept(rows: DataFrame, purpose: str) -> DataFrame:
-    """Rows that are used several times, written once."""
-    path = work_folder(rows.sparkSession, purpose)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def _write_days(rows: DataFrame, out: str, name: str) -> dict[str, str]:
     """Write rows as a run; the run by day."""
     run = uuid.uuid4().hex[:12]
@@ -131,29 +139,37 @@ def refresh_facts(spark: SparkSession, raw: str, out: str, tested: bool = True)
     changed = every if anew else {t: rows.filter(F.col("load_batch") > at["seen"][t][1]) for t, rows in every.items()}
     days = {} if anew else {name: dict(own) for name, own in at["days"].items()}
     days = days or {name: {} for name in FACTS}
-    written = {}
 
-    moved = changed["gps_events"].select("event_time").unionByName(changed["delivery_events"].select("event_time"))
-    if touched := _days(moved, F.to_date("event_time")):
+    def activity() -> tuple[dict[str, str], list[date]]:
+        moved = changed["gps_events"].select("event_time").unionByName(changed["delivery_events"].select("event_time"))
+        touched = _days(moved, F.to_date("event_time"))
+        if not touched:
+            return {}, []
         rollup = M.gps_day_rollup(S.stg_gps_events(_on(every["gps_events"], touched)))
         daily = M.fct_daily_activity(rollup, S.stg_delivery_events(_on(every["delivery_events"], touched)))
-        written["fct_daily_activity"] = _write_days(daily, out, "fct_daily_activity")
-        for day in touched:
-            days["fct_daily_activity"].pop(day.isoformat(), None)
-
-    packages = _kept(touched_packages(every, changed), "touched-packages")
-    fresh = _kept(deliveries_of(every, packages), "fresh-deliveries")
-    before = None if anew else read_fact(spark, out, "fct_deliveries", at)
-    stale = [] if before is None else _days(before.join(packages, "package_id", "left_semi"), F.col("delivery_day"))
-    new_days = _days(fresh, F.col("delivery_day"))
-    if touched := sorted({*stale, *new_days}):
+        return _write_days(daily, out, "fct_daily_activity"), touched
+
+    def deliveries() -> tuple[dict[str, str], list[date]]:
+        packages = None if anew else _kept(touched_packages(every, changed), "touched-packages")
+        fresh = _kept(deliveries_of(every, packages), "fresh-deliveries")
+        before = None if anew else read_fact(spark, out, "fct_deliveries", at)
+        stale = [] if before is None else _days(before.join(packages, "package_id", "left_semi"), F.col("delivery_day"))
+        touched = sorted({*stale, *_days(fresh, F.col("delivery_day"))})
+        if not touched:
+            return {}, []
         if before is not None:
             rest = before.filter(F.col("delivery_day").isin(touched)).join(packages, "package_id", "left_anti")
             fresh = fresh.unionByName(rest)
-        written["fct_deliveries"] = _write_days(fresh, out, "fct_deliveries")
+        return _write_days(fresh, out, "fct_deliveries"), touched
+
+    # the two facts do not need each other: they are computed side by side
+    with ThreadPoolExecutor() as pool:
+        jobs = {"fct_daily_activity": pool.submit(activity), "fct_deliveries": pool.submit(deliveries)}
+        done = {name: job.result() for name, job in jobs.items()}
+    written = {name: own for name, (own, touched) in done.items() if touched}
+    for name, (_, touched) in done.items():
         for day in touched:
-            days["fct_deliveries"].pop(day.isoformat(), None)
-
+            days[name].pop(day.isoformat(), None)
     for name, own in written.items():
         days[name] |= own
     if tested:

@@ -150,3 +150,20 @@ def test_untouched_days_are_not_scanned(spark, tmp_path):
     load(spark, raw, 0, gps_events=[gps("v1", 1)])
     rows = _on(raw_batches(spark, raw, "gps_events", 0), [START.date()]).select(F.count("*"))
     assert "GreaterThanOrEqual(event_time" in rows._jdf.queryExecution().toString()
+
+
+def test_raw_is_staged_once_for_the_delivery_fact(spark, tmp_path):
+    """The as-of join reads stored steps and drivers; of RAW only the orders, which it needs once, are left in the plan."""
+    from convoy.plans.refresh import deliveries_of, raw_batches
+
+    raw = str(tmp_path / "raw")
+    load(
+        spark, raw, 0, gps_events=[], orders=[order("a", 1)],
+        delivery_events=[step("a", "picked_up", 2), step("b", "picked_up", 3)], driver_events=[takes("d1", "v1", 0)],
+    )
+    every = {t: raw_batches(spark, raw, t, 0) for t in RAW_SCHEMAS}
+    for packages, want in [(None, ["a", "b"]), (spark.createDataFrame([("a",)], "package_id string"), ["a"])]:
+        fact = deliveries_of(every, packages)
+        assert {f.split("/generation=0/")[0].split("/")[-1] for f in fact.inputFiles() if raw in f} == {"orders"}
+        rows = fact.orderBy("package_id").collect()
+        assert [(r.package_id, r.driver_id) for r in rows] == [(p, "d1") for p in want]
