@@ -5,9 +5,10 @@ piece the streaming query is started again from its checkpoint and works off wha
 """
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -18,7 +19,7 @@ from convoy.plans.refresh import read_fact, refresh_facts
 from convoy.schemas import DELIVERY_TOPIC, DRIVER_TOPIC, EVENT_TYPE_BY_TOPIC, GPS_TOPIC, ORDER_TOPIC, RAW_SCHEMAS
 from convoy.session import work_folder
 from convoy.sources import manifest
-from convoy.sources.lake import dead_letter_path, file_inventory, lake_path, write_file
+from convoy.sources.lake import dead_letter_path, file_exists, file_inventory, lake_path, publish_folder, write_file
 from convoy.sources.load import load_events, read_raw
 from convoy.sources.manifest import read_lake
 from convoy.sources.topics import read_topic_files
@@ -33,12 +34,20 @@ TOPICS = [GPS_TOPIC, DELIVERY_TOPIC, ORDER_TOPIC, DRIVER_TOPIC]
 STEP = ["package_id", "event_time", "status"]
 
 
-def pieces(rows: DataFrame, time: str, n: int = 3) -> list[DataFrame]:
-    """Consecutive pieces of a table, cut at equal steps between its first and its last time."""
+def piece(rows: DataFrame, time: str, n: int = 3) -> Column:
+    """The piece of a row if a table is cut at equal steps between its first and its last time; rows without a time
+    are in the first."""
     first, last = rows.agg(F.min(time), F.max(time)).first()
+    if first is None:
+        return F.lit(0)
     step = (last - first) / n
     bounds = [first + i * step for i in range(1, n)]
-    index = sum((F.col(time) >= F.lit(b)).cast("int") for b in bounds)
+    return F.coalesce(sum((F.col(time) >= F.lit(b)).cast("int") for b in bounds), F.lit(0))
+
+
+def pieces(rows: DataFrame, time: str, n: int = 3) -> list[DataFrame]:
+    """Consecutive pieces of a table."""
+    index = piece(rows, time, n)
     return [rows.filter(index == i) for i in range(n)]
 
 
@@ -385,16 +394,28 @@ def lake_inventory(spark, sf_dir):
     return found.select("event_type", "n_files", (F.col("n_bytes") > 0).alias("has_bytes"))
 
 
+def send_loads(raw: dict[str, DataFrame], folder: str) -> None:
+    """RAW tables, each made once, with the rows of every load in a folder of their own."""
+
+    def send(table: str) -> None:
+        rows = raw[table]
+        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[table].fields])
+        cut = typed.withColumn("load_batch", piece(typed, "load_timestamp"))
+        cut.write.partitionBy("load_batch").parquet(f"{folder}/{table}")
+
+    with ThreadPoolExecutor() as pool:
+        list(pool.map(send, raw))
+
+
 def _refreshed(spark, sf_dir, name):
     """A fact refreshed after each of three loads of RAW, which come in order of their load times."""
     folder = work_folder(spark, "refreshed")
-    cut = {}
-    for table, rows in raw_tables(spark, sf_dir).items():
-        typed = rows.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RAW_SCHEMAS[table].fields])
-        cut[table] = pieces(typed, "load_timestamp")
+    send_loads(raw_tables(spark, sf_dir), f"{folder}/sent")
     for batch in range(3):
-        for table, parts in cut.items():
-            parts[batch].write.parquet(f"{folder}/raw/{table}/generation=0/load_batch={batch}")
+        for table in RAW_SCHEMAS:
+            sent = f"{folder}/sent/{table}/load_batch={batch}"
+            if file_exists(spark, sent):
+                publish_folder(spark, sent, f"{folder}/raw/{table}/generation=0/load_batch={batch}")
         refresh_facts(spark, f"{folder}/raw", f"{folder}/facts", tested=batch == 2)
     return read_fact(spark, f"{folder}/facts", name)
 

@@ -72,6 +72,15 @@ def write_file(spark: SparkSession, path: str, content: bytes) -> None:
     files.rename(draft, place)
 
 
+def publish_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Let a folder of rows that is complete appear at ``target``, marked as written to the end."""
+    files, place = file_system(spark, target)
+    files.mkdirs(place.getParent())
+    if not files.rename(spark._jvm.org.apache.hadoop.fs.Path(source), place):
+        raise OSError(f"{source} could not become {target}")
+    write_file(spark, f"{target}/_SUCCESS", b"")
+
+
 _EVENT_TYPE = "regexp_extract(path, '/events/([^/]+)/', 1) AS event_type"
 
 

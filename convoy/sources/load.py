@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from convoy.schemas import LAKE_SCHEMAS, RAW_SCHEMAS, RAW_TABLE_BY_EVENT_TYPE, struct_of
-from convoy.sources.lake import lake_files, lake_path, read_parquet_or_empty
+from convoy.sources.lake import committed_numbers, lake_files, lake_path, read_parquet_or_empty
 
 #: No file is too old to be loaded; a backfill may keep the times of its files.
 MAX_FILE_AGE = "36500d"
@@ -62,8 +62,7 @@ def _generations_path(raw: str, table: str) -> str:
 
 def generation_of(spark: SparkSession, raw: str, table: str) -> int:
     """The generation that readers see: the greatest whose load has ended."""
-    ended = read_parquet_or_empty(spark, _generations_path(raw, table), GENERATION_SCHEMA)
-    return ended.agg(F.max("generation")).first()[0] or 0
+    return max(committed_numbers(spark, _generations_path(raw, table), "ended"), default=0)
 
 
 def _switch(spark: SparkSession, raw: str, table: str, generation: int) -> None:

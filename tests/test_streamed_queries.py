@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import streams as queries
 from checks.fleet import topic_records
 from checks.queries import fleet_metrics
-from convoy.schemas import ORDER_TOPIC
+from convoy.schemas import ORDER_TOPIC, RAW_SCHEMAS
 
 START = datetime(2026, 1, 1)
 
@@ -81,3 +81,18 @@ def test_gauges_parse_positions_before_they_are_enriched(spark, tables, monkeypa
     _recorded(monkeypatch, batch.enrich, "enrich_gps", seen)
     fleet_metrics(spark, folder).collect()
     assert len(seen) == 1 and _computed_before(seen[0])
+
+
+def test_every_row_is_sent_with_one_load(spark, tmp_path):
+    """Rows without a load time come with the first load; a table without rows brings no load."""
+    rows = [(f"o{i}", f"p{i}", "created", START, START + timedelta(days=i) if i else None) for i in range(7)]
+    raw = {
+        "orders": spark.createDataFrame(rows, RAW_SCHEMAS["orders"]),
+        "driver_events": spark.createDataFrame([], RAW_SCHEMAS["driver_events"]),
+    }
+    queries.send_loads(raw, str(tmp_path))
+    sent = spark.read.parquet(str(tmp_path / "orders"))
+    loads = {r.order_id: r.load_batch for r in sent.collect()}
+    assert loads == {"o0": 0, "o1": 0, "o2": 0, "o3": 1, "o4": 1, "o5": 2, "o6": 2}
+    assert not list((tmp_path / "driver_events").glob("load_batch=*"))
+    assert sorted(r.order_id for p in queries.pieces(raw["orders"], "load_timestamp") for r in p.collect()) == sorted(loads)
