@@ -2,7 +2,7 @@
 
 A suffix is of type S if it is less than the next one, else of type L; an S after an L starts a
 substring (LMS). The starts are ordered by sorting their substrings by induction, naming them and sorting the
-reduced string of names recursively; then all suffixes follow by induction: scanning in order,
+reduced string of names, by doubled ranks if it is short and else recursively; then all suffixes follow by induction: scanning in order,
 each suffix puts the one before it into the queue of its first character.
 
 The queues are priority queues by (character, order of arrival): a character's entries come out
@@ -16,7 +16,7 @@ from collections import defaultdict
 
 import numpy as np
 
-LISTED = 1 << 22  # reduced strings up to this length are induced with plain lists: many characters, few entries each
+LISTED = 1 << 22  # reduced strings up to this length are put in order by ranks in memory: many characters, few entries each
 
 
 class Queue:
@@ -113,36 +113,28 @@ def _by_queues(text, is_s, lms, sigma, folder, most) -> np.ndarray:
     return np.concatenate(parts)[::-1]
 
 
-def _by_lists(text, is_s, lms, sigma) -> np.ndarray:
-    """The same with a plain list per character, for strings of names."""
-    t, s = text.tolist(), is_s.tolist()
-    up = [[] for _ in range(sigma)]
-    given = [[] for _ in range(sigma)]
-    for i in lms.tolist():
-        given[t[i]].append(i)
-    for c in range(sigma):
-        own = up[c]
-        for i in own:  # grows meanwhile
-            if i and not s[i - 1]:
-                up[t[i - 1]].append(i - 1)
-        for i in given[c]:
-            if i:
-                up[t[i - 1]].append(i - 1)
-    down = [[] for _ in range(sigma)]
-    out = []
-    for c in range(sigma - 1, -1, -1):
-        own = down[c]
-        for i in own:
-            if i and s[i - 1]:
-                down[t[i - 1]].append(i - 1)
-        if c == 0:
-            own = given[0]
-        for i in reversed(up[c]):
-            if i and s[i - 1]:
-                down[t[i - 1]].append(i - 1)
-        out += own
-        out += reversed(up[c])
-    return np.array(out[::-1], np.int64)
+def _by_ranks(order: np.ndarray, same: np.ndarray) -> np.ndarray:
+    """Suffixes of a string of names in order, from its places by name (``same``: with the name of the place before).
+
+    Places of equal rank are told apart by the rank of what follows, twice as far on in every round, until all
+    differ. The last name occurs once, so places of equal rank are never followed by the end.
+    """
+    n, order = len(order), order.copy()
+    slots = np.arange(n)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(same, 0, slots))
+    alone = ~same & np.r_[~same[1:], True]
+    slots, far = slots[~alone], 1
+    while len(slots):
+        places = order[slots]
+        key = rank[places] * n + rank[places + far]
+        by_key = np.argsort(key)
+        places, key = places[by_key], key[by_key]
+        order[slots] = places
+        new = np.r_[True, key[1:] != key[:-1]]
+        rank[places] = np.maximum.accumulate(np.where(new, slots, 0))
+        slots, far = slots[~(new & np.r_[new[1:], True])], 2 * far
+    return order
 
 
 def suffix_array(text: np.ndarray, sigma: int, folder: str | None = None, most: int = 1 << 23) -> np.ndarray:
@@ -154,8 +146,6 @@ def suffix_array(text: np.ndarray, sigma: int, folder: str | None = None, most:
     lms = np.flatnonzero(is_s[1:] & ~is_s[:-1]) + 1
 
     def induce(order: np.ndarray) -> np.ndarray:
-        if n <= LISTED and sigma > 1024:
-            return _by_lists(text, is_s, order, sigma)
         return _by_queues(text, is_s, order, sigma, folder, most)
 
     found = induce(lms)
@@ -166,7 +156,7 @@ def suffix_array(text: np.ndarray, sigma: int, folder: str | None = None, most:
     order = found[is_lms[found]]
     del found
     # name the substrings: from one start to the next, both included
-    number = np.searchsorted(lms, order)
+    number = (np.cumsum(is_lms) - 1)[order]
     ends = np.r_[lms[1:], n - 1]
     lengths = (ends - lms)[number]
     same = np.zeros(len(order), bool)
@@ -179,6 +169,8 @@ def suffix_array(text: np.ndarray, sigma: int, folder: str | None = None, most:
         same[left[~equal]] = False
         left = left[equal & (lengths[left] > j)]
         j += 1
+    if len(lms) <= LISTED:
+        return induce(lms[_by_ranks(number, same)])
     names = np.cumsum(~same) - 1
     reduced = np.empty(len(lms), np.int64)
     reduced[number] = names

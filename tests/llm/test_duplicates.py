@@ -180,3 +180,14 @@ def test_a_third_of_all_rows_are_copies(spark):
     assert {r[0]: r[1] for r in exact} == {True: 2001, False: 999}
     near = near_duplicates(docs).filter("component_id = 0").count()
     assert near == 1000
+
+
+def test_short_strings_of_names_are_ordered_by_ranks(monkeypatch):
+    """One induction sorts the substrings, one all suffixes, however often names repeat."""
+    rng = np.random.default_rng(5)
+    text = np.r_[np.tile(rng.integers(1, 4, 50), 8), rng.integers(1, 4, 300), np.tile([2, 1], 60), 0]
+    want = sorted(range(len(text)), key=lambda i: text[i:].tolist())
+    calls, induce = [], induced._by_queues
+    monkeypatch.setattr(induced, "_by_queues", lambda *a: calls.append(len(a[0])) or induce(*a))
+    assert induced.suffix_array(text, 4).tolist() == want
+    assert calls == [len(text)] * 2
