@@ -16,7 +16,7 @@ from convoy.llm.naming import exact_duplicates
 from convoy.llm.pii import personal_data
 from convoy.llm.ppm_language import language
 from convoy.llm.ring import balanced_shards
-from convoy.llm.suffix_dedup import remove_repeats
+from convoy.llm.suffix_dedup import PASSAGE_WORDS, remove_repeats
 from convoy.llm.tables import table
 from convoy.llm.token_counts import token_counts
 from convoy.llm.toxicity import toxicity
@@ -45,7 +45,7 @@ def op2_bounded_ring(spark, sf_dir):
 
 @query
 def op3_induced_suffixes(spark, sf_dir):
-    return remove_repeats(table(spark, sf_dir, "documents"))
+    return remove_repeats(table(spark, sf_dir, "documents"), passage_words=PASSAGE_WORDS)
 
 
 @query

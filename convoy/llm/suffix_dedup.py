@@ -13,6 +13,9 @@
 
 Texts are read three times and shuffled only where something repeats; between the readings only places, hashes
 and the stretches of step 3 move.
+
+Passages are repeated words, whatever their bytes: ``shared_passages`` takes steps 1 to 3 over words instead of bytes
+and names the texts with a run of so many words that another row has as well. It removes nothing.
 """
 
 import hashlib
@@ -26,8 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from convoy.llm.induced import suffix_array
-from convoy.llm.tables import stored
-from convoy.llm.words import LETTER, STEP, UNSTEP, flat, mixed, runs
+from convoy.llm.tables import discard, stored
+from convoy.llm.words import LETTER, NOT_SPACE, STEP, UNSTEP, Words, flat, mixed, runs, words
 
 LENGTH = 400
 GRAM = 24
@@ -36,16 +39,19 @@ MEMORY_BYTES = 16 << 20  # of a shard that is sorted without queues on disk
 #: Stretches of one group that are sorted in one task at most; of more, the strings are counted by Spark.
 MOST_STRETCHES = 20_000
 BROADCAST_KEYS = 1_000_000  # 16 bytes each
+PASSAGE_WORDS = 51  # passages of over 50 words
+PASSAGE_GRAM = 8
 
 
-def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """For texts one after the other: the anchor of every start, and the hash of every gram."""
-    n, width = len(data), length - gram + 1
+def anchors(letters: np.ndarray, length: int, gram: int):
+    """For texts one after the other, as a random number for each unit: the anchor of every start, and the
+    hash of every gram."""
+    n, width = len(letters), length - gram + 1
     powers = np.full(n, STEP)
     powers[0] = 1
     np.cumprod(powers, out=powers)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum(LETTER[data] * powers, out=sums[1:])
+    np.cumsum(letters * powers, out=sums[1:])
     powers = np.full(n, UNSTEP)
     powers[0] = 1
     np.cumprod(powers, out=powers)
@@ -70,7 +76,7 @@ def stretches(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) ->
     """(text, start, number of starts, anchor, gram hash, two halves of the stretch's hash)."""
     if len(data) < length:
         return
-    chosen, hashes = anchors(data, offsets, length, gram)
+    chosen, hashes = anchors(LETTER[data], length, gram)
     view = memoryview(np.ascontiguousarray(data))
     for i, (s, e) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist())):
         if e - s < length:
@@ -240,11 +246,11 @@ def _count_strings(parts: DataFrame, length: int) -> DataFrame:
     )
 
 
-def _semi(docs: DataFrame, keys: DataFrame) -> DataFrame:
+def _semi(docs: DataFrame, keys: DataFrame, on: tuple[str, ...] = ("t1", "t2")) -> DataFrame:
     """Texts whose key is among ``keys``, which are broadcast only if they are few."""
-    keys = keys.select("t1", "t2").distinct()
+    keys = keys.select(*on).distinct()
     few = keys.count() <= BROADCAST_KEYS
-    return docs.join(F.broadcast(keys) if few else keys, ["t1", "t2"], "left_semi")
+    return docs.join(F.broadcast(keys) if few else keys, [*on], "left_semi")
 
 
 def _merged(spans: list[list[int]]) -> list[list[int]]:
@@ -260,7 +266,7 @@ def _merged(spans: list[list[int]]) -> list[list[int]]:
 _REMOVED_SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def _remove(with_text: bool):
+def _remove(with_text: bool, with_passage: bool):
     def run(batches):
         for batch in batches:
             rows = []
@@ -281,11 +287,130 @@ def _remove(with_text: bool):
             if with_text:
                 names, kinds = [*names, "kept"], [*kinds, pa.binary()]
             columns = list(zip(*rows)) if rows else [[]] * len(names)
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
+            columns = [pa.array(c, k) for c, k in zip(columns, kinds)]
+            if with_passage:
+                names, columns = [*names, "repeats_passage"], [*columns, batch.column("repeats_passage")]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
+def passages(w: Words, length: int, gram: int):
+    """The stretches of texts' words: text, first start, number of starts, anchor's hash, hash of all words; and
+    the hash of the string of ``length`` words at every start."""
+    n = len(w.hashes)
+    if n < length:
+        return [np.empty(0, np.int64)] * 6
+    chosen, hashes = anchors(w.hashes, length, gram)
+    powers, back = np.full(n, STEP), np.full(n, UNSTEP)
+    powers[0] = back[0] = 1
+    np.cumprod(powers, out=powers)
+    np.cumprod(back, out=back)
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(w.hashes * powers, out=sums[1:])
+    text = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
+    inside = text[: len(chosen)] == text[length - 1 :]
+    new = np.ones(len(chosen) + 1, bool)
+    new[1:-1] = (chosen[1:] != chosen[:-1]) | (inside[1:] != inside[:-1]) | (text[1 : len(chosen)] != text[: len(chosen) - 1])
+    borders = np.flatnonzero(new)
+    own = inside[borders[:-1]]
+    x, y = borders[:-1][own], borders[1:][own]
+    content = mixed((sums[y - 1 + length] - sums[x]) * back[x])
+    strings = mixed((sums[length:] - sums[: len(chosen)]) * back[: len(chosen)])
+    return text[x], x, y - x, hashes[chosen[x]].view(np.int64), content.view(np.int64), strings.view(np.int64)
+
+
+def _words_of(batch: pa.RecordBatch) -> Iterator[tuple[int, Words]]:
+    """Some texts of a batch at a time: the first one's number, and the words."""
+    data, offsets = flat(batch.column("text"))
+    for a, b in runs(offsets):
+        part = offsets[a : b + 1]
+        yield a, words(data[part[0] : part[-1]], part - part[0], NOT_SPACE)
+
+
+def _passage_places(length: int, gram: int):
+    def run(batches):
+        for batch in batches:
+            keys = batch.column("t1").to_numpy(zero_copy_only=False)
+            for a, w in _words_of(batch):
+                text, x, _, g, c, _ = passages(w, length, gram)
+                columns = [keys[a + text], g, c, x == w.first[text]]
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=["t1", "g", "c", "leads"])
+
+    return run
+
+
+def _passage_strings(length: int, gram: int):
+    """Every string of the wanted stretches of a text."""
+
+    def run(batches):
+        for batch in batches:
+            keys, wanted = batch.column("t1").to_pylist(), batch.column("wanted")
+            for a, w in _words_of(batch):
+                text, x, n, g, c, strings = passages(w, length, gram)
+                cuts = np.searchsorted(text, np.arange(len(w.first)))
+                for i in range(len(w.first) - 1):
+                    asked = {(r["g"], r["c"]): r for r in wanted[a + i].as_py()}
+                    rows = [
+                        (asked[k], s, s + m)
+                        for k, s, m in zip(
+                            zip(g[cuts[i] : cuts[i + 1]].tolist(), c[cuts[i] : cuts[i + 1]].tolist()),
+                            x[cuts[i] : cuts[i + 1]].tolist(),
+                            n[cuts[i] : cuts[i + 1]].tolist(),
+                        )
+                        if k in asked
+                    ]
+                    if not rows:
+                        continue
+                    sizes = [e - s for _, s, e in rows]
+                    columns = [
+                        np.repeat(np.array([r["g"] for r, _, _ in rows], np.int64), sizes),
+                        np.concatenate([strings[s:e] for _, s, e in rows]),
+                        np.full(sum(sizes), keys[a + i], np.int64),
+                        np.repeat(np.array([r["b"] for r, _, _ in rows], np.int64), sizes),
+                        np.repeat(np.array([r["open"] for r, _, _ in rows], bool), sizes),
+                    ]
+                    yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=["g", "s", "a", "b", "open"])
 
     return run
 
 
+def shared_passages(texts: DataFrame, length: int = PASSAGE_WORDS, gram: int = PASSAGE_GRAM) -> DataFrame:
+    """t1 of the texts (t1, text) with ``length`` words in a row that another row has as well; a repeat inside one
+    row alone does not count. Words are divided by white space, A-Z in lower case. t1 is a 64-bit key of the text,
+    so rows with the same one are copies. Strings of words are compared by 128 bits of hashes."""
+    texts = texts.filter(F.octet_length("text") >= 2 * length - 1).select("t1", "text")
+    places = stored(
+        texts.mapInArrow(_passage_places(length, gram), "t1 long, g long, c long, leads boolean"), "passage-places"
+    )
+    least, most = F.min("t1").alias("a"), F.max("t1").alias("b")
+    grams = stored(places.groupBy("g").agg(least, most).filter("a <> b").select("g"), "passage-anchors")
+    shared = stored(places.join(grams, "g", "left_semi").select("t1", "g", "c").distinct(), "shared-passages")
+    copies = places.filter("leads").groupBy("t1").count().filter("count > 1").select("t1")
+    kinds = stored(shared.groupBy("g", "c").agg(least, most), "passages")
+    whole = shared.join(kinds.filter("a <> b"), ["g", "c"], "left_semi").select("t1")
+    known = stored(copies.union(whole).distinct(), "passage-texts")
+    # what is left: texts not known yet, whose stretches equal no other text's as a whole but may in part
+    named = known.select(F.col("t1").alias("a"), F.lit(True).alias("known"))
+    kinds_known = kinds.join(named, "a", "left").withColumn("open", F.expr("a = b AND known IS NULL"))
+    groups = kinds_known.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("open").alias("o")).filter("n > 1 AND o")
+    wanted = kinds_known.join(groups, "g", "left_semi").groupBy(F.col("a").alias("t1")).agg(
+        F.collect_list(F.struct("g", "c", "b", "open")).alias("wanted")  # of one text
+    )
+    wanted = stored(wanted, "wanted-passages")
+    sources = _semi(texts, wanted, ("t1",)).join(wanted, "t1")
+    strings = stored(
+        sources.mapInArrow(_passage_strings(length, gram), "g long, s long, a long, b long, open boolean"),
+        "passage-strings",
+    )
+    twice = strings.groupBy("g", "s").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.max("open").alias("o"))
+    twice = twice.filter("a <> b AND o").select("g", "s")
+    more = strings.filter("open").join(twice, ["g", "s"], "left_semi").select(F.col("a").alias("t1"))
+    found = stored(known.union(more).distinct(), "texts-with-passages")
+    discard(places, grams, shared, kinds, known, wanted, strings)
+    return found
+
+
 def repeated_spans(
     texts: DataFrame,
     length: int = LENGTH,
@@ -346,9 +471,12 @@ def repeated_spans(
     )
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = False, **options) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the
-    remaining bytes as ``kept`` if ``with_text``.
+def remove_repeats(
+    docs: DataFrame, length: int = LENGTH, with_text: bool = False, passage_words: int | None = None, **options
+) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text): doc_id, n_bytes, n_removed, n_spans, kept_sha256, the
+    remaining bytes as ``kept`` if ``with_text``, and, if ``passage_words``, ``repeats_passage``: whether so many words in
+    a row are in another row as well, removed or not.
 
     A byte goes if a string of ``length`` bytes that covers it also starts anywhere else, in the same text or
     another, as the texts were given. Null counts as empty; texts shorter than ``length`` lose nothing;
@@ -362,21 +490,27 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_text: bool = Fals
         F.xxhash64(F.lit(1), text).alias("t1"),
         F.xxhash64(F.lit(2), text).alias("t2"),
     )
-    spans = stored(repeated_spans(texts.select("t1", "t2", "text"), length, **options), "text-spans")
-    schema = _REMOVED_SCHEMA + (", kept binary" if with_text else "")
-    touched = _semi(texts, spans).join(spans, ["t1", "t2"]).select("doc_id", "text", "spans")
+    passage = shared_passages(texts.select("t1", "text"), passage_words) if passage_words else None
+    spans = repeated_spans(texts.select("t1", "t2", "text"), length, **options)
+    schema = _REMOVED_SCHEMA + (", kept binary" if with_text else "") + (", repeats_passage boolean" if passage_words else "")
+    if passage is not None:
+        passage = passage.withColumn("repeats_passage", F.lit(True))
+        here = F.coalesce("repeats_passage", F.lit(False))
+        spans = spans.join(passage, "t1", "left").withColumn("repeats_passage", here)
+    spans = stored(spans, "text-spans")
+    touched = _semi(texts, spans).join(spans, ["t1", "t2"]).drop("t1", "t2")
     raw = F.col("text").cast("binary")
-    rest = texts.join(spans.select("t1", "t2"), ["t1", "t2"], "left_anti") if with_text else None
-    if rest is None:
-        slim = texts.select(
-            "doc_id", "t1", "t2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("kept_sha256")
-        )
-        rest = slim.join(spans.select("t1", "t2"), ["t1", "t2"], "left_anti")
-    else:
+    rest = texts if with_text else texts.select(
+        "doc_id", "t1", "t2", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2(raw, 256).alias("kept_sha256")
+    )
+    rest = rest.join(spans.select("t1", "t2"), ["t1", "t2"], "left_anti")
+    if with_text:
         rest = rest.withColumns(
             {"n_bytes": F.octet_length("text").cast("long"), "kept_sha256": F.sha2(raw, 256), "kept": raw}
         )
+    if passage is not None:
+        rest = rest.join(passage, "t1", "left").withColumn("repeats_passage", here)
     zero = F.lit(0).cast("long")
-    columns = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])]
-    rest = rest.withColumn("n_removed", zero).withColumn("n_spans", zero).select(*columns)
-    return touched.mapInArrow(_remove(with_text), schema).unionByName(rest)
+    rest = rest.withColumn("n_removed", zero).withColumn("n_spans", zero)
+    touched = touched.mapInArrow(_remove(with_text, passage is not None), schema)
+    return touched.unionByName(rest.select(*touched.columns))

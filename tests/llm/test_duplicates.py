@@ -13,6 +13,7 @@ from convoy.llm import induced
 from convoy.llm.bbit_minhash import near_duplicates
 from convoy.llm.components import components
 from convoy.llm.naming import exact_duplicates
+from convoy.llm.queries import QUERIES
 from convoy.llm.suffix_dedup import remove_repeats
 from tests.llm.conftest import LOWER, null_first, prose
 
@@ -149,6 +150,46 @@ def test_remaining_bytes(spark):
     assert kept == {1: b"begin  end", 2: b""}
 
 
+def passages_by_hand(rows, length):
+    found, strings = defaultdict(set), []
+    for n, (_, t) in enumerate(rows):
+        w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().translate(LOWER))
+        strings.append({tuple(w[i : i + length]) for i in range(len(w) - length + 1)})
+        for s in strings[-1]:
+            found[s].add(n)
+    return [(i, any(len(found[s]) > 1 for s in strings[n])) for n, (i, _) in enumerate(rows)]
+
+
+@pytest.mark.parametrize("words", [51, 12])
+def test_passages_of_other_rows(spark, hard_rows, words):
+    """Runs of one word less, as many and more, alone and twice, at the ends and within; once in one row only."""
+    rng = random.Random(6)
+    rows = [r for r in hard_rows if r[0] != 13]
+    for i in range(60):
+        size = words + rng.choice((-1, -1, 0, 1, 9, 3 * words))
+        run = prose(rng, size, 10**6).split()
+        for k in range(rng.choice((2, 2, 5))):
+            cut = run[rng.randrange(3) :] if k else run
+            before, after = prose(rng, rng.choice((0, 30)), 10**6), prose(rng, rng.choice((0, 90)), 10**6)
+            rows.append((len(rows) + 100, f"{before} {' '.join(cut).upper() if k == 3 else ' '.join(cut)}\n {after}"))
+    alone = prose(rng, 60, 10**6)
+    rows.append((99, f"{alone} between {alone}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = remove_repeats(docs, passage_words=words).select("doc_id", "repeats_passage")
+    assert null_first(map(tuple, got.collect())) == null_first(passages_by_hand(rows, words))
+
+
+def test_query_names_passages_of_over_50_words_below_400_bytes(spark, tmp_path):
+    rng = random.Random(7)
+    passage = " ".join(f"{rng.randrange(10**4):04}" for _ in range(51))
+    rows = [(1, prose(rng, 90) + " " + passage), (2, passage + " " + prose(rng, 90)), (3, prose(rng, 90))]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op3_induced_suffixes"](spark, str(tmp_path))
+    assert got.columns[:5] == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.repeats_passage) for r in got.collect()}
+    assert found == {i: (len(t), 0, i < 3) for i, t in rows}
+
+
 @pytest.mark.parametrize("listed", [0, induced.LISTED])
 def test_suffix_array(tmp_path, monkeypatch, listed):
     monkeypatch.setattr(induced, "LISTED", listed)
